@@ -1,0 +1,130 @@
+"""Secret scans over an incremental, content-addressed blob ledger. DataFrame functions only.
+
+A blob is one distinct text, addressed by its SHA-256. The ledger is a table (blob, rule, findings) in which a row says
+that this blob was scanned by this version of this rule. A scan takes every version of every path that it is given,
+reduces them to blobs, scans only the (blob, rule version) pairs that the ledger lacks, appends those, and joins the
+findings back to all the paths that ever held a blob. Changing a rule changes its version, which is a hash of its
+definition, so only that rule runs again over old blobs.
+"""
+
+from __future__ import annotations
+
+import hashlib
+from dataclasses import dataclass, field
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .common import materialize, shared_path
+
+FINDING = "struct<start:long,stop:long,kind:string>"
+
+
+@dataclass(frozen=True)
+class Rule:
+    """kind; a Java pattern without groups that count; the pattern and least length of what must be in a match."""
+
+    kind: str
+    pattern: str
+    inner: str = ""
+    least: int = 0
+    order: int = field(default=0, compare=False)
+
+    @property
+    def version(self) -> str:
+        return self.kind + "@" + hashlib.sha256(repr((self.kind, self.pattern, self.inner, self.least)).encode()).hexdigest()[:12]
+
+    def find(self, text: Column) -> Column:
+        """All leftmost, non-overlapping matches as array<struct<start, stop, kind>>, in code points, stop exclusive.
+
+        The text between matches and the matches themselves give each match's place by a running sum of lengths.
+        """
+        hits = F.regexp_extract_all(text, F.lit(self.pattern), F.lit(0))
+        between = F.split(text, self.pattern, -1)
+        steps = F.zip_with(F.slice(between, F.lit(1), F.size(hits)), hits, lambda b, h: F.struct(F.length(b).cast("long").alias("gap"), F.length(h).cast("long").alias("len"), h.alias("hit")))
+        start = F.struct(F.lit(0).cast("long").alias("at"), F.expr("cast(array() as array<struct<start:long,stop:long,hit:string>>)").alias("out"))
+        walk = F.aggregate(
+            steps,
+            start,
+            lambda acc, s: F.struct(
+                (acc["at"] + s["gap"] + s["len"]).alias("at"),
+                F.concat(acc["out"], F.array(F.struct((acc["at"] + s["gap"]).alias("start"), (acc["at"] + s["gap"] + s["len"]).alias("stop"), s["hit"].alias("hit")))).alias("out"),
+            ),
+            lambda acc: acc["out"],
+        )
+        kept = F.filter(walk, lambda m: F.length(F.regexp_extract(m["hit"], self.inner, 1)) >= self.least) if self.inner else walk
+        found = F.transform(kept, lambda m: F.struct(m["start"].alias("start"), m["stop"].alias("stop"), F.lit(self.kind).alias("kind")))
+        return F.when(text.rlike(self.pattern), found).otherwise(F.expr(f"cast(array() as array<{FINDING}>)"))
+
+
+_ASSIGN = r"""(?i:(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]+)"""
+#: The contract's three kinds, in the order in which ties are listed.
+BASE_RULES = (
+    Rule("assign", _ASSIGN, r"""(?i:(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?)([A-Za-z0-9+/_.=-]+)""", 8, 0),
+    Rule("access", r"AKIA[A-Z0-9]{12,}", order=1),
+    Rule("hex", r"[0-9a-f]{32,}", order=2),
+)
+#: What this scanner finds besides: private-key headers, JSON web tokens, bearer headers and passwords in URLs.
+MORE_RULES = (
+    Rule("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", order=3),
+    Rule("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}", order=4),
+    Rule("bearer", r"(?i:bearer)\x20[A-Za-z0-9._~+/-]{20,}", order=5),
+    Rule("url_login", r"[a-z][a-z0-9+.-]{1,20}://[A-Za-z0-9._%-]{1,64}:[^\x20\x09-\x0D/@:]{3,64}@", order=6),
+)
+RULES = BASE_RULES + MORE_RULES
+
+
+def blob_id(text: Column) -> Column:
+    return F.sha2(F.coalesce(text, F.lit("")), 256)
+
+
+def empty_ledger(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], f"blob string, rule string, findings array<{FINDING}>")
+
+
+def scan(versions: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """The ledger rows that are missing: (blob, rule, findings) of every unseen pair of a blob and a rule version.
+
+    versions(text) may hold any number of rows; equal texts are one blob and are scanned once. A null text is the empty
+    blob. Findings are null-free; a blob without secrets has an empty array, so it is not scanned again.
+    """
+    blobs = versions.select(F.coalesce("text", F.lit("")).alias("text")).withColumn("blob", F.sha2("text", 256))
+    blobs = blobs.groupBy("blob").agg(F.first("text").alias("text"))
+    seen = ledger.groupBy("blob").agg(F.collect_set("rule").alias("seen"))
+    todo = blobs.join(seen, "blob", "left")
+    rows = F.array(*[F.struct(F.lit(r.version).alias("rule"), F.when(~F.coalesce(F.array_contains("seen", r.version), F.lit(False)), r.find(F.col("text"))).alias("findings")) for r in rules])
+    return todo.select("blob", F.explode(rows).alias("x")).where("x.findings is not null").select("blob", "x.rule", "x.findings")
+
+
+def update(spark: SparkSession, versions: DataFrame, path: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """Scan versions(text) against the ledger at ``path`` (made where there is none), append what is new, return it all."""
+    jvm = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    there = jvm.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jvm)
+    ledger = spark.read.parquet(path) if there else empty_ledger(spark)
+    scan(versions, ledger, rules).write.mode("append").parquet(path)
+    return spark.read.schema(empty_ledger(spark).schema).parquet(path)
+
+
+def findings_by_path(paths: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """paths(..., blob) with ``findings``: what the current rule versions found in the blob, by start and then by the
+    rules' order."""
+    current = {r.version: r for r in rules}
+    rank = F.create_map(*[x for r in rules for x in (F.lit(r.kind), F.lit(r.order))])
+    flat = ledger.where(F.col("rule").isin(*current)).where("size(findings) > 0")
+    per_blob = flat.groupBy("blob").agg(F.flatten(F.collect_list("findings")).alias("found"))
+    ordered = F.transform("found", lambda m: F.struct(m["start"].alias("start"), rank[m["kind"]].alias("rank"), m["stop"].alias("stop"), m["kind"].alias("kind")))
+    per_blob = per_blob.select("blob", F.array_sort(ordered).alias("findings"))
+    none = F.expr("cast(array() as array<struct<start:long,rank:int,stop:long,kind:string>>)")
+    return paths.join(per_blob, "blob", "left").withColumn("findings", F.coalesce("findings", none))
+
+
+def spans_text(findings: Column) -> Column:
+    return F.array_join(F.transform(findings, lambda m: F.concat_ws(":", m["kind"], m["start"].cast("string"), m["stop"].cast("string"))), ",")
+
+
+def scan_documents(docs: DataFrame, rules: tuple[Rule, ...] = RULES, ledger_path: str | None = None) -> DataFrame:
+    """(doc_id, findings) for every row of docs(doc_id, text), through the ledger at ``ledger_path`` or a new one."""
+    spark = docs.sparkSession
+    ledger = update(spark, docs.select("text"), ledger_path or shared_path(spark, "secret-ledger"), rules)
+    paths = docs.select("doc_id", blob_id(F.col("text")).alias("blob"))
+    return findings_by_path(paths, ledger, rules).select("doc_id", "findings")
