@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, shared_path
+from .common import shared_path
 
 FINDING = "struct<start:long,stop:long,kind:string>"
 
