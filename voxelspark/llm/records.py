@@ -16,6 +16,7 @@ which any record can be read alone, in any order. Shards follow each other in th
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Callable, Iterator
@@ -74,7 +75,7 @@ class Encoder:
     #: The byte-level pre-tokenizer's published pattern.
     PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-    def __init__(self, path: str, cache: int = 300_000):
+    def __init__(self, path: str, cache: int = 700_000):
         import json
 
         import regex
@@ -91,6 +92,7 @@ class Encoder:
         self.wide = self.whole.get_vocab_size(with_added_tokens=True) > 1 << 16
         self.kind = "<u4" if self.wide else "<u2"
         self.find = regex.compile(self.PATTERN).findall
+        self.uneven = re.compile(r"\s | \s").search  # a space beside white space
         self.model = self.whole.model
         kept = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves
         others = [b for b in range(256) if b not in kept]
@@ -99,33 +101,50 @@ class Encoder:
         self.pieces: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
 
-    def word(self, word: str) -> bytes:
+    def tokenize(self, word: str) -> bytes:
         """The ids of one pre-token."""
+        if word.isascii() and word[1:].isalpha():  # letters stand for themselves, the space has a letter of its own
+            mapped = "\u0120" + word[1:] if word[0] == " " else word if word.isalpha() else None
+        else:
+            mapped = None
+        ids = [t.id for t in self.model.tokenize(mapped or word.encode().decode("latin-1").translate(self.letters))]
+        return struct.pack(f"<{len(ids)}{self.kind[-2:] == 'u4' and 'I' or 'H'}", *ids)
+
+    def word(self, word: str) -> bytes:
         ids = self.words.get(word)
         if ids is None:
             if len(self.words) >= self.limit:
                 self.words.clear()
-            mapped = word.encode().decode("latin-1").translate(self.letters)
-            ids = self.words[word] = np.array([t.id for t in self.model.tokenize(mapped)], self.kind).tobytes()
+            ids = self.words[word] = self.tokenize(word)
         return ids
 
     def piece(self, piece: str) -> bytes:
         """The ids of a piece with a space before it."""
-        word = " " + piece
-        ids = self.word(word) if piece.isalpha() else b"".join(map(self.word, self.find(word)))
+        if piece.isalpha():
+            ids = self.tokenize(" " + piece)
+        elif piece[-1] in ".,;:!?" and (core := piece[:-1]).isalpha():
+            ids = (self.pieces.get(core) or self.piece(core)) + self.word(piece[-1])
+        else:
+            ids = b"".join(map(self.word, self.find(" " + piece)))
         if len(self.pieces) >= self.limit:
             self.pieces.clear()
         self.pieces[piece] = ids
         return ids
 
     def encode(self, text: str) -> bytes:
+        if not text:
+            return b""
         if not self.fast or any(t in text for t in self.added):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
-        first, *rest = text.split(" ")
-        if any(not p or p[0].isspace() or p[-1].isspace() for p in rest) or not first or first[-1].isspace():
+        if self.uneven(text) or text[0].isspace() or text[-1].isspace():
             return b"".join(map(self.word, self.find(text)))
-        get = self.pieces.get
-        return b"".join([*map(self.word, self.find(first)), *((get(p) or self.piece(p)) for p in rest)])
+        first, *rest = text.split(" ")
+        ids = list(map(self.pieces.get, rest))
+        if None in ids:
+            for i, known in enumerate(ids):
+                if known is None:
+                    ids[i] = self.piece(rest[i])
+        return b"".join([*map(self.word, self.find(first)), *ids])
 
 
 INDEX = "shard int, number long, offset long, bytes long, doc_id long, n_tokens long"
