@@ -167,24 +167,29 @@ def replies(asked: DataFrame) -> DataFrame:
 
 
 class Bucket:
-    """A bucket's totals: sorted keys of its tokens and pairs with the counts that were sent back."""
+    """A bucket's texts as tokens, and the totals that were sent back for its tokens and pairs."""
 
-    def __init__(self, answers: pa.Table, found: list[tuple[np.ndarray, np.ndarray]]):
-        self.keys, self.counts, self.gone = [], [], []
+    def __init__(self, answers: pa.Table, token: np.ndarray, before: np.ndarray):
+        of_kind = answers.column("kind").to_numpy()
+        self.places = [np.unique(x, return_inverse=True)[1] for x in (token, pairs(before, token))]
+        self.counts, self.gone = [], []
         for kind in (0, 1):
-            own = answers.filter(pa.array(answers.column("kind").to_numpy() == kind)).sort_by("part")
-            self.keys.append(np.unique(np.concatenate([f[kind] for f in found])))
+            own = answers.filter(pa.array(of_kind == kind)).sort_by("part")
             self.counts.append(np.concatenate([_unsqueeze(x, "<i8") for x in own.column("counts").to_pylist()]))
             self.gone.append(np.concatenate([_unsqueeze(x, "<i8") for x in own.column("deleted").to_pylist()]))
 
-    def of(self, token: np.ndarray, before: np.ndarray, kept: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Counts of the tokens, of the tokens before, and of the pairs; kept: without the deleted fold."""
-        counts = [c - g if kept else c for c, g in zip(self.counts, self.gone)]
-        return tuple(counts[k][np.searchsorted(self.keys[k], x)] for k, x in ((0, token), (0, before), (1, pairs(before, token))))
+    def totals(self, kept: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Counts of every token, of the token before it, and of the pair; kept: without the deleted fold."""
+        one, two = ((c - g if kept else c)[at] for c, g, at in zip(self.counts, self.gone, self.places))
+        # the token before the first is an end token, and so is the last one
+        return one, np.append(one[-1:], one[:-1]), two
 
 
-def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, list[tuple[np.ndarray, np.ndarray, np.ndarray]], Bucket]]:
-    """The texts of each bucket, their tokens and the totals, from rows sorted by bucket that hold both."""
+def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray, Bucket]]:
+    """The texts of each bucket, the document number of each token, and the totals, from rows sorted by bucket that hold
+    texts and answers."""
+    import pyarrow.compute as pc
+
     hasher = SpanHash(5)
     for table in _by_bucket(batches, "bucket"):
         is_text = table.column("kind").is_null()
@@ -193,35 +198,31 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, list
             continue
         slices = list(text_slices(iter(texts.to_batches())))
         found = [tokens(*text_bytes(b.column("text")), hasher) for b in slices]
-        import pyarrow.compute as pc
-
-        totals = Bucket(table.filter(pc.invert(is_text)), [(t, pairs(b, t)) for t, b, _ in found])
-        yield pa.Table.from_batches(slices), [(t, b, d + sum(x.num_rows for x in slices[:i])) for i, (t, b, d) in enumerate(found)], totals
+        first = np.cumsum([0, *(b.num_rows for b in slices)])
+        doc = np.concatenate([d + at for (_, _, d), at in zip(found, first)])
+        yield pa.Table.from_batches(slices), doc, Bucket(table.filter(pc.invert(is_text)), *(np.concatenate([f[k] for f in found]) for k in (0, 1)))
 
 
 def context_bucket(count: np.ndarray) -> np.ndarray:
     return np.floor(np.log2(count + 1.0)).astype(np.int64)
 
 
-def held_out_table(rows: DataFrame, deleted: int, types: int, total: int) -> DataFrame:
+def held_out_table(rows: DataFrame, types: int, total: int) -> DataFrame:
     """How often each (context bucket, log ratio of the pair estimate and of the token estimate to the uniform one) occurs
-    in the deleted fold, against counts without it."""
+    in the texts of rows, which are of the deleted fold, against counts without it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells: dict[tuple, int] = {}
-        for texts, found, totals in _buckets(batches):
-            fold = texts.column("fold").to_numpy()
-            for token, before, doc in found:
-                own = fold[doc] == deleted
-                if not own.any():
-                    continue
-                c1, cv, c2 = totals.of(token[own], before[own], True)
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    r2 = np.where(c2 > 0, np.rint(STEPS * np.log2(c2 / cv * (types + 1))), NONE)
-                    r1 = np.where(c1 > 0, np.rint(STEPS * np.log2(c1 / max(total, 1) * (types + 1))), NONE)
-                keys, n = np.unique(np.stack([context_bucket(cv), r2.astype(np.int64), r1.astype(np.int64)], 1), axis=0, return_counts=True)
-                for k, v in zip(map(tuple, keys.tolist()), n.tolist()):
-                    cells[k] = cells.get(k, 0) + v
+        for _, _, bucket in _buckets(batches):
+            c1, cv, c2 = bucket.totals(True)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                r2 = np.where(c2 > 0, np.rint(STEPS * np.log2(c2 / cv * (types + 1))), NONE)
+                r1 = np.where(c1 > 0, np.rint(STEPS * np.log2(c1 / max(total, 1) * (types + 1))), NONE)
+            packed = context_bucket(cv) << 32 | (r2.astype(np.int64) - NONE) << 16 | (r1.astype(np.int64) - NONE)
+            keys, n = np.unique(packed, return_counts=True)
+            for k, v in zip(keys.tolist(), n.tolist()):
+                k = (k >> 32, (k >> 16 & 0xFFFF) + NONE, (k & 0xFFFF) + NONE)
+                cells[k] = cells.get(k, 0) + v
         rows_ = [(*k, v) for k, v in cells.items()]
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows_)] if rows_ else [pa.array([], pa.int64())] * 4, ["b", "r2", "r1", "n"])
 
@@ -258,18 +259,15 @@ def scores(rows: DataFrame, weights: np.ndarray, types: int, total: int) -> Data
     """Base and model log10 probabilities of every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for texts, found, totals in _buckets(batches):
+        for texts, doc, bucket in _buckets(batches):
             n = texts.num_rows
-            sums = [np.zeros(n) for _ in range(4)]
-            for token, before, doc in found:
-                c1, cv, c2 = totals.of(token, before, False)
-                w = weights[context_bucket(cv)]
-                p = w[:, 0] * np.where(cv > 0, c2 / np.maximum(cv, 1), 0) + w[:, 1] * (c1 / max(total, 1)) + w[:, 2] / (types + 1)
-                # where nothing follows the context, its share goes to the other two
-                p = np.where(cv > 0, p, p / (1 - w[:, 0]))
-                base = np.log10((c1 + 0.1) / (total + 0.1 * (types + 1)))
-                for s, x in zip(sums, (np.ones(len(token)), c1 > 0, base, np.log10(p))):
-                    s += np.bincount(doc, weights=x, minlength=n)
+            c1, cv, c2 = bucket.totals(False)
+            w = weights[context_bucket(cv)]
+            p = w[:, 0] * np.where(cv > 0, c2 / np.maximum(cv, 1), 0) + w[:, 1] * (c1 / max(total, 1)) + w[:, 2] / (types + 1)
+            # where nothing follows the context, its share goes to the other two
+            p = np.where(cv > 0, p, p / (1 - w[:, 0]))
+            base = np.log10((c1 + 0.1) / (total + 0.1 * (types + 1)))
+            sums = [np.bincount(doc, weights=x, minlength=n) for x in (np.ones(len(doc)), c1 > 0, base, np.log10(p))]
             yield pa.RecordBatch.from_arrays([texts.column("doc_id").combine_chunks(), texts.column("fold").combine_chunks(), *(pa.array(s.astype(np.int64)) for s in sums[:2]), *map(pa.array, sums[2:])], [x.split()[0] for x in SCORES.split(", ")])
 
     return rows.mapInArrow(run, SCORES)
@@ -287,18 +285,23 @@ def score_texts(docs: DataFrame, fold: Column | None = None, test: int = 0, dele
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(fold, F.lit(test)).cast("int").alias("fold"), "text")
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
     n_buckets, parts = max(1, math.ceil(size / bucket_bytes)), max(1, math.ceil(size / part_bytes))
-    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_buckets)).cast("int"))
+    # the deleted fold has buckets of its own, which EM reads alone; the others follow
+    n_deleted = math.ceil(n_buckets / 10)
+    spread = F.xxhash64("doc_id", "text")
+    bucket = F.when(F.col("fold") == deleted, F.pmod(spread, F.lit(n_deleted))).otherwise(n_deleted + F.pmod(spread, F.lit(n_buckets)))
+    rows = rows.withColumn("bucket", bucket.cast("int"))
     asked = requests(rows.repartition("bucket").sortWithinPartitions("bucket"), parts, deleted, test)
     answers = materialize(replies(asked.repartition("part").sortWithinPartitions("part", "kind")), "lm-totals")
     release(spark)
     own = answers.where("bucket = -1").agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("types", "total", "types_kept", "total_kept"))).first()
 
-    def both(texts: DataFrame) -> DataFrame:
-        sent = answers.where("bucket >= 0").select("bucket", "part", "kind", "counts", "deleted")
+    def both(texts: DataFrame, buckets: Column) -> DataFrame:
+        sent = answers.where("bucket >= 0").where(buckets).select("bucket", "part", "kind", "counts", "deleted")
         mixed = texts.unionByName(sent, allowMissingColumns=True)
         return mixed.repartition("bucket").sortWithinPartitions("bucket")
 
-    cells = held_out_table(both(rows), deleted, own["types_kept"], own["total_kept"]).toPandas().to_numpy(np.int64)
+    deleted_rows = both(rows.where(F.col("fold") == deleted), F.col("bucket") < n_deleted)
+    cells = held_out_table(deleted_rows, own["types_kept"], own["total_kept"]).toPandas().to_numpy(np.int64)
     release(spark)
     weights = learn_weights(cells)
-    return scores(both(rows), weights, own["types"], own["total"]).withColumn("train_tokens", F.lit(own["total"]).cast("long"))
+    return scores(both(rows, F.lit(True)), weights, own["types"], own["total"]).withColumn("train_tokens", F.lit(own["total"]).cast("long"))
