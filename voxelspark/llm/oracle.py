@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-_WINDOW = 10
-
 DECONTAMINATION = r"""
 WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w FROM documents),
 i AS (SELECT CAST(item_id AS VARCHAR) AS item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w FROM benchmark WHERE item_id IS NOT NULL),
@@ -17,4 +15,54 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
-SQL: dict[str, str] = {}
+
+def _kind(name: str, pattern: str, rank: int, least: str) -> str:
+    """Spans of one kind: pieces between matches and the matches give each match's place."""
+    return f"""SELECT doc_id, '{name}' AS kind, {rank} AS rank, pos AS s, pos + len(hit) AS e FROM (
+  SELECT doc_id, hits[i] AS hit, coalesce(list_sum([len(x) for x in gaps[1:i]]), 0) + coalesce(list_sum([len(x) for x in hits[1:i-1]]), 0) AS pos
+  FROM (SELECT doc_id, regexp_extract_all(text, {pattern}) AS hits, regexp_split_to_array(text, {pattern}) AS gaps, unnest(range(1, len(regexp_extract_all(text, {pattern})) + 1)) AS i FROM d)) WHERE {least}"""
+
+
+_ASSIGN = """'(?i:(?:password|passwd|secret|token|api_?key)["'']?\\x20*[:=]\\x20*["'']?[A-Za-z0-9+/_.=-]+)'"""
+_INNER = """'(?i:(?:password|passwd|secret|token|api_?key)["'']?\\x20*[:=]\\x20*["'']?)([A-Za-z0-9+/_.=-]+)'"""
+_MORE = (
+    ("private_key", "'-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----'", 3, "true"),
+    ("jwt", "'eyJ[A-Za-z0-9_-]{10,}\\.[A-Za-z0-9_-]{10,}\\.[A-Za-z0-9_-]{10,}'", 4, "true"),
+    ("bearer", "'(?i:bearer)\\x20[A-Za-z0-9._~+/-]{20,}'", 5, "true"),
+    ("url_login", "'[a-z][a-z0-9+.-]{1,20}://[A-Za-z0-9._%-]{1,64}:[^\\x20\\x09-\\x0D/@:]{3,64}@'", 6, "true"),
+)
+_KINDS = (("assign", _ASSIGN, 0, f"len(regexp_extract(hit, {_INNER}, 1)) >= 8"), ("access", "'AKIA[A-Z0-9]+'", 1, "len(hit) >= 16"), ("hex", "'[0-9a-f]+'", 2, "len(hit) >= 32"), *_MORE)
+
+SECRETS = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+f AS ({" UNION ALL ".join(_kind(*k) for k in _KINDS)}),
+g AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS a, count(*) FILTER (kind = 'access') AS b, count(*) FILTER (kind = 'hex') AS c,
+  string_agg(concat(kind, ':', s, ':', e), ',' ORDER BY s, rank) FILTER (rank < 3) AS base, string_agg(concat(kind, ':', s, ':', e), ',' ORDER BY s, rank) AS every FROM f GROUP BY doc_id)
+SELECT d.doc_id, coalesce(a, 0) AS n_assign, coalesce(b, 0) AS n_access, coalesce(c, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(every, '') AS spans FROM d LEFT JOIN g USING (doc_id)
+"""
+
+_H = "CAST('0x' || substr(md5({}), 1, 15) AS BIGINT)"
+_D = "CAST({} AS DOUBLE)".format
+_POWERS = "list_sum([pow(x, m) for x in p])"
+MIXING = f"""
+WITH RECURSIVE t AS (SELECT doc_id, coalesce(source, '') AS source, CAST(len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')) AS BIGINT) AS tokens FROM documents),
+s AS (SELECT source, count(*) AS n_docs, CAST(sum(tokens) AS BIGINT) AS n FROM t GROUP BY 1),
+tot AS (SELECT CAST(sum(n) AS BIGINT) AS total, list(n / (SELECT sum(n) FROM s) ORDER BY n) FILTER (n > 0) AS p FROM s),
+b AS (SELECT 0 AS i, {_D(0)} AS lo1, {_D(1)} AS hi1, {_D(0)} AS lo2, {_D(1)} AS hi2 UNION ALL
+  SELECT i + 1, if(one, lo1, m1), if(one, m1, hi1), if(two, lo2, m2), if(two, m2, hi2) FROM (
+    SELECT i, lo1, hi1, lo2, hi2, m1, m2, ln(list_sum([pow(x, m1) for x in p])) - m1 * list_sum([pow(x, m1) * ln(x) for x in p]) / list_sum([pow(x, m1) for x in p]) <= 0.9 * ln(len(p)) AS one,
+      list_max([pow(x, m2 - 1) for x in p]) / list_sum([pow(x, m2) for x in p]) <= 4.0 AS two FROM (SELECT *, (lo1 + hi1) / 2 AS m1, (lo2 + hi2) / 2 AS m2 FROM b WHERE i < 50), tot)),
+e AS (SELECT round(greatest(hi1, hi2), 6) AS m FROM b WHERE i = 50),
+w AS (SELECT source, n_docs, n, m AS exponent, if(n = 0, {_D(0)}, round(pow(n / total, m) / (SELECT {_POWERS} FROM tot, e), 9)) AS weight, total FROM s, tot, e),
+q AS (SELECT *, CAST(floor(weight * total) AS BIGINT) AS budget FROM w),
+k AS (SELECT t.doc_id, t.source, t.tokens, exponent, weight, budget, n, CAST({_H.format("'1:block:' || coalesce(CAST(doc_id AS VARCHAR), '')")} % CAST(ceil(n_docs / 4096) AS BIGINT) AS INT) AS block FROM t JOIN q USING (source)),
+l AS (SELECT *, CAST(sum(tokens) OVER (PARTITION BY source, block) AS BIGINT) AS bt FROM k),
+r AS (SELECT *, if(n > 0, CAST((CAST(budget AS HUGEINT) * bt) // n AS BIGINT), 0) AS bb FROM l),
+x AS (SELECT *, if(bt > 0, bb // bt, 0) AS whole, if(bt > 0, bb % bt, bb) AS rest FROM r),
+y AS (SELECT *, unnest(range(0, whole + 1)) AS epoch FROM x),
+z AS (SELECT *, {_H.format("'1:' || epoch || ':' || coalesce(CAST(doc_id AS VARCHAR), '')")} AS h FROM y),
+v AS (SELECT *, coalesce(sum(tokens) OVER (PARTITION BY source, block, epoch ORDER BY h, doc_id, tokens ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, row_number() OVER (PARTITION BY source, block, epoch ORDER BY h, doc_id, tokens) AS place FROM z)
+SELECT doc_id, source, tokens, epoch, block, CAST(place AS INT) AS place, if(bb > 0, round((epoch * bt + before) / CAST(bb AS DOUBLE), 9), 0) AS mix_key, weight, exponent FROM v WHERE epoch < whole OR 2 * before + tokens <= 2 * rest
+"""
+
+SQL: dict[str, str] = {"op1_mixing": MIXING, "op6_decontamination": DECONTAMINATION, "op10_secrets": SECRETS}

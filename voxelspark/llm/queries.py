@@ -44,7 +44,6 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("item_ids").cast("long").alias("n_items"),
         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
-        F.size("near_ids").cast("long").alias("n_near"),
     )
 
 

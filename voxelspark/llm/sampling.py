@@ -8,10 +8,14 @@ from pyspark.sql import functions as F
 
 def labelled_sample(docs: DataFrame, label: Column, keep: Column, per_label: int, seed: int) -> DataFrame:
     """(label, text) of up to ``per_label`` rows of each label, the ones with the least hashes among rows where ``keep``
-    holds. The choice reads ids and labels alone; each task keeps ``per_label`` rows of a label before any shuffle, and
-    only the chosen ids (labels x per_label at most) are sent to the tasks that read texts."""
+    holds. The choice reads ids and labels alone. Labels are counted first, so that a threshold on the hash leaves about
+    four times ``per_label`` rows of each to be ranked, however many there are; only the chosen ids (labels x per_label at
+    most) are sent to the tasks that read texts."""
     order = F.xxhash64("doc_id", F.lit(seed))
     ids = docs.where(keep & label.isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", label.alias("label"), order.alias("o"))
+    counts = ids.groupBy("label").count()
+    share = F.pmod(F.col("o"), F.lit(1 << 30)) / float(1 << 30) < 4.0 * per_label / F.col("count")
+    ids = ids.join(counts, "label").where(share).select("doc_id", "label", "o")
     rank = F.row_number().over(Window.partitionBy("label").orderBy("o", "doc_id"))
     chosen = ids.withColumn("r", rank).where(F.col("r") <= per_label).select("doc_id", "label")
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")

@@ -13,7 +13,7 @@ layer learned from labelled texts turns them into a probability.
 Insult words are given for a few languages as seeds; the rest of the lexicon, whole words and stems, is learned from the
 labelled texts: a stem is an insult if it stands in many different surroundings in toxic texts and in next to none in
 others. Surroundings and not texts are counted, so that copies of one toxic text don't make its rare words insults.
-Training reads ``per_label`` texts of each label at most (2500), those with the least hashes of their ids.
+Training reads ``per_label`` texts of each label at most (1500), those with the least hashes of their ids.
 """
 
 from __future__ import annotations
@@ -126,35 +126,47 @@ def features(text: str, lexicon: Lexicon) -> np.ndarray:
 def learn_lexicon(texts: list[str], toxic: np.ndarray, least: int = 6, purity: float = 0.9) -> Lexicon:
     """Insult words and stems: those with at least ``least`` different surroundings (the words on both sides) in toxic
     texts, of which at least the share ``purity`` is toxic when both labels weigh the same."""
-    around: list[dict[str, set]] = [defaultdict(set), defaultdict(set)]
-    size = [max(1, int((toxic == k).sum())) for k in (0, 1)]
-    for text, label in zip(texts, toxic.tolist()):
-        words = [w for w in _TOKEN.findall(text.lower()) if w[0].isalpha()]
-        seen = around[label]
-        for left, word, right in zip(["", *words], words, [*words[1:], ""]):
-            if len(word) >= 3:
-                seen[word].add(hash((left, right)))
-    bad, good = around[1], around[0]
-    rate = size[1] / size[0]
+    def surroundings(label: int, wanted) -> dict[str, set[int]]:
+        """The different surroundings of each wanted word, as hashes."""
+        seen: dict[str, set[int]] = defaultdict(set)
+        for text, own in zip(texts, toxic.tolist()):
+            if own == label:
+                words = [w for w in _TOKEN.findall(text.lower()) if w[0].isalpha()]
+                for left, word, right in zip(["", *words], words, [*words[1:], ""]):
+                    if len(word) >= 3 and wanted(word):
+                        seen[word].add(hash((left, word, right)))
+        return seen
+
+    def by_stem(words: dict[str, set[int]]) -> dict[str, set[int]]:
+        stems: dict[str, set[int]] = defaultdict(set)
+        for word, s in words.items():
+            for n in STEM:
+                if n <= len(word):
+                    stems[word[:n]] |= s
+        return stems
+
+    bad = surroundings(1, lambda w: True)
+    endings: dict[str, int] = defaultdict(int)
+    for word in bad:
+        for n in STEM:
+            if n <= len(word):
+                endings[word[:n]] += 1
+    # only what is frequent enough in toxic texts is looked for in the others
+    stems = {k: s for k, s in by_stem(bad).items() if len(s) >= 2 * least and endings[k] >= 3}
+    good = surroundings(0, lambda w: len(bad.get(w, ())) >= least or any(w[:n] in stems for n in STEM))
+    rate = max(1, int((toxic == 1).sum())) / max(1, int((toxic == 0).sum()))
 
     def sure(p: int, n: int) -> float:
-        n *= rate
-        return p / (p + n) if p >= least else 0.0
+        return p / (p + n * rate) if p >= least else 0.0
 
     lexicon = Lexicon({w: 1.0 for w in SEEDS[INSULT].split()})
     for word, s in bad.items():
         if sure(len(s), len(good.get(word, ()))) >= purity:
             lexicon.words[word] = 1.0
-    stems: list[dict[str, set]] = [defaultdict(set), defaultdict(set)]
-    for k in (0, 1):
-        for word, s in around[k].items():
-            for n in STEM:
-                if n <= len(word):
-                    stems[k][word[:n]] |= {(word, x) for x in s}
-    for stem in sorted(stems[1], key=len):
-        s = stems[1][stem]
-        endings = {w for w, _ in s}
-        if len(endings) >= 3 and sure(len(s), len(stems[0].get(stem, ()))) >= max(purity, 0.97) and len(s) >= 2 * least and not any(stem[:n] in lexicon.stems for n in STEM if n < len(stem)):
+    others = by_stem(good)
+    for stem in sorted(stems, key=lambda k: (len(k), k)):
+        pure = sure(len(stems[stem]), len(others.get(stem, ()))) >= max(purity, 0.97)
+        if pure and not any(stem[:n] in lexicon.stems for n in STEM if n < len(stem)):
             lexicon.stems[stem] = 1.0
     return lexicon
 
@@ -184,7 +196,7 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(x @ self.weights[:-1] + self.weights[-1], -30, 30))))
 
 
-def train_on(docs: DataFrame, labels: DataFrame, per_label: int = 2500, seed: int = 4) -> Model:
+def train_on(docs: DataFrame, labels: DataFrame, per_label: int = 1500, seed: int = 4) -> Model:
     """A model from docs(doc_id, text) and labels(doc_id, toxic), of rows where crc32(id) mod 5 is not 0. Ids whose labels
     disagree are left out. Without labelled texts the seeds alone score."""
     keep = crc32_text("doc_id") % 5 != 0
