@@ -21,6 +21,8 @@ from .common import materialize
 
 SPACE = r"[\x20\x09-\x0D]+"
 ROUNDS = 50
+#: Rows of the table of sources up to which it is broadcast (some 10 MB); beyond, the join is shuffled and AQE splits it.
+MANY_SOURCES = 100_000
 
 
 @dataclass(frozen=True)
@@ -89,6 +91,9 @@ def deal(rows: DataFrame, target: Target) -> DataFrame:
     weights = source_weights(rows.select("source", "tokens"), target)
     n_blocks = F.ceil(F.col("n_docs") / F.lit(target.block_rows)).cast("long")
     block = F.pmod(digest_number(F.lit(target.seed), F.lit("block"), F.col("doc_id")), n_blocks).cast("int")
+    # a hot source would land in one task of a shuffled join; few sources are sent to all tasks instead
+    if weights.count() <= MANY_SOURCES:
+        weights = F.broadcast(weights)
     placed = rows.join(weights, "source").withColumn("block", block)
     sums = placed.groupBy("source", "block").agg(F.sum("tokens").alias("block_tokens"))
     placed = placed.join(sums, ["source", "block"])

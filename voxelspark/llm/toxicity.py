@@ -126,46 +126,42 @@ def features(text: str, lexicon: Lexicon) -> np.ndarray:
 def learn_lexicon(texts: list[str], toxic: np.ndarray, least: int = 6, purity: float = 0.9) -> Lexicon:
     """Insult words and stems: those with at least ``least`` different surroundings (the words on both sides) in toxic
     texts, of which at least the share ``purity`` is toxic when both labels weigh the same."""
-    def surroundings(label: int, wanted) -> dict[str, set[int]]:
-        """The different surroundings of each wanted word, as hashes."""
+    def surroundings(label: int, wanted) -> dict[str, int]:
+        """How many different surroundings each wanted word has."""
         seen: dict[str, set[int]] = defaultdict(set)
         for text, own in zip(texts, toxic.tolist()):
             if own == label:
                 words = [w for w in _TOKEN.findall(text.lower()) if w[0].isalpha()]
                 for left, word, right in zip(["", *words], words, [*words[1:], ""]):
                     if len(word) >= 3 and wanted(word):
-                        seen[word].add(hash((left, word, right)))
-        return seen
+                        seen[word].add(hash((left, right)))
+        return {w: len(s) for w, s in seen.items()}
 
-    def by_stem(words: dict[str, set[int]]) -> dict[str, set[int]]:
-        stems: dict[str, set[int]] = defaultdict(set)
-        for word, s in words.items():
+    def by_stem(words: dict[str, int]) -> dict[str, int]:
+        stems: dict[str, int] = defaultdict(int)
+        for word, n_around in words.items():
             for n in STEM:
                 if n <= len(word):
-                    stems[word[:n]] |= s
+                    stems[word[:n]] += n_around
         return stems
 
     bad = surroundings(1, lambda w: True)
-    endings: dict[str, int] = defaultdict(int)
-    for word in bad:
-        for n in STEM:
-            if n <= len(word):
-                endings[word[:n]] += 1
+    endings = by_stem(dict.fromkeys(bad, 1))
     # only what is frequent enough in toxic texts is looked for in the others
-    stems = {k: s for k, s in by_stem(bad).items() if len(s) >= 2 * least and endings[k] >= 3}
-    good = surroundings(0, lambda w: len(bad.get(w, ())) >= least or any(w[:n] in stems for n in STEM))
+    stems = {k: n for k, n in by_stem(bad).items() if n >= 2 * least and endings[k] >= 3}
+    good = surroundings(0, lambda w: bad.get(w, 0) >= least or any(w[:n] in stems for n in STEM))
     rate = max(1, int((toxic == 1).sum())) / max(1, int((toxic == 0).sum()))
 
     def sure(p: int, n: int) -> float:
         return p / (p + n * rate) if p >= least else 0.0
 
     lexicon = Lexicon({w: 1.0 for w in SEEDS[INSULT].split()})
-    for word, s in bad.items():
-        if sure(len(s), len(good.get(word, ()))) >= purity:
+    for word, n in bad.items():
+        if sure(n, good.get(word, 0)) >= purity:
             lexicon.words[word] = 1.0
     others = by_stem(good)
     for stem in sorted(stems, key=lambda k: (len(k), k)):
-        pure = sure(len(stems[stem]), len(others.get(stem, ()))) >= max(purity, 0.97)
+        pure = sure(stems[stem], others.get(stem, 0)) >= max(purity, 0.97)
         if pure and not any(stem[:n] in lexicon.stems for n in STEM if n < len(stem)):
             lexicon.stems[stem] = 1.0
     return lexicon
