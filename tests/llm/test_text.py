@@ -61,6 +61,18 @@ def test_substrings(docs, limit):
     assert substrings.remove_repeats(empty(docs)).count() == 0
 
 
+@pytest.mark.parametrize("limit", [1 << 13, 20, 2])
+def test_substrings_of_frequent_passages(spark, limit):
+    rng = np.random.default_rng(5)
+    noise = lambda n: "".join(rng.choice(list("abcdefgh "), n))
+    common = [noise(n) for n in (40, 95, 130, 300)]
+    texts = [noise(int(rng.integers(150))) + "".join(common[int(rng.integers(4))] + noise(int(rng.integers(70))) for _ in range(int(rng.integers(1, 4)))) for _ in range(120)]
+    texts += texts[:10]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    got = rows_of(substrings.remove_repeats(rows, limit), "kept")
+    assert [bytes(got[i][0]) for i in range(len(texts))] == brute_repeats(texts)
+
+
 def test_substrings_with_repeated_ids(spark):
     text = prose(80, 9)
     rows = spark.createDataFrame([(1, text), (1, text), (1, "other " + text), (None, text)], "doc_id long, text string")

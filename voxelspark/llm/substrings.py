@@ -9,7 +9,8 @@ equal 100-byte prefixes are needed, and the first place of each:
 1. Equal phrases give equal strings, so every occurrence of a phrase but the first repeats wholly.
 2. Strings of different phrases can be equal only if the phrases share a trigger. The dictionary's phrases that share one
    are brought together with their bytes, their 100-byte suffix prefixes are sorted, and all but the first of each class
-   repeat. A trigger with very many different phrases has its strings dealt out by their own hash instead.
+   repeat. A trigger with very many different phrases has them cut into pieces of a few strings, which come together by
+   the bytes that all strings of a piece share; where even these are very many, strings are dealt out by their own hash.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from .common import SpanHash, group_starts, materialize, ranges, release, text_b
 
 LENGTH = 100
 TRIGGER = 32
+#: Strings of a piece of a phrase whose trigger has very many phrases.
+STEP = 9
 _PLACE = np.uint64((1 << 20) - 1)
 #: Texts of more bytes are parsed in pieces, so that a place fits in 20 bits.
 PIECE = (1 << 20) - 1
@@ -199,16 +202,53 @@ def contexts(marked: DataFrame) -> DataFrame:
     return marked.mapInArrow(run, CONTEXTS)
 
 
-STRINGS = "h1 long, h2 long, rid long, start long, later boolean"
+STRINGS = "h1 long, h2 long, rid long, start long, later boolean, bytes binary"
 
 
-def suffix_classes(found: DataFrame, group_limit: int) -> DataFrame:
+def cut_pieces(place: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Cuts phrases into pieces of STEP strings at most, by how far the trigger is from a string's start. Equal strings
+    have their trigger at the same distance, so they are in pieces of the same number, and all strings of a piece hold the
+    same core of LENGTH - STEP + 1 bytes. Returns each piece's phrase, place, first and last byte, and core's first byte."""
+    n, off = (place >> 8) & 255, place & 255
+    high = off // STEP
+    count = high - (off - n + 1) // STEP + 1
+    row = np.repeat(np.arange(len(place)), count)
+    number = -ranges(-high, count)
+    top = np.minimum(off[row], number * STEP + STEP - 1)
+    size = top - np.maximum(off[row] - n[row] + 1, number * STEP) + 1
+    skip = off[row] - top
+    begin = offsets[:-1][row] + skip
+    return row, pack((place[row] >> 16) + skip, size, top), begin, begin + size - 1 + LENGTH, begin + top - number * STEP
+
+
+def suffix_classes(found: DataFrame, group_limit: int, last: bool = False) -> DataFrame:
     """From contexts sorted by trigger: runs of strings that have an earlier equal among the phrases of their trigger, as
-    byte ranges (later: true, h1: the stop). A trigger of more than ``group_limit`` phrases returns all its strings with their hashes instead."""
-    names = ["h1", "h2", "rid", "start", "later"]
+    byte ranges (later: true, h1: the stop). A trigger of more than ``group_limit`` phrases returns its phrases' distinct
+    pieces instead (h1: the core's hash, start: the place), which group by their cores as phrases do by triggers; with
+    ``last``, its distinct strings (h1, h2: their hashes). What repeats inside one batch of it is returned as ranges."""
+    names = ["h1", "h2", "rid", "start", "later", "bytes"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one, two = SpanHash(33), SpanHash(34)
+        one, two, cores = SpanHash(33), SpanHash(34), SpanHash(35)
+
+        def rows(h1: np.ndarray, h2: np.ndarray | None, rid: np.ndarray, start: np.ndarray, later: bool, data: pa.Array | None = None) -> pa.RecordBatch:
+            n = len(rid)
+            second = pa.nulls(n, pa.int64()) if h2 is None else pa.array(h2.view(np.int64))
+            return pa.RecordBatch.from_arrays([pa.array(h1.view(np.int64)), second, pa.array(rid), pa.array(start), pa.array(np.full(n, later)), pa.nulls(n, pa.binary()) if data is None else data], names)
+
+        def classes(h1: np.ndarray, h2: np.ndarray, rid: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """The first of each class of equal hashes, and the others."""
+            order = np.lexsort((start, rid, h2, h1))
+            later = np.ones(len(order), bool)
+            later[group_starts(h1[order], h2[order])] = False
+            return order[~later], order[later]
+
+        def runs(rid: np.ndarray, start: np.ndarray) -> pa.RecordBatch:
+            order = np.lexsort((start, rid))
+            r, s = rid[order], start[order]
+            at = np.flatnonzero(np.append(True, (r[1:] != r[:-1]) | (s[1:] != s[:-1] + 1))) if len(s) else np.zeros(0, np.int64)
+            stop = s[np.append(at[1:] - 1, len(s) - 1)] + LENGTH if len(s) else s
+            return rows(stop, None, r[at], s[at], True)
 
         def strings(part: pa.Table) -> tuple[np.ndarray, ...]:
             part = part.combine_chunks()
@@ -220,21 +260,31 @@ def suffix_classes(found: DataFrame, group_limit: int) -> DataFrame:
             start = ranges(place >> 16, n)
             return one.load(buf).spans(at, at + LENGTH), two.load(buf).spans(at, at + LENGTH), rid, start
 
-        def solved(part: pa.Table) -> pa.RecordBatch:
+        def solved(part: pa.Table) -> Iterator[pa.RecordBatch]:
             h1, h2, rid, start = strings(part)
-            order = np.lexsort((start, rid, h2, h1))
-            later = np.ones(len(order), bool)
-            later[group_starts(h1[order], h2[order])] = False
-            keep = order[later]
-            keep = keep[np.lexsort((start[keep], rid[keep]))]
-            r, s = rid[keep], start[keep]
-            runs = np.flatnonzero(np.append(True, (r[1:] != r[:-1]) | (s[1:] != s[:-1] + 1))) if len(keep) else np.zeros(0, np.int64)
-            stop = s[np.append(runs[1:] - 1, len(s) - 1)] + LENGTH if len(keep) else s
-            return pa.RecordBatch.from_arrays([pa.array(stop), pa.nulls(len(runs), pa.int64()), pa.array(r[runs]), pa.array(s[runs]), pa.array(np.ones(len(runs), bool))], names)
-
-        def dealt(part: pa.Table) -> pa.RecordBatch:
+            _, later = classes(h1, h2, rid, start)
+            yield runs(rid[later], start[later])
+
+        def dealt_strings(part: pa.Table) -> Iterator[pa.RecordBatch]:
             h1, h2, rid, start = strings(part)
-            return pa.RecordBatch.from_arrays([pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), pa.array(rid), pa.array(start), pa.array(np.zeros(len(rid), bool))], names)
+            first, later = classes(h1, h2, rid, start)
+            yield runs(rid[later], start[later])
+            yield rows(h1[first], h2[first], rid[first], start[first], False)
+
+        def dealt_pieces(part: pa.Table) -> Iterator[pa.RecordBatch]:
+            part = part.combine_chunks()
+            buf, offsets = text_bytes(part.column("bytes").combine_chunks())
+            row, place, begin, stop, core = cut_pieces(part.column("place").to_numpy(), offsets)
+            rid, start = part.column("rid").to_numpy()[row], place >> 16
+            first, later = classes(one.load(buf).spans(begin, stop), two.load(buf).spans(begin, stop), rid, start)
+            yield rows((start + stop - begin)[later], None, rid[later], start[later], True)
+            begin, size = begin[first], (stop - begin)[first]
+            ends = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+            data = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(ends), pa.py_buffer(buf[ranges(begin, size)].tobytes())])
+            key = cores.load(buf).spans(core[first], core[first] + LENGTH - STEP + 1)
+            yield rows(key, None, rid[first], place[first], False, data)
+
+        dealt = dealt_strings if last else dealt_pieces
 
         held: pa.Table | None = None
         hot: int | None = None  # a trigger over the limit
@@ -245,7 +295,7 @@ def suffix_classes(found: DataFrame, group_limit: int) -> DataFrame:
             if hot is not None:
                 k = int(np.argmax(t != hot)) if (t != hot).any() else len(t)
                 if k:
-                    yield dealt(held.slice(0, k))
+                    yield from dealt(held.slice(0, k))
                 if k == len(t):
                     held = None
                     continue
@@ -254,17 +304,17 @@ def suffix_classes(found: DataFrame, group_limit: int) -> DataFrame:
             firsts = group_starts(t[:cut])
             sizes = np.diff(np.append(firsts, cut))
             for a, n in zip(firsts[sizes > group_limit].tolist(), sizes[sizes > group_limit].tolist()):
-                yield dealt(held.slice(a, n))
+                yield from dealt(held.slice(a, n))
             few = np.flatnonzero(np.repeat(sizes <= group_limit, sizes))
             if len(few):
-                yield solved(held.take(pa.array(few)) if len(few) < cut else held.slice(0, cut))
+                yield from solved(held.take(pa.array(few)) if len(few) < cut else held.slice(0, cut))
             held = held.slice(cut)
             if held.num_rows > group_limit:
                 hot = int(t[-1])
-                yield dealt(held)
+                yield from dealt(held)
                 held = None
         if held is not None and held.num_rows:
-            yield dealt(held) if hot is not None else solved(held)
+            yield from dealt(held) if hot is not None else solved(held)
 
     return found.mapInArrow(run, STRINGS)
 
@@ -333,9 +383,15 @@ def remove_repeats(docs: DataFrame, group_limit: int = 1 << 13) -> DataFrame:
     release(spark)
     spans = marks.where("b >= 0").select("rid", F.col("a").alias("start"), F.col("b").alias("stop"))
     spans = spans.unionByName(strings.where("later").select("rid", "start", F.col("h1").alias("stop")))
-    dealt = strings.where("not later")
-    if dealt.limit(1).count():
-        single = later_strings(dealt.repartition("h1", "h2").sortWithinPartitions("h1", "h2", "rid", "start"))
-        spans = spans.unionByName(single.select("rid", "start", (F.col("start") + LENGTH).alias("stop")))
+    pieces_left = strings.where("not later")
+    if pieces_left.limit(1).count():
+        by_core = pieces_left.select(F.col("h1").alias("trigger"), "rid", F.col("start").alias("place"), "bytes").repartition("trigger").sortWithinPartitions("trigger", "rid", "place")
+        strings = materialize(suffix_classes(by_core, group_limit, last=True), "piece-strings")
+        release(spark)
+        spans = spans.unionByName(strings.where("later").select("rid", "start", F.col("h1").alias("stop")))
+        dealt = strings.where("not later")
+        if dealt.limit(1).count():
+            single = later_strings(dealt.repartition("h1", "h2").sortWithinPartitions("h1", "h2", "rid", "start"))
+            spans = spans.unionByName(single.select("rid", "start", (F.col("start") + LENGTH).alias("stop")))
     per_row = spans.groupBy("rid").agg(F.collect_list(F.struct("start", "stop")).alias("x")).select("rid", F.col("x.start").alias("starts"), F.col("x.stop").alias("stops"))
     return cut_out(rows.join(per_row.hint("shuffle_hash"), "rid", "left").select("doc_id", "text", "starts", "stops"))
