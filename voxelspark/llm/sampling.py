@@ -5,17 +5,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import materialize
+
+#: Up to this many labels, their counts are sent to all tasks; beyond it, rows meet them by a salted join.
+FEW_LABELS = 1000
+SALTS = 64
+
 
 def labelled_sample(docs: DataFrame, label: Column, keep: Column, per_label: int, seed: int) -> DataFrame:
     """(label, text) of up to ``per_label`` rows of each label, the ones with the least hashes among rows where ``keep``
-    holds. The choice reads ids and labels alone. Labels are counted first, so that a threshold on the hash leaves about
-    four times ``per_label`` rows of each to be ranked, however many there are; only the chosen ids (labels x per_label at
-    most) are sent to the tasks that read texts."""
-    order = F.xxhash64("doc_id", F.lit(seed))
+    holds. The choice reads ids and labels alone. Labels are counted first, and a threshold on the hash leaves little
+    more than ``per_label`` rows of each to be ranked, however many there are: as many more as make it next to impossible
+    that fewer pass. Only the chosen ids (labels x per_label at most) are sent to the tasks that read texts."""
+    order = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(seed)), 1)
     ids = docs.where(keep & label.isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", label.alias("label"), order.alias("o"))
-    counts = ids.groupBy("label").count()
-    share = F.pmod(F.col("o"), F.lit(1 << 30)) / float(1 << 30) < 4.0 * per_label / F.col("count")
-    ids = ids.join(counts, "label").where(share).select("doc_id", "label", "o")
+    counts = materialize(ids.groupBy("label").count(), "label-counts")
+    if counts.limit(FEW_LABELS + 1).count() <= FEW_LABELS:
+        counted = ids.join(F.broadcast(counts), "label")
+    else:
+        salted = counts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        counted = ids.withColumn("salt", F.pmod("o", F.lit(SALTS)).cast("int")).join(salted, ["label", "salt"]).drop("salt")
+    enough = per_label + 8 * per_label**0.5 + 32
+    ids = counted.where(F.col("o") < enough / F.col("count") * float(1 << 63)).select("doc_id", "label", "o")
     rank = F.row_number().over(Window.partitionBy("label").orderBy("o", "doc_id"))
     chosen = ids.withColumn("r", rank).where(F.col("r") <= per_label).select("doc_id", "label")
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
