@@ -154,3 +154,24 @@ def test_entry_imports():
     import __spark_entry__ as e
 
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_multiscale_documents_read_back(spark):
+    import json
+
+    new = M.multiscale_json("n", list("tcyx"), {"y": 0.5, "x": 0.25}, {"y": 1.0, "x": 2.0}, [2, 4], ["a"])
+    old = M.multiscale_json_v04([{"name": a} for a in "tcyx"], 0.5, (1.0, 2.0), [], 3)
+    turned = {"multiscales": [{"axes": [{"name": "x"}], "datasets": [{"path": "p", "coordinateTransformations": [{"type": "translation", "translation": [3.0]}, {"type": "scale", "scale": [2.0]}]}, {"path": "bare"}]}]}
+    read = lambda *docs: [tuple(r) for r in M.multiscale_levels(spark.createDataFrame([(d if d is None else json.dumps(d),) for d in docs], "json string")).collect()]
+    assert set(read(new)) >= {(0, "scale0/image", "y", 0.5, 1.0), (2, "scale2/image", "y", 2.0, 1.75), (2, "scale2/image", "x", 1.0, 2.375), (1, "scale1/image", "t", 1.0, 0.0)}
+    assert set(read(old)) >= {(2, "2", "y", 2.0, 1.75), (2, "2", "x", 2.0, 2.75)}
+    assert set(read(turned)) == {(0, "p", "x", 2.0, 6.0), (1, "bare", "x", 1.0, 0.0)}
+    assert read(None, {}) == []
+
+
+def test_scan_geometry_and_skewed_size(spark):
+    row = spark.range(1).select(*M.scan_geometry(F.lit(45.0), F.lit(2.0)), *M.skewed_size(F.lit(1.0), F.lit(10.0), F.lit(1.0), math.pi / 6, 0.125, 0.5)).first()
+    assert row[0] == 45 and row[1] == pytest.approx(2)
+    rows, columns = math.ceil(8 / math.sin(math.pi / 6)), 8
+    planes = int(math.ceil(0.5 * (rows + 1) * 0.125 * math.cos(math.pi / 6) + 10) / 0.5)
+    assert list(row[2:]) == [n + (n % 2 == 0) for n in (planes, rows, columns)]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 from typing import Any
 
 import pandas as pd
@@ -108,6 +109,54 @@ def multiscale_json(name: str, axes: list[str], base: dict[str, float], origin:
     return {"zarr_format": 3, "node_type": "group", "attributes": {"ome": {"version": "0.5", "multiscales": [{"name": name, "axes": described, "datasets": sets}], "omero": {"channels": [{"label": c} for c in channels]}}}}
 
 
+def multiscale_json_v04(axes: list[dict], base: float, origin: tuple[float, float], channels: list[dict], levels: int) -> dict:
+    """The older document (version 0.4) of planes (t, c, y, x) whose levels halve the one before."""
+    rows = pyramid_transforms({"y": base, "x": base}, dict(zip("yx", origin)), [2**k for k in range(1, levels)])
+    steps = lambda r: [{"type": "scale", "scale": [1.0, 1.0, r["scale_y"], r["scale_x"]]}, {"type": "translation", "translation": [0.0, 0.0, r["shift_y"], r["shift_x"]]}]
+    sets = [{"path": str(r["level"]), "coordinateTransformations": steps(r)} for r in rows]
+    return {"multiscales": [{"version": "0.4", "name": "/", "axes": axes, "datasets": sets}], "omero": {"channels": channels}}
+
+
+_MULTISCALES = (
+    "array<struct<axes: array<struct<name: string>>, datasets: array<struct<path: string, "
+    "coordinateTransformations: array<struct<type: string, scale: array<double>, translation: array<double>>>>>>>"
+)
+
+
+def multiscale_levels(docs: DataFrame, text: str = "json") -> DataFrame:
+    """(level, path, axis, scale, shift): every level and axis that the group documents in ``text`` list, of version 0.5
+    (under attributes.ome) or 0.4. Transforms apply in their order: a scale after a translation scales that too. A
+    document without multiscales gives no rows."""
+    doc = F.from_json(text, f"multiscales {_MULTISCALES}, attributes struct<ome: struct<multiscales: {_MULTISCALES}>>")
+    scales = docs.select(F.explode(F.coalesce(doc["attributes"]["ome"]["multiscales"], doc["multiscales"])).alias("m"))
+    levels = scales.select("m.axes", F.posexplode("m.datasets").alias("level", "d"))
+    axes = levels.select("level", "d.path", "d.coordinateTransformations", F.posexplode("axes").alias("n", "a"))
+    at = F.col("n") + 1
+
+    def step(done: Column, one: Column) -> Column:
+        by = F.coalesce(F.try_element_at(one["scale"], at), F.lit(1.0))
+        move = F.coalesce(F.try_element_at(one["translation"], at), F.lit(0.0))
+        return F.struct((done["scale"] * by).alias("scale"), (done["shift"] * by + move).alias("shift"))
+
+    found = F.aggregate(F.coalesce("coordinateTransformations", F.array()), F.struct(F.lit(1.0).alias("scale"), F.lit(0.0).alias("shift")), step)
+    return axes.select("level", "path", F.col("a.name").alias("axis"), found.alias("f")).select("level", "path", "axis", "f.scale", "f.shift")
+
+
+def scan_geometry(stage_angle: Column, stage_step: Column) -> tuple[Column, Column]:
+    """Tilt in degrees and scan step of a stage that moves at an angle (degrees) to the coverslip."""
+    return F.lit(90.0) - stage_angle, stage_step / F.tan(F.radians(stage_angle))
+
+
+def skewed_size(z: Column, y: Column, x: Column, theta: float, pixel: float, step: float, odd: bool = True) -> tuple[Column, Column, Column]:
+    """Planes, rows and columns of a skewed region that holds z by y by x micrometres; theta is in radians. The scan length
+    is rounded up to whole micrometres before it is divided into steps."""
+    columns = F.ceil(x / F.lit(pixel))
+    rows = F.ceil(z / F.lit(pixel) / F.lit(math.sin(theta)))
+    planes = F.floor(F.ceil((rows + 1) * F.lit(0.5) * F.lit(pixel) * F.lit(math.cos(theta)) + y) / F.lit(step))
+    sizes = [n.cast("int") for n in (planes, rows, columns)]
+    return tuple(n + (n % 2 == 0).cast("int") if odd else n for n in sizes)
+
+
 def index_to_physical(index: Column, transforms: list[tuple[str, float]]) -> Column:
     """Scales and translations in the order in which they are listed."""
     for kind, value in transforms:

@@ -182,6 +182,11 @@ SQL: dict[str, str] = {
     "export_names": f"WITH {R4} SELECT p, printf('Scan_Iter_%04d_0000_CamA_ch0_CAM1_stack000_488nm_0000000000msec_%03dx_%03dy_000z_0000t.zarr', p, p%2, p//2) AS name FROM r4",
     "skewed_coords": f"WITH {R1} SELECT z,y,round(z*{D(0.4)}+y*{D(repr(0.115 * GEOMETRY.cos))},9) AS \"lateral\", round(y*{D(repr(0.115 * GEOMETRY.sin))},9) axial FROM r1 WHERE p=0 AND x=0",
     "lab2cam": f"WITH {R1} SELECT z,y,x,CAST(x AS DOUBLE) xp, round(z/{D(repr(GEOMETRY.sin))},9) yp, round(y-z/{D(repr(GEOMETRY.tan))},9) stage FROM r1 WHERE p=0 AND x<3",
+    "multiscale_read": f"SELECT CAST(level AS INT) \"level\", 'scale'||level||'/image' path, axis, round(base*CASE WHEN base=1 THEN 1 ELSE f END,9) \"scale\", round(o+(f-1)*base/2*h,9) \"shift\" FROM (VALUES (0,1),(1,2),(2,4),(3,8)) l(level,f), (VALUES ('t',{D(1.0)},{D(0.0)},0),('c',{D(1.0)},{D(0.0)},0),('z',{D(0.4)},{D(1.0)},1),('y',{PX},{D(3.0)},1),('x',{PX},{D(-2.0)},1)) a(axis,base,o,h)",
+    "multiscale_read_v04": f"SELECT CAST(level AS INT) \"level\", CAST(level AS VARCHAR) path, axis, round(base*CASE WHEN h=0 THEN 1 ELSE pow(2,level) END,9) \"scale\", round(o+(pow(2,level)-1)*base/2*h,9) \"shift\" FROM range(4) l(level), (VALUES ('t',{D(1.0)},{D(0.0)},0),('c',{D(1.0)},{D(0.0)},0),('y',{PX},{D(3.0)},1),('x',{PX},{D(-2.0)},1)) a(axis,base,o,h)",
+    "asi_geometry": f"SELECT CAST(a AS INT) angle, round({D(90.0)}-a,9) tilt, round({D(1.5)}/tan(radians(a)),9) step FROM range(20,70) r(a)",
+    "optical_resolution": f"SELECT CAST(n*10+400 AS INT) nm, round((n*10+400)*({D('1.6163399561827614')}/pi()/{D(1.35)}),9) xy, round((n*10+400)*({D(2.355)}*sqrt({D(6.0)})/pi()*{D(1.4)}/{D(1.35)}/{D(1.35)}),9) z FROM range(30) r(n)",
+    "skewed_roi": f"SELECT CAST(n AS INT) n, CAST(p0+(p0%2=0)::INT AS INT) planes, CAST(r+(r%2=0)::INT AS INT) n_rows, CAST(c+(c%2=0)::INT AS INT) n_columns FROM (SELECT n, r, c, CAST(floor(ceil((r+1)*{D(0.5)}*{PX}*cos(radians(30))+n*{D(0.53)}+{D(1.03)})/{D(0.4)}) AS INT) p0 FROM (SELECT n, CAST(ceil((n*{D(0.37)}+{D(1.01)})/{PX}/sin(radians(30))) AS INT) r, CAST(ceil((n*{D(0.29)}+{D(2.07)})/{PX}) AS INT) c FROM range(40) g(n)))",
     "tile_index_split": "SELECT CAST(i AS INT) idx, CAST(i//4 AS INT) t, CAST(i%4 AS INT) p FROM range(24) r(i)",
     "edges_json_roundtrip": f"SELECT * FROM {_e(EDGES)}",
     "per_index_metadata": f"WITH {R4} SELECT t,p,0 c,round(stage_z,6) stage_z,round(stage_y,6) stage_y,round(stage_x,6) stage_x,'488nm' channel FROM r4",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,6 +59,17 @@ def _levels(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([tuple(r.values()) for r in rows], "level int, scale_y double, scale_x double, shift_y double, shift_x double")
 
 
+def _multiscale(spark: SparkSession, legacy: bool) -> DataFrame:
+    """Group documents, written and read back."""
+    if legacy:
+        axes = [{"name": a} for a in "tcyx"]
+        doc = M.multiscale_json_v04(axes, A.PIXEL, (3.0, -2.0), [], 4)
+    else:
+        doc = M.multiscale_json("r", list("tczyx"), {"z": A.STEP, "y": A.PIXEL, "x": A.PIXEL}, {"z": 1.0, "y": 3.0, "x": -2.0}, [2, 4, 8], ["488nm"])
+    found = M.multiscale_levels(spark.createDataFrame([(json.dumps(doc),)], "json string"))
+    return found.select("level", "path", "axis", *[F.round(c, 9).alias(c) for c in ("scale", "shift")])
+
+
 def _profile(spark: SparkSession, values: list[float]) -> DataFrame:
     n = len(values)
     return _range(spark, n).select("i", F.round(F.element_at(F.array(*[F.lit(float(v)) for v in values]), F.col("i") + 1), 9).alias("w"))
@@ -204,6 +217,11 @@ QUERIES: dict[str, Q] = {
     "export_names": lambda s, d: A.tiles(s, d).select("p", M.export_name(F.col("p"), F.lit(0), F.lit("488nm"), "0000000000msec", (F.col("p") % 2).cast("int"), F.floor(F.col("p") / 2).cast("int"), F.lit(0), F.col("t")).alias("name")),
     "skewed_coords": lambda s, d: A.stack(s, d).where("p = 0 and x = 0").select("z", "y", F.round(F.col("z") * A.STEP + F.col("y") * F.lit(A.PIXEL * GEOMETRY.cos), 9).alias("lateral"), F.round(F.col("y") * F.lit(A.PIXEL * GEOMETRY.sin), 9).alias("axial")),
     "lab2cam": lambda s, d: A.stack(s, d).where("p = 0 and x < 3").select("z", "y", "x", *[F.round(e, 9).alias(n) for n, e in zip(("xp", "yp", "stage"), S.lab_to_camera(F.col("x").cast("double"), F.col("y"), F.col("z"), A.TILT))]),
+    "multiscale_read": lambda s, d: _multiscale(s, False),
+    "multiscale_read_v04": lambda s, d: _multiscale(s, True),
+    "asi_geometry": lambda s, d: _range(s, 50, "angle").select((F.col("angle") + 20).alias("angle")).select("angle", *[F.round(v, 9).alias(n) for n, v in zip(("tilt", "step"), M.scan_geometry(F.col("angle"), F.lit(1.5)))]),
+    "optical_resolution": lambda s, d: _range(s, 30, "n").select((F.col("n") * 10 + 400).alias("nm")).select("nm", *[F.round(F.col("nm") * F.lit(r), 9).alias(n) for n, r in zip(("xy", "z"), D.resolution(1.0, 1.35, 1.4))]),
+    "skewed_roi": lambda s, d: _range(s, 40, "n").select("n", *[v.alias(n) for n, v in zip(("planes", "n_rows", "n_columns"), M.skewed_size(F.col("n") * 0.37 + 1.01, F.col("n") * 0.53 + 1.03, F.col("n") * 0.29 + 2.07, math.radians(30), A.PIXEL, A.STEP))]),
     "tile_index_split": lambda s, d: _range(s, 24, "idx").select("idx", F.floor(F.col("idx") / 4).cast("int").alias("t"), F.pmod("idx", F.lit(4)).cast("int").alias("p")),
     "edges_json_roundtrip": lambda s, d: M.edges_from_json(M.edges_to_json(_edges(s))),
     "per_index_metadata": _per_index,
