@@ -315,3 +315,21 @@ def test_pipeline(spark, tmp_path):
     assert kept[0] == set(range(63)) - {61} and kept[1] == kept[0] - {60} and kept[2] == kept[1] - {62}
     out = corpus_pipeline.run(spark, d).collect()
     assert {r["doc_id"] for r in out} <= kept[2] and sum(r["n_tokens"] for r in out) > 0
+
+
+def test_labelled_sample_takes_the_least_hashes_of_each_label(spark, monkeypatch):
+    from voxelspark.llm import sampling
+
+    rows = [(i, f"text {i}", "a" if i % 3 else "b", "x") for i in range(600)] + [(None, "no id", "a", "x"), (900, None, "c", "x"), (901, "no label", None, "x"), (902, "", "c", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, label string")
+    take = lambda: {(r["doc_id"], r["label"]) for r in sampling.labelled_sample(docs.select("doc_id", "text", "lang"), F.col("lang"), F.expr("doc_id % 5 <> 0"), 40, 7).select("doc_id", "label").collect()}
+    hashes = docs.where("doc_id % 5 <> 0 and lang is not null").select("lang", "doc_id", F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(7)), 1).alias("o")).collect()
+    expected = set()
+    for lang in "abc":
+        own = sorted((r["o"], r["doc_id"]) for r in hashes if r["lang"] == lang)[:40]
+        expected |= {(i, lang) for _, i in own}
+    assert take() == expected and (902, "c") in expected
+    monkeypatch.setattr(sampling, "FEW_LABELS", 0)
+    assert take() == expected
+    empty = docs.where("doc_id < 0").select("doc_id", "text", "lang")
+    assert sampling.labelled_sample(empty, F.col("lang"), F.lit(True), 40, 7).count() == 0
