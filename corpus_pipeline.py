@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from voxelspark.llm import decontaminate, mixing, records, simhash, toxicity
+from voxelspark.llm import decontaminate, mixing, near_copies, records, toxicity
 from voxelspark.llm.common import materialize, table
 
 
@@ -20,14 +20,11 @@ def keep_civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each SimHash component, the one with the smallest doc_id: the operator's contract (4-word
-    shingles, 4 bits) says what links. Of rows with the same id and text one stays."""
+    """Keep one document of each group of near copies (Jaccard similarity of 0.8 or more over five-word shingles, see
+    ``near_copies``), the one with the smallest doc_id. Of rows with the same id and text one stays."""
     keyed = docs.withColumn("row_key", F.xxhash64("doc_id", "text"))
-    fps = materialize(simhash.fingerprints(keyed.select(F.col("row_key").alias("doc_id"), "text")), "stage-simhash")
-    own = keyed.select("row_key", "doc_id").distinct()
-    by_id = materialize(fps.withColumnRenamed("doc_id", "row_key").distinct().join(own, "row_key").select("doc_id", "row_key", "fp"), "stage-keys")
-    parts = simhash.near_duplicates(by_id.select("doc_id", "fp"))
-    best = by_id.join(parts, "fp").groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("first"))
+    found = near_copies.near_copies(keyed.select("row_key", "doc_id", "text"))
+    best = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("first"))
     kept = best.select(F.col("first.row_key").alias("row_key"))
     once = keyed.withColumn("copy", F.row_number().over(Window.partitionBy("row_key").orderBy("row_key"))).where("copy = 1")
     return once.join(kept, "row_key", "left_semi").select(docs.columns)

@@ -333,3 +333,45 @@ def test_labelled_sample_takes_the_least_hashes_of_each_label(spark, monkeypatch
     assert take() == expected
     empty = docs.where("doc_id < 0").select("doc_id", "text", "lang")
     assert sampling.labelled_sample(empty, F.col("lang"), F.lit(True), 40, 7).count() == 0
+
+
+def shingles(t):
+    w = re.findall(rb"[^\x20\x09-\x0D]+", low((t or "").encode()))
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def test_pipeline_finds_every_near_copy(spark):
+    """Planted copies of 0.8 to 0.95 go, those under 0.8 stay, and a group of many near copies is joined as by brute force."""
+    import corpus_pipeline
+
+    rng = np.random.default_rng(8)
+    vocabulary = np.array([f"w{i}" for i in range(3000)])
+    texts = []
+    for base in range(25):
+        words = list(rng.choice(vocabulary, 40 + 20 * base))
+        texts.append(" ".join(words))
+        for rate in (0.005, 0.01, 0.02, 0.03, 0.05):
+            gone = rng.random(len(words)) < rate
+            texts.append(" ".join(rng.choice(vocabulary) if g else w for w, g in zip(words, gone)))
+    words = list(rng.choice(vocabulary, 200))
+    for _ in range(70):  # one crowded cell
+        copy = list(words)
+        for at in rng.integers(0, 200, 4):
+            copy[at] = str(rng.choice(vocabulary))
+        texts.append(" ".join(copy))
+    common = " ".join(rng.choice(vocabulary, 12))
+    texts += [common + " " + " ".join(rng.choice(vocabulary, 30)) for _ in range(40)]
+    sets = [shingles(t) for t in texts]
+    part = list(range(len(texts)))
+    similarities = []
+    for i in range(len(texts)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if 9 * both >= 4 * (len(sets[i]) + len(sets[j])):
+                similarities.append(both / len(sets[i] | sets[j]))
+                a, b = sorted((part[i], part[j]))
+                part = [a if x == b else x for x in part]
+    assert sum(s < 0.95 for s in similarities) > 50
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars int").repartition(3)
+    kept = {r["doc_id"] for r in corpus_pipeline.keep_one_of_copies(spark, docs, "").collect()}
+    assert kept == {min(i for i in range(len(part)) if part[i] == p) for p in set(part)}
