@@ -375,3 +375,23 @@ def test_pipeline_finds_every_near_copy(spark):
     docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars int").repartition(3)
     kept = {r["doc_id"] for r in corpus_pipeline.keep_one_of_copies(spark, docs, "").collect()}
     assert kept == {min(i for i in range(len(part)) if part[i] == p) for p in set(part)}
+
+
+def test_simhash_components_do_not_depend_on_ids(spark):
+    """A chain runs through a row without an id; rows of one id and unrelated texts stay apart."""
+    rows = [(5, 0), (None, 0b1111), (3, 0b11111111), (8, -1), (8, 0x00FF00FF00FF), (None, 0x0F0F0F0F0F0F0F0F)]
+    out = simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, fp long")).collect()
+    assert {r["fp"]: r["component_id"] for r in out} == {0: 3, 0b1111: 3, 0b11111111: 3, -1: 8, 0x00FF00FF00FF: 8, 0x0F0F0F0F0F0F0F0F: None}
+    bridged = [(8, -1), (9, -2), (8, 0), (7, 1)]
+    out = simhash.near_duplicates(spark.createDataFrame(bridged, "doc_id long, fp long")).collect()
+    assert {r["fp"]: r["component_id"] for r in out} == {-1: 8, -2: 8, 0: 7, 1: 7}
+
+
+def test_pipeline_keeps_unrelated_texts_without_or_with_equal_ids(spark):
+    import corpus_pipeline
+
+    rows = [(None, prose(60, i)) for i in range(5)] + [(None, prose(60, 0)), (4, prose(60, 10)), (4, prose(60, 11)), (4, prose(60, 11)), (6, prose(60, 1))]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars int").repartition(3)
+    kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.keep_one_of_copies(spark, docs, "").collect()]
+    want = [(None, prose(60, i)) for i in (0, 2, 3, 4)] + [(4, prose(60, 10)), (4, prose(60, 11)), (6, prose(60, 1))]
+    assert sorted(kept, key=str) == sorted(want, key=str)

@@ -223,11 +223,12 @@ def block_links(over: DataFrame, radius: int) -> DataFrame:
 def near_duplicates(fps: DataFrame, radius: int = 4, blocks: int = 7, cell_limit: int = 1 << 14) -> DataFrame:
     """(fp, component_id) for every distinct fingerprint of fps(doc_id, fp).
 
-    Fingerprints ``radius`` or fewer bits apart are linked; a component's id is the smallest doc_id of any row in it
-    (null ids count only where there is no other). Exact copies share a fingerprint and enter the grid once.
+    Fingerprints ``radius`` or fewer bits apart are linked, and are themselves the graph's nodes, so that null or repeated
+    ids change no component. A component's id is the smallest doc_id of any row in it, null where all its ids are null.
+    Exact copies share a fingerprint and enter the grid once.
     """
-    reps = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")), "fingerprints")
-    nodes = reps.where("rep is not null").withColumn("emb", embedding(F.col("fp")))
+    ids = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "fingerprints")
+    nodes = ids.select("fp", F.col("fp").alias("rep"), embedding(F.col("fp")).alias("emb"))
     masks = F.array(*[F.lit(m) for m in grid_masks(blocks, radius)])
     cells = nodes.select("fp", "rep", "emb", F.posexplode(masks).alias("t", "mask"))
     cells = cells.select(F.xxhash64("t", F.col("emb").bitwiseAND(F.col("mask"))).alias("cell"), "fp", "rep")
@@ -237,7 +238,10 @@ def near_duplicates(fps: DataFrame, radius: int = 4, blocks: int = 7, cell_limit
     if over.limit(1).count():
         links = links.unionByName(block_links(over.select("cell", "block", "fp", "a"), radius))
     parts = connected_components(links)
-    return reps.join(parts.withColumnRenamed("node", "rep"), "rep", "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
+    placed = ids.join(parts.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first_id", F.coalesce("component", "fp").alias("component"))
+    placed = materialize(placed, "components")
+    least = placed.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    return placed.join(least, "component").select("fp", "component_id")
 
 
 def simhash_components(docs: DataFrame, width: int = 4, radius: int = 4, seed: int = 42, **grid) -> DataFrame:
