@@ -175,3 +175,20 @@ def test_scan_geometry_and_skewed_size(spark):
     rows, columns = math.ceil(8 / math.sin(math.pi / 6)), 8
     planes = int(math.ceil(0.5 * (rows + 1) * 0.125 * math.cos(math.pi / 6) + 10) / 0.5)
     assert list(row[2:]) == [n + (n % 2 == 0) for n in (planes, rows, columns)]
+
+
+def test_tile_queries_read_every_tile_and_plane(spark, tmp_path):
+    from voxelspark.plans.queries import QUERIES
+
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.uniform(-1, 1, 64).tolist()) for i in range(3 * 125)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    stack = np.floor((np.array([e for _, e in rows], np.float32).astype(float) + 1) * 1000).reshape(3, 5, 25, 64) + 100
+    got = np.full(stack.shape, np.nan)
+    for r in QUERIES["hist_match"](spark, str(tmp_path)).collect():
+        got[r["p"], r["z"], r["y"], r["x"]] = r["v"]
+    for p in range(3):
+        for z in range(5):
+            assert got[p, z] == pytest.approx(registration.match_histogram(stack[(p + 1) % 3, z].ravel(), stack[p, z].ravel()).reshape(25, 64))
+    shifts = {(r["p"], r["z"]): (r["dy"], r["dx"]) for r in QUERIES["phase_corr"](spark, str(tmp_path)).collect()}
+    assert shifts == {(p, z): (-p, -2 * p) for p in range(3) for z in range(5)}

@@ -6,7 +6,7 @@ import json
 import math
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import metadata as M
@@ -40,6 +40,15 @@ def _plane_pairs(spark: SparkSession, d: str) -> DataFrame:
     return a.join(b, ["z", "y", "x"])
 
 
+def _tile_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """Every tile (a) against the next one of its time (b), the last against the first, voxel by voxel."""
+    w = Window.partitionBy("t").orderBy("p")
+    next_ = A.tiles(spark, d).select("t", "p", F.coalesce(F.lead("p").over(w), F.first("p").over(w)).alias("q"))
+    s = A.stack(spark, d)
+    b = s.select("t", F.col("p").alias("q"), "c", "z", "y", "x", F.col("v").alias("b"))
+    return s.withColumnRenamed("v", "a").join(next_, ["t", "p"]).join(b, ["t", "q", "c", "z", "y", "x"]).drop("q")
+
+
 def _corrected(spark: SparkSession, d: str) -> DataFrame:
     return P.camera_correct(A.stack(spark, d), A.OFFSET, A.GAIN, A.flat_field(spark))
 
@@ -115,13 +124,13 @@ def _matched(spark: SparkSession, d: str) -> DataFrame:
     import pandas as pd
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        return group.assign(v=G.match_histogram(group.b.to_numpy(), group.a.to_numpy()))[["z", "y", "x", "v"]]
+        return group.assign(v=G.match_histogram(group.b.to_numpy(), group.a.to_numpy()))[["t", "p", "c", "z", "y", "x", "v"]]
 
-    return _plane_pairs(spark, d).groupBy("z").applyInPandas(run, "z int, y int, x int, v double")
+    return _tile_pairs(spark, d).groupBy("t", "p", "c", "z").applyInPandas(run, "t int, p int, c int, z int, y int, x int, v double")
 
 
 def _shifts(spark: SparkSession, d: str) -> DataFrame:
-    """Each tile's first plane against itself moved by (p % 5, 2 p % 7) pixels around its edges."""
+    """Each plane of each tile against itself moved by (p % 5, 2 p % 7) pixels around its edges."""
     import numpy as np
     import pandas as pd
 
@@ -130,9 +139,9 @@ def _shifts(spark: SparkSession, d: str) -> DataFrame:
         image[group.y, group.x] = group.v
         p = int(group.p.iloc[0])
         found = G.phase_shift(image, np.roll(image, (p % 5, 2 * p % 7), (0, 1)))
-        return pd.DataFrame({"p": [p], "dy": [float(found[0])], "dx": [float(found[1])]})
+        return pd.DataFrame({"t": group.t[:1], "p": [p], "c": group.c[:1], "z": group.z[:1], "dy": [float(found[0])], "dx": [float(found[1])]})
 
-    return A.stack(spark, d).where("z = 0").groupBy("p").applyInPandas(run, "p int, dy double, dx double")
+    return A.stack(spark, d).groupBy("t", "p", "c", "z").applyInPandas(run, "t int, p int, c int, z int, dy double, dx double")
 
 
 def _rlgc(spark: SparkSession, d: str) -> DataFrame:
