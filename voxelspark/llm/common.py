@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import sys
 import tempfile
+import types
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import Any
 
 import numpy as np
@@ -34,9 +36,12 @@ def crc32_text(col: str) -> Column:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, a local session gets one of its
+    own; a cluster is refused, as its executors would not see each other's files."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="voxelspark-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
@@ -60,7 +65,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it again: cuts the lineage, and outlives lost executors."""
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._written_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``materialize`` wrote and that no plan reads any more."""
+    for table_ in tables:
+        if path := getattr(table_, "_written_at", None):
+            _remove(table_.sparkSession, path)
 
 
 def filesystem(uri: str) -> tuple[Any, str]:
@@ -70,6 +84,15 @@ def filesystem(uri: str) -> tuple[Any, str]:
     return fs.FileSystem.from_uri(uri if "://" in uri or not uri.startswith("file:") else "file://" + uri[5:])
 
 
+def kept(key: Any, make: Callable[[], Any]) -> Any:
+    """What ``make`` gives, kept by a Python worker over all its tasks. Functions of this package come to a worker by value,
+    task by task, so it is kept in a module of its own; there is one object at a time, the last one used."""
+    home = sys.modules.setdefault("_voxelspark_worker", types.ModuleType("_voxelspark_worker"))
+    if home.__dict__.get("key") != key:
+        home.key, home.value = key, make()
+    return home.value
+
+
 # ---------------------------------------------------------------------------------------------- Arrow batches
 
 

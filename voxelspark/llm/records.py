@@ -16,10 +16,10 @@ which any record can be read alone, in any order. Shards follow each other in th
 from __future__ import annotations
 
 import os
-import re
 import struct
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, filesystem, id_array, ids_back, materialize, shared_path, text_slices
+from .common import NULL_ID, SLICE_BYTES, filesystem, id_array, ids_back, kept, materialize, ranges, shared_path, text_bytes, text_slices
 
 END_ID = 2
 
@@ -53,9 +53,9 @@ def unframe(data: memoryview, at: int) -> tuple[memoryview, int]:
     return payload, at + 16 + size
 
 
-def payload_of(doc_id: int, ids: bytes, wide: bool) -> bytes:
+def payload_of(doc_id: int, ids: bytes | memoryview, wide: bool) -> bytes:
     null = doc_id == NULL_ID
-    return struct.pack("<Bq", null | wide << 1, 0 if null else doc_id) + ids
+    return b"".join((struct.pack("<Bq", null | wide << 1, 0 if null else doc_id), ids))
 
 
 def read_payload(payload: memoryview) -> tuple[int, np.ndarray]:
@@ -64,87 +64,127 @@ def read_payload(payload: memoryview) -> tuple[int, np.ndarray]:
 
 
 class Encoder:
-    """Token ids of whole texts, as bytes of 2 or 4 a token, by a byte-level BPE file of the ``tokenizers`` library.
+    """Token ids of whole texts by a byte-level BPE file of the ``tokenizers`` library.
 
-    A text is cut at single spaces. A piece between them that neither begins nor ends with white space is tokenized by
-    itself, with its space, just as within the text, because no pre-token of this kind of model goes over such a border.
-    Pieces recur, so their ids are kept by piece, in a cache of bounded size that never changes a result. Any other text
-    is cut by the model's own pre-tokenizer pattern, and a text that holds an added token goes through the library whole.
+    No pre-token of the byte-level pattern goes on from a character that is not white space into white space, nor from a
+    letter into a punctuation mark, so texts are cut at such borders. The pieces of a batch are numbered by their bytes, each distinct piece goes through the
+    library once, and the ids of all texts are gathered from those of the pieces. Pieces recur, so their ids are kept, in a
+    cache of bounded size that never changes a result. Texts that hold an added token, and all texts of another kind of
+    model, go through the library whole.
     """
 
-    #: The byte-level pre-tokenizer's published pattern.
-    PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-
-    def __init__(self, path: str, cache: int = 700_000):
+    def __init__(self, path: str, cache: int = 500_000):
         import json
 
-        import regex
-
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
         made = json.loads(self.whole.to_str())
         pre = made.get("pre_tokenizer") or {}
-        plain = pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and not made.get("normalizer") and not made.get("post_processor") and made["model"]["type"] == "BPE" and not made["model"].get("dropout")
-        self.fast = plain
-        self.added = [t["content"] for t in made.get("added_tokens", [])]
+        self.cuts = pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and not made.get("normalizer") and not made.get("post_processor") and made["model"]["type"] == "BPE" and not made["model"].get("dropout")
+        self.added = [t["content"].encode() for t in made.get("added_tokens", [])]
         self.wide = self.whole.get_vocab_size(with_added_tokens=True) > 1 << 16
         self.kind = "<u4" if self.wide else "<u2"
-        self.find = regex.compile(self.PATTERN).findall
-        self.uneven = re.compile(r"\s | \s").search  # a space beside white space
-        self.model = self.whole.model
-        kept = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves
-        others = [b for b in range(256) if b not in kept]
-        self.letters = {b: b if b in kept else 256 + others.index(b) for b in range(256)}
+        # a byte-level token has a letter for each of its bytes
+        self.n_bytes = np.zeros(max(made["model"]["vocab"].values(), default=0) + 1, np.int64) if self.cuts else None
+        if self.cuts:
+            for token, number in made["model"]["vocab"].items():
+                self.n_bytes[number] = len(token)
         self.limit = cache
-        self.pieces: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-
-    def tokenize(self, word: str) -> bytes:
-        """The ids of one pre-token."""
-        if word.isascii() and word[1:].isalpha():  # letters stand for themselves, the space has a letter of its own
-            mapped = "\u0120" + word[1:] if word[0] == " " else word if word.isalpha() else None
-        else:
-            mapped = None
-        ids = [t.id for t in self.model.tokenize(mapped or word.encode().decode("latin-1").translate(self.letters))]
-        return struct.pack(f"<{len(ids)}{self.kind[-2:] == 'u4' and 'I' or 'H'}", *ids)
-
-    def word(self, word: str) -> bytes:
-        ids = self.words.get(word)
-        if ids is None:
-            if len(self.words) >= self.limit:
-                self.words.clear()
-            ids = self.words[word] = self.tokenize(word)
-        return ids
-
-    def piece(self, piece: str) -> bytes:
-        """The ids of a piece with a space before it."""
-        if piece.isalpha():
-            ids = self.tokenize(" " + piece)
-        elif piece[-1] in ".,;:!?" and (core := piece[:-1]).isalpha():
-            ids = (self.pieces.get(core) or self.piece(core)) + self.word(piece[-1])
-        else:
-            ids = b"".join(map(self.word, self.find(" " + piece)))
-        if len(self.pieces) >= self.limit:
-            self.pieces.clear()
-        self.pieces[piece] = ids
-        return ids
-
-    def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if not self.fast or any(t in text for t in self.added):
-            return np.array(self.whole.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
-        if self.uneven(text) or text[0].isspace() or text[-1].isspace():
-            return b"".join(map(self.word, self.find(text)))
-        first, *rest = text.split(" ")
-        ids = list(map(self.pieces.get, rest))
-        if None in ids:
-            for i, known in enumerate(ids):
-                if known is None:
-                    ids[i] = self.piece(rest[i])
-        return b"".join([*map(self.word, self.find(first)), *ids])
+        self.forget()
+
+    def forget(self) -> None:
+        self.number: dict[bytes, int] = {}
+        self.starts = np.zeros(1 << 12, np.int64)
+        self.sizes = np.zeros(1 << 12, np.int64)
+        self.pool = np.zeros(1 << 14, self.kind)
+        self.used = 0
+
+    def learn(self, pieces: list[bytes]) -> None:
+        """Put the ids of pieces that are not known yet into the pool. Those that begin with white space and end in other
+        ASCII are encoded as one text, which tokenizes as each alone does, and told apart by their bytes' number."""
+        joined = [p for p in pieces if p[0] < 0x80 and _WHITE[p[0]] and p[-1] < 0x80 and not _WHITE[p[-1]]]
+        alone = list(set(pieces).difference(joined))
+        for found in (joined[i : i + 20_000] for i in range(0, len(joined), 20_000)):
+            data = b"".join(found)
+            if any(t in data for t in self.added):
+                alone += found
+                continue
+            ids = np.array(self.whole.encode_batch_fast([data.decode()], add_special_tokens=False)[0].ids, self.kind)
+            ends = np.cumsum(self.n_bytes[ids])
+            self.store(found, ids, np.diff(np.searchsorted(ends, np.cumsum([len(p) for p in found])) + 1, prepend=0))
+        for found in (alone[i : i + 4096] for i in range(0, len(alone), 4096)):
+            lists = [e.ids for e in self.whole.encode_batch_fast([p.decode() for p in found], add_special_tokens=False)]
+            self.store(found, np.array([i for x in lists for i in x], self.kind), np.array([len(x) for x in lists], np.int64))
+
+    def store(self, found: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
+        first, total = len(self.number), self.used + len(ids)
+        self.number.update(zip(found, range(first, first + len(found))))
+        if len(self.number) > len(self.starts):
+            self.starts, self.sizes = (np.concatenate([x, np.zeros(max(len(x), len(found)), np.int64)]) for x in (self.starts, self.sizes))
+        if total > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros(max(len(self.pool), len(ids)), self.kind)])
+        self.starts[first : first + len(found)] = self.used + np.cumsum(sizes) - sizes
+        self.sizes[first : first + len(found)] = sizes
+        self.pool[self.used : total] = ids
+        self.used = total
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one text after another, and the number of each text's ids. A null text has none."""
+        buf, offsets = text_bytes(texts)
+        if not len(buf):
+            return np.zeros(0, self.kind), np.zeros(len(texts), np.int64)
+        if not self.cuts:
+            return self.by_text(texts, range(len(texts)), np.zeros(0, self.kind), np.zeros(len(texts), np.int64))
+        starts = piece_starts(buf, offsets)
+        ends = np.append(starts, len(buf)).astype(np.int32)
+        coded = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(buf))]).dictionary_encode()
+        pieces = coded.dictionary.to_pylist()
+        if len(self.number) > self.limit or self.used > 16 * self.limit:
+            self.forget()
+        self.learn(list(filterfalse(self.number.__contains__, pieces)))
+        number = np.fromiter(map(self.number.__getitem__, pieces), np.int64, len(pieces))[coded.indices.to_numpy()]
+        sizes = self.sizes[number]
+        before = np.concatenate([[0], np.cumsum(sizes)])
+        counts = np.diff(before[np.searchsorted(starts, offsets)])
+        ids = self.pool[ranges(self.starts[number], sizes)]
+        data = buf.tobytes()
+        if any(t in data for t in self.added):
+            whole = [i for i, t in enumerate(texts.to_pylist()) if t and any(a in t.encode() for a in self.added)]
+            return self.by_text(texts, whole, ids, counts)
+        return ids, counts
+
+    def by_text(self, texts: pa.Array, whole: Iterable[int], ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same ids and numbers, where the texts at ``whole`` are encoded whole instead."""
+        parts = np.split(ids, np.cumsum(counts)[:-1]) if len(counts) else []
+        for i in whole:
+            parts[i] = np.array(self.whole.encode(texts[i].as_py() or "", add_special_tokens=False).ids, self.kind)
+        return np.concatenate(parts), np.array([len(p) for p in parts], np.int64)
+
+
+_WHITE = np.zeros(256, bool)
+_WHITE[[0x20, *range(0x09, 0x0E)]] = True
+_LETTER, _MARK = np.zeros(256, bool), np.zeros(256, bool)
+_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+_MARK[list(b".,;:!?")] = True
+
+
+def piece_starts(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where pieces begin: at each text's first byte, at every ASCII white space that follows something else, and at a mark
+    that follows an ASCII letter. Behind bytes that may end a white space beyond ASCII no piece begins: a longer piece is as good."""
+    white = _WHITE[buf]
+    spacy = white.copy()
+    high = np.flatnonzero(buf >= 0x80)
+    high = high[high >= 1]
+    one = buf[high - 1]
+    spacy[high[one == 0xC2]] = True
+    spacy[high[((one == 0x80) | (one == 0x81) | (one == 0x9A) | (one == 0xA0)) & (high >= 2) & np.isin(buf[high - 2], (0xE1, 0xE2, 0xE3))]] = True
+    begins = white
+    begins[1:] &= ~spacy[:-1]
+    begins[1:] |= _MARK[buf[1:]] & _LETTER[buf[:-1]]
+    begins[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
+    return np.flatnonzero(begins)
 
 
 INDEX = "shard int, number long, offset long, bytes long, doc_id long, n_tokens long"
@@ -165,26 +205,31 @@ def write_records(docs: DataFrame, tokenizer: str | Callable[[], str], path: str
         shard = task.partitionId()
         fs, folder = filesystem(path)
         own = f"{folder}/.{shard:06d}-{task.taskAttemptId()}"
-        encoder, end = None, b""
+        encoder = None
         offset = number = 0
         out = None
-        for batch in text_slices(batches):
+        for batch in text_slices(batches, limit=2 * SLICE_BYTES):
             if encoder is None:
-                encoder = Encoder(tokenizer if isinstance(tokenizer, str) else tokenizer())
-                end = np.array([end_id], encoder.kind).tobytes()
+                vocabulary = tokenizer if isinstance(tokenizer, str) else tokenizer()
+                encoder = kept(("encoder", vocabulary), lambda: Encoder(vocabulary))
                 fs.create_dir(folder, recursive=True)
                 out = fs.open_output_stream(own)
             ids = id_array(batch.column(0))
-            sizes, counts = [], []
-            for doc_id, text in zip(ids.tolist(), batch.column(1).to_pylist()):
-                tokens = encoder.encode(text) + end if text else end
-                record = frame(payload_of(doc_id, tokens, encoder.wide))
+            tokens, counts = encoder.encode(batch.column(1))
+            ends = np.cumsum(counts + 1)
+            whole = np.full(int(ends[-1]), end_id, encoder.kind)
+            inside = np.ones(len(whole), bool)
+            inside[ends - 1] = False
+            whole[inside] = tokens
+            sizes, data, item = [], memoryview(whole.tobytes()), whole.itemsize
+            for doc_id, a, b in zip(ids.tolist(), (item * (ends - counts - 1)).tolist(), (item * ends).tolist()):
+                record = frame(payload_of(doc_id, data[a:b], encoder.wide))
                 out.write(record)
                 sizes.append(len(record))
-                counts.append(len(tokens) // len(end))
+            counts = counts + 1
             n = len(sizes)
             at = np.concatenate([[0], np.cumsum(sizes)])
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, shard, np.int32)), pa.array(np.arange(number, number + n)), pa.array(offset + at[:-1]), pa.array(sizes, pa.int64()), ids_back(ids), pa.array(counts, pa.int64())], names)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, shard, np.int32)), pa.array(np.arange(number, number + n)), pa.array(offset + at[:-1]), pa.array(sizes, pa.int64()), ids_back(ids), pa.array(counts)], names)
             offset, number = offset + int(at[-1]), number + n
         if out is not None:
             out.close()
