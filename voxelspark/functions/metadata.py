@@ -46,6 +46,22 @@ def port_gain(port: Column) -> Column:
     return out
 
 
+def required_gain(port: Column) -> Column:
+    """``port_gain``, an error where the port is unknown."""
+    return F.coalesce(port_gain(port), F.raise_error(F.concat(F.lit("unknown camera port "), F.coalesce(port, F.lit("null")))).cast("double"))
+
+
+def wavelength_um(name: Column) -> Column:
+    """The wavelength of a channel that is named by nanometres ("488nm") in micrometres, null for other names."""
+    number = F.trim(F.regexp_replace(name, "[nm]+$", ""))
+    return F.when(number.rlike(r"^\d+(\.\d+)?$"), number.cast("double") / 1000.0)
+
+
+def plain_number(text: Column) -> Column:
+    """A number that is written with its unit of micrometres, such as "0.4 µm"."""
+    return F.regexp_replace(text, "^[ \u00b5m]+|[ \u00b5m]+$", "").cast("double")
+
+
 def emission_um(name: Column) -> Column:
     """The number before "em" in micrometres; null where there is none."""
     got = F.regexp_extract(name, r"(\d+(?:\.\d+)?)\s*em", 1)
@@ -57,6 +73,18 @@ def first_positions(frames: DataFrame, key: str, order: str, values: list[str])
     return frames.groupBy(key).agg(*[F.min_by(v, order).alias(v) for v in values])
 
 
+def first_time_positions(frames: DataFrame, values: list[str], order: str = "event_id") -> DataFrame:
+    """(p, values...) of each position's first frame at the least time; frames that lack p, t or a value are skipped."""
+    whole = frames.where(" and ".join(f"{c} is not null" for c in ("t", "p", *values)))
+    start = whole.agg(F.min("t").alias("start"))
+    return first_positions(whole.join(F.broadcast(start), F.col("t") == F.col("start")), "p", order, values)
+
+
+def with_positions(frames: DataFrame, tiles: DataFrame) -> DataFrame:
+    """frames(t, p, ...) with their tile's stage position; frames without one are skipped."""
+    return frames.join(tiles.select("t", "p", "stage_z", "stage_y", "stage_x"), ["t", "p"])
+
+
 def ordered_distinct(rows: DataFrame, value: str, order: str) -> DataFrame:
     """(value, place) in order of first appearance; nulls and empty strings are skipped."""
     first = rows.where(F.col(value).isNotNull() & (F.col(value) != "")).groupBy(value).agg(F.min(order).alias("first"))
@@ -73,8 +101,12 @@ def flip_positions(tiles: DataFrame, flips: dict[str, bool]) -> DataFrame:
 
 
 def grid_overlap(tiles: DataFrame, axis: str, size: int, pixel: float) -> DataFrame:
-    """(steps, overlap): distinct coordinates along an axis and the signed overlap of neighbours, 0 if there is one."""
-    spots = tiles.select(F.round(axis, 5).alias("at"), "p").groupBy("at").agg(F.min("p").alias("p"))
+    """(steps, overlap): distinct coordinates along an axis and the signed overlap of neighbours, 0 if there is one. A
+    coordinate within 1e-4 of the next smaller one is the same; the first tile of each gives its place."""
+    near = Window.orderBy("at")
+    each = tiles.select(F.round(axis, 5).alias("at"), "p").groupBy("at").agg(F.min("p").alias("p"))  # a grid's few steps
+    run = F.sum(F.when(F.col("at") - F.lag("at").over(near) <= 1e-4, 0).otherwise(1)).over(near)
+    spots = each.withColumn("run", run).groupBy("run").agg(F.min_by("at", "p").alias("at"), F.min("p").alias("p"))
     firsts = spots.agg(F.count(F.lit(1)).alias("steps"), F.slice(F.array_sort(F.collect_list(F.struct("p", "at"))), 1, 2).alias("two"))
     step = F.when(F.size("two") > 1, F.expr("element_at(two, 2).at - element_at(two, 1).at")).otherwise(0.0)
     return firsts.select("steps", F.when(step == 0, 0.0).otherwise(F.round(F.signum(step) * (F.lit(size * pixel) - F.abs(step)), 2)).alias("overlap"))
@@ -157,6 +189,29 @@ def skewed_size(z: Column, y: Column, x: Column, theta: float, pixel: float, ste
     return tuple(n + (n % 2 == 0).cast("int") if odd else n for n in sizes)
 
 
+def skewed_coords(plane: Column, row: Column, theta: float, pixel: float, step: float, kind: str) -> Column:
+    """Where a voxel of an oblique scan lies, in micrometres: along the scan ("lateral") or in depth ("axial"); theta is in
+    degrees. ValueError for another kind."""
+    r = math.radians(theta)
+    if kind == "lateral":
+        return plane * F.lit(step) + row * F.lit(pixel) * F.lit(math.cos(r))
+    if kind == "axial":
+        return row * F.lit(pixel) * F.lit(math.sin(r))
+    raise ValueError("kind is lateral or axial")
+
+
+def layer_placement(tiles: DataFrame, pixel: float) -> DataFrame:
+    """(t, p, scale_z, scale_y, scale_x, stage_z, stage_y, stage_x): the scale of a viewer's layer, whose depth is sampled
+    half as finely, and where it is put."""
+    return tiles.select("t", "p", F.lit(2 * pixel).alias("scale_z"), F.lit(pixel).alias("scale_y"), F.lit(pixel).alias("scale_x"), "stage_z", "stage_y", "stage_x")
+
+
+def fused_placement(tiles: DataFrame, pixel: float, lengths: dict[str, int]) -> DataFrame:
+    """The centre of the space that all tiles cover, by axis: where the layer of a fused image is put."""
+    rows = tiles.agg(*[f(f"stage_{a}").alias(f"{n}_{a}") for a in lengths for n, f in (("lo", F.min), ("hi", F.max))])
+    return rows.select(*[((F.col(f"lo_{a}") + F.col(f"hi_{a}") + F.lit(n * pixel)) / 2.0).alias(f"centre_{a}") for a, n in lengths.items()])
+
+
 def index_to_physical(index: Column, transforms: list[tuple[str, float]]) -> Column:
     """Scales and translations in the order in which they are listed."""
     for kind, value in transforms:
@@ -197,10 +252,12 @@ def json_safe(value: Any) -> Any:
 
 
 def merge_attributes(path: str, new: dict) -> dict:
-    """Read-modify-write of a store's attributes in its zarr.json."""
-    with open(f"{path}/zarr.json") as f:
-        doc = json.load(f)
+    """Read-modify-write of a store's attributes in its zarr.json, which is replaced whole. Where there is none, a group's is
+    made."""
+    from ..sources import files
+
+    place = f"{path}/zarr.json"
+    doc = files.read_json(place) if files.exists(place) else {"zarr_format": 3, "node_type": "group"}
     doc.setdefault("attributes", {}).update(json_safe(new))
-    with open(f"{path}/zarr.json", "w") as f:
-        json.dump(doc, f)
+    files.write_json(place, doc)
     return doc["attributes"]

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import itertools
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .pixel import camera_correct
+from .stencil import box_filter
+
 
 def smooth_size(n: int) -> int:
     """The least 2^a 3^b that is n or more."""
@@ -24,14 +29,16 @@ def smooth_size(n: int) -> int:
 
 
 def otf(psf: np.ndarray, shape: tuple[int, ...]) -> np.ndarray:
-    """Half spectrum of a unit-sum PSF that is centred on the origin of ``shape``."""
+    """Half spectrum of a unit-sum PSF that is centred on the origin of ``shape``; what is beyond the shape is cut."""
+    cut = [max(0, n - s) for n, s in zip(psf.shape, shape)]
+    psf = psf[tuple(slice((c + 1) // 2, n - c // 2) for c, n in zip(cut, psf.shape))]
     wide = np.zeros(shape)
     wide[tuple(slice(0, n) for n in psf.shape)] = psf / psf.sum()
     return np.fft.rfftn(np.roll(wide, [-(n // 2) for n in psf.shape], range(psf.ndim)))
 
 
 def convolve(image: np.ndarray, transfer: np.ndarray) -> np.ndarray:
-    return np.fft.irfftn(np.fft.rfftn(image) * transfer, image.shape)
+    return np.fft.irfftn(np.fft.rfftn(image) * transfer, image.shape, range(image.ndim))
 
 
 def divergence(p: np.ndarray, q: np.ndarray, floor: float = 1e-4) -> float:
@@ -41,20 +48,23 @@ def divergence(p: np.ndarray, q: np.ndarray, floor: float = 1e-4) -> float:
         return float(np.nan_to_num(p * (np.log(p) - np.log(q))).sum())
 
 
-def rlgc(image: np.ndarray, psf: np.ndarray, safe: bool = True, limit: float = 0.1, max_delta: float = 0.01, start: float = 1.0, seed: int = 42, rounds: int = 100) -> np.ndarray:
-    """Each round splits the photons in two at random; where both halves ask for changes of the same sense the estimate is
+def rlgc(image: np.ndarray, psf: np.ndarray, safe: bool = True, limit: float = 0.1, max_delta: float = 0.01, start: float = 1.0, seed: int = 42, rounds: int | None = None) -> np.ndarray:
+    """The image is padded to sizes that are products of 2 and 3 by reflection. Each round splits the photons in two at random; where both halves ask for changes of the same sense the estimate is
     updated. It stops when a divergence to a half rises (safe: either, else both), when few pixels are updated, or when the
-    change is small. The ratios are those of half the blurred estimate and are summed, so the gain is 2."""
+    change is small. The ratios are those of half the blurred estimate and are summed, so the gain is 2. With ``rounds``, that many without a stop is an
+    error."""
     rng = np.random.default_rng(seed)
     image = np.maximum(np.rint(image), 0).astype(np.int64)
-    shape = tuple(smooth_size(n + m) for n, m in zip(image.shape, psf.shape))
+    shape = tuple(map(smooth_size, image.shape))
     before = [(s - n) // 2 for s, n in zip(shape, image.shape)]
-    wide = np.pad(image, [(b, s - n - b) for b, s, n in zip(before, shape, image.shape)], "symmetric" if all(s <= 2 * n for s, n in zip(shape, image.shape)) else "edge")
+    wide = np.pad(image, [(b, s - n - b) for b, s, n in zip(before, shape, image.shape)], "reflect")
     h = otf(psf, shape)
     ht = h.conj()
     recon = np.full(shape, start, float)
     last = [math.inf, math.inf]
-    for _ in range(rounds):
+    for n in itertools.count():
+        if n == rounds:
+            raise RuntimeError(f"no stop after {rounds} rounds")
         one = rng.binomial(wide, 0.5)
         two = wide - one
         blurred = np.maximum(convolve(recon, h), 0)
@@ -75,22 +85,36 @@ def rlgc(image: np.ndarray, psf: np.ndarray, safe: bool = True, limit: float = 0
     return recon[tuple(slice(b, b + n) for b, n in zip(before, image.shape))]
 
 
-def deconvolve(voxels: DataFrame, psf: np.ndarray, depth: int, slab: int = 512, overlap: int = 32, safe: bool = True, seed: int = 42) -> DataFrame:
+def slab_planes(height: int) -> int:
+    """Planes of a slab by the frame's height."""
+    return 512 if height <= 256 else 256 if height <= 512 else 128
+
+
+def deconvolve(voxels: DataFrame, psf: np.ndarray, shape: tuple[int, int, int], slab: int | None = None, overlap: int = 32, safe: bool = True, seed: int = 42) -> DataFrame:
     """Slabs along z with ``overlap`` planes of their neighbours on both sides, each deconvolved in a task of its own, then
-    blended with cosine ramps over the overlaps."""
+    blended with cosine ramps over the overlaps. An image of one slab starts from its median, one of several from the mean
+    of all. ``shape`` is the image's (z, y, x); voxels that are not in the table are 0."""
+    depth, height, width = shape
+    slab = slab or slab_planes(height)
     count = max(1, -(-depth // slab))
     first = F.greatest(F.lit(0), F.floor((F.col("z") - overlap) / slab)).cast("int")
     last = F.least(F.lit(count - 1), F.floor((F.col("z") + overlap) / slab)).cast("int")
-    dealt = voxels.withColumn("slab", F.explode(F.sequence(first, last)))
+    inside = voxels.where((F.col("z") >= 0) & (F.col("z") < depth) & (F.col("y") >= 0) & (F.col("y") < height) & (F.col("x") >= 0) & (F.col("x") < width))
+    if count > 1:
+        means = inside.groupBy("t", "p", "c").agg((F.sum("v") / F.lit(float(depth * height * width))).alias("mean"))
+        inside = inside.join(means, ["t", "p", "c"])
+    else:
+        inside = inside.withColumn("mean", F.lit(None).cast("double"))
+    dealt = inside.withColumn("slab", F.explode(F.sequence(first, last)))
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        low = {k: int(group[k].min()) for k in "zyx"}
-        shape = tuple(int(group[k].max()) - low[k] + 1 for k in "zyx")
+        s = int(group.slab.iloc[0])
+        low = {"z": max(0, s * slab - overlap) if count > 1 else 0, "y": 0, "x": 0}
+        shape = ((min(depth, (s + 1) * slab + overlap) if count > 1 else depth) - low["z"], height, width)
         image = np.zeros(shape)
         at = tuple(group[k].to_numpy() - low[k] for k in "zyx")
         image[at] = group.v.to_numpy()
-        out = rlgc(image, psf, safe, seed=seed)
-        s = int(group.slab.iloc[0])
+        out = rlgc(image, psf, safe, start=float(np.median(image) if count == 1 else group["mean"].iloc[0]), seed=seed)
         z = np.arange(shape[0]) + low["z"]
         up = np.ones(shape[0]) if s == 0 else np.clip((z - s * slab + overlap + 0.5) / (2 * overlap), 1e-6, 1)
         down = np.ones(shape[0]) if s == count - 1 else np.clip(((s + 1) * slab + overlap - z - 0.5) / (2 * overlap), 1e-6, 1)
@@ -149,20 +173,57 @@ def projection_psf(wavelength: float, na: float, index: float, pixel: float, siz
     return apodise(gaussian_psf(wavelength, na, index, (pixel * 4, pixel, pixel), (size, size, size)).sum(0), 15.0)
 
 
-def sample_planes(voxels: DataFrame, per_channel: int, seed: int = 0) -> DataFrame:
-    """Voxels of ``per_channel`` planes (t, p, z) of each channel, chosen by a seeded hash, so that runs agree."""
-    planes = voxels.select("t", "p", "c", "z").distinct()
-    order = F.row_number().over(Window.partitionBy("c").orderBy(F.xxhash64("t", "p", "z", F.lit(seed)), "t", "p", "z"))
-    return voxels.join(planes.withColumn("n", order).where(F.col("n") <= per_channel).drop("n"), ["t", "p", "c", "z"], "left_semi")
-
-
-def flat_field(voxels: DataFrame, offset: float, gain: float, height: int, width: int, planes: int = 5000, radius: int = 2) -> DataFrame:
-    """(c, y, x, ff): the mean plane of each channel, box-smoothed and scaled to mean 1. A plain substitute for a fitted
-    illumination model, and not the same as one."""
-    from .pixel import camera_correct
-    from .stencil import box_filter
-
-    mean = camera_correct(sample_planes(voxels, planes), offset, gain).groupBy("c", "y", "x").agg(F.avg("v").alias("v"))
+def sample_planes(voxels: DataFrame, positions: int, depth: int, seed: int = 0, batches: int = 25) -> DataFrame:
+    """Voxels of the planes that an estimate of the illumination reads, with the ``batch`` of each plane.
+
+    Of more than 20 positions, 15 of the 20 in the middle are taken, else all. Of each, as many planes as make ``batches``
+    equal batches are taken (of more than 5,000 planes 5,000; the single one of a projection). Positions and planes are
+    chosen and dealt by seeded hashes, so that runs agree. Only the first time point is read.
+    """
+    middle = positions // 2
+    first = voxels.where(F.col("t") == 0)
+    if positions > 20:
+        first = first.where((F.col("p") >= middle - 10) & (F.col("p") < middle + 10))
+        spots = first.select("p").distinct()
+        order = F.row_number().over(Window.orderBy(F.xxhash64("p", F.lit(seed)), "p"))  # of 20 numbers
+        first = first.join(F.broadcast(spots.withColumn("n", order).where("n <= 15").select("p")), "p")
+    planes = 5000 if depth > 5000 else 1 if depth == 1 else depth - depth % batches
+    n_batches = 1 if depth == 1 else batches
+    order = F.row_number().over(Window.partitionBy("p", "c").orderBy(F.xxhash64("p", "c", "z", F.lit(seed)), "z"))
+    chosen = first.select("t", "p", "c", "z").distinct().withColumn("n", order - 1).where(F.col("n") < planes)
+    chosen = chosen.withColumn("batch", F.floor(F.col("n") / max(1, planes // n_batches)).cast("int")).drop("n")
+    return first.join(chosen, ["t", "p", "c", "z"])
+
+
+def batch_means(voxels: DataFrame, offset: float, gain: float, depth: int, positions: int = 1, seed: int = 0, batches: int = 25) -> DataFrame:
+    """(p, c, batch, y, x, v): the means of corrected planes over each batch, the images that an illumination is learned
+    from. A voxel that is not there is 0."""
+    planes = 5000 if depth > 5000 else 1 if depth == 1 else depth - depth % batches
+    size = max(1, planes // (1 if depth == 1 else batches))
+    corrected = camera_correct(sample_planes(voxels, positions, depth, seed, batches), offset, gain)
+    return corrected.groupBy("p", "c", "batch", "y", "x").agg((F.sum("v") / F.lit(size)).alias("v"))
+
+
+def flat_field(voxels: DataFrame, offset: float, gain: float, shape: tuple[int, int, int], positions: int, radius: int = 2, seed: int = 0, batches: int = 25) -> DataFrame:
+    """(c, y, x, ff): the mean of all batches of each channel, box-smoothed and scaled to mean 1. A plain substitute for a
+    fitted illumination model, and not the same as one. A stack of fewer planes than batches has one plane a batch."""
+    depth, height, width = shape
+    means = batch_means(voxels, offset, gain, depth, positions, seed, min(batches, depth))
+    mean = means.groupBy("c", "y", "x").agg(F.avg("v").alias("v"))
     smooth = box_filter(mean, radius, {"y": height, "x": width})
     level = smooth.groupBy("c").agg(F.avg("v").alias("level"))
     return smooth.join(level, "c").select("c", "y", "x", F.when(F.col("level") > 0, F.col("v") / F.col("level")).otherwise(1.0).alias("ff"))
+
+
+def cached_flat_field(spark: SparkSession, path: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """The flat-field (c, y, x, ff) at ``path``, a Parquet table in any file system that Spark reads or a TIFF of one page a
+    channel; where there is none, the one that ``make`` gives, kept there as Parquet."""
+    from ..sources import tiff
+
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop):
+        if path.lower().endswith((".tif", ".tiff")):
+            return tiff.read(spark, path, "cyx").select("c", "y", "x", F.col("v").alias("ff"))
+        return spark.read.parquet(path)
+    make().write.parquet(path)
+    return spark.read.parquet(path)

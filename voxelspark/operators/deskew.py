@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,54 +53,97 @@ class Geometry:
         return max(1, nz // self.factor), ny - pad
 
 
-def taps(spark, g: Geometry) -> DataFrame:
-    """(oz, k, y, tap, plane, row, weight): the four source rows of each output row, made from a range by expressions, so
-    that the table is as distributed as the data."""
-    nz, ny = g.shape()[0], g.out[1]
-    depth = g.out[0] * g.factor if nz >= g.factor else nz
-    d = lambda x: F.lit(float(x))
-    grid = spark.range(depth * ny).select(F.floor(F.col("id") / ny).cast("int").alias("z"), (F.col("id") % ny).cast("int").alias("y"))
-    grid = grid.withColumn("vp", F.col("y") - F.col("z") / d(g.tan)).withColumn("pb", F.floor(F.col("vp") / d(g.step)).cast("int"))
-    grid = grid.withColumn("ahead", F.col("vp") - F.col("pb") * d(g.step)).withColumn("za", F.col("z") / d(g.sin))
-    grid = grid.withColumn("vb", F.col("za") + F.col("ahead") * d(g.cos)).withColumn("va", F.col("za") - (d(g.step) - F.col("ahead")) * d(g.cos))
-    grid = grid.withColumn("jb", F.floor("vb").cast("int")).withColumn("ja", F.floor("va").cast("int"))
-    grid = grid.where((F.col("pb") >= 0) & (F.col("pb") + 1 < g.planes) & (F.col("jb") >= 0) & (F.col("ja") >= 0) & (F.col("jb") + 1 < g.rows) & (F.col("ja") + 1 < g.rows))
-
-    def tap(n: int, plane: Column, row: Column, weight: Column) -> Column:
-        return F.struct(F.lit(n).alias("tap"), plane.alias("plane"), row.alias("row"), weight.alias("weight"))
-
-    va, ja, vb, jb, pb = (F.col(c) for c in ("va", "ja", "vb", "jb", "pb"))
-    four = F.array(tap(0, pb + 1, ja + 1, va - ja), tap(1, pb + 1, ja, 1 - va + ja), tap(2, pb, jb + 1, vb - jb), tap(3, pb, jb, 1 - vb + jb))
-    return grid.select(F.floor(F.col("z") / g.factor).cast("int").alias("oz"), (F.col("z") % g.factor).alias("k"), "y", F.explode(four).alias("s")).select("oz", "k", F.col("y").alias("oy"), "s.*")
-
-
-def lines(voxels: DataFrame) -> DataFrame:
-    """Rows of pixels as arrays over x, which deskewing leaves as it is: one row where there were as many as pixels."""
-    row = F.transform(F.array_sort(F.collect_list(F.struct("x", "v"))), lambda s: s["v"].cast("double"))
-    return voxels.groupBy("t", "p", "c", "z", "y").agg(row.alias("line"))
-
-
-def _blend(k: int, top: Column, step: Column):
-    return lambda s: F.least(top, F.greatest(F.lit(0.0), (((s[f"s{k}_0"] + s[f"s{k}_1"]) + s[f"s{k}_2"]) + s[f"s{k}_3"]) / step))
-
-
-def deskew_lines(rows: DataFrame, g: Geometry) -> DataFrame:
-    """Deskewed lines of lines(t, p, c, z, y, line). Each output row is one fixed-order expression of its taps, clipped as
-    the accumulation clips, divided by the factor and truncated; rows without sources are absent, and 0 where dense."""
-    source = rows.withColumnRenamed("z", "plane").withColumnRenamed("y", "row")
-    joined = source.join(taps(rows.sparkSession, g), ["plane", "row"])
-    at = [F.first(F.when((F.col("k") == k) & (F.col("tap") == n), F.transform("line", lambda v: v * F.col("weight"))), ignorenulls=True).alias(f"s{k}_{n}") for k in range(g.factor) for n in range(4)]
-    gathered = joined.groupBy("t", "p", "c", "oz", "oy").agg(*at)
-    top, step = F.lit(65534.0), F.lit(g.step)
-    total = None
-    for k in range(g.factor):
-        parts = F.arrays_zip(*[F.col(f"s{k}_{n}") for n in range(4)])
-        value = F.transform(parts, _blend(k, top, step))
-        missing = F.expr(f"transform(sequence(1, {g.columns}), i -> 0.0D)")
-        value = F.when(F.col(f"s{k}_3").isNotNull(), value).otherwise(missing)
-        total = value if total is None else F.zip_with(total, value, lambda a, b: F.least(top, a + b))
-    out = F.transform(total, lambda v: F.floor(v / F.lit(float(g.factor))).cast("int"))
-    return gathered.select("t", "p", "c", F.col("oz").alias("z"), F.col("oy").alias("y"), out.alias("line"))
+def lines(voxels: DataFrame, columns: int) -> DataFrame:
+    """Rows of pixels as arrays over x = 0 .. columns - 1, which deskewing leaves as it is: one row where there were as many
+    as pixels. A pixel that is not in the table is 0."""
+    found = F.collect_list(F.struct("x", F.col("v").cast("double").alias("v")))
+    own = voxels.where((F.col("x") >= 0) & (F.col("x") < columns)).groupBy("t", "p", "c", "z", "y").agg(found.alias("found"))
+    missing = F.array_except(F.sequence(F.lit(0), F.lit(columns - 1)), F.transform("found", lambda s: s["x"]))
+    zeros = F.transform(missing, lambda x: F.struct(x.cast("int").alias("x"), F.lit(0.0).alias("v")))
+    whole = F.when(F.size("found") == columns, F.col("found")).otherwise(F.concat("found", zeros))
+    return own.select("t", "p", "c", "z", "y", F.transform(F.array_sort(whole), lambda s: s["v"]).alias("line"))
+
+
+@dataclass(frozen=True)
+class Taps:
+    """The four source rows of output rows (z, y): planes after and before, the upper row's number in each, weights."""
+
+    z: np.ndarray
+    y: np.ndarray
+    plane: np.ndarray
+    ja: np.ndarray
+    jb: np.ndarray
+    va: np.ndarray
+    vb: np.ndarray
+
+
+def taps(g: Geometry, z: np.ndarray, y: np.ndarray) -> Taps:
+    """Of those output rows that have four taps inside the stack."""
+    vp = y - z / g.tan
+    pb = np.floor(vp / g.step).astype(np.int64)
+    ahead = vp - pb * g.step
+    za = z / g.sin
+    vb, va = za + ahead * g.cos, za - (g.step - ahead) * g.cos
+    jb, ja = np.floor(vb).astype(np.int64), np.floor(va).astype(np.int64)
+    ok = (pb >= 0) & (pb + 1 < g.planes) & (jb >= 0) & (ja >= 0) & (jb + 1 < g.rows) & (ja + 1 < g.rows)
+    return Taps(*(x[ok] for x in (z, y, pb, ja, jb, va, vb)))
+
+
+def deskew_lines(rows: DataFrame, g: Geometry, reverse: bool = False, block: int = 32) -> DataFrame:
+    """Deskewed lines of lines(t, p, c, z, y, line); ``reverse`` counts the result's z from its other end.
+
+    An output row is a fixed-order sum of its four taps, clipped as the accumulation clips, divided by the factor and
+    truncated. Its taps are in two neighbouring planes, so the result is dealt to blocks of ``block`` planes by the plane of
+    its first z, and a plane goes to its block and, near a border, to the next: one shuffle. A line that is not in the table
+    is 0; a row of the result is there where any line that it reads is.
+    """
+    nz, ny = g.out
+    depth = nz * g.factor if g.shape()[0] >= g.factor else g.shape()[0]
+    reach = math.ceil((g.factor - 1) / g.tan / g.step)  # planes between the first and the last z of a row
+    n_blocks = -(-g.planes // block)
+    first = F.greatest(F.lit(0), F.floor((F.col("z") - 1) / block)).cast("int")
+    last = F.least(F.lit(n_blocks - 1), F.floor((F.col("z") + reach) / block)).cast("int")
+    dealt = rows.where((F.col("z") >= 0) & (F.col("z") < g.planes) & (F.col("y") >= 0) & (F.col("y") < g.rows)).withColumn("block", F.explode(F.sequence(first, last)))
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        number = key[3].as_py()
+        low = max(0, number * block - reach)
+        planes = min(g.planes, (number + 1) * block + 1) - low
+        image = np.zeros((planes * g.rows, g.columns))
+        there = np.zeros(planes * g.rows, bool)
+        at = (table.column("z").to_numpy() - low) * g.rows + table.column("y").to_numpy()
+        image[at] = table.column("line").combine_chunks().flatten().to_numpy().reshape(-1, g.columns)
+        there[at] = True
+        zs, ys, out = [], [], []
+        for oz in range(nz):
+            # the rows whose first z reads a plane of this block
+            y = np.arange(ny)
+            own_block = np.minimum(np.floor((y - oz * g.factor / g.tan) / g.step).astype(np.int64) // block, n_blocks - 1)
+            y = y[own_block == number]
+            if not len(y):
+                continue
+            total, some = np.zeros((len(y), g.columns)), np.zeros(len(y), bool)
+            for z in range(oz * g.factor, min((oz + 1) * g.factor, depth)):
+                t = taps(g, np.full(len(y), z), y)
+                before = (t.plane - low) * g.rows
+                rows_of = before + g.rows + t.ja + 1, before + g.rows + t.ja, before + t.jb + 1, before + t.jb
+                weights = t.va - t.ja, 1 - t.va + t.ja, t.vb - t.jb, 1 - t.vb + t.jb
+                four = [image[r] * w[:, None] for r, w in zip(rows_of, weights)]
+                value = (((four[0] + four[1]) + four[2]) + four[3]) / g.step
+                own = np.searchsorted(y, t.y)
+                total[own] = np.minimum(65534.0, total[own] + np.clip(value, 0.0, 65534.0))
+                some[own] |= there[rows_of[0]] | there[rows_of[1]] | there[rows_of[2]] | there[rows_of[3]]
+            zs.append(np.full(int(some.sum()), nz - 1 - oz if reverse else oz, np.int32))
+            ys.append(y[some].astype(np.int32))
+            out.append(np.floor(total[some] / float(g.factor)).astype(np.int32))
+        z, y = (np.concatenate([*x, np.zeros(0, np.int32)]) for x in (zs, ys))
+        flat = np.concatenate([x.ravel() for x in out] + [np.zeros(0, np.int32)])
+        line = pa.ListArray.from_arrays(pa.array(np.arange(len(z) + 1, dtype=np.int32) * g.columns), pa.array(flat))
+        same = [pa.array(np.full(len(z), k.as_py(), np.int32)) for k in key[:3]]
+        return pa.table([*same, pa.array(z), pa.array(y), line], names=["t", "p", "c", "z", "y", "line"])
+
+    return dealt.groupBy("t", "p", "c", "block").applyInArrow(run, "t int, p int, c int, z int, y int, line array<int>")
 
 
 def voxels_of(rows: DataFrame) -> DataFrame:
@@ -106,8 +151,8 @@ def voxels_of(rows: DataFrame) -> DataFrame:
     return rows.select(*keys, F.posexplode("line").alias("x", "v"))
 
 
-def deskew(voxels: DataFrame, g: Geometry) -> DataFrame:
-    return voxels_of(deskew_lines(lines(voxels), g))
+def deskew(voxels: DataFrame, g: Geometry, reverse: bool = False, block: int = 32) -> DataFrame:
+    return voxels_of(deskew_lines(lines(voxels, g.columns), g, reverse, block))
 
 
 def max_lines(rows: DataFrame) -> DataFrame:

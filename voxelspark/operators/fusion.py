@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Weights are kept as whole numbers of this size, so that weighted sums are exact in any order.
-UNIT = 65536
+#: Added before a weighted mean is truncated, so that a whole number is not cut by the last bits of a sum.
+CLOSE = 1e-9
 
 
 def feather_profile(length: int, blend: int) -> list[float]:
@@ -41,10 +43,6 @@ def _profile(values: list[float], index: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), index.cast("int") + 1)
 
 
-def fixed(values: list[float]) -> list[int]:
-    return [math.floor(v * UNIT) for v in values]
-
-
 def extent(tiles: DataFrame, pixel: float, lengths: dict[str, int], multiple: dict[str, int], up: bool) -> DataFrame:
     """Origin and padded size of the fused space by axis; ``up`` rounds sizes up, else they are truncated."""
     aggs = [f(f"stage_{a}").alias(f"{n}_{a}") for a in lengths for n, f in (("lo", F.min), ("hi", F.max))]
@@ -65,44 +63,69 @@ def tile_offsets(tiles: DataFrame, pixel: float, axes: tuple[str, ...], half_eve
     return tiles.crossJoin(F.broadcast(lows)).select("t", "p", *[(F.bround(s) if half_even else F.floor(s)).cast("int").alias(f"o_{a}") for a, s in shift.items()])
 
 
+#: Edge of the square blocks of a fused image.
+FUSED = 512
+
+
 def fuse_2d(rows: DataFrame, tiles: DataFrame, pixel: float, height: int, width: int, mode: str = "fold") -> DataFrame:
     """Fused image (t, c, y, x, v) of tile lines(t, p, c, y, line) of height x width.
 
     fold: tiles in order of p, f <- trunc(clip((f + v w) / (1 + w))), from 0. weighted_mean: sum(w v) / sum(w). Rows of a
-    tile that are not there count as zeros, as in a dense image.
+    tile that are not there count as zeros, as in a dense image. Lines are cut at the borders of the fused image's blocks
+    and meet there: what moves is the tiles' pixels once, and a block holds the tiles that lie over it.
     """
-    offsets = tile_offsets(tiles, pixel, ("y", "x"), half_even=False)
-    wy, wx = cosine_mask(height), cosine_mask(width)
-    frames = rows.select("t", "p", "c").distinct().select("*", F.explode(F.sequence(F.lit(0), F.lit(height - 1))).alias("y"))
-    dense = frames.join(rows, ["t", "p", "c", "y"], "left").withColumn("line", F.coalesce("line", F.expr(f"transform(sequence(1, {width}), i -> 0)")))
-    pixels = dense.join(offsets, ["t", "p"]).select("t", "p", "c", "y", "o_y", "o_x", F.posexplode("line").alias("x", "v"))
-    placed = pixels.select("t", "p", "c", (F.col("y") + F.col("o_y")).alias("y"), (F.col("x") + F.col("o_x")).alias("x"), "v", (_profile(wy, F.col("y")) * _profile(wx, F.col("x"))).alias("w"))
-    if mode == "weighted_mean":
-        mean = F.sum(F.col("v") * F.floor(F.col("w") * UNIT)) / F.sum(F.floor(F.col("w") * UNIT))
-        total = F.sum(F.floor(F.col("w") * UNIT))
-        return placed.groupBy("t", "c", "y", "x").agg(F.when(total > 0, F.floor(mean)).otherwise(0).cast("int").alias("v"))
-    if mode != "fold":
+    if mode not in ("fold", "weighted_mean"):
         raise ValueError("mode is fold or weighted_mean")
-    over = F.array_sort(F.collect_list(F.struct("p", "v", "w")))  # the tiles over one pixel
-    step = lambda f, s: F.floor(F.greatest(F.lit(0.0), F.least(F.lit(65535.0), (f + s["v"] * s["w"]) / (1 + s["w"])))).cast("double")
-    return placed.groupBy("t", "c", "y", "x").agg(F.aggregate(over, F.lit(0.0), step).cast("int").alias("v"))
+    offsets = tile_offsets(tiles, pixel, ("y", "x"), half_even=False)
+    wy, wx = np.array(cosine_mask(height)), np.array(cosine_mask(width))
+    # each row brings the absent rows before it, the last one those after it too
+    frame = Window.partitionBy("t", "p", "c").orderBy("y")
+    gaps = rows.where((F.col("y") >= 0) & (F.col("y") < height)).withColumns({"after": F.coalesce(F.lag("y").over(frame) + 1, F.lit(0)), "upto": F.when(F.lead("y").over(frame).isNull(), F.lit(height - 1)).otherwise(F.col("y"))})
+    dense = gaps.select("t", "p", "c", "line", F.col("y").alias("own"), F.explode(F.sequence("after", "upto")).alias("y"))
+    placed = dense.join(offsets, ["t", "p"]).withColumn("gy", F.col("y") + F.col("o_y"))
+    cut = F.explode(F.sequence(F.floor(F.col("o_x") / FUSED).cast("int"), F.floor((F.col("o_x") + F.lit(width - 1)) / FUSED).cast("int")))
+    placed = placed.withColumn("bx", cut).withColumn("x0", F.greatest(F.lit(0), F.col("bx") * FUSED - F.col("o_x")))
+    size = F.least(F.lit(width), (F.col("bx") + 1) * FUSED - F.col("o_x")) - F.col("x0")
+    line = F.when(F.col("y") == F.col("own"), F.slice("line", F.col("x0") + 1, size))
+    pieces = placed.select("t", "c", F.floor(F.col("gy") / FUSED).cast("int").alias("by"), "bx", "p", "y", "gy", "x0", "o_x", size.alias("size"), line.alias("line"))
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        table = table.sort_by([("p", "ascending"), ("gy", "ascending")]).combine_chunks()
+        by, bx = key[2].as_py() * FUSED, key[3].as_py() * FUSED
+        fused, weight, seen = np.zeros((FUSED, FUSED)), np.zeros((FUSED, FUSED)), np.zeros((FUSED, FUSED), bool)
+        columns = (table.column(c).to_numpy() for c in ("p", "y", "gy", "x0", "o_x", "size"))
+        lines = table.column("line").combine_chunks()
+        here, at, data = lines.is_valid().to_numpy(zero_copy_only=False), lines.offsets.to_numpy(), lines.values.to_numpy()
+        for n, (_, y, gy, x0, o_x, size) in enumerate(zip(*(c.tolist() for c in columns))):
+            place = gy - by, slice(o_x + x0 - bx, o_x + x0 - bx + size)
+            w = wy[y] * wx[x0 : x0 + size]
+            v = data[at[n] : at[n + 1]].astype(float) if here[n] else 0.0
+            seen[place] = True
+            if mode == "fold":
+                fused[place] = np.floor(np.clip((fused[place] + v * w) / (1 + w), 0.0, 65535.0))
+            else:
+                fused[place] += v * w
+                weight[place] += w
+        if mode == "weighted_mean":
+            fused = np.floor(np.divide(fused, weight, out=np.zeros_like(fused), where=weight > 0) + CLOSE)
+        y, x = np.nonzero(seen)
+        same = [pa.array(np.full(len(y), k.as_py(), np.int32)) for k in key[:2]]
+        return pa.table([*same, *(pa.array(a.astype(np.int32)) for a in (y + by, x + bx, fused[y, x]))], names=["t", "c", "y", "x", "v"])
+
+    return pieces.groupBy("t", "c", "by", "bx").applyInArrow(run, "t int, c int, y int, x int, v int")
 
 
 def fuse_3d(voxels: DataFrame, tiles: DataFrame, pixel: float, shape: tuple[int, int, int], blend: tuple[int, int, int]) -> DataFrame:
     """Weighted mean of all tiles over each voxel, truncated; 0 where no weight is. One shuffle with partial sums."""
     offsets = tile_offsets(tiles, pixel, ("z", "y", "x"), half_even=True)
-    weight = F.lit(1).cast("long")
+    weight = None
     for axis, n, b in zip("zyx", shape, blend):
-        weight = weight * F.element_at(F.array(*[F.lit(w) for w in _short(feather_profile(n, b))]), F.col(axis) + 1)
+        own = _profile(feather_profile(n, b), F.col(axis))
+        weight = own if weight is None else weight * own
     placed = voxels.join(offsets, ["t", "p"]).withColumn("w", weight)
     keys = [(F.col(a) + F.col(f"o_{a}")).alias(a) for a in "zyx"]
     sums = placed.groupBy("t", "c", *keys).agg(F.sum(F.col("w") * F.col("v")).alias("s"), F.sum("w").alias("n"))
-    return sums.select("t", "c", "z", "y", "x", F.when(F.col("n") > 0, F.floor(F.col("s") / F.col("n"))).otherwise(0).cast("int").alias("v"))
-
-
-def _short(values: list[float]) -> list[int]:
-    """Profiles in 1/1024: a product of three stays far within a long."""
-    return [math.floor(v * 1024) for v in values]
+    return sums.select("t", "c", "z", "y", "x", F.when(F.col("n") > 0, F.floor(F.col("s") / F.col("n") + CLOSE)).otherwise(0).cast("int").alias("v"))
 
 
 def shard_overlap(tiles: DataFrame, pixel: float, depth: int, step: int) -> DataFrame:

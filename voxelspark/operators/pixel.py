@@ -67,3 +67,38 @@ def reflect_index(i: Column, n: int) -> Column:
 def consensus_update(cells: DataFrame) -> DataFrame:
     """recon * ratio where consensus is not negative, else recon."""
     return cells.withColumn("recon", F.when(F.col("consensus") < 0, F.col("recon")).otherwise(F.greatest(F.lit(0.0), F.col("recon") * F.col("ratio"))))
+
+
+AXES = ("t", "p", "c", "z", "y", "x")
+
+
+def normalise_axes(voxels: DataFrame, axes: str) -> DataFrame:
+    """Voxels of an image whose axes are ``axes`` (any of t, p, c, z, and y and x) as (t, p, c, z, y, x, v): axes that are
+    not there are 0. Other names are refused."""
+    unknown = set(axes.lower()) - set(AXES)
+    if unknown or not {"y", "x"} <= set(axes.lower()):
+        raise ValueError(f"axes {axes!r}: y and x, and of t, p, c and z")
+    return voxels.select(*[F.col(a) if a in axes.lower() else F.lit(0).alias(a) for a in AXES], "v")
+
+
+def split_index(index: Column, n_positions: int) -> tuple[Column, Column]:
+    """Time and position of a tile's flattened number."""
+    return F.floor(index / n_positions).cast("int"), F.pmod(index, F.lit(n_positions)).cast("int")
+
+
+def read_tile(voxels: DataFrame, index: int, n_positions: int, n_times: int = 1, channel: int | None = None, **ranges: tuple[int, int]) -> DataFrame:
+    """The part of one tile, by its flattened number, within half-open ranges of its axes: filters that reach the scan.
+    ValueError for a negative number, IndexError for one beyond the last time."""
+    if index < 0:
+        raise ValueError("a tile's number is not negative")
+    if index // n_positions >= n_times:
+        raise IndexError(f"tile {index} is beyond {n_times} times of {n_positions} positions")
+    own = voxels.where((F.col("t") == index // n_positions) & (F.col("p") == index % n_positions))
+    return between(own if channel is None else own.where(F.col("c") == channel), **ranges)
+
+
+def chunk_cover(length: Column, chunk: Column) -> Column:
+    """array<struct<start, stop>>: chunks that cover a length wholly; the last one is moved back to end with it."""
+    starts = F.sequence(F.lit(0), length - 1, chunk)
+    first = lambda s: F.greatest(F.lit(0), F.least(s, length - chunk))
+    return F.transform(starts, lambda s: F.struct(first(s).alias("start"), F.least(length, first(s) + chunk).alias("stop")))

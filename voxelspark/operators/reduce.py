@@ -68,8 +68,8 @@ def pyramid(voxels: DataFrame, factors: Sequence[int], axes: Sequence[str] = ("z
     return out
 
 
-def kl_divergence(pairs: DataFrame, p: str = "p", q: str = "q", floor: float = 1e-4) -> DataFrame:
-    """sum p (ln p - ln q) of two columns, each raised by ``floor`` and normalised to sum 1."""
-    raised = pairs.select((F.col(p) + floor).alias("p"), (F.col(q) + floor).alias("q"))
-    sums = raised.agg(F.sum("p").alias("sp"), F.sum("q").alias("sq"), F.sum(F.col("p") * (F.ln("p") - F.ln("q"))).alias("raw"))
-    return sums.select((F.col("raw") / F.col("sp") - F.ln(F.col("sp") / F.col("sq"))).alias("kl"))
+def kl_divergence(pairs: DataFrame, p: str = "p", q: str = "q", floor: float = 1e-4, keys: Sequence[str] = ()) -> DataFrame:
+    """sum p (ln p - ln q) of two columns, each raised by ``floor`` and normalised to sum 1, for each value of ``keys``."""
+    raised = pairs.select(*keys, (F.col(p) + floor).alias("p_"), (F.col(q) + floor).alias("q_"))
+    sums = raised.groupBy(*keys).agg(F.sum("p_").alias("sp"), F.sum("q_").alias("sq"), F.sum(F.col("p_") * (F.ln("p_") - F.ln("q_"))).alias("raw"))
+    return sums.select(*keys, (F.col("raw") / F.col("sp") - F.ln(F.col("sp") / F.col("sq"))).alias("kl"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -41,6 +43,16 @@ def overlap_patches(voxels: DataFrame, pairs: DataFrame) -> DataFrame:
     return side("i", "a").join(side("j", "b"), ["t", "i", "j", "z", "y", "x"])
 
 
+def reduce_patches(patches: DataFrame, pairs: DataFrame, factors: tuple[int, int, int] = (3, 5, 5)) -> DataFrame:
+    """patches as means over blocks of ``factors`` (z, y, x) voxels, with the factors that were used: none is larger than the
+    overlap. A ragged edge counts as filled with 0. The means are summed before any patch is put together."""
+    used = [F.greatest(F.lit(1), F.least(F.lit(f), F.col(f"i_{a}1") - F.col(f"i_{a}0"))).alias(f"f_{a}") for a, f in zip("zyx", factors)]
+    joined = patches.join(pairs.select("t", "i", "j", *used), ["t", "i", "j"])
+    cells = [F.floor(F.col(a) / F.col(f"f_{a}")).cast("int").alias(a) for a in "zyx"]
+    volume = F.first(F.col("f_z") * F.col("f_y") * F.col("f_x"))
+    return joined.groupBy("t", "i", "j", "f_z", "f_y", "f_x", *cells).agg((F.sum("a") / volume).alias("a"), (F.sum("b") / volume).alias("b"))
+
+
 def gate_edges(edges: DataFrame, score: float = 0.7, limits: tuple[int, int, int] = (20, 50, 100)) -> DataFrame:
     """Edges whose score reaches the threshold (0: any) and whose shifts are within limits."""
     kept = edges.where(F.col("score") >= score) if score else edges
@@ -64,19 +76,33 @@ def outliers(found: DataFrame, rel: float = 0.5, least: float = 1.5) -> DataFram
 
 
 def least_squares(links: np.ndarray, n: int, fixed: tuple[int, ...] = (0,)) -> np.ndarray:
-    """Offsets of n tiles from links (i, j, dz, dy, dx, score): weighted least squares with anchors at 0."""
-    rows, targets = [], []
-    for i, j, dz, dy, dx, score in links:
-        w, row = np.sqrt(score), np.zeros(n)
-        row[int(j)], row[int(i)] = w, -w
-        rows.append(row)
-        targets.append(w * np.array([dz, dy, dx]))
-    for k in fixed:
-        row = np.zeros(n)
-        row[k] = 1.0
-        rows.append(row)
-        targets.append(np.zeros(3))
-    return np.linalg.lstsq(np.array(rows), np.array(targets), rcond=None)[0]
+    """Offsets of n tiles from links (i, j, dz, dy, dx, score): weighted least squares with anchors at 0, the least ones where
+    tiles hang on no anchor. The normal equations are solved by conjugate gradients: one number a link, no matrix."""
+    i, j, w = links[:, 0].astype(int), links[:, 1].astype(int), links[:, 5]
+    anchor = np.bincount(np.array(fixed, int), minlength=n).astype(float)
+
+    def normal(x: np.ndarray) -> np.ndarray:
+        pull = w * (x[j] - x[i])
+        return np.bincount(j, pull, n) - np.bincount(i, pull, n) + anchor * x
+
+    out = np.zeros((n, 3))
+    for axis in range(3):
+        want = w * links[:, 2 + axis]
+        right = np.bincount(j, want, n) - np.bincount(i, want, n)
+        x, r = np.zeros(n), right.copy()
+        p, size = r.copy(), r @ r
+        least = 1e-24 * max(size, 1e-300)
+        for _ in range(20 * n + 100):
+            if size <= least:
+                break
+            q = normal(p)
+            step = size / (p @ q)
+            x += step * p
+            r -= step * q
+            new = r @ r
+            p, size = r + new / size * p, new
+        out[:, axis] = x
+    return out
 
 
 def optimize(links: np.ndarray, n: int, method: str, rel: float, least: float) -> np.ndarray:
@@ -129,28 +155,48 @@ def match_histogram(image: np.ndarray, to: np.ndarray) -> np.ndarray:
     return np.interp(np.cumsum(counts) / image.size, np.cumsum(wanted) / to.size, values)[at].reshape(image.shape)
 
 
+def _overlap(fixed: np.ndarray, moving: np.ndarray, shift: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """Where ``moving``, moved by whole steps, lies on ``fixed``."""
+    a = fixed[tuple(slice(max(0, s), min(n, n + s)) for s, n in zip(shift, fixed.shape))]
+    b = moving[tuple(slice(max(0, -s), min(n, n - s)) for s, n in zip(shift, fixed.shape))]
+    return a.ravel(), b.ravel()
+
+
+def unwrapped(fixed: np.ndarray, moving: np.ndarray, peak: np.ndarray, ratio: float = 0.5) -> np.ndarray:
+    """Of the shifts that a circular peak stands for (each axis as it is, or less the axis' length), the one at which what
+    overlaps correlates best; shifts that leave less than ``ratio`` of the largest overlap are not believed unless the
+    others do not correlate at all. Of equals the one that overlaps more."""
+    size = np.array(fixed.shape)
+    found = []
+    for wrap in itertools.product(*[(0, 1) if n > 1 and p else (0,) for n, p in zip(size, np.rint(peak) % size)]):
+        shift = np.where(size > 1, peak % size, 0.0) - np.array(wrap) * size
+        a, b = _overlap(fixed, moving, tuple(np.rint(shift).astype(int)))
+        if a.size > 2 and a.std() > 0 and b.std() > 0:
+            found.append((float(np.corrcoef(a, b)[0, 1]), a.size, shift))
+    if not found:
+        return np.where(peak % size > size // 2, peak % size - size, peak % size)
+    largest = max(n for _, n, _ in found)
+    wide = [f for f in found if f[1] >= ratio * largest and f[0] > 0] or found
+    return max(wide, key=lambda f: (round(f[0], 6), f[1]))[2]
+
+
 def phase_shift(fixed: np.ndarray, moving: np.ndarray, upsample: int = 10) -> np.ndarray:
     """The shift by which ``moving`` must go to lie on ``fixed``: the peak of the phase correlation, refined around it by a
-    matrix-multiplied transform in steps of 1 / upsample."""
+    matrix-multiplied transform in steps of 1 / upsample, and unwrapped by what then overlaps."""
+    size = np.array(fixed.shape)
     cross = np.fft.fftn(fixed) * np.fft.fftn(moving).conj()
     cross /= np.maximum(np.abs(cross), 100 * np.finfo(float).eps)
     peak = np.array(np.unravel_index(np.abs(np.fft.ifftn(cross)).argmax(), cross.shape), float)
-    size = np.array(cross.shape)
-    peak = np.where(peak > size // 2, peak - size, peak)
-    if upsample <= 1:
-        return peak
-    reach = np.arange(-upsample, upsample + 1) / upsample
-    for _ in range(2):
-        data = cross
-        grids = []
+    if upsample > 1:
+        reach = np.arange(-upsample, upsample + 1) / upsample
+        data, grids = cross, []
         for n, at in zip(size, peak):
             grids.append(at + reach)
             kernel = np.exp(2j * np.pi * grids[-1][:, None] * np.fft.fftfreq(n)[None])
             data = np.tensordot(data, kernel, axes=(0, 1))
         best = np.unravel_index(np.abs(data).argmax(), data.shape)
-        peak = np.array([g[k] for g, k in zip(grids, best)])
-        reach = np.zeros(1)
-    return np.where(size == 1, 0.0, peak)
+        peak = np.where(size == 1, 0.0, [g[k] for g, k in zip(grids, best)])
+    return unwrapped(fixed, moving, peak) + 0.0
 
 
 def window_ssim(a: np.ndarray, b: np.ndarray, win: int, k1: float = 0.01, k2: float = 0.03) -> float:
@@ -184,8 +230,10 @@ def linear_shift(image: np.ndarray, shift: np.ndarray) -> np.ndarray:
     return image
 
 
-def register_pairs(patches: DataFrame, win: int = 7, gate: float = 0.0) -> DataFrame:
-    """(t, i, j, dz, dy, dx, score) of patches(t, i, j, z, y, x, a, b): histogram match, phase correlation, shift, SSIM."""
+def register_pairs(patches: DataFrame, win: int = 7, score: float = 0.0, limits: tuple[int, int, int] = (20, 50, 100)) -> DataFrame:
+    """(t, i, j, dz, dy, dx, score) of patches(t, i, j, f_z, f_y, f_x, z, y, x, a, b), see ``reduce_patches``: histogram match,
+    phase correlation, shift, SSIM. Shifts are in voxels before the reduction, rounded half to even; links whose score or
+    shifts are beyond their gates are left out. A patch is one task's, so it is reduced first."""
     def run(group: pd.DataFrame) -> pd.DataFrame:
         shape = tuple(int(group[k].max()) + 1 for k in "zyx")
         a, b = np.zeros(shape), np.zeros(shape)
@@ -193,8 +241,20 @@ def register_pairs(patches: DataFrame, win: int = 7, gate: float = 0.0) -> DataF
         a[at], b[at] = group.a.to_numpy(), group.b.to_numpy()
         moved = match_histogram(b, a)
         shift = phase_shift(a, moved)
-        score = max(1e-6, window_ssim(a, linear_shift(moved, shift), win))
+        found = max(1e-6, window_ssim(a, linear_shift(moved, shift), win))
         row = [int(group[k].iloc[0]) for k in ("t", "i", "j")]
-        return pd.DataFrame([[*row, *np.rint(shift).astype(int), round(score, 3)]], columns=["t", "i", "j", "dz", "dy", "dx", "score"])
+        factors = np.array([int(group[f"f_{k}"].iloc[0]) for k in "zyx"])
+        return pd.DataFrame([[*row, *np.rint(shift * factors).astype(int), found]], columns=["t", "i", "j", "dz", "dy", "dx", "score"])
     found = patches.groupBy("t", "i", "j").applyInPandas(run, "t int, i int, j int, dz int, dy int, dx int, score double")
-    return gate_edges(found, gate)
+    return gate_edges(found, score, limits).withColumn("score", F.round("score", 3))
+
+
+def refine_positions(voxels: DataFrame, tiles: DataFrame, pixel: float, shape: dict[str, int], factors: tuple[int, int, int] = (3, 5, 5), win: int = 7, score: float = 0.7, method: str = "TWO_ROUND_ITERATIVE", channel: int = 0) -> DataFrame:
+    """tiles(t, p, stage_z, stage_y, stage_x) moved to where their overlaps fit best: pairs, patches of one channel, shifts
+    between them, the offsets that fit these, and the positions with the offsets."""
+    if shape["z"] == 1:
+        factors = (1, *factors[1:])
+    pairs = overlap_pairs(tiles, pixel, shape)
+    patches = overlap_patches(voxels.where(F.col("c") == channel), pairs)
+    edges = register_pairs(reduce_patches(patches, pairs, factors), win, score)
+    return apply_offsets(tiles, solve_offsets(edges, tiles, method), (pixel, pixel, pixel))

@@ -1,57 +1,50 @@
-"""Neighbourhood operators on dense voxel tables: box filters, medians, rolling-ball minima, structural similarity."""
+"""Neighbourhood operators on voxel tables: box filters, medians, rolling-ball minima, structural similarity, shifts. A
+voxel that is not in a table is 0, so a sparse table gives what the dense image gives."""
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .blocks import box_mean, over_blocks
 
-def box_axis(voxels: DataFrame, axis: str, radius: int, size: int, column: str = "v") -> DataFrame:
-    """Mean over 2r + 1 neighbours along an axis with clamped edges. Edge voxels are repeated first, as a frame of rows
-    would shrink at the ends."""
-    keys = [k for k in ("t", "p", "c", "z", "y", "x") if k in voxels.columns and k != axis]
-    extra = F.when(F.col(axis) == 0, F.sequence(F.lit(-radius), F.lit(0) if size > 1 else F.lit(radius))).when(F.col(axis) == size - 1, F.sequence(F.lit(size - 1), F.lit(size - 1 + radius))).otherwise(F.array(F.col(axis)))
-    wide = voxels.withColumn("at", F.explode(extra))
-    frame = Window.partitionBy(*keys).orderBy("at").rowsBetween(-radius, radius)
-    mean = wide.withColumn(column, F.sum(F.col(column).cast("double")).over(frame) / F.lit(2 * radius + 1))
-    return mean.where((F.col("at") >= 0) & (F.col("at") < size) & (F.col("at") == F.col(axis))).drop("at")
 
+def _schema(voxels: DataFrame, kind: str = "double") -> str:
+    return ", ".join(f"{k} int" for k in ("t", "p", "c", "z", "y", "x") if k in voxels.columns) + f", v {kind}"
 
-def box_filter(voxels: DataFrame, radius: int, sizes: dict[str, int], column: str = "v") -> DataFrame:
-    for axis, size in sizes.items():
-        voxels = box_axis(voxels, axis, radius, size, column)
-    return voxels
 
+def box_filter(voxels: DataFrame, radius: int, sizes: dict[str, int], block: dict[str, int] | None = None) -> DataFrame:
+    """Mean over 2r + 1 neighbours along each axis of ``sizes``, with clamped edges. Blocks without a voxel are left out."""
+    return over_blocks(voxels, sizes, dict.fromkeys(sizes, radius), lambda image, at: box_mean(image, radius), _schema(voxels), block=block)
 
-def _neighbours(voxels: DataFrame, offsets: list[tuple[int, int, float]], height: int, width: int, clamp: bool) -> DataFrame:
-    """Each voxel sent to every (y, x) that sees it at one of the offsets, with the offset's term; clamped edges repeat."""
-    table = F.array(*[F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx"), F.lit(float(c)).alias("term")) for dy, dx, c in offsets])
-    if not clamp:
-        sent = voxels.withColumn("s", F.explode(table)).withColumn("oy", F.col("y") - F.col("s.dy")).withColumn("ox", F.col("x") - F.col("s.dx"))
-        return sent.where((F.col("oy") >= 0) & (F.col("oy") < height) & (F.col("ox") >= 0) & (F.col("ox") < width))
-    ys = F.when(F.col("y") == 0, F.array(F.lit(-1), F.lit(0))).when(F.col("y") == height - 1, F.array(F.lit(height - 1), F.lit(height))).otherwise(F.array("y"))
-    xs = F.when(F.col("x") == 0, F.array(F.lit(-1), F.lit(0))).when(F.col("x") == width - 1, F.array(F.lit(width - 1), F.lit(width))).otherwise(F.array("x"))
-    wide = voxels.withColumn("vy", F.explode(ys)).withColumn("vx", F.explode(xs))
-    sent = wide.withColumn("s", F.explode(table)).withColumn("oy", F.col("vy") - F.col("s.dy")).withColumn("ox", F.col("vx") - F.col("s.dx"))
-    return sent.where((F.col("oy") >= 0) & (F.col("oy") < height) & (F.col("ox") >= 0) & (F.col("ox") < width))
 
+def _medians(image: np.ndarray) -> np.ndarray:
+    return np.median(np.lib.stride_tricks.sliding_window_view(image, (3, 3)), axis=(-2, -1))
 
-def median_3x3(voxels: DataFrame, height: int, width: int) -> DataFrame:
+
+def median_3x3(voxels: DataFrame, height: int, width: int, block: dict[str, int] | None = None) -> DataFrame:
     """3 x 3 median of each plane; edges repeat."""
-    nine = [(dy, dx, 0.0) for dy in (-1, 0, 1) for dx in (-1, 0, 1)]
-    sent = _neighbours(voxels, nine, height, width, clamp=True)
-    return sent.groupBy("t", "p", "c", "z", F.col("oy").alias("y"), F.col("ox").alias("x")).agg(F.element_at(F.array_sort(F.collect_list("v")), 5).alias("v"))
+    return over_blocks(voxels, {"y": height, "x": width}, {"y": 1, "x": 1}, lambda image, at: _medians(image).astype(np.int32), _schema(voxels, "int"), block=block)
+
 
+def replace_hot_pixels(voxels: DataFrame, noise: DataFrame, height: int, width: int, threshold: float = 375.0, block: dict[str, int] | None = None) -> DataFrame:
+    """The 3 x 3 median where the noise map (y, x, noise) is over the threshold; negatives become 0. The hot places are sent
+    to all tasks: they are some pixels of one camera frame."""
+    hot = noise.where(F.col("noise") > threshold).select("y", "x").toPandas()
+    ys, xs = hot.y.to_numpy(), hot.x.to_numpy()
 
-def replace_hot_pixels(voxels: DataFrame, noise: DataFrame, height: int, width: int, threshold: float = 375.0) -> DataFrame:
-    """The 3 x 3 median where the noise map (y, x, noise) is over the threshold; negatives become 0. Only the neighbours of
-    hot pixels are shuffled."""
-    hot = noise.where(F.col("noise") > threshold).select("y", "x")
-    medians = median_3x3(voxels, height, width).join(hot, ["y", "x"], "left_semi").withColumnRenamed("v", "median")
-    keys = ["t", "p", "c", "z", "y", "x"]
-    return voxels.join(medians, keys, "left").withColumn("v", F.greatest(F.lit(0), F.coalesce("median", "v")).cast("int")).select(*keys, "v")
+    def kernel(image: np.ndarray, at: dict[str, int]) -> np.ndarray:
+        out = image[1:-1, 1:-1].copy()
+        own = (ys >= at["y"]) & (ys < at["y"] + out.shape[0]) & (xs >= at["x"]) & (xs < at["x"] + out.shape[1])
+        place = ys[own] - at["y"], xs[own] - at["x"]
+        out[place] = _medians(image)[place]
+        return np.maximum(out, 0).astype(np.int32)
+
+    return over_blocks(voxels, {"y": height, "x": width}, {"y": 1, "x": 1}, kernel, _schema(voxels, "int"), block=block)
 
 
 def ball(radius: int) -> list[tuple[int, int, float]]:
@@ -59,35 +52,48 @@ def ball(radius: int) -> list[tuple[int, int, float]]:
     return [(dy, dx, radius - math.sqrt(radius**2 - dy**2 - dx**2)) for dy in range(-radius, radius + 1) for dx in range(-radius, radius + 1) if dy**2 + dx**2 <= radius**2]
 
 
-def rolling_ball(voxels: DataFrame, radius: int, height: int, width: int) -> DataFrame:
-    """Background: the least neighbour under a ball, raised by how far the ball's surface is below its top."""
-    sent = _neighbours(voxels, ball(radius), height, width, clamp=False)
-    return sent.groupBy("t", "p", "c", "z", F.col("oy").alias("y"), F.col("ox").alias("x")).agg(F.min(F.col("v") + F.col("s.term")).alias("v"))
-
-
-def ssim(pairs: DataFrame, radius: int, sizes: dict[str, int], k1: float = 0.01, k2: float = 0.03) -> DataFrame:
-    """Mean structural similarity of two images a and b in pairs(..., a, b); the data range is that of a."""
-    keys = [k for k in ("t", "p", "c", "z", "y", "x") if k in pairs.columns]
-    base = pairs.select(*keys, F.col("a").cast("double").alias("a"), F.col("b").cast("double").alias("b"))
-    base = base.withColumn("aa", F.col("a") * F.col("a")).withColumn("bb", F.col("b") * F.col("b")).withColumn("ab", F.col("a") * F.col("b"))
-    spread = base.agg((F.max("a") - F.min("a")).alias("range"))
-    images = F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).alias("v")) for n in ("a", "b", "aa", "bb", "ab")])
-    # five images through one filter: the name is one more partition key
-    long = base.select(*keys, F.explode(images).alias("i")).select(*keys, F.col("i.name").alias("name"), F.col("i.v").alias("v"))
-    for axis, size in sizes.items():
-        others = [k for k in keys if k != axis]
-        edge = F.when(F.col(axis) == 0, F.sequence(F.lit(-radius), F.lit(0))).when(F.col(axis) == size - 1, F.sequence(F.lit(size - 1), F.lit(size - 1 + radius))).otherwise(F.array(axis))
-        frame = Window.partitionBy("name", *others).orderBy("at").rowsBetween(-radius, radius)
-        wide = long.withColumn("at", F.explode(edge))
-        long = wide.withColumn("v", F.sum("v").over(frame) / F.lit(2 * radius + 1)).where(F.col("at") == F.col(axis)).drop("at")
-    means = long.groupBy(*keys).agg(*[F.max(F.when(F.col("name") == n, F.col("v"))).alias(n) for n in ("a", "b", "aa", "bb", "ab")])
+def rolling_ball(voxels: DataFrame, radius: int, height: int, width: int, block: dict[str, int] | None = None) -> DataFrame:
+    """Background: the least neighbour under a ball, raised by how far the ball's surface is below its top. Beyond the image
+    nothing is under the ball."""
+    offsets = ball(radius)
+
+    def kernel(image: np.ndarray, at: dict[str, int]) -> np.ndarray:
+        rows, columns = image.shape[0] - 2 * radius, image.shape[1] - 2 * radius
+        out = np.full((rows, columns), np.inf)
+        for dy, dx, term in offsets:
+            np.minimum(out, image[radius + dy : radius + dy + rows, radius + dx : radius + dx + columns] + term, out=out)
+        return out
+
+    return over_blocks(voxels, {"y": height, "x": width}, {"y": radius, "x": radius}, kernel, _schema(voxels), pad=np.inf, block=block)
+
+
+def ssim(pairs: DataFrame, radius: int, sizes: dict[str, int], k1: float = 0.01, k2: float = 0.03, block: dict[str, int] | None = None) -> DataFrame:
+    """Mean structural similarity of two images a and b in pairs(..., a, b), for each value of the columns that are no axis
+    of ``sizes``; the data range is that of a. A block's sums are its only result, so little more than the images move."""
+    keys = [k for k in ("t", "p", "c", "z", "y", "x") if k in pairs.columns and k not in sizes]
+    spread = pairs.groupBy(*keys).agg((F.max("a") - F.min("a")).cast("double").alias("range"))
+    ranged = pairs.join(spread, keys) if keys else pairs.crossJoin(F.broadcast(spread))  # one row
     n = (2 * radius + 1) ** 3
-    unbias = F.lit(n / (n - 1))
-    both = means.crossJoin(F.broadcast(spread))  # with the one row of the range
-    c1, c2 = F.pow(F.lit(k1) * F.col("range"), 2), F.pow(F.lit(k2) * F.col("range"), 2)
-    va, vb, vab = (unbias * (F.col(x) - F.col(l) * F.col(r)) for x, l, r in (("aa", "a", "a"), ("bb", "b", "b"), ("ab", "a", "b")))
-    score = ((2 * F.col("a") * F.col("b") + c1) * (2 * vab + c2)) / ((F.col("a") * F.col("a") + F.col("b") * F.col("b") + c1) * (va + vb + c2))
-    return both.agg(F.avg(score).alias("ssim"))
+    unbias = n / (n - 1)
+
+    def kernel(a: np.ndarray, b: np.ndarray, spread_of: np.ndarray, at: dict[str, int]) -> pd.DataFrame:
+        high = spread_of.max()
+        c1, c2 = (k1 * high) ** 2, (k2 * high) ** 2
+        ma, mb, maa, mbb, mab = (box_mean(x, radius) for x in (a, b, a * a, b * b, a * b))
+        va, vb, vab = unbias * (maa - ma * ma), unbias * (mbb - mb * mb), unbias * (mab - ma * mb)
+        score = ((2 * ma * mb + c1) * (2 * vab + c2)) / ((ma * ma + mb * mb + c1) * (va + vb + c2))
+        return pd.DataFrame({"total": [score.sum()], "n": [score.size]})
+
+    schema = "".join(f"{k} int, " for k in keys) + "total double, n long"
+    sums = over_blocks(ranged, sizes, dict.fromkeys(sizes, radius), kernel, schema, ("a", "b", "range"), block=block)
+    return sums.groupBy(*keys).agg((F.sum("total") / F.sum("n")).alias("ssim"))
+
+
+def _neighbours(voxels: DataFrame, offsets: list[tuple[int, int, float]], height: int, width: int) -> DataFrame:
+    """Each voxel sent to every (y, x) that sees it at one of the offsets, with the offset's term."""
+    table = F.array(*[F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx"), F.lit(float(c)).alias("term")) for dy, dx, c in offsets])
+    sent = voxels.withColumn("s", F.explode(table)).withColumn("oy", F.col("y") - F.col("s.dy")).withColumn("ox", F.col("x") - F.col("s.dx"))
+    return sent.where((F.col("oy") >= 0) & (F.col("oy") < height) & (F.col("ox") >= 0) & (F.col("ox") < width))
 
 
 def shift_linear(voxels: DataFrame, dy: float, dx: float, height: int, width: int) -> DataFrame:
@@ -95,7 +101,7 @@ def shift_linear(voxels: DataFrame, dy: float, dx: float, height: int, width: in
     fy, fx = math.floor(dy), math.floor(dx)
     ay, ax = dy - fy, dx - fx
     four = [(-fy - i, -fx - j, (ay if i else 1 - ay) * (ax if j else 1 - ax)) for i in (0, 1) for j in (0, 1)]
-    sent = _neighbours(voxels, four, height, width, clamp=False)
+    sent = _neighbours(voxels, four, height, width)
     parts = [F.coalesce(F.max(F.when((F.col("s.dy") == a) & (F.col("s.dx") == b), F.col("v") * F.lit(w))), F.lit(0.0)) for a, b, w in four]
     total = ((parts[0] + parts[1]) + parts[2]) + parts[3]
     return sent.groupBy("t", "p", "c", "z", F.col("oy").alias("y"), F.col("ox").alias("x")).agg(total.alias("v"))

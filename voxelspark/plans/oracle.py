@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from ..operators.fusion import cosine_mask, feather_profile, slab_feather
-from ..operators.stencil import ball
-from .queries import BLEND, EDGES, FILTERS, GEOMETRY, OFFSETS, PORTS
+from .queries import EDGES, FILTERS, LASERS, OFFSETS, PORTS
 
 D = "CAST({} AS DOUBLE)".format
 PX, OFF, GAIN = D(0.115), D(100.0), D(0.24)
@@ -24,34 +22,42 @@ def _e(text: str) -> str:
     return re.sub(r"(-?\d+\.\d+)D", lambda m: D(m[1]), text)
 
 
-def _list(values: list) -> str:
-    return "[" + ",".join(D(repr(float(v))) for v in values) + "]"
+#: Sine, cosine and tangent of 30 degrees, and the scan step in pixels.
+SIN, COS, TAN, STEP = D("0.49999999999999994"), D("0.8660254037844387"), D("0.5773502691896257"), "(CAST(0.4 AS DOUBLE)/CAST(0.115 AS DOUBLE))"
 
 
-def _deskew(source: str) -> str:
-    """ctes dsk(t,p,c,z,y,x,v) from a dense stack."""
-    g = GEOMETRY
-    n, h = g.planes, g.rows
-    depth = g.out[0] * g.factor
-    s, sin, cos, tan = (D(repr(x)) for x in (g.step, g.sin, g.cos, g.tan))
-    return f"""g0 AS (SELECT CAST(z AS INT) z, CAST(y AS INT) y, y - z/{tan} vp FROM range({depth}) a(z), range({g.out[1]}) b(y)),
+def _deskew(source: str, n: int = 5, h: int = 25, depth: int = 12, ny: int = 40) -> str:
+    """ctes dsk(t,p,c,z,y,x,v) from a stack of n planes of h rows: 2 ceil(h sin / 2) z's and ceil(n step + h cos) rows."""
+    s, sin, cos, tan = STEP, SIN, COS, TAN
+    return f"""g0 AS (SELECT CAST(z AS INT) z, CAST(y AS INT) y, y - z/{tan} vp FROM range({depth}) a(z), range({ny}) b(y)),
 g1 AS (SELECT z, y, vp, CAST(floor(vp/{s}) AS INT) pb FROM g0),
 g2 AS (SELECT z, y, pb, z/{sin} + (vp - pb*{s})*{cos} vb, z/{sin} - ({s} - (vp - pb*{s}))*{cos} va FROM g1 WHERE pb >= 0 AND pb + 1 < {n}),
 g3 AS (SELECT *, CAST(floor(vb) AS INT) jb, CAST(floor(va) AS INT) ja FROM g2),
 g4 AS (SELECT * FROM g3 WHERE jb >= 0 AND ja >= 0 AND jb + 1 < {h} AND ja + 1 < {h}),
 tap AS (SELECT z, y, 0 k, pb+1 sz, ja+1 sy, va-ja w FROM g4 UNION ALL SELECT z, y, 1, pb+1, ja, 1-va+ja FROM g4 UNION ALL SELECT z, y, 2, pb, jb+1, vb-jb FROM g4 UNION ALL SELECT z, y, 3, pb, jb, 1-vb+jb FROM g4),
 hit AS MATERIALIZED (SELECT i.t, i.p, i.c, tap.z, tap.y, i.x, k, i.v*w v FROM tap JOIN {source} i ON i.z=tap.sz AND i.y=tap.sy),
-val AS (SELECT t,p,c,z,y,x, least({D(65534)}, greatest({D(0)}, (((max(v) FILTER (k=0) + max(v) FILTER (k=1)) + max(v) FILTER (k=2)) + max(v) FILTER (k=3))/{s})) v FROM hit GROUP BY t,p,c,z,y,x),
-dsk AS (SELECT t,p,c, CAST(floor(z/{g.factor}) AS INT) z, y, x, CAST(floor(least({D(65534)}, sum(v))/{D(g.factor)}) AS INT) v FROM val GROUP BY t,p,c,CAST(floor(z/{g.factor}) AS INT),y,x)"""
+val AS (SELECT t,p,c,z,y,x, least({D(65534)}, greatest({D(0)}, (((coalesce(max(v) FILTER (k=0),0) + coalesce(max(v) FILTER (k=1),0)) + coalesce(max(v) FILTER (k=2),0)) + coalesce(max(v) FILTER (k=3),0))/{s})) v FROM hit GROUP BY t,p,c,z,y,x),
+dsk AS (SELECT t,p,c, CAST(floor(z/2) AS INT) z, y, x, CAST(floor(least({D(65534)}, sum(v))/{D(2)}) AS INT) v FROM val GROUP BY t,p,c,CAST(floor(z/2) AS INT),y,x)"""
+
+
+def _cosine(i: str, length: int) -> str:
+    """Half a cosine up over the first min(380, length // 2) places, mirrored at the end, 1 between."""
+    n = min(380, length // 2)
+    return f"(CASE WHEN {i} < {n} THEN 0.5*(1-cos(pi()*{i}/{n - 1})) WHEN {length - 1}-{i} < {n} THEN 0.5*(1-cos(pi()*({length - 1}-{i})/{n - 1})) ELSE {D(1)} END)"
+
+
+def _feather(i: str, length: int, blend: int) -> str:
+    """Linear ramps over ``blend`` places at both ends, the one at the end written last."""
+    return f"(CASE WHEN {length - 1}-{i} < {blend} THEN ({length - 1}-{i})/{D(blend)} WHEN {i} < {blend} THEN {i}/{D(blend)} ELSE {D(1)} END)"
 
 
 def _fuse() -> str:
-    h, w = GEOMETRY.out[1], GEOMETRY.columns
+    h, w = 40, 64
     return f"""WITH {R1}, {R4}, {FF}, {COR}, {_deskew("cor")},
 mz AS (SELECT t,p,c,y,x,max(v) v FROM dsk GROUP BY ALL),
 lo AS (SELECT min(stage_y) ly, min(stage_x) lx FROM r4),
 grid AS (SELECT k.t,k.p,k.c,CAST(y AS INT) y,CAST(x AS INT) x FROM (SELECT DISTINCT t,p,c FROM mz) k, range({h}) a(y), range({w}) b(x)),
-pl AS (SELECT g.t,g.c,g.p, g.y + CAST(floor((r4.stage_y-ly)/{PX}) AS INT) y, g.x + CAST(floor((r4.stage_x-lx)/{PX}) AS INT) x, coalesce(mz.v,0) v, {_list(cosine_mask(h))}[g.y+1]*{_list(cosine_mask(w))}[g.x+1] w
+pl AS (SELECT g.t,g.c,g.p, g.y + CAST(floor((r4.stage_y-ly)/{PX}) AS INT) y, g.x + CAST(floor((r4.stage_x-lx)/{PX}) AS INT) x, coalesce(mz.v,0) v, {_cosine("g.y", h)}*{_cosine("g.x", w)} w
  FROM grid g LEFT JOIN mz ON mz.t=g.t AND mz.p=g.p AND mz.c=g.c AND mz.y=g.y AND mz.x=g.x JOIN r4 ON r4.t=g.t AND r4.p=g.p, lo)
 SELECT t,c,y,x, CAST(list_reduce(list_prepend({{'v': {D(0)}, 'w': {D(0)}}}, list({{'v': CAST(v AS DOUBLE), 'w': w}} ORDER BY p)),
  lambda a, s: {{'v': floor(greatest({D(0)}, least({D(65535)}, (a.v + s.v*s.w)/(1+s.w)))), 'w': {D(0)}}}).v AS INT) v FROM pl GROUP BY t,c,y,x"""
@@ -67,44 +73,39 @@ def _block(source: str, z: int, y: int, x: int, trunc: bool) -> str:
     return f"(SELECT t,p,c,CAST(floor(z/{z}) AS INT) z,CAST(floor(y/{y}) AS INT) y,CAST(floor(x/{x}) AS INT) x, {f'CAST(floor({mean}) AS INT)' if trunc else mean} v FROM {source} GROUP BY ALL)"
 
 
-def _box(source: str, axis: str, size: int) -> str:
+def _box(source: str, axis: str, size: int, r: int = 1) -> str:
     near = ", ".join(f"s.{a}" for a in "tpczyx" if a != axis)
-    return f"(SELECT {', '.join('b.k' + ' ' + a if a == axis else 's.' + a for a in 'tpczyx')}, sum(CAST(s.v AS DOUBLE))/3 v FROM (SELECT CAST(k AS INT) k, least({size - 1}, greatest(0, CAST(k AS INT) + CAST(d AS INT) - 1)) src FROM range({size}) a(k), range(3) o(d)) b JOIN {source} s ON s.{axis}=b.src GROUP BY b.k, {near})"
+    return f"(SELECT {', '.join('b.k' + ' ' + a if a == axis else 's.' + a for a in 'tpczyx')}, sum(CAST(s.v AS DOUBLE))/{2 * r + 1} v FROM (SELECT CAST(k AS INT) k, least({size - 1}, greatest(0, CAST(k AS INT) + CAST(d AS INT) - {r})) src FROM range({size}) a(k), range({2 * r + 1}) o(d)) b JOIN {source} s ON s.{axis}=b.src GROUP BY b.k, {near})"
 
 
 def _boxed(column: str) -> str:
-    """Radius-1 box mean over z, y, x of a column of pair(z, y, x, a, b)."""
-    out = f"(SELECT 0 t, 0 p, 0 c, z, y, x, CAST({column} AS DOUBLE) v FROM pair)"
+    """Radius-1 box mean over z, y, x of a column of pair(p, z, y, x, a, b)."""
+    out = f"(SELECT 0 t, p, 0 c, z, y, x, CAST({column} AS DOUBLE) v FROM pair)"
     for axis, size in (("z", 5), ("y", 25), ("x", 64)):
         out = _box(out, axis, size)
     return out
 
 
-def _ints(values: list[int]) -> str:
-    return "[" + ",".join(map(str, values)) + "]"
-
-
-def _profile(values: list[float]) -> str:
-    return f"SELECT CAST(i AS INT) i, round({_list(values)}[i+1], 9) w FROM range({len(values)}) r(i)"
+def _profile(expression: str, length: int) -> str:
+    return f"SELECT CAST(i AS INT) i, round({expression}, 9) w FROM range({length}) r(i)"
 
 
-PAIR = "pair AS (SELECT a.z, a.y, a.x, a.v a, b.v b FROM r1 a JOIN r1 b ON a.z=b.z AND a.y=b.y AND a.x=b.x WHERE a.p=0 AND b.p=1)"
-_W3 = [[int(v * 1024) for v in feather_profile(n, b)] for n, b in zip((5, 25, 64), BLEND)]
+PAIR = "nxt AS (SELECT t, p, coalesce(lead(p) OVER (PARTITION BY t ORDER BY p), first_value(p) OVER (PARTITION BY t ORDER BY p)) q FROM r4), pair AS (SELECT a.p, a.z, a.y, a.x, a.v a, b.v b FROM r1 a JOIN nxt ON nxt.t=a.t AND nxt.p=a.p JOIN r1 b ON b.p=nxt.q AND a.z=b.z AND a.y=b.y AND a.x=b.x)"
 _OV = " AND ".join(f"abs(round_even((b.stage_{a}-a.stage_{a})/{PX},0)) < {n}" for a, n in (("z", 5), ("y", 25), ("x", 64)))
 _BOUNDS = ", ".join(f"greatest(0,o{a}) i_{a}0, least({n},o{a}+{n}) i_{a}1, greatest(0,-o{a}) j_{a}0, least({n},{n}-o{a}) j_{a}1" for a, n in (("z", 5), ("y", 25), ("x", 64)))
 PAIRS = f"prs AS (SELECT t,i,j,{_BOUNDS} FROM (SELECT a.t, a.p i, b.p j, " + ", ".join(f"CAST(round_even((b.stage_{a}-a.stage_{a})/{PX},0) AS INT) o{a}" for a in "zyx") + f" FROM r4 a JOIN r4 b ON a.t=b.t AND a.p<b.p WHERE {_OV}))"
 RES = f"res AS (SELECT e.t, e.i, e.j, sqrt((pow(b.dz-a.dz-e.dz,2)+pow(b.dy-a.dy-e.dy,2))+pow(b.dx-a.dx-e.dx,2)) residual FROM {_e(EDGES)} JOIN {_e(OFFSETS.replace('AS o(', 'AS a('))} ON a.t=e.t AND a.p=e.i JOIN {_e(OFFSETS.replace('AS o(', 'AS b('))} ON b.t=e.t AND b.p=e.j)"
-_BALL = ", ".join(f"({dy},{dx},{D(repr(h))})" for dy, dx, h in ball(2))
-BALL = f"bg AS (SELECT t,p,c,z,CAST(y-dy AS INT) y,CAST(x-dx AS INT) x,min(v+h) v FROM r1, (VALUES {_BALL}) k(dy,dx,h) WHERE y-dy BETWEEN 0 AND 24 AND x-dx BETWEEN 0 AND 63 GROUP BY 1,2,3,4,5,6)"
+_BALL = "(SELECT dy, dx, 2-sqrt(CAST(4-dy*dy-dx*dx AS DOUBLE)) h FROM range(-2,3) a(dy), range(-2,3) b(dx) WHERE dy*dy+dx*dx <= 4)"
+BALL = f"bg AS (SELECT t,p,c,z,CAST(y-dy AS INT) y,CAST(x-dx AS INT) x,min(v+h) v FROM r1, {_BALL} k WHERE y-dy BETWEEN 0 AND 24 AND x-dx BETWEEN 0 AND 63 GROUP BY 1,2,3,4,5,6)"
 
 
 def _shift() -> str:
     taps = [(-1, 3, 0.75 * 0.5), (-1, 2, 0.75 * 0.5), (-2, 3, 0.25 * 0.5), (-2, 2, 0.25 * 0.5)]
     one = [f"coalesce(s{k}.v*{D(w)},0)" for k, (_, _, w) in enumerate(taps)]
     terms = f"(({one[0]} + {one[1]}) + {one[2]}) + {one[3]}"
-    joins = " ".join(f"LEFT JOIN q s{k} ON s{k}.p=g.p AND s{k}.y=g.y+({dy}) AND s{k}.x=g.x+({dx})" for k, (dy, dx, _) in enumerate(taps))
+    joins = " ".join(f"LEFT JOIN q s{k} ON s{k}.p=g.p AND s{k}.z=g.z AND s{k}.y=g.y+({dy}) AND s{k}.x=g.x+({dx})" for k, (dy, dx, _) in enumerate(taps))
     any_ = " OR ".join(f"s{k}.v IS NOT NULL" for k in range(4))
-    return f"WITH {R1}, q AS (SELECT * FROM r1 WHERE z=0) SELECT g.t,g.p,g.c,g.z,g.y,g.x, {terms} v FROM q g {joins} WHERE {any_}"
+    return f"WITH {R1}, q AS (SELECT * FROM r1) SELECT g.t,g.p,g.c,g.z,g.y,g.x, {terms} v FROM q g {joins} WHERE {any_}"
 
 
 def _hot() -> str:
@@ -129,7 +130,7 @@ SQL: dict[str, str] = {
     "y_crop": f"WITH {R1} SELECT t,p,c,z,y-3 y,x,v FROM r1 WHERE y BETWEEN 3 AND 21",
     "fov_crop": f"WITH {R1} SELECT * FROM r1 WHERE x BETWEEN 8 AND 39 AND p < 3",
     "pad_shape": "SELECT CAST(n AS INT) n, CAST((4-n%4)%4 AS INT) pad FROM range(64) r(n)",
-    "axis_normalise": f"WITH {R1} SELECT t,p,CAST(floor(x/32) AS INT) c,z,y,x%32 x,v FROM r1",
+    "axis_normalise": f"WITH {R1} SELECT p t,0 p,CAST(floor(x/32) AS INT) c,z,y,x%32 x,v FROM r1",
     "time_slice": f"WITH {R3} SELECT * FROM r3 WHERE t >= 5 AND t < 12",
     "pos_slice": f"WITH {R1} SELECT * FROM r1 WHERE p >= 1 AND p < 3",
     "region_read": f"WITH {R1} SELECT * FROM r1 WHERE z IN (1,2) AND y BETWEEN 3 AND 8 AND x BETWEEN 10 AND 19",
@@ -153,12 +154,12 @@ SQL: dict[str, str] = {
     "deskew": f"WITH {R1}, {_deskew('r1')} SELECT * FROM dsk",
     "deskew_max_z": f"WITH {R1}, {_deskew('r1')} SELECT t,p,c,y,x,max(v) v FROM dsk GROUP BY ALL",
     "fused_extent_2d": f"WITH {R4}, e AS (SELECT min(stage_y) origin_y, min(stage_x) origin_x, CAST(floor((max(stage_y)+{D(repr(25 * 0.115))}-min(stage_y))/{PX}) AS INT) sy, CAST(floor((max(stage_x)+{D(repr(64 * 0.115))}-min(stage_x))/{PX}) AS INT) sx FROM r4) SELECT origin_y, origin_x, sy+(8-sy%8)%8 size_y, sx+(8-sx%8)%8 size_x FROM e",
-    "blend_mask_2d": _profile(cosine_mask(64)),
+    "blend_mask_2d": _profile(_cosine("i", 64), 64),
     "fuse_2d": _fuse(),
-    "feather_profile": _profile([0, 0.25, 0.5, 0.75, *[1] * 17, 0.75, 0.5, 0.25, 0]),
+    "feather_profile": _profile(_feather("i", 25, 4), 25),
     "fused_extent_3d": f"WITH {R4}, e AS (SELECT min(stage_z) origin_z, min(stage_y) origin_y, min(stage_x) origin_x, " + ", ".join(f"CAST(ceil((max(stage_{a})+{D(repr(n * 0.115))}-min(stage_{a}))/{PX}) AS INT) s{a}" for a, n in (("z", 5), ("y", 25), ("x", 64))) + " FROM r4) SELECT origin_z, origin_y, origin_x, sz+(5-sz%5)%5 size_z, sy+(25-sy%25)%25 size_y, sx+(64-sx%64)%64 size_x FROM e",
     "shard_overlap": f"WITH {R4}, o AS (SELECT t,p,CAST(round_even((p*3*{PX}-(SELECT min(p)*3*{PX} FROM r4))/{PX},0) AS INT) oz FROM r4) SELECT t,p,CAST(s AS INT) shard, greatest(CAST(s AS INT)*4,oz) z0, least((CAST(s AS INT)+1)*4,oz+5) z1 FROM o, range(1000) r(s) WHERE greatest(s*4,oz) < least((s+1)*4,oz+5)",
-    "fuse_3d": f"WITH {R1}, {R4}, lo AS (SELECT min(stage_z) lz, min(stage_y) ly, min(stage_x) lx FROM r4), pl AS (SELECT r1.t, c, z+CAST(round_even((stage_z-lz)/{PX},0) AS INT) z, y+CAST(round_even((stage_y-ly)/{PX},0) AS INT) y, x+CAST(round_even((stage_x-lx)/{PX},0) AS INT) x, v, CAST({_ints(_W3[0])}[z+1] AS BIGINT)*{_ints(_W3[1])}[y+1]*{_ints(_W3[2])}[x+1] w FROM r1 JOIN r4 USING (t,p), lo) SELECT t,c,z,y,x, CASE WHEN sum(w)>0 THEN CAST(floor(sum(w*v)/sum(w)) AS INT) ELSE 0 END v FROM pl GROUP BY t,c,z,y,x",
+    "fuse_3d": f"WITH {R1}, {R4}, lo AS (SELECT min(stage_z) lz, min(stage_y) ly, min(stage_x) lx FROM r4), pl AS (SELECT r1.t, c, z+CAST(round_even((stage_z-lz)/{PX},0) AS INT) z, y+CAST(round_even((stage_y-ly)/{PX},0) AS INT) y, x+CAST(round_even((stage_x-lx)/{PX},0) AS INT) x, v, ({_feather("z", 5, 2)}*{_feather("y", 25, 4)})*{_feather("x", 64, 8)} w FROM r1 JOIN r4 USING (t,p), lo) SELECT t,c,z,y,x, CASE WHEN sum(w)>0 THEN CAST(floor(sum(w*v)/sum(w)+{D("1e-9")}) AS INT) ELSE 0 END v FROM pl GROUP BY t,c,z,y,x",
     "overlap_pairs": f"WITH {R4}, {PAIRS} SELECT * FROM prs",
     "overlap_patches": f"WITH {R1}, {R4}, {PAIRS} SELECT prs.t,i,j,a.z-i_z0 z,a.y-i_y0 y,a.x-i_x0 x,a.v a,b.v b FROM prs JOIN r1 a ON a.t=prs.t AND a.p=i AND a.z>=i_z0 AND a.z<i_z1 AND a.y>=i_y0 AND a.y<i_y1 AND a.x>=i_x0 AND a.x<i_x1 JOIN r1 b ON b.t=prs.t AND b.p=j AND b.z-j_z0=a.z-i_z0 AND b.y-j_y0=a.y-i_y0 AND b.x-j_x0=a.x-i_x0",
     "edge_gates": f"SELECT * FROM {_e(EDGES)} WHERE score >= 0.7 AND abs(dz)<=20 AND abs(dy)<=50 AND abs(dx)<=100",
@@ -169,19 +170,33 @@ SQL: dict[str, str] = {
     "rolling_ball_r2": f"WITH {R1}, {BALL} SELECT {ALL}, round(v,6) v FROM bg",
     "subtract_background": f"WITH {R1}, {BALL} SELECT r1.t,r1.p,r1.c,r1.z,r1.y,r1.x, CAST(greatest(0,least(65535,r1.v-floor(bg.v))) AS INT) v FROM r1 JOIN bg USING (t,p,c,z,y,x)",
     "box_filter": f"WITH {R1} SELECT {ALL}, round(v,6) v FROM {_box(_box(_box('r1', 'z', 5), 'y', 25), 'x', 64)}",
-    "ssim": f"WITH {R1}, {PAIR}, m AS (SELECT a.v ma, b.v mb, aa.v maa, bb.v mbb, ab.v mab, (SELECT max(a)-min(a) FROM pair) r FROM {_boxed('a')} a JOIN {_boxed('b')} b USING (z,y,x) JOIN {_boxed('a*a')} aa USING (z,y,x) JOIN {_boxed('b*b')} bb USING (z,y,x) JOIN {_boxed('a*b')} ab USING (z,y,x)), u AS (SELECT ma, mb, 27/{D(26)}*(maa-ma*ma) va, 27/{D(26)}*(mbb-mb*mb) vb, 27/{D(26)}*(mab-ma*mb) vab, pow(0.01*r,2) c1, pow(0.03*r,2) c2 FROM m) SELECT round(avg(((2*ma*mb+c1)*(2*vab+c2))/((ma*ma+mb*mb+c1)*(va+vb+c2))),6) ssim FROM u",
+    "ssim": f"WITH {R1}, {R4}, {PAIR}, rg AS (SELECT p, max(a)-min(a) r FROM pair GROUP BY p), m AS (SELECT a.p, a.v ma, b.v mb, aa.v maa, bb.v mbb, ab.v mab, r FROM {_boxed('a')} a JOIN {_boxed('b')} b USING (p,z,y,x) JOIN {_boxed('a*a')} aa USING (p,z,y,x) JOIN {_boxed('b*b')} bb USING (p,z,y,x) JOIN {_boxed('a*b')} ab USING (p,z,y,x) JOIN rg ON rg.p=a.p), u AS (SELECT p, ma, mb, 27/{D(26)}*(maa-ma*ma) va, 27/{D(26)}*(mbb-mb*mb) vb, 27/{D(26)}*(mab-ma*mb) vab, pow(0.01*r,2) c1, pow(0.03*r,2) c2 FROM m) SELECT 0 t, p, 0 c, round(avg(((2*ma*mb+c1)*(2*vab+c2))/((ma*ma+mb*mb+c1)*(va+vb+c2))),6) ssim FROM u GROUP BY p",
     "shift_linear": _shift(),
-    "kl_divergence": f"WITH {R1}, {PAIR}, n AS (SELECT a+{D(1e-4)} p, b+{D(1e-4)} q FROM pair), s AS (SELECT sum(p) sp, sum(q) sq FROM n) SELECT round(sum(p/sp*(ln(p/sp)-ln(q/sq))),9) kl FROM n, s",
+    "kl_divergence": f"WITH {R1}, {R4}, {PAIR}, n AS (SELECT pair.p tile, a+{D(1e-4)} p, b+{D(1e-4)} q FROM pair), s AS (SELECT tile, sum(p) sp, sum(q) sq FROM n GROUP BY tile) SELECT 0 t, tile p, 0 c, round(sum(p/sp*(ln(p/sp)-ln(q/sq))),9) kl FROM n JOIN s USING (tile) GROUP BY tile",
     "consensus_update": f"WITH {R1} SELECT p,z,y,x, CASE WHEN (x+y+z)%3-1 < 0 THEN CAST(v AS DOUBLE) ELSE greatest({D(0)}, v*(((x*7+y)%5)*{D(0.5)})) END recon FROM r1",
     "reflect_index": "SELECT CAST(i AS INT) i, CAST(CASE WHEN m < 9 THEN m ELSE 16-m END AS INT) AS \"at\" FROM (SELECT i, ((i%16)+16)%16 m FROM range(-20, 21) r(i))",
     "fft_size": "SELECT CAST(n AS INT) n, CAST(min(s) AS INT) size FROM range(1,200) r(n), (SELECT CAST(pow(2,a)*pow(3,b) AS INT) s FROM range(10) x(a), range(7) y(b)) WHERE s >= n GROUP BY n",
     "chunk_cover": "SELECT CAST(n AS INT) n, k, CAST(greatest(0,least(s,n-k)) AS INT) start, CAST(least(n, greatest(0,least(s,n-k))+k) AS INT) stop FROM (SELECT n, k, unnest(range(0, n, k)) s FROM range(1,40) r(n), (VALUES (3),(5)) c(k))",
-    "slab_feather": _profile(slab_feather(40, 8)),
+    "slab_feather": _profile(f"CASE WHEN i < 8 THEN 0.5*(1-cos(pi()*i/{D(15)})) WHEN i >= 32 THEN 0.5*(1-cos(pi()*(i-24)/{D(15)})) ELSE {D(1)} END", 40),
     "index_to_physical": f"SELECT CAST(i AS INT) i, i*{D(0.23)}+{D(5.75)} um FROM range(64) r(i)",
     "layer_placement": f"WITH {R4} SELECT t,p,{D(0.23)} scale_z,{PX} scale_y,{PX} scale_x,stage_z,stage_y,stage_x FROM r4",
     "export_names": f"WITH {R4} SELECT p, printf('Scan_Iter_%04d_0000_CamA_ch0_CAM1_stack000_488nm_0000000000msec_%03dx_%03dy_000z_0000t.zarr', p, p%2, p//2) AS name FROM r4",
-    "skewed_coords": f"WITH {R1} SELECT z,y,round(z*{D(0.4)}+y*{D(repr(0.115 * GEOMETRY.cos))},9) AS \"lateral\", round(y*{D(repr(0.115 * GEOMETRY.sin))},9) axial FROM r1 WHERE p=0 AND x=0",
-    "lab2cam": f"WITH {R1} SELECT z,y,x,CAST(x AS DOUBLE) xp, round(z/{D(repr(GEOMETRY.sin))},9) yp, round(y-z/{D(repr(GEOMETRY.tan))},9) stage FROM r1 WHERE p=0 AND x<3",
+    "skewed_coords": f"WITH {R1} SELECT t,p,c,z,y,x,round(z*{D(0.4)}+y*{PX}*{COS},9) AS \"lateral\", round(y*{PX}*{SIN},9) axial FROM r1",
+    "lab2cam": f"WITH {R1} SELECT t,p,c,z,y,x,CAST(x AS DOUBLE) xp, round(z/{SIN},9) yp, round(y-z/{TAN},9) stage FROM r1",
+    "read_tile": f"WITH {R1} SELECT * FROM r1 WHERE p = 2 AND z IN (1,2) AND y BETWEEN 3 AND 8 AND x BETWEEN 10 AND 19",
+    "skip_missing": f"WITH {R4} SELECT t,p,CAST(c AS INT) c,stage_z,stage_y,stage_x FROM r4, range(2) k(c) WHERE p % 3 <> 1",
+    "first_frames": "SELECT user_id p, arg_min(value, event_id) stage_x FROM events WHERE event_id % 7 <> 0 AND event_id % 3 = 0 AND value IS NOT NULL AND user_id IS NOT NULL GROUP BY 1",
+    "wavelengths": f"SELECT name, CASE WHEN name IN ('405nm', '488 nm') THEN CAST(left(name, 3) AS DOUBLE)/1000 END um FROM (VALUES {LASERS}) v(name)",
+    "fused_placement": f"WITH {R4} SELECT " + ", ".join(f"(min(stage_{a})+max(stage_{a})+{D(repr(n * 0.115))})/2 centre_{a}" for a, n in (("z", 5), ("y", 25), ("x", 64))) + " FROM r4",
+    "channel_order": "SELECT CAST(place AS INT) place, event_type channel FROM (SELECT event_type, row_number() OVER (ORDER BY min(event_id))-1 place FROM events WHERE event_type <> '' GROUP BY 1) WHERE place < 3",
+    "batch_means": f"WITH {R2} SELECT p,c,0 batch,y,x,round(sum(CAST(floor(greatest({D(0)},least({D(65535)},(v-{OFF})*{GAIN}))) AS INT))/{D(7)},6) v FROM r2 GROUP BY p,c,y,x",
+    "flatfield_estimate": f"WITH {R1}, m AS (SELECT 0 t, 0 p, c, 0 z, y, x, avg(CAST(floor(greatest({D(0)},least({D(65535)},(v-{OFF})*{GAIN}))) AS INT)) v FROM r1 GROUP BY c,y,x), b AS (SELECT * FROM {_box(_box('m', 'y', 25, 2), 'x', 64, 2)}) SELECT c,y,x,round(v/(SELECT avg(v) FROM b),6) ff FROM b",
+    "reduced_patches": f"WITH {R1}, {R4}, {PAIRS}, f AS (SELECT *, greatest(1,least(3,i_z1-i_z0)) f_z, greatest(1,least(5,i_y1-i_y0)) f_y, greatest(1,least(5,i_x1-i_x0)) f_x FROM prs) SELECT f.t,i,j,f_z,f_y,f_x,CAST(floor((a.z-i_z0)/f_z) AS INT) z,CAST(floor((a.y-i_y0)/f_y) AS INT) y,CAST(floor((a.x-i_x0)/f_x) AS INT) x,sum(a.v)/CAST(any_value(f_z*f_y*f_x) AS DOUBLE) a,sum(b.v)/CAST(any_value(f_z*f_y*f_x) AS DOUBLE) b FROM f JOIN r1 a ON a.t=f.t AND a.p=i AND a.z>=i_z0 AND a.z<i_z1 AND a.y>=i_y0 AND a.y<i_y1 AND a.x>=i_x0 AND a.x<i_x1 JOIN r1 b ON b.t=f.t AND b.p=j AND b.z-j_z0=a.z-i_z0 AND b.y-j_y0=a.y-i_y0 AND b.x-j_x0=a.x-i_x0 GROUP BY 1,2,3,4,5,6,7,8,9",
+    "phase_corr": f"WITH {R1} SELECT DISTINCT t,p,c,z,CAST(-(p%5) AS DOUBLE) dy,CAST(-(2*p%7) AS DOUBLE) dx FROM r1",
+    "box_filter_sparse": f"WITH {R2} SELECT * FROM (SELECT {ALL}, round(v,6) v FROM {_box(_box(_box('r2', 'z', 7), 'y', 50), 'x', 64)}) WHERE v <> 0",
+    "deskew_sparse": f"WITH {R2}, {_deskew('r2', 7, 50, 24, 68)} SELECT * FROM dsk WHERE v <> 0",
+    "deskew_reversed": f"WITH {R1}, {_deskew('r1')} SELECT t,p,c,5-z z,y,x,v FROM dsk",
+    "fuse_2d_mean": f"WITH {R1}, {R4}, mz AS (SELECT t,p,c,y,x,max(v) v FROM r1 GROUP BY ALL), lo AS (SELECT min(stage_y) ly, min(stage_x) lx FROM r4), pl AS (SELECT mz.t,mz.c, mz.y + CAST(floor((r4.stage_y-ly)/{PX}) AS INT) y, mz.x + CAST(floor((r4.stage_x-lx)/{PX}) AS INT) x, v, {_cosine('mz.y', 25)}*{_cosine('mz.x', 64)} w FROM mz JOIN r4 USING (t,p), lo) SELECT t,c,y,x, CASE WHEN sum(w)>0 THEN CAST(floor(sum(v*w)/sum(w)+{D('1e-9')}) AS INT) ELSE 0 END v FROM pl GROUP BY t,c,y,x",
     "multiscale_read": f"SELECT CAST(level AS INT) \"level\", 'scale'||level||'/image' path, axis, round(base*CASE WHEN base=1 THEN 1 ELSE f END,9) \"scale\", round(o+(f-1)*base/2*h,9) \"shift\" FROM (VALUES (0,1),(1,2),(2,4),(3,8)) l(level,f), (VALUES ('t',{D(1.0)},{D(0.0)},0),('c',{D(1.0)},{D(0.0)},0),('z',{D(0.4)},{D(1.0)},1),('y',{PX},{D(3.0)},1),('x',{PX},{D(-2.0)},1)) a(axis,base,o,h)",
     "multiscale_read_v04": f"SELECT CAST(level AS INT) \"level\", CAST(level AS VARCHAR) path, axis, round(base*CASE WHEN h=0 THEN 1 ELSE pow(2,level) END,9) \"scale\", round(o+(pow(2,level)-1)*base/2*h,9) \"shift\" FROM range(4) l(level), (VALUES ('t',{D(1.0)},{D(0.0)},0),('c',{D(1.0)},{D(0.0)},0),('y',{PX},{D(3.0)},1),('x',{PX},{D(-2.0)},1)) a(axis,base,o,h)",
     "asi_geometry": f"SELECT CAST(a AS INT) angle, round({D(90.0)}-a,9) tilt, round({D(1.5)}/tan(radians(a)),9) step FROM range(20,70) r(a)",

@@ -27,19 +27,14 @@ SIZES = dict(zip("zyx", A.SHAPE))
 EDGES = "(VALUES (0, 0, 1, 1, 2, 3, 0.9D), (0, 1, 2, 0, 1, 0, 0.8D), (0, 0, 2, 1, 3, 3, 0.95D), (0, 2, 3, 2, -1, 4, 0.75D), (0, 1, 3, 30, 0, 4, 0.85D), (0, 0, 3, 3, 2, 7, 0.6D)) AS e(t, i, j, dz, dy, dx, score)"
 OFFSETS = "(VALUES (0, 0, 0.0D, 0.0D, 0.0D), (0, 1, 1.0D, 2.0D, 3.0D), (0, 2, 1.0D, 3.0D, 3.5D), (0, 3, 3.0D, 2.0D, 7.0D)) AS o(t, p, dz, dy, dx)"
 BLEND = (2, 4, 8)
+#: Sizes of the sparse raster.
+SPARSE = {"z": 7, "y": 50, "x": 64}
 
 
 def _edges(spark: SparkSession) -> DataFrame:
     return spark.sql(f"SELECT * FROM {EDGES}")
 
 
-def _plane_pairs(spark: SparkSession, d: str) -> DataFrame:
-    """Tile 0 against tile 1, voxel by voxel."""
-    s = A.stack(spark, d)
-    a, b = (s.where(F.col("p") == p).select("z", "y", "x", F.col("v").alias(n)) for p, n in ((0, "a"), (1, "b")))
-    return a.join(b, ["z", "y", "x"])
-
-
 def _tile_pairs(spark: SparkSession, d: str) -> DataFrame:
     """Every tile (a) against the next one of its time (b), the last against the first, voxel by voxel."""
     w = Window.partitionBy("t").orderBy("p")
@@ -55,7 +50,7 @@ def _corrected(spark: SparkSession, d: str) -> DataFrame:
 
 def flagship(spark: SparkSession, d: str) -> DataFrame:
     """correct -> deskew -> max over z -> 2-D fusion, as lines of pixels up to the fusion."""
-    rows = S.max_lines(S.deskew_lines(S.lines(_corrected(spark, d)), GEOMETRY))
+    rows = S.max_lines(S.deskew_lines(S.lines(_corrected(spark, d), GEOMETRY.columns), GEOMETRY))
     return U.fuse_2d(rows, A.tiles(spark, d), A.PIXEL, GEOMETRY.out[1], A.SHAPE[2])
 
 
@@ -86,8 +81,7 @@ def _profile(spark: SparkSession, values: list[float]) -> DataFrame:
 
 def _chunk_cover(spark: SparkSession, d: str) -> DataFrame:
     n = _range(spark, 40, "n").where("n > 0").withColumn("k", F.explode(F.array(F.lit(3), F.lit(5))))
-    cut = n.withColumn("start", F.explode(F.expr("sequence(0, n - 1, k)")))
-    return cut.select("n", "k", F.greatest(F.lit(0), F.least("start", F.col("n") - F.col("k"))).alias("start"), F.least(F.col("n"), F.greatest(F.lit(0), F.least("start", F.col("n") - F.col("k"))) + F.col("k")).alias("stop"))
+    return n.select("n", "k", F.explode(P.chunk_cover(F.col("n"), F.col("k"))).alias("s")).select("n", "k", "s.start", "s.stop")
 
 
 def _noise(spark: SparkSession) -> DataFrame:
@@ -115,9 +109,22 @@ def _consensus(spark: SparkSession, d: str) -> DataFrame:
     return P.consensus_update(cells).select("p", "z", "y", "x", "recon")
 
 
+def _pairs(spark: SparkSession, d: str) -> DataFrame:
+    return G.overlap_pairs(A.tiles(spark, d), A.PIXEL, SIZES)
+
+
 def _registered(spark: SparkSession, d: str) -> DataFrame:
     tiles = A.tiles(spark, d)
-    return G.register_pairs(G.overlap_patches(A.stack(spark, d), G.overlap_pairs(tiles, A.PIXEL, SIZES)))
+    pairs = G.overlap_pairs(tiles, A.PIXEL, SIZES)
+    return G.register_pairs(G.reduce_patches(G.overlap_patches(A.stack(spark, d), pairs), pairs, (1, 1, 2)))
+
+
+def _positions(spark: SparkSession, d: str) -> int:
+    return A.tiles(spark, d).agg(F.max("p").alias("n")).first()["n"] + 1
+
+
+def _frames(spark: SparkSession, d: str) -> DataFrame:
+    return A.tiles(spark, d).select("t", "p", F.explode(F.array(F.lit(0), F.lit(1))).alias("c"))
 
 
 def _matched(spark: SparkSession, d: str) -> DataFrame:
@@ -146,7 +153,7 @@ def _shifts(spark: SparkSession, d: str) -> DataFrame:
 
 def _rlgc(spark: SparkSession, d: str) -> DataFrame:
     psf = D.gaussian_psf(0.52, 1.35, 1.4, (A.STEP, A.PIXEL, A.PIXEL), (5, 9, 9))
-    return D.deconvolve(A.stack(spark, d), psf, A.SHAPE[0], slab=512, overlap=2)
+    return D.deconvolve(A.stack(spark, d), psf, A.SHAPE, overlap=2)
 
 
 def _kernel_chunks(spark: SparkSession, d: str) -> DataFrame:
@@ -159,6 +166,7 @@ def _vals(text: str) -> Callable[[SparkSession], DataFrame]:
     return lambda spark: spark.sql(f"SELECT * FROM (VALUES {text}) AS v(name)")
 
 
+LASERS = "('405nm'), ('488 nm'), ('561nm mm'), ('none'), ('')"
 PORTS = "('1 - Dynamic Range'), ('2 - Speed'), ('3 - Sensitivity'), ('4 - Sub-Electron'), ('none')"
 FILTERS = "('525/50 em'), ('700.5 em'), ('none'), ('405 ex 450/40 em'), ('')"
 
@@ -172,13 +180,25 @@ QUERIES: dict[str, Q] = {
     "y_crop": lambda s, d: P.crop(A.stack(s, d), "y", 3, 22),
     "fov_crop": lambda s, d: P.between(A.stack(s, d), x=(8, 40), p=(0, 3)),
     "pad_shape": lambda s, d: _range(s, 64, "n").select("n", P.pad_to_multiple(F.col("n")).cast("int").alias("pad")),
-    "axis_normalise": lambda s, d: A.stack(s, d).select("t", "p", F.floor(F.col("x") / 32).cast("int").alias("c"), "z", "y", (F.col("x") % 32).cast("int").alias("x"), "v"),
+    "axis_normalise": lambda s, d: P.normalise_axes(A.stack(s, d).select(F.floor(F.col("x") / 32).cast("int").alias("c"), F.col("p").alias("t"), "z", "y", (F.col("x") % 32).cast("int").alias("x"), "v"), "tzcyx"),
     "time_slice": lambda s, d: P.between(A.timelapse(s, d), t=(5, 12)),
     "pos_slice": lambda s, d: P.between(A.stack(s, d), p=(1, 3)),
     "region_read": lambda s, d: P.between(A.stack(s, d), z=(1, 3), y=(3, 9), x=(10, 20)),
     "port_gain_lookup": lambda s, d: _vals(PORTS)(s).select("name", M.port_gain(F.col("name")).alias("gain")),
     "emission_parse": lambda s, d: _vals(FILTERS)(s).select("name", M.emission_um(F.col("name")).alias("em")).where("em is not null"),
-    "json_key_lookup": lambda s, d: A.read(s, d, "events").select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k")),
+    "json_key_lookup": lambda s, d: A.read(s, d, "events").select("event_id", M.json_find(F.col("props"), "k").cast("long").alias("k")),
+    "read_tile": lambda s, d: P.read_tile(A.stack(s, d), 2, 4, z=(1, 3), y=(3, 9), x=(10, 20)),
+    "skip_missing": lambda s, d: M.with_positions(_frames(s, d), A.tiles(s, d).where("p % 3 <> 1")),
+    "first_frames": lambda s, d: M.first_time_positions(A.read(s, d, "events").select((F.col("event_id") % 3).cast("int").alias("t"), F.col("user_id").alias("p"), "event_id", F.when(F.col("event_id") % 7 != 0, F.col("value")).alias("stage_x")), ["stage_x"]),
+    "wavelengths": lambda s, d: _vals(LASERS)(s).select("name", M.wavelength_um(F.col("name")).alias("um")),
+    "fused_placement": lambda s, d: M.fused_placement(A.tiles(s, d), A.PIXEL, SIZES),
+    "channel_order": lambda s, d: M.ordered_distinct(A.read(s, d, "events"), "event_type", "event_id").select("place", F.col("event_type").alias("channel")).where("place < 3"),
+    "batch_means": lambda s, d: D.batch_means(A.histogram(s, d), A.OFFSET, A.GAIN, 7, batches=1).withColumn("v", F.round("v", 6)),
+    "reduced_patches": lambda s, d: G.reduce_patches(G.overlap_patches(A.stack(s, d), _pairs(s, d)), _pairs(s, d), (3, 5, 5)),
+    "box_filter_sparse": lambda s, d: N.box_filter(A.histogram(s, d), 1, SPARSE).withColumn("v", F.round("v", 6)).where("v <> 0"),
+    "deskew_sparse": lambda s, d: S.deskew(A.histogram(s, d), S.Geometry(7, 50, 64), block=3).where("v <> 0"),
+    "deskew_reversed": lambda s, d: S.deskew(A.stack(s, d), GEOMETRY, reverse=True),
+    "fuse_2d_mean": lambda s, d: U.fuse_2d(S.lines(R.max_project(A.stack(s, d)).withColumn("z", F.lit(0)), 64).drop("z"), A.tiles(s, d), A.PIXEL, 25, 64, mode="weighted_mean"),
     "max_z": lambda s, d: R.max_project(A.stack(s, d)),
     "correct_max_z": lambda s, d: R.max_project(P.camera_correct(A.histogram(s, d), A.OFFSET, A.GAIN)),
     "mean_t": lambda s, d: R.mean_time(P.photon_convert(A.timelapse(s, d)), 30),
@@ -194,7 +214,7 @@ QUERIES: dict[str, Q] = {
     "tile_grid_overlap": _grid_overlap,
     "deskew_shape": lambda s, d: s.createDataFrame([(n, h, *S.Geometry(n, h, 64).shape()[:4], S.Geometry(n, h, 64).shape(True)[4]) for n, h in ((5, 25), (40, 25), (100, 64))], "n int, h int, nz int, ny int, nx int, pad int, crop int"),
     "deskew": lambda s, d: S.deskew(A.stack(s, d), GEOMETRY),
-    "deskew_max_z": lambda s, d: S.voxels_of(S.max_lines(S.deskew_lines(S.lines(A.stack(s, d)), GEOMETRY))),
+    "deskew_max_z": lambda s, d: S.voxels_of(S.max_lines(S.deskew_lines(S.lines(A.stack(s, d), GEOMETRY.columns), GEOMETRY))),
     "fused_extent_2d": lambda s, d: U.extent(A.tiles(s, d), A.PIXEL, {"y": 25, "x": 64}, {"y": 8, "x": 8}, up=False),
     "blend_mask_2d": lambda s, d: _profile(s, U.cosine_mask(64)),
     "fuse_2d": flagship,
@@ -213,32 +233,32 @@ QUERIES: dict[str, Q] = {
     "rolling_ball_r2": lambda s, d: N.rolling_ball(A.stack(s, d), 2, *A.SHAPE[1:]).withColumn("v", F.round("v", 6)),
     "subtract_background": lambda s, d: P.subtract_background(A.stack(s, d), N.rolling_ball(A.stack(s, d), 2, *A.SHAPE[1:]).withColumn("v", F.floor("v"))),
     "box_filter": lambda s, d: N.box_filter(A.stack(s, d), 1, SIZES).withColumn("v", F.round("v", 6)),
-    "ssim": lambda s, d: N.ssim(_plane_pairs(s, d), 1, SIZES).select(F.round("ssim", 6).alias("ssim")),
-    "shift_linear": lambda s, d: N.shift_linear(A.stack(s, d).where("z = 0"), 1.25, -2.5, *A.SHAPE[1:]),
-    "kl_divergence": lambda s, d: R.kl_divergence(_plane_pairs(s, d), "a", "b").select(F.round("kl", 9).alias("kl")),
+    "ssim": lambda s, d: N.ssim(_tile_pairs(s, d), 1, SIZES).withColumn("ssim", F.round("ssim", 6)),
+    "shift_linear": lambda s, d: N.shift_linear(A.stack(s, d), 1.25, -2.5, *A.SHAPE[1:]),
+    "kl_divergence": lambda s, d: R.kl_divergence(_tile_pairs(s, d), "a", "b", keys=("t", "p", "c")).withColumn("kl", F.round("kl", 9)),
     "consensus_update": _consensus,
     "reflect_index": lambda s, d: _range(s, 41).select((F.col("i") - 20).alias("i")).select("i", P.reflect_index(F.col("i"), 9).cast("int").alias("at")),
     "fft_size": lambda s, d: s.createDataFrame([(n, D.smooth_size(n)) for n in range(1, 200)], "n int, size int"),
     "chunk_cover": _chunk_cover,
     "slab_feather": lambda s, d: _profile(s, U.slab_feather(40, 8)),
     "index_to_physical": lambda s, d: _range(s, 64).select("i", M.index_to_physical(F.col("i"), [("scale", 0.23), ("translation", 5.75)]).alias("um")),
-    "layer_placement": lambda s, d: A.tiles(s, d).select("t", "p", F.lit(2 * A.PIXEL).alias("scale_z"), F.lit(A.PIXEL).alias("scale_y"), F.lit(A.PIXEL).alias("scale_x"), "stage_z", "stage_y", "stage_x"),
+    "layer_placement": lambda s, d: M.layer_placement(A.tiles(s, d), A.PIXEL),
     "export_names": lambda s, d: A.tiles(s, d).select("p", M.export_name(F.col("p"), F.lit(0), F.lit("488nm"), "0000000000msec", (F.col("p") % 2).cast("int"), F.floor(F.col("p") / 2).cast("int"), F.lit(0), F.col("t")).alias("name")),
-    "skewed_coords": lambda s, d: A.stack(s, d).where("p = 0 and x = 0").select("z", "y", F.round(F.col("z") * A.STEP + F.col("y") * F.lit(A.PIXEL * GEOMETRY.cos), 9).alias("lateral"), F.round(F.col("y") * F.lit(A.PIXEL * GEOMETRY.sin), 9).alias("axial")),
-    "lab2cam": lambda s, d: A.stack(s, d).where("p = 0 and x < 3").select("z", "y", "x", *[F.round(e, 9).alias(n) for n, e in zip(("xp", "yp", "stage"), S.lab_to_camera(F.col("x").cast("double"), F.col("y"), F.col("z"), A.TILT))]),
+    "skewed_coords": lambda s, d: A.stack(s, d).select("t", "p", "c", "z", "y", "x", *[F.round(M.skewed_coords(F.col("z"), F.col("y"), GEOMETRY.theta, A.PIXEL, A.STEP, k), 9).alias(k) for k in ("lateral", "axial")]),
+    "lab2cam": lambda s, d: A.stack(s, d).select("t", "p", "c", "z", "y", "x", *[F.round(e, 9).alias(n) for n, e in zip(("xp", "yp", "stage"), S.lab_to_camera(F.col("x").cast("double"), F.col("y"), F.col("z"), A.TILT))]),
     "multiscale_read": lambda s, d: _multiscale(s, False),
     "multiscale_read_v04": lambda s, d: _multiscale(s, True),
     "asi_geometry": lambda s, d: _range(s, 50, "angle").select((F.col("angle") + 20).alias("angle")).select("angle", *[F.round(v, 9).alias(n) for n, v in zip(("tilt", "step"), M.scan_geometry(F.col("angle"), F.lit(1.5)))]),
     "optical_resolution": lambda s, d: _range(s, 30, "n").select((F.col("n") * 10 + 400).alias("nm")).select("nm", *[F.round(F.col("nm") * F.lit(r), 9).alias(n) for n, r in zip(("xy", "z"), D.resolution(1.0, 1.35, 1.4))]),
     "skewed_roi": lambda s, d: _range(s, 40, "n").select("n", *[v.alias(n) for n, v in zip(("planes", "n_rows", "n_columns"), M.skewed_size(F.col("n") * 0.37 + 1.01, F.col("n") * 0.53 + 1.03, F.col("n") * 0.29 + 2.07, math.radians(30), A.PIXEL, A.STEP))]),
-    "tile_index_split": lambda s, d: _range(s, 24, "idx").select("idx", F.floor(F.col("idx") / 4).cast("int").alias("t"), F.pmod("idx", F.lit(4)).cast("int").alias("p")),
+    "tile_index_split": lambda s, d: _range(s, 24, "idx").select("idx", *[c.alias(n) for n, c in zip("tp", P.split_index(F.col("idx"), 4))]),
     "edges_json_roundtrip": lambda s, d: M.edges_from_json(M.edges_to_json(_edges(s))),
     "per_index_metadata": _per_index,
     "hist_match": _matched,
     "phase_corr": _shifts,
     "register_pairs": _registered,
     "rlgc": _rlgc,
-    "flatfield_estimate": lambda s, d: D.flat_field(A.stack(s, d), A.OFFSET, A.GAIN, *A.SHAPE[1:]),
+    "flatfield_estimate": lambda s, d: D.flat_field(A.stack(s, d), A.OFFSET, A.GAIN, A.SHAPE, _positions(s, d)).withColumn("ff", F.round("ff", 6)),
     "chunk_roundtrip": _kernel_chunks,
     "rasterise_lineitem": A.histogram,
     "rasterise_events": A.timelapse,

@@ -44,8 +44,17 @@ def pages(data: bytes) -> tuple[list[np.ndarray], str]:
     return out, description
 
 
-def write(path: str, stack: np.ndarray, axes: str, compress: bool = False) -> None:
-    """A stack as pages with an OME description; compressed pages take the horizontal predictor."""
+def write(path: str, stack: np.ndarray, axes: str, compress: bool = False, metadata: dict | None = None) -> None:
+    from . import files
+
+    files.write_bytes(path, encode(stack, axes, compress, metadata))
+
+
+def encode(stack: np.ndarray, axes: str, compress: bool = False, metadata: dict | None = None) -> bytes:
+    """A stack as pages with an OME description, and acquisition metadata as JSON; compressed pages take the horizontal
+    predictor."""
+    import json
+
     sizes = dict(zip(axes, stack.shape))
     kind = "float" if stack.dtype.kind == "f" else f"uint{8 * stack.dtype.itemsize}"
     ome = "".join(f' Size{a}="{sizes.get(a, 1)}"' for a in "XYZCT")
@@ -61,18 +70,21 @@ def write(path: str, stack: np.ndarray, axes: str, compress: bool = False) -> No
         out += body
         note = len(out)
         out += text if n == 0 else b""
+        words = json.dumps(metadata).encode() + b"\0" if n == 0 and metadata else b""
+        said = len(out)
+        out += words
         out += b"\0" * (len(out) % 2)
         tags = [(256, 4, 1, page.shape[1]), (257, 4, 1, page.shape[0]), (258, 3, 1, 8 * page.dtype.itemsize), (259, 3, 1, 8 if compress else 1), (262, 3, 1, 1)]
         tags += [(270, 2, len(text), note)] if n == 0 else []
         tags += [(273, 4, 1, place), (277, 3, 1, 1), (278, 4, 1, page.shape[0]), (279, 4, 1, len(body))]
         tags += [(317, 3, 1, 2)] if compress and page.dtype.kind == "u" else []
         tags += [(339, 3, 1, 3 if page.dtype.kind == "f" else 1)]
+        tags += [(51123, 2, len(words), said)] if words else []
         struct.pack_into("<I", out, link, len(out))
         out += struct.pack("<H", len(tags)) + b"".join(struct.pack("<HHII", *t) for t in tags)
         link = len(out)
         out += b"\0\0\0\0"
-    with open(path, "wb") as f:
-        f.write(out)
+    return bytes(out)
 
 
 def read(spark: SparkSession, path: str, axes: str) -> DataFrame:
@@ -108,12 +120,60 @@ def write_raw(path: str, stack: np.ndarray) -> None:
         f.write(f"Frames: {stack.shape[0]}\nData Type: {stack.dtype.name}\nHeight: {stack.shape[1]}\nWidth: {stack.shape[2]}\nByte Order: {order}\n")
 
 
-def frame_array(frame: DataFrame, axes: tuple[str, ...], dtype: str = "uint16") -> np.ndarray:
-    """One image of bounded size, put together on the driver for a single-file format."""
+def write_planes(frame: DataFrame, folder: str, axes: str, sizes: dict[str, int], dtype: str = "uint16", compress: bool = True) -> DataFrame:
+    """Write an image as one TIFF for each value of the axes before ``axes`` (y and x last), each by the task that holds it;
+    returns the names. A file holds one stack of ``axes``, which is what a task is given; absent voxels are 0."""
+    import pandas as pd
+
+    from . import files
+
+    own = axes.lower()
+    keys = [k for k in ("t", "p", "c", "z") if k not in own]
+    shape = [sizes[a] for a in own]
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        stack = np.zeros(shape, dtype)
+        stack[tuple(group[a].to_numpy() for a in own)] = group.v.to_numpy().astype(dtype)
+        name = "_".join(f"{k}{int(group[k].iloc[0]):04d}" for k in keys) + ".tif"
+        files.write_bytes(f"{folder}/{name}", encode(stack, axes.upper(), compress))
+        return pd.DataFrame({"name": [name]})
+
+    inside = frame
+    for a in own:
+        inside = inside.where((inside[a] >= 0) & (inside[a] < sizes[a]))
+    return inside.groupBy(*keys).applyInPandas(run, "name string")
+
+
+def frame_array(frame: DataFrame, axes: tuple[str, ...], dtype: str = "uint16", limit: int = 1 << 28) -> np.ndarray:
+    """One image of at most ``limit`` pixels, put together on the driver for a single-file format; ValueError for a larger
+    one (see ``write_planes``)."""
+    from pyspark.sql import functions as F
+
+    high = frame.agg(*[F.max(a).alias(a) for a in axes]).first()
+    size = [int(high[a] if high[a] is not None else -1) + 1 for a in axes]
+    if int(np.prod([float(s) for s in size])) > limit:
+        raise ValueError(f"an image of {size} is not collected")
     rows = frame.select(*axes, "v").toPandas()
-    size = [int(rows[a].max()) + 1 for a in axes]
     out = np.zeros(size, dtype)
     out[tuple(rows[a].to_numpy() for a in axes)] = rows.v.to_numpy().astype(dtype)
     return out
 
 
+def instrument(data: bytes) -> dict:
+    """The first page's acquisition metadata: the JSON in tag 51123; empty where there is none."""
+    import json
+
+    order = {b"II": "<", b"MM": ">"}[data[:2]]
+    tags, _ = _tags(data, struct.unpack_from(order + "I", data, 4)[0], order)
+    return json.loads(tags[51123][0]) if 51123 in tags else {}
+
+
+def camera(metadata: dict) -> tuple[float, float]:
+    """The camera's offset and gain, by the port's name; ValueError where a port is unknown."""
+    from ..functions.metadata import PORT_GAINS
+
+    port = str(metadata["pvcam-Port"])
+    for name, gain in PORT_GAINS:
+        if name in port:
+            return float(metadata["pvcam-Offset"]), gain
+    raise ValueError(f"unknown camera port {port}")

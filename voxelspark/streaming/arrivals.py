@@ -6,22 +6,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.deskew import Geometry, deskew_lines, lines, max_lines, voxels_of
 from ..operators.pixel import camera_correct
 
+VOXELS = "t int, p int, c int, z int, y int, x int, v int"
+
 
 def voxel_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Voxels of Parquet files (t, p, c, z, y, x, v) as they arrive in a folder."""
-    return spark.readStream.schema("t int, p int, c int, z int, y int, x int, v int").parquet(folder)
+    return spark.readStream.schema(VOXELS).parquet(folder)
 
 
-def project_arrivals(stream: DataFrame, offset: float, gain: float) -> DataFrame:
-    """Maximum projections that rise as planes arrive: a maximum is a mergeable state of one value a pixel."""
-    return camera_correct(stream, offset, gain).groupBy("t", "p", "c", "y", "x").agg(F.max("v").alias("v"))
+def start(stream: DataFrame, sink: str, checkpoint: str, offset: float, gain: float, geometry: Geometry | None = None, flat: DataFrame | None = None) -> StreamingQuery:
+    """Process what is there and stop: one Parquet table of maximum projections (t, p, c, y, x, v) for each micro-batch.
 
+    A batch is corrected, deskewed where a geometry is given, and projected by itself, so no state is kept, however long the
+    stream runs; a batch that runs again replaces its table. With a geometry all planes of a stack (t, p, c) must arrive in
+    one file, as a deskewed row reads two of them. ``projections`` puts the batches together.
+    """
 
-def start(stream: DataFrame, sink: str, checkpoint: str) -> StreamingQuery:
-    """Process what is there and stop; each batch's projections are written whole."""
     def save(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{sink}/batch={number}")
+        corrected = camera_correct(batch, offset, gain, flat)
+        if geometry is None:
+            flat_image = corrected.groupBy("t", "p", "c", "y", "x").agg(F.max("v").alias("v"))
+        else:
+            flat_image = voxels_of(max_lines(deskew_lines(lines(corrected, geometry.columns), geometry)))
+        flat_image.write.mode("overwrite").parquet(f"{sink}/batch={number}")
+
+    return stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(save).start()
+
 
-    return stream.writeStream.outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(save).start()
+def projections(spark: SparkSession, sink: str) -> DataFrame:
+    """The maximum over all batches that have been written: planes of one stack may have come in several."""
+    return spark.read.parquet(sink).groupBy("t", "p", "c", "y", "x").agg(F.max("v").alias("v"))
