@@ -2,14 +2,15 @@
 
 A fingerprint is cut into 2-bit segments; their bit counts (0, 1 or 2 each) embed it in 32 dimensions, where the
 Manhattan distance never exceeds the Hamming distance. Counts are kept in unary (00, 01, 11), so the Manhattan distance
-of two embeddings is the number of bits in which the two words differ. The 32 dimensions are split into ``blocks``
-blocks; two points at distance r at most agree wholly in at least ``blocks - r`` of them, so the grid has one table of
-cells for each choice of that many blocks, and every pair in range meets in a cell. Pairs that meet are filtered by the
-Manhattan bound and then verified by the exact Hamming distance.
+of two embeddings is the number of bits in which the two words differ. The 32 dimensions are split into blocks; two points
+at distance r at most agree wholly in all but r of them, so the grid has one table of cells for each choice of that many
+blocks, and every pair in range meets in a cell. More fingerprints get more and finer blocks, so that a cell's expected size
+stays bounded. Pairs that meet are filtered by the Manhattan bound and then verified by the exact Hamming distance.
 
 A cell gives a spanning forest of its links and not all its pairs: a breadth-first walk compares each point that it
-reaches with the points not reached yet, so a cell of K mutual near copies costs K comparisons and K - 1 links. Cells
-of more than ``cell_limit`` points are cut into blocks that are compared two at a time, each two in a group of its own.
+reaches with the points not reached yet, so a cell of K mutual near copies costs K comparisons and K - 1 links. The points
+of a cell of more than ``cell_limit`` are dealt into finer cells in the same way, by the bits in which they may still
+differ, until all cells are small: distinct fingerprints always come apart.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import NOT_SPACE, group_starts, id_array, ids_back, lower_ascii, materialize, popcount, text_bytes, text_slices, word_spans
+from .common import NOT_SPACE, group_starts, lower_ascii, materialize, mix64, popcount, text_bytes, text_slices, word_spans
 from .components import connected_components
 
 ODD = 0x5555555555555555
@@ -139,104 +140,126 @@ def _small_links(fp: np.ndarray, emb: np.ndarray, firsts: np.ndarray, sizes: np.
     return (np.concatenate(a), np.concatenate(b)) if a else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
-LINKS = "kind int, a long, b long, cell long, block int, fp long"
+def n_blocks(count: int, radius: int, cell: int = 2048) -> int:
+    """The least number of blocks, three more than the radius at least, at which a cell is expected to hold ``cell`` of
+    ``count`` random fingerprints or fewer: a segment's count carries 1.5 bits."""
+    return next((b for b in range(radius + 3, SEGMENTS) if count <= cell * 2 ** (1.5 * SEGMENTS * (b - radius) / b)), SEGMENTS)
+
+
+LINKS = "kind int, a long, b long, fp long, agreed long"
+CELLS = "cell long, fp long, agreed long"
 
 
 def cell_links(cells: DataFrame, radius: int, cell_limit: int, small: int = 8) -> DataFrame:
-    """Links inside each cell of cells(cell, fp, rep), which come sorted by cell: kind 0 rows are links a, b; the rows of
-    a cell that is over the limit return as kind 1 with a block number, and their blocks are linked inside only."""
+    """Links inside each cell of cells(cell, fp, agreed), which come sorted by cell: kind 0 rows are links a, b; the rows of
+    a cell that is over the limit return as kind 1, with the cell in a."""
+    names = [x.split()[0] for x in LINKS.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def links(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-            n = len(a)
-            none = pa.nulls(n, pa.int64())
-            return pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int32)), pa.array(a), pa.array(b), none, pa.nulls(n, pa.int32()), none], names)
+            none = pa.nulls(len(a), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(np.zeros(len(a), np.int32)), pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), none, none], names)
 
-        def solve(cell: np.ndarray, fp: np.ndarray, rep: np.ndarray) -> Iterator[pa.RecordBatch]:
+        def over(part: list[np.ndarray]) -> pa.RecordBatch:
+            n = len(part[0])
+            return pa.RecordBatch.from_arrays([pa.array(np.ones(n, np.int32)), pa.array(part[0]), pa.nulls(n, pa.int64()), pa.array(part[1].view(np.int64)), pa.array(part[2])], names)
+
+        def solve(part: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            """Of whole cells."""
+            cell, fp, _ = part
             firsts = group_starts(cell)
             sizes = np.diff(np.append(firsts, len(cell)))
             few = np.repeat(sizes <= small, sizes)
             if few.any():
-                f, r = fp[few], rep[few]
+                own = fp[few]
                 s = sizes[sizes <= small]
-                a, b = _small_links(f, _embed(f), np.concatenate([[0], np.cumsum(s)[:-1]]), s, radius)
+                a, b = _small_links(own, _embed(own), np.concatenate([[0], np.cumsum(s)[:-1]]), s, radius)
                 if len(a):
-                    yield links(r[a], r[b])
+                    yield links(own[a], own[b])
             for at in np.flatnonzero(sizes > small):
-                part = slice(firsts[at], firsts[at] + sizes[at])
-                a, b = forest(fp[part], radius)
+                rows = slice(firsts[at], firsts[at] + sizes[at])
+                if sizes[at] > cell_limit:
+                    yield over([x[rows] for x in part])
+                    continue
+                a, b = forest(fp[rows], radius)
                 if len(a):
-                    yield links(rep[part][a], rep[part][b])
+                    yield links(fp[rows][a], fp[rows][b])
 
-        names = ["kind", "a", "b", "cell", "block", "fp"]
         held: list[np.ndarray] = [np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)]
-        over: tuple[int, int] | None = None  # the cell that is over the limit, and its next block
+        large: int | None = None  # the cell that is over the limit already
         for batch in batches:
             new = [batch.column(0).to_numpy(), batch.column(1).to_numpy().view(np.uint64), batch.column(2).to_numpy()]
             held = [np.concatenate(x) for x in zip(held, new)]
+            if large is not None and len(held[0]) and held[0][0] == large:
+                k = int(np.searchsorted(held[0], large, "right"))
+                yield over([x[:k] for x in held])
+                held = [x[k:] for x in held]
+            if not len(held[0]):
+                continue
+            large = None
             cut = int(np.searchsorted(held[0], held[0][-1], "left"))  # the last cell may go on
             if cut:
-                head = [x[:cut] for x in held]
-                if over and head[0][0] == over[0]:  # its last block
-                    k = int(np.searchsorted(head[0], over[0], "right"))
-                    yield from _over(names, [x[:k] for x in head], over[1])
-                    yield from solve(*(x[:k] for x in head))
-                    head = [x[k:] for x in head]
-                over = None
-                if len(head[0]):
-                    yield from solve(*head)
+                yield from solve([x[:cut] for x in held])
                 held = [x[cut:] for x in held]
-            while len(held[0]) > cell_limit:
-                over = over if over and over[0] == held[0][0] else (int(held[0][0]), 0)
-                part = [x[:cell_limit] for x in held]
-                yield from _over(names, part, over[1])
-                yield from solve(*part)
-                held = [x[cell_limit:] for x in held]
-                over = (over[0], over[1] + 1)
+            if len(held[0]) > cell_limit:
+                large = int(held[0][0])
+                yield over(held)
+                held = [x[:0] for x in held]
         if len(held[0]):
-            if over and held[0][0] == over[0]:
-                yield from _over(names, held, over[1])
-            yield from solve(*held)
+            yield from solve(held)
+
+    return cells.select("cell", "fp", "agreed").mapInArrow(run, LINKS)
 
-    def _over(names: list[str], part: list[np.ndarray], block: int) -> Iterator[pa.RecordBatch]:
-        n = len(part[0])
-        if n:
-            yield pa.RecordBatch.from_arrays([pa.array(np.ones(n, np.int32)), pa.array(part[2]), pa.nulls(n, pa.int64()), pa.array(part[0]), pa.array(np.full(n, block, np.int32)), pa.array(part[1].view(np.int64))], names)
 
-    return cells.select("cell", "fp", "rep").mapInArrow(run, LINKS)
+def finer_masks(agreed: int, radius: int) -> list[int]:
+    """Masks of raw fingerprint bits, one for each choice of blocks of the bits outside ``agreed``."""
+    free = [b for b in range(64) if not agreed >> b & 1]
+    n = min(radius + 3, len(free))
+    parts = [sum(1 << b for b in free[len(free) * i // n : len(free) * (i + 1) // n]) for i in range(n)]
+    return [sum(c) for c in itertools.combinations(parts, max(1, n - radius))]
 
 
-def block_links(over: DataFrame, radius: int) -> DataFrame:
-    """Links between every two blocks of each cell that was over the limit; a group holds two blocks at most."""
-    blocks = over.groupBy("cell").agg(F.max("block").alias("last"))
-    pairs = over.join(blocks, "cell").withColumn("other", F.explode(F.sequence(F.lit(0), "last"))).where("other <> block")
-    pairs = pairs.select(F.col("cell"), F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "fp", F.col("a").alias("rep"))
+def finer_cells(over: DataFrame, radius: int) -> DataFrame:
+    """Each point of over(cell, fp, agreed) once for each finer cell. Points of a cell are equal in its agreed bits, and two
+    in range are equal in some choice of blocks of the other bits."""
 
-    def run(group: pa.Table) -> pa.Table:
-        fp, rep = group.column("fp").to_numpy().view(np.uint64), group.column("rep").to_numpy()
-        a, b = forest(fp, radius)
-        return pa.table({"a": rep[a], "b": rep[b]}, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cell, fp, agreed = (batch.column(i).to_numpy().view(np.uint64) for i in range(3))
+            for value in np.unique(agreed).tolist():
+                own = agreed == value
+                for t, mask in enumerate(finer_masks(value, radius)):
+                    deal = mix64(mix64(cell[own] + np.uint64(t)) ^ mix64(fp[own] & np.uint64(mask)))
+                    yield pa.RecordBatch.from_arrays([pa.array(deal.view(np.int64)), pa.array(fp[own].view(np.int64)), pa.array(np.full(len(deal), value | mask, np.uint64).view(np.int64))], ["cell", "fp", "agreed"])
 
-    return pairs.groupBy("cell", "i", "j").applyInArrow(run, "a long, b long")
+    return over.mapInArrow(run, CELLS)
 
 
-def near_duplicates(fps: DataFrame, radius: int = 4, blocks: int = 7, cell_limit: int = 1 << 14) -> DataFrame:
+def near_links(ids: DataFrame, radius: int, blocks: int, cell_limit: int) -> DataFrame:
+    """Links that join all fingerprints of every component, of the distinct ids(fp)."""
+    masks = F.array(*[F.lit(m) for m in grid_masks(blocks, radius)])
+    cells = ids.select("fp", embedding(F.col("fp")).alias("emb")).select("fp", "emb", F.posexplode(masks).alias("t", "mask"))
+    cells = cells.select(F.xxhash64("t", F.col("emb").bitwiseAND(F.col("mask"))).alias("cell"), "fp", F.lit(0).cast("long").alias("agreed"))
+    links = None
+    while True:
+        found = materialize(cell_links(cells.repartition("cell").sortWithinPartitions("cell", "fp"), radius, cell_limit), "cell-links")
+        own = found.where("kind = 0").select("a", "b")
+        links = own if links is None else links.unionByName(own)
+        over = found.where("kind = 1")
+        if not over.limit(1).count():
+            return links
+        cells = finer_cells(over.select(F.col("a").alias("cell"), "fp", "agreed"), radius)
+
+
+def near_duplicates(fps: DataFrame, radius: int = 4, blocks: int | None = None, cell_limit: int = 1 << 14) -> DataFrame:
     """(fp, component_id) for every distinct fingerprint of fps(doc_id, fp).
 
     Fingerprints ``radius`` or fewer bits apart are linked, and are themselves the graph's nodes, so that null or repeated
     ids change no component. A component's id is the smallest doc_id of any row in it, null where all its ids are null.
-    Exact copies share a fingerprint and enter the grid once.
+    Exact copies share a fingerprint and enter the grid once. ``blocks`` follows from the number of fingerprints.
     """
     ids = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "fingerprints")
-    nodes = ids.select("fp", F.col("fp").alias("rep"), embedding(F.col("fp")).alias("emb"))
-    masks = F.array(*[F.lit(m) for m in grid_masks(blocks, radius)])
-    cells = nodes.select("fp", "rep", "emb", F.posexplode(masks).alias("t", "mask"))
-    cells = cells.select(F.xxhash64("t", F.col("emb").bitwiseAND(F.col("mask"))).alias("cell"), "fp", "rep")
-    found = materialize(cell_links(cells.repartition("cell").sortWithinPartitions("cell", "fp"), radius, cell_limit), "cell-links")
-    links = found.where("kind = 0").select("a", "b")
-    over = found.where("kind = 1")
-    if over.limit(1).count():
-        links = links.unionByName(block_links(over.select("cell", "block", "fp", "a"), radius))
+    links = near_links(ids, radius, blocks or n_blocks(ids.count(), radius), cell_limit)
     parts = connected_components(links)
     placed = ids.join(parts.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first_id", F.coalesce("component", "fp").alias("component"))
     placed = materialize(placed, "components")
@@ -245,6 +268,7 @@ def near_duplicates(fps: DataFrame, radius: int = 4, blocks: int = 7, cell_limit
 
 
 def simhash_components(docs: DataFrame, width: int = 4, radius: int = 4, seed: int = 42, **grid) -> DataFrame:
-    """(doc_id, fp, component_id) for every row of docs(doc_id, text)."""
+    """(doc_id, fp, component_id) for every row of docs(doc_id, text). Null and wordless texts have fingerprint 0 and are
+    linked like all others; null and repeated ids are rows of their own; an empty table gives no rows."""
     fps = materialize(fingerprints(docs, width, seed), "simhash")
     return fps.join(near_duplicates(fps, radius, **grid), "fp").select("doc_id", "fp", "component_id")
