@@ -1,16 +1,19 @@
 """Benchmark decontamination with a distributed positional inverted index.
 
-The index is a table of blocks. A block holds whole documents (about a megabyte of text): the sorted distinct term hashes,
-and for each term its postings, the ascending word positions in the block, where each document's positions begin after
-those of the one before. All postings of a document are in one block, so a phrase is resolved inside a block:
-take the window's rarest terms first and intersect their lists, each shifted by the term's offset in the window.
-
-Test items are read in chunks of bounded size; each chunk is sent to every task, and each index block is read once for
-each chunk. Nothing is dropped for frequent terms: their lists are only probed at the starts that rarer terms left.
+The index is a table of blocks. A block holds whole documents (about two megabytes of text): the sorted distinct term
+hashes, and for each term its postings, the ascending word positions in the block, where each document's positions begin
+after those of the one before. All postings of a document are in one block, so a phrase is resolved inside a block: take
+the window's terms that are rarest in the block first and intersect their lists, each shifted by the term's offset.
+
+The test items' windows are made by tasks too, as files of bounded size in the shared folder. A task that reads index
+blocks goes through these files one after another, so neither the driver nor any one task holds all items. Nothing is
+dropped for frequent terms: their lists are only probed at the starts that rarer terms left. Terms are told apart by
+64-bit hashes, so a phrase of ten words is told apart by 640 bits and one of a single word by 64.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM_OR_HIGH, SLICE_BYTES, SpanHash, group_starts, lower_ascii, materialize, ranges, text_bytes, text_slices, word_spans
+from .common import ALNUM_OR_HIGH, SLICE_BYTES, SpanHash, filesystem, group_starts, kept, lower_ascii, materialize, ranges, shared_path, text_bytes, text_slices, word_spans
 
 WINDOW = 10
 _SEED = 6
@@ -76,44 +79,45 @@ def build_block(hashes: np.ndarray, docs: np.ndarray, n_docs: int) -> Block:
 
 
 def build_index(docs: DataFrame, block_bytes: int = 2 * SLICE_BYTES) -> DataFrame:
-    """(bid long, doc_ids array<long>, block binary): the positional index of docs(doc_id, text)."""
+    """(doc_ids array<long>, block binary): the positional index of docs(doc_id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = SpanHash(_SEED)
-        task = TaskContext.get().partitionId()
-        for number, batch in enumerate(text_slices(batches, limit=block_bytes)):
+        for batch in text_slices(batches, limit=block_bytes):
             h, d = word_hashes(*text_bytes(batch.column(1)), hasher)
             data = build_block(h, d, batch.num_rows).pack()
             ids = pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch.column(0).cast(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array([task << 32 | number]), ids, pa.array([data], pa.binary())], ["bid", "doc_ids", "block"])
+            yield pa.RecordBatch.from_arrays([ids, pa.array([data], pa.binary())], ["doc_ids", "block"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "bid long, doc_ids array<long>, block binary")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_ids array<long>, block binary")
 
 
 @dataclass
 class Windows:
-    """Distinct windows of a chunk of items: term hashes in order, and the items that hold each."""
+    """Distinct windows of some test items. terms: the sorted distinct term hashes; number: the windows' terms as places in
+    them, one window after another; firsts: where each window begins; sizes: its length; of: the items (places in names)
+    that hold each window; names: the item ids, null where an item has none."""
 
-    terms: list[np.ndarray]
-    items: list[list[int]]
+    terms: np.ndarray
+    number: np.ndarray
+    firsts: np.ndarray
+    sizes: np.ndarray
+    of: list[list[int]]
+    names: list[str | None]
 
     @staticmethod
-    def of(texts: list[str | None], width: int = WINDOW) -> "Windows":
-        hasher, found = SpanHash(_SEED), {}
-        buf, offsets = text_bytes(pa.array(texts, pa.string()))
-        h, d = word_hashes(buf, offsets, hasher)
+    def make(names: list[str | None], texts: pa.Array, width: int = WINDOW) -> "Windows":
+        h, d = word_hashes(*text_bytes(texts), SpanHash(_SEED))
+        distinct = sorted(set(names), key=lambda n: (n is not None, n))
+        place = {n: i for i, n in enumerate(distinct)}
+        found: dict[bytes, set[int]] = {}
         for item in np.unique(d).tolist():
             own = h[d == item]
             for at in range(max(1, len(own) - width + 1)):
-                found.setdefault(own[at : at + width].tobytes(), set()).add(item)
-        return Windows([np.frombuffer(k, np.uint64) for k in found], [sorted(v) for v in found.values()])
-
-    def flat(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """The distinct term hashes; the windows' terms as numbers in them, one window after another; where each window
-        begins; its length."""
-        n = np.array([len(t) for t in self.terms], np.int64)
-        distinct, number = np.unique(np.concatenate([*self.terms, np.zeros(0, np.uint64)]), return_inverse=True)
-        return distinct, number, (np.cumsum(n) - n).astype(np.int64), n
+                found.setdefault(own[at : at + width].tobytes(), set()).add(place[names[item]])
+        sizes = np.array([len(k) // 8 for k in found], np.int64)
+        terms, number = np.unique(np.frombuffer(b"".join(found), np.uint64), return_inverse=True)
+        return Windows(terms, number, np.cumsum(sizes) - sizes, sizes, [sorted(v) for v in found.values()], distinct)
 
 
 def _holds(postings: np.ndarray, want: np.ndarray, slack: int) -> np.ndarray:
@@ -124,31 +128,31 @@ def _holds(postings: np.ndarray, want: np.ndarray, slack: int) -> np.ndarray:
     return ok
 
 
-def search(block: Block, flat: tuple, slack: int = 0) -> list[tuple[int, np.ndarray]]:
-    """(window number, start positions) of every window that occurs in the block.
+class Search:
+    """The windows whose terms a block all has, for exact and near searches in it."""
 
-    With slack 0 these are exact phrases: every term at its offset. With slack s, the rarest term is at its offset from
-    the start and every other term is within s words of its own place.
-    """
-    distinct, number, firsts, sizes = flat
-    if not len(distinct) or not len(block.terms):
-        return []
-    place = np.minimum(np.searchsorted(block.terms, distinct), len(block.terms) - 1)
-    known = block.terms[place] == distinct
-    frequency = np.where(known, block.at[place + 1] - block.at[place], 0)
-    out = []
-    for w in np.flatnonzero(np.minimum.reduceat(known[number], firsts)).tolist():
-        own = number[firsts[w] : firsts[w] + sizes[w]]
-        order = np.argsort(frequency[own], kind="stable").tolist()
-        lists = [block.positions[block.at[place[t]] : block.at[place[t] + 1]] for t in own.tolist()]
+    def __init__(self, block: Block, windows: Windows):
+        self.block, self.windows = block, windows
+        n = len(block.terms)
+        self.place = np.minimum(np.searchsorted(block.terms, windows.terms), max(n - 1, 0))
+        known = block.terms[self.place] == windows.terms if n else np.zeros(len(windows.terms), bool)
+        self.frequency = np.where(known, block.at[self.place + 1] - block.at[self.place], 0) if n else np.zeros(len(known), np.int64)
+        self.likely = np.flatnonzero(np.minimum.reduceat(known[windows.number], windows.firsts)).tolist() if len(windows.firsts) and n else []
+
+    def starts(self, w: int, slack: int) -> np.ndarray:
+        """Positions s in the block such that every term k of the window stands within ``slack`` words of s + k. With slack 0
+        these are the starts of the exact phrase. Candidates come from the rarest term alone."""
+        own = self.windows.number[self.windows.firsts[w] : self.windows.firsts[w] + self.windows.sizes[w]]
+        order = np.argsort(self.frequency[own], kind="stable").tolist()
+        lists = [self.block.positions[self.block.at[p] : self.block.at[p + 1]] for p in self.place[own].tolist()]
         start = lists[order[0]].astype(np.int64) - order[0]
+        if slack:
+            start = np.unique(start[:, None] + np.arange(-slack, slack + 1))
         for k in order[1:]:
             if not len(start):
                 break
             start = start[_holds(lists[k], start + k, slack)]
-        if len(start):
-            out.append((w, start))
-    return out
+        return start
 
 
 def merged_spans(spans: list[tuple[int, int]]) -> list[dict]:
@@ -162,77 +166,101 @@ def merged_spans(spans: list[tuple[int, int]]) -> list[dict]:
 
 
 SPANS = "array<struct<start:int,stop:int>>"
-HITS = f"bid long, row int, doc_id long, n_words long, hit_spans {SPANS}, item_ids array<string>, near_ids array<string>"
+HITS = f"doc_id long, n_words long, hit_spans {SPANS}, item_ids array<string>, near_ids array<string>"
 
 
-def match(index: DataFrame, items: list[tuple[str, str | None]], width: int = WINDOW, slack: int = 2) -> DataFrame:
-    """One row for every document of the index: its words, the merged word ranges of exact windows, the items that have
-    exact windows in it, and the items that have near ones (every term within ``slack`` words of its place)."""
-    names = [n for n, _ in items]
-    windows = Windows.of([t for _, t in items], width)
-    flat, of = windows.flat(), windows.items
+def write_windows(items: DataFrame, folder: str, width: int = WINDOW, chunk_bytes: int = 1 << 20) -> list[str]:
+    """Write the windows of items(item_id, text) as files of at most ``chunk_bytes`` of text each (or one longer item), and
+    return their names, which is all that comes to the driver. A file appears by a rename, so a task may run again."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        span_kind = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
+        task, number = TaskContext.get(), 0
+        fs, root = filesystem(folder)
+        for batch in text_slices(batches, limit=chunk_bytes):
+            made = Windows.make(batch.column(0).to_pylist(), batch.column(1), width)
+            if not len(made.firsts):
+                continue
+            name = f"{task.partitionId():06d}-{number:06d}"
+            number += 1
+            fs.create_dir(root, recursive=True)
+            own = f"{root}/.{name}-{task.taskAttemptId()}"
+            with fs.open_output_stream(own) as out:
+                out.write(pickle.dumps(vars(made)))
+            fs.move(own, f"{root}/{name}")
+            yield pa.RecordBatch.from_arrays([pa.array([name])], ["name"])
+
+    items = items.select(F.col("item_id").cast("string"), "text").distinct()
+    return sorted(r["name"] for r in items.mapInArrow(run, "name string").collect())
+
+
+def read_windows(folder: str, names: list[str]) -> Iterator[Windows]:
+    """The files, one after another; the last one read is kept by the worker, so that a single file is read once."""
+    fs, root = filesystem(folder)
+
+    def load(name: str) -> dict:
+        with fs.open_input_stream(f"{root}/{name}") as f:
+            return pickle.loads(f.read())
+
+    for name in names:
+        yield Windows(**kept((folder, name), lambda name=name: load(name)))
+
+
+def match(index: DataFrame, folder: str, names: list[str], slack: int = 2, held_bytes: int = 16 << 20) -> DataFrame:
+    """One row for every document of the index: its words, the merged word ranges of exact windows, the ids of the items
+    that have exact windows in it, and of those that have near ones (every term within ``slack`` words of its place).
+
+    The files of windows are read once for every ``held_bytes`` of packed blocks."""
+
+    def search_all(held: list[tuple[pa.Array, bytes]]) -> Iterator[pa.RecordBatch]:
+        span_kind, text = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())])), pa.list_(pa.string())
+        results = [([[] for _ in ids], [set() for _ in ids], [set() for _ in ids]) for ids, _ in held]
+        for windows in read_windows(folder, names):
+            for (_, data), (spans, exact, near) in zip(held, results):
+                block = Block.unpack(data)
+                search = Search(block, windows)
+                for w in search.likely:
+                    own = search.starts(w, slack)
+                    if not len(own):  # an exact phrase is a near one
+                        continue
+                    items = [windows.names[i] for i in windows.of[w] if windows.names[i] is not None]
+                    for d in set((np.searchsorted(block.bases, own + (GAP >> 1), "right") - 1).tolist()):
+                        near[d].update(items)
+                    own = search.starts(w, 0)
+                    doc = np.searchsorted(block.bases, own, "right") - 1
+                    for d, s in zip(doc.tolist(), (own - block.bases[doc]).tolist()):
+                        spans[d].append((s, s + int(windows.sizes[w])))
+                        exact[d].update(items)
+        for (ids, data), (spans, exact, near) in zip(held, results):
+            words = Block.unpack(data).words.astype(np.int64)
+            yield pa.RecordBatch.from_arrays([ids, pa.array(words), pa.array([merged_spans(x) for x in spans], span_kind), *(pa.array([sorted(x) for x in found], text) for found in (exact, near))], ["doc_id", "n_words", "hit_spans", "item_ids", "near_ids"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[pa.Array, bytes]] = []
+        size = 0
         for batch in batches:
-            for bid, ids, data in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
-                block = Block.unpack(data.as_py())
-                n = len(block.words)
-                spans: list[list[tuple[int, int]]] = [[] for _ in range(n)]
-                exact: list[set[int]] = [set() for _ in range(n)]
-                near: list[set[int]] = [set() for _ in range(n)]
-                for w, start in search(block, flat, 0):
-                    doc = np.searchsorted(block.bases, start, "right") - 1
-                    for d, s in zip(doc.tolist(), (start - block.bases[doc]).tolist()):
-                        spans[d].append((s, s + int(flat[3][w])))
-                        exact[d].update(of[w])
-                for w, start in search(block, flat, slack):
-                    for d in set((np.searchsorted(block.bases, start + (GAP >> 1), "right") - 1).tolist()):
-                        near[d].update(of[w])
-                text = pa.list_(pa.string())
-                columns = [pa.array([bid] * n, pa.int64()), pa.array(range(n), pa.int32()), ids.values, pa.array(block.words.astype(np.int64)), pa.array([merged_spans(x) for x in spans], span_kind), *(pa.array([sorted(names[i] for i in x) for x in found], text) for found in (exact, near))]
-                yield pa.RecordBatch.from_arrays(columns, ["bid", "row", "doc_id", "n_words", "hit_spans", "item_ids", "near_ids"])
-
-    return index.select("bid", "doc_ids", "block").mapInArrow(run, HITS)
-
-
-def item_chunks(items: DataFrame, chunk_bytes: int) -> Iterator[list[tuple[str, str | None]]]:
-    """The rows of items(item_id, text), streamed to the driver in chunks of ``chunk_bytes`` of text at most (or one
-    longer item)."""
-    chunk: list[tuple[str, str | None]] = []
-    size = 0
-    for row in items.select(F.col("item_id").cast("string"), "text").where("item_id is not null").toLocalIterator():
-        n = len((row["text"] or "").encode())
-        if chunk and size + n > chunk_bytes:
-            yield chunk
-            chunk, size = [], 0
-        chunk.append((row["item_id"], row["text"]))
-        size += n
-    yield chunk
-
-
-def contamination(docs: DataFrame, items: DataFrame, width: int = WINDOW, slack: int = 2, chunk_bytes: int = 4 << 20) -> DataFrame:
+            for ids, data in zip(batch.column(0), batch.column(1).to_pylist()):
+                if held and size + len(data) > held_bytes:
+                    yield from search_all(held)
+                    held, size = [], 0
+                held.append((ids.values, data))
+                size += len(data)
+        if held:
+            yield from search_all(held)
+
+    return index.select("doc_ids", "block").mapInArrow(run, HITS)
+
+
+def contamination(docs: DataFrame, items: DataFrame, width: int = WINDOW, slack: int = 2, chunk_bytes: int = 1 << 20) -> DataFrame:
     """(doc_id, n_words, hit_spans, item_ids, near_ids) for every row of docs(doc_id, text).
 
     hit_spans are the word ranges [start, stop) that exact windows of items(item_id, text) cover, merged and ascending;
-    item_ids are the items with exact windows and near_ids those with near ones, as sorted strings. A null text has no
-    words and an item of no word has no window; an item of fewer than ``width`` words is one window. Items of null id are
-    left out. Repeated rows are rows of their own; an empty table gives an empty result.
+    item_ids are the items with exact windows and near_ids those with near ones, as sorted distinct strings. A null text has
+    no words and an item of no word has no window; an item of fewer than ``width`` words is one window. Items of null id
+    count for hit_spans and have no place in the lists of ids; several rows of one item_id are one item. Repeated rows of
+    docs are rows of their own; an empty table gives an empty result.
     """
+    spark = docs.sparkSession
+    folder = shared_path(spark, "benchmark-windows")
+    names = write_windows(items, folder, width, chunk_bytes)
     index = materialize(build_index(docs), "positional-index")
-    parts = [match(index, chunk, width, slack) for chunk in item_chunks(items, chunk_bytes)]
-    if len(parts) == 1:
-        return parts[0].drop("bid", "row")
-    found = parts[0]
-    for part in parts[1:]:
-        found = found.unionByName(part)
-    folded = found.groupBy("bid", "row").agg(
-        F.first("doc_id").alias("doc_id"),
-        F.first("n_words").alias("n_words"),
-        F.array_sort(F.flatten(F.collect_list("hit_spans"))).alias("spans"),
-        *(F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c) for c in ("item_ids", "near_ids")),
-    )
-    # sorted spans fold into disjoint ones: a span either reaches into the last one kept or begins the next
-    fold = f"""aggregate(spans, cast(array() as {SPANS}), (kept, s) -> if(size(kept) > 0 and s.start <= element_at(kept, -1).stop,
-        concat(slice(kept, 1, size(kept) - 1), array(named_struct('start', element_at(kept, -1).start, 'stop', greatest(element_at(kept, -1).stop, s.stop)))), concat(kept, array(s))))"""
-    return folded.select("doc_id", "n_words", F.expr(fold).alias("hit_spans"), "item_ids", "near_ids")
+    return match(index, folder, names, slack)

@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
-DECONTAMINATION = r"""
-WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w FROM documents),
-i AS (SELECT CAST(item_id AS VARCHAR) AS item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w FROM benchmark WHERE item_id IS NOT NULL),
-win AS (SELECT DISTINCT item_id, array_to_string(w[a:a + 9], ' ') AS k, least(len(w), 10) AS n FROM (SELECT item_id, w, unnest(range(1, greatest(2, len(w) - 8))) AS a FROM i WHERE len(w) > 0)),
-pos AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS a FROM d),
-cand AS (SELECT p.doc_id, p.a, n.n, array_to_string(p.w[p.a:p.a + n.n - 1], ' ') AS k FROM pos p, (SELECT DISTINCT n FROM win) n WHERE p.a + n.n - 1 <= len(p.w)),
-hit AS (SELECT c.doc_id, c.a, c.n, win.item_id FROM cand c JOIN win ON c.k = win.k AND c.n = win.n),
-words AS (SELECT doc_id, count(DISTINCT a) AS n_hit FROM (SELECT doc_id, unnest(range(a, a + n)) AS a FROM hit) GROUP BY 1),
-items AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, array_to_string(list_sort(list(DISTINCT item_id)), ',') AS ids FROM hit GROUP BY 1)
-SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+_WORDS = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')"
+DECONTAMINATION = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+i AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_WORDS} AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, w[a:a + 9] AS q, array_to_string(w[a:a + 9], ' ') AS k, least(len(w), 10) AS n FROM (SELECT item_id, w, unnest(range(1, greatest(2, len(w) - 8))) AS a FROM i WHERE len(w) > 0)),
+pos AS (SELECT r, w, unnest(range(1, len(w) + 1)) AS a FROM d),
+cand AS (SELECT p.r, p.a, n.n, array_to_string(p.w[p.a:p.a + n.n - 1], ' ') AS k FROM pos p, (SELECT DISTINCT n FROM win) n WHERE p.a + n.n - 1 <= len(p.w)),
+hit AS (SELECT c.r, c.a, c.n, win.item_id FROM cand c JOIN win ON c.k = win.k AND c.n = win.n),
+words AS (SELECT r, count(DISTINCT a) AS n_hit FROM (SELECT r, unnest(range(a, a + n)) AS a FROM hit) GROUP BY 1),
+items AS (SELECT r, count(DISTINCT item_id) AS n_items, array_to_string(list_sort(list(DISTINCT item_id) FILTER (item_id IS NOT NULL)), ',') AS ids FROM hit GROUP BY 1),
+freq AS (SELECT w[a] AS t, count(*) AS n FROM pos GROUP BY 1),
+term AS (SELECT DISTINCT k, q, n, unnest(range(0, n)) AS o FROM win),
+rare AS (SELECT k, any_value(q) AS q, any_value(term.n) AS n, arg_min(o, coalesce(freq.n, 0)) AS o, min(coalesce(freq.n, 0)) AS least FROM term LEFT JOIN freq ON q[o + 1] = t GROUP BY k),
+start AS (SELECT DISTINCT p.r, p.w, rare.k, rare.q, rare.n, p.a - rare.o + e - 2 AS s FROM pos p JOIN rare ON p.w[p.a] = rare.q[rare.o + 1], range(5) g(e) WHERE least > 0),
+close AS (SELECT DISTINCT r, k FROM start WHERE len(list_filter(range(0, n), lambda j: list_contains(w[greatest(1, s + j - 2):greatest(0, s + j + 2)], q[j + 1]))) = n),
+near AS (SELECT r, count(DISTINCT item_id) AS n_near, array_to_string(list_sort(list(DISTINCT item_id) FILTER (item_id IS NOT NULL)), ',') AS ids FROM close JOIN win USING (k) GROUP BY 1)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items.ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near, 0) AS n_near, sha256(coalesce(near.ids, '')) AS near_sha256
+FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r) LEFT JOIN near USING (r)
 """
 
 
@@ -45,7 +52,7 @@ _H = "CAST('0x' || substr(md5({}), 1, 15) AS BIGINT)"
 _D = "CAST({} AS DOUBLE)".format
 _POWERS = "list_sum([pow(x, m) for x in p])"
 MIXING = f"""
-WITH RECURSIVE t AS (SELECT doc_id, coalesce(source, '') AS source, CAST(len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')) AS BIGINT) AS tokens FROM documents),
+WITH RECURSIVE t AS (SELECT doc_id, coalesce(source, '') AS source, md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')) AS digest, CAST(len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')) AS BIGINT) AS tokens FROM documents),
 s AS (SELECT source, count(*) AS n_docs, CAST(sum(tokens) AS BIGINT) AS n FROM t GROUP BY 1),
 tot AS (SELECT CAST(sum(n) AS BIGINT) AS total, list(n / (SELECT sum(n) FROM s) ORDER BY n) FILTER (n > 0) AS p FROM s),
 b AS (SELECT 0 AS i, {_D(0)} AS lo1, {_D(1)} AS hi1, {_D(0)} AS lo2, {_D(1)} AS hi2 UNION ALL
@@ -55,13 +62,13 @@ b AS (SELECT 0 AS i, {_D(0)} AS lo1, {_D(1)} AS hi1, {_D(0)} AS lo2, {_D(1)} AS
 e AS (SELECT round(greatest(hi1, hi2), 6) AS m FROM b WHERE i = 50),
 w AS (SELECT source, n_docs, n, m AS exponent, if(n = 0, {_D(0)}, round(pow(n / total, m) / (SELECT {_POWERS} FROM tot, e), 9)) AS weight, total FROM s, tot, e),
 q AS (SELECT *, CAST(floor(weight * total) AS BIGINT) AS budget FROM w),
-k AS (SELECT t.doc_id, t.source, t.tokens, exponent, weight, budget, n, CAST({_H.format("'1:block:' || coalesce(CAST(doc_id AS VARCHAR), '')")} % CAST(ceil(n_docs / 4096) AS BIGINT) AS INT) AS block FROM t JOIN q USING (source)),
+k AS (SELECT t.doc_id, t.source, t.tokens, digest, exponent, weight, budget, n, CAST({_H.format("'1:block:' || digest")} % CAST(ceil(n_docs / 4096) AS BIGINT) AS INT) AS block FROM t JOIN q USING (source)),
 l AS (SELECT *, CAST(sum(tokens) OVER (PARTITION BY source, block) AS BIGINT) AS bt FROM k),
 r AS (SELECT *, if(n > 0, CAST((CAST(budget AS HUGEINT) * bt) // n AS BIGINT), 0) AS bb FROM l),
 x AS (SELECT *, if(bt > 0, bb // bt, 0) AS whole, if(bt > 0, bb % bt, bb) AS rest FROM r),
 y AS (SELECT *, unnest(range(0, whole + 1)) AS epoch FROM x),
-z AS (SELECT *, {_H.format("'1:' || epoch || ':' || coalesce(CAST(doc_id AS VARCHAR), '')")} AS h FROM y),
-v AS (SELECT *, coalesce(sum(tokens) OVER (PARTITION BY source, block, epoch ORDER BY h, doc_id, tokens ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, row_number() OVER (PARTITION BY source, block, epoch ORDER BY h, doc_id, tokens) AS place FROM z)
+z AS (SELECT *, {_H.format("'1:' || epoch || ':' || digest")} AS h FROM y),
+v AS (SELECT *, coalesce(sum(tokens) OVER (PARTITION BY source, block, epoch ORDER BY h, digest ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, row_number() OVER (PARTITION BY source, block, epoch ORDER BY h, digest) AS place FROM z)
 SELECT doc_id, source, tokens, epoch, block, CAST(place AS INT) AS place, if(bb > 0, round((epoch * bt + before) / CAST(bb AS DOUBLE), 9), 0) AS mix_key, weight, exponent FROM v WHERE epoch < whole OR 2 * before + tokens <= 2 * rest
 """
 

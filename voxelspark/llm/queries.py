@@ -44,6 +44,8 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("item_ids").cast("long").alias("n_items"),
         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
+        F.size("near_ids").cast("long").alias("n_near"),
+        F.sha2(F.array_join("near_ids", ","), 256).alias("near_sha256"),
     )
 
 
@@ -57,7 +59,7 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_gif(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media.media_features(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("histogram")
+    return media.media_features(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
