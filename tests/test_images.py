@@ -497,3 +497,20 @@ def test_tile_queries_read_every_tile_and_plane(spark, tmp_path):
             assert got[p, z] == pytest.approx(registration.match_histogram(stack[(p + 1) % 3, z].ravel(), stack[p, z].ravel()).reshape(25, 64))
     shifts = {(r["p"], r["z"]): (r["dy"], r["dx"]) for r in QUERIES["phase_corr"](spark, str(tmp_path)).collect()}
     assert shifts == {(p, z): (-p, -2 * p) for p in range(3) for z in range(5)}
+
+
+def test_overlaps_of_sparse_tiles(spark):
+    """A voxel that only one tile has meets a 0, in whole patches and in reduced ones."""
+    rng = np.random.default_rng(11)
+    stacks = [rng.integers(1, 90, (4, 9, 12)) * (rng.random((4, 9, 12)) < 0.5) for _ in range(2)]
+    rows = frame(spark, stacks[0]).unionByName(frame(spark, stacks[1], 1)).where("v <> 0")
+    tiles = spark.createDataFrame([(0, 0, 0.0, 0.0, 0.0), (0, 1, 1.0, 2.0, 5.0)], "t int, p int, stage_z double, stage_y double, stage_x double")
+    pairs = registration.overlap_pairs(tiles, 1.0, {"z": 4, "y": 9, "x": 12})
+    a, b = stacks[0][1:, 2:, 5:], stacks[1][:3, :7, :7]
+    got = {(r["z"], r["y"], r["x"]): (r["a"], r["b"]) for r in registration.overlap_patches(rows, pairs).collect()}
+    assert got == {i: (int(a[i]), int(b[i])) for i in np.ndindex(a.shape) if a[i] or b[i]}
+    small = registration.reduced_patches(rows, pairs, (3, 5, 9)).collect()
+    assert {(r["f_z"], r["f_y"], r["f_x"]) for r in small} == {(3, 5, 7)}
+    means = {(r["z"], r["y"], r["x"]): (r["a"], r["b"]) for r in small}
+    for k, at in ((0, np.s_[:, :5]), (1, np.s_[:, 5:])):
+        assert means[0, k, 0] == pytest.approx((a[at].sum() / 105, b[at].sum() / 105))

@@ -33,24 +33,34 @@ def overlap_pairs(tiles: DataFrame, pixel: float, shape: dict[str, int]) -> Data
     return met.select(*out)
 
 
-def overlap_patches(voxels: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(t, i, j, z, y, x, a, b): both tiles' voxels over each pair's overlap, in the overlap's own coordinates."""
-    def side(tile: str, value: str) -> DataFrame:
+def _sides(voxels: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The voxels of both tiles in each pair's overlap, in the overlap's own coordinates: one of a and b is null."""
+    def side(tile: str, value: str, other: str) -> DataFrame:
         own = voxels.select("t", F.col("p").alias(tile), *[F.col(a).alias(f"s_{a}") for a in "zyx"], F.col("v").alias(value)).join(pairs, ["t", tile])
         for a in "zyx":
             own = own.where((F.col(f"s_{a}") >= F.col(f"{tile}_{a}0")) & (F.col(f"s_{a}") < F.col(f"{tile}_{a}1")))
-        return own.select("t", "i", "j", *[(F.col(f"s_{a}") - F.col(f"{tile}_{a}0")).alias(a) for a in "zyx"], value)
-    return side("i", "a").join(side("j", "b"), ["t", "i", "j", "z", "y", "x"])
+        size = [(F.col(f"i_{a}1") - F.col(f"i_{a}0")).alias(f"n_{a}") for a in "zyx"]
+        return own.select("t", "i", "j", *size, *[(F.col(f"s_{a}") - F.col(f"{tile}_{a}0")).alias(a) for a in "zyx"], value, F.lit(None).cast(own.schema[value].dataType).alias(other))
+    return side("i", "a", "b").unionByName(side("j", "b", "a"))
 
 
-def reduce_patches(patches: DataFrame, pairs: DataFrame, factors: tuple[int, int, int] = (3, 5, 5)) -> DataFrame:
-    """patches as means over blocks of ``factors`` (z, y, x) voxels, with the factors that were used: none is larger than the
-    overlap. A ragged edge counts as filled with 0. The means are summed before any patch is put together."""
-    used = [F.greatest(F.lit(1), F.least(F.lit(f), F.col(f"i_{a}1") - F.col(f"i_{a}0"))).alias(f"f_{a}") for a, f in zip("zyx", factors)]
-    joined = patches.join(pairs.select("t", "i", "j", *used), ["t", "i", "j"])
+def overlap_patches(voxels: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(t, i, j, z, y, x, a, b): both tiles' voxels over each pair's overlap, in the overlap's own coordinates, 0 where only
+    the other tile has one. Only voxels inside an overlap are shuffled, once."""
+    best = [F.coalesce(F.max(c), F.lit(0)).alias(c) for c in "ab"]
+    return _sides(voxels, pairs).groupBy("t", "i", "j", "z", "y", "x").agg(*best)
+
+
+def reduced_patches(voxels: DataFrame, pairs: DataFrame, factors: tuple[int, int, int] = (3, 5, 5)) -> DataFrame:
+    """The overlaps' voxels as means over blocks of ``factors`` (z, y, x), with the factors that were used, f_z, f_y and f_x:
+    none is larger than the overlap. A ragged edge counts as filled with 0. Sums are taken where the voxels are read, so
+    what is shuffled is a block's two sums a task."""
+    used = [F.greatest(F.lit(1), F.least(F.lit(f), F.col(f"n_{a}"))).alias(f"f_{a}") for a, f in zip("zyx", factors)]
+    rows = _sides(voxels, pairs).select("*", *used)
     cells = [F.floor(F.col(a) / F.col(f"f_{a}")).cast("int").alias(a) for a in "zyx"]
-    volume = F.first(F.col("f_z") * F.col("f_y") * F.col("f_x"))
-    return joined.groupBy("t", "i", "j", "f_z", "f_y", "f_x", *cells).agg((F.sum("a") / volume).alias("a"), (F.sum("b") / volume).alias("b"))
+    volume = (F.col("f_z") * F.col("f_y") * F.col("f_x")).cast("double")
+    sums = rows.groupBy("t", "i", "j", "f_z", "f_y", "f_x", *cells).agg(F.sum("a").alias("sa"), F.sum("b").alias("sb"))
+    return sums.select("t", "i", "j", "f_z", "f_y", "f_x", "z", "y", "x", *[(F.coalesce(f"s{c}", F.lit(0)) / volume).alias(c) for c in "ab"])
 
 
 def gate_edges(edges: DataFrame, score: float = 0.7, limits: tuple[int, int, int] = (20, 50, 100)) -> DataFrame:
@@ -231,7 +241,7 @@ def linear_shift(image: np.ndarray, shift: np.ndarray) -> np.ndarray:
 
 
 def register_pairs(patches: DataFrame, win: int = 7, score: float = 0.0, limits: tuple[int, int, int] = (20, 50, 100)) -> DataFrame:
-    """(t, i, j, dz, dy, dx, score) of patches(t, i, j, f_z, f_y, f_x, z, y, x, a, b), see ``reduce_patches``: histogram match,
+    """(t, i, j, dz, dy, dx, score) of patches(t, i, j, f_z, f_y, f_x, z, y, x, a, b), see ``reduced_patches``: histogram match,
     phase correlation, shift, SSIM. Shifts are in voxels before the reduction, rounded half to even; links whose score or
     shifts are beyond their gates are left out. A patch is one task's, so it is reduced first."""
     def run(group: pd.DataFrame) -> pd.DataFrame:
@@ -255,6 +265,6 @@ def refine_positions(voxels: DataFrame, tiles: DataFrame, pixel: float, shape: d
     if shape["z"] == 1:
         factors = (1, *factors[1:])
     pairs = overlap_pairs(tiles, pixel, shape)
-    patches = overlap_patches(voxels.where(F.col("c") == channel), pairs)
-    edges = register_pairs(reduce_patches(patches, pairs, factors), win, score)
+    patches = reduced_patches(voxels.where(F.col("c") == channel), pairs, factors)
+    edges = register_pairs(patches, win, score)
     return apply_offsets(tiles, solve_offsets(edges, tiles, method), (pixel, pixel, pixel))
