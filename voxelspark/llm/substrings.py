@@ -3,14 +3,19 @@
 A rolling hash over 32 bytes is taken at every position. Each 100-byte string has one trigger, the leftmost least hash
 inside it, which its bytes alone determine. Consecutive strings with the same trigger make a phrase: a stretch of text
 around the trigger that holds all of them, so that neighbouring phrases overlap by 99 bytes and the parse is prefix-free.
-The dictionary is the set of distinct phrases, grouped by trigger. Of the suffix order of the corpus only the classes of
-equal 100-byte prefixes are needed, and the first place of each:
+The dictionary is the set of distinct phrases. Of the suffix order of the corpus only the classes of equal 100-byte
+prefixes are needed, and the first place of each:
 
 1. Equal phrases give equal strings, so every occurrence of a phrase but the first repeats wholly.
-2. Strings of different phrases can be equal only if the phrases share a trigger. The dictionary's phrases that share one
-   are brought together with their bytes, their 100-byte suffix prefixes are sorted, and all but the first of each class
-   repeat. A trigger with very many different phrases has them cut into pieces of a few strings, which come together by
-   the bytes that all strings of a piece share; where even these are very many, strings are dealt out by their own hash.
+2. Strings of different phrases can be equal only if the phrases share a trigger, at the same distance from the string's
+   start. A string is then the end of a phrase's part up to the trigger, and the beginning of what follows in the parse.
+   So for the dictionary's phrases that share a trigger two suffix arrays are built with their common prefixes: one of the
+   parts before the trigger, read backwards from it, and one of what the text goes on with from the trigger. At each
+   distance d, runs of common prefixes of d bytes in the one and of 100 - d in the other combine into the classes of equal
+   strings, and all but the first of each class, in corpus order, repeat. Bytes are compared, not hashes.
+
+A trigger with very many different phrases has them cut into pieces of a few strings, which come together by the bytes that
+all strings of a piece share; where even these are very many, strings are dealt out by their own 128-bit hash.
 """
 
 from __future__ import annotations
@@ -69,17 +74,18 @@ class Parser:
         return docs, lo, n, place, hashes[place], self.phrases.load(buf).spans(lo, lo + n - 1 + size)
 
 
-def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(row ids, where each piece begins in its text, bytes, offsets) of slices under PIECE bytes."""
-    for batch in text_slices(batches, limit=PIECE):
+def pieces(batches: Iterator[pa.RecordBatch], size: int = PIECE) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(row ids, where each piece begins in its text, bytes, offsets) of slices of at most ``size`` bytes. Pieces of one text
+    overlap by all but one byte of a string, so each string is in one of them."""
+    for batch in text_slices(batches, limit=size):
         ids = batch.column("rid").to_numpy()
         buf, offsets = text_bytes(batch.column("text"))
-        if len(buf) <= PIECE:
+        if len(buf) <= size:
             yield ids, np.zeros(len(ids), np.int64), buf, offsets
         else:  # one long text
-            step = PIECE - LENGTH + 1
+            step = size - LENGTH + 1
             for at in range(0, len(buf), step):
-                part = buf[at : at + PIECE]
+                part = buf[at : at + size]
                 yield ids, np.array([at]), part, np.array([0, len(part)])
 
 
@@ -99,13 +105,13 @@ def _merge(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 PHRASES = "trigger long, phrase long, rid long, place long"
 
 
-def parse(docs: DataFrame) -> DataFrame:
+def parse(docs: DataFrame, piece: int = PIECE) -> DataFrame:
     """The phrases of docs(rid, text), one row for each distinct phrase of a slice; what a slice repeats of itself goes
     along as intervals (phrase: the stop, place: -1 - start)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser = Parser()
-        for ids, begin, buf, offsets in pieces(batches):
+        for ids, begin, buf, offsets in pieces(batches, piece):
             d, lo, n, place, trigger, phrase = parser.parse(buf, offsets)
             if not len(d):
                 continue
@@ -202,6 +208,50 @@ def contexts(marked: DataFrame) -> DataFrame:
     return marked.mapInArrow(run, CONTEXTS)
 
 
+def suffix_array(group: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rank of each row of bytes among all, by group and then by its bytes, and the common prefix that the row of each
+    rank has with the one before it; -1 where a group begins."""
+    words = np.ascontiguousarray(rows).view(">u8")
+    order = np.lexsort([*(words[:, k] for k in range(words.shape[1] - 1, -1, -1)), group])
+    differ = rows[order[1:]] != rows[order[:-1]]
+    shared = np.where(differ.any(1), differ.argmax(1), rows.shape[1])
+    shared[group[order[1:]] != group[order[:-1]]] = -1
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    return rank, np.append(-1, shared)
+
+
+def repeated_strings(group: np.ndarray, place: np.ndarray, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(phrase, start in the phrase) of every string that an earlier phrase of its group has too, of phrases in the order of
+    the corpus, their packed places and bytes."""
+    n, off = (place >> 8) & 255, place & 255
+    trigger = offsets[:-1] + off
+    wide = np.concatenate([np.zeros(LENGTH, np.uint8), buf, np.zeros(LENGTH, np.uint8)])
+    step = np.arange(LENGTH + -LENGTH % 8)
+    after = wide[np.minimum(trigger[:, None] + step + LENGTH, len(wide) - 1)]
+    after[step >= (offsets[1:] - trigger)[:, None]] = 0
+    step = np.arange(LENGTH - TRIGGER + 4)
+    before = wide[trigger[:, None] - 1 - step + LENGTH]
+    before[step >= off[:, None]] = 0
+    rank_before, shared_before = suffix_array(group, before)
+    rank_after, shared_after = suffix_array(group, after)
+    phrases, starts = [], []
+    for d in range(int(off.max(initial=-1)) + 1):
+        own = np.flatnonzero((off - n < d) & (d <= off))
+        if not len(own):
+            continue
+        left = np.cumsum(shared_before < d)[rank_before[own]]
+        right = np.cumsum(shared_after < LENGTH - d)[rank_after[own]]
+        key = left * (len(off) + 1) + right
+        order = np.argsort(key, kind="stable")
+        same = np.append(False, key[order[1:]] == key[order[:-1]])
+        later = own[order[same]]
+        phrases.append(later)
+        starts.append(off[later] - d)
+    none = [np.zeros(0, np.int64)]
+    return np.concatenate(phrases + none), np.concatenate(starts + none)
+
+
 STRINGS = "h1 long, h2 long, rid long, start long, later boolean, bytes binary"
 
 
@@ -261,9 +311,11 @@ def suffix_classes(found: DataFrame, group_limit: int, last: bool = False) -> Da
             return one.load(buf).spans(at, at + LENGTH), two.load(buf).spans(at, at + LENGTH), rid, start
 
         def solved(part: pa.Table) -> Iterator[pa.RecordBatch]:
-            h1, h2, rid, start = strings(part)
-            _, later = classes(h1, h2, rid, start)
-            yield runs(rid[later], start[later])
+            """Of whole groups, each sorted by rid and place."""
+            part = part.combine_chunks()
+            trigger, rid, place = (part.column(c).to_numpy() for c in ("trigger", "rid", "place"))
+            at, start = repeated_strings(np.cumsum(np.append(True, trigger[1:] != trigger[:-1])), place, *text_bytes(part.column("bytes").combine_chunks()))
+            yield runs(rid[at], (place >> 16)[at] + start)
 
         def dealt_strings(part: pa.Table) -> Iterator[pa.RecordBatch]:
             h1, h2, rid, start = strings(part)
@@ -364,7 +416,7 @@ def cut_out(marked: DataFrame) -> DataFrame:
     return marked.mapInArrow(run, REMOVED)
 
 
-def remove_repeats(docs: DataFrame, group_limit: int = 1 << 13) -> DataFrame:
+def remove_repeats(docs: DataFrame, group_limit: int = 1 << 13, piece: int = PIECE) -> DataFrame:
     """(doc_id, n_bytes, spans, kept) for every row of docs(doc_id, text): the byte ranges covered by 100-byte strings that
     also start earlier in the corpus (in a smaller doc_id, or before in the same text), and the bytes that are left.
 
@@ -374,7 +426,7 @@ def remove_repeats(docs: DataFrame, group_limit: int = 1 << 13) -> DataFrame:
     spark = docs.sparkSession
     rows, unique = with_row_ids(docs)
     once = rows.select("rid", "text") if unique else rows.select("rid", "text").dropDuplicates(["rid"])
-    sorted_phrases = parse(once).repartition("trigger").sortWithinPartitions("trigger", "phrase", "rid", "place")
+    sorted_phrases = parse(once, piece).repartition("trigger").sortWithinPartitions("trigger", "phrase", "rid", "place")
     marks = materialize(dictionary_marks(sorted_phrases), "phrase-marks")
     release(spark)
     shared = marks.where("b = -1").groupBy("rid").agg(F.collect_list("a").alias("places"))
