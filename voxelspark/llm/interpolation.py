@@ -5,14 +5,18 @@ is the token before it. The weights depend on how often the context v was seen:
 two, and each bucket's weights are learned by expectation-maximisation on counts that one part of the training texts,
 deleted from the counts for this purpose, gives. Every training text is in the counts that score.
 
-Counts are kept by 64-bit hashes of tokens and of token pairs. Texts are dealt to buckets of a few megabytes. A bucket
-sends each distinct token and pair once, with its own counts, to the part of the key space that owns it; the part sums
-them and answers each bucket with the totals for its keys, in the same order. So what is shuffled is about one key for
-each pair that is new in a bucket, a frequent key costs its part one entry a bucket, and no table is sent to all tasks.
+Counts are kept by 64-bit hashes of tokens and of token pairs; two that share one count as one, which of ten billion
+distinct pairs some three do. Texts are dealt to buckets of a few megabytes. A bucket
+sends each distinct token and pair once, with its own counts, into the key space, as one packet for each of ``FAN`` ranges.
+Where these ranges are small enough, each is a part: it sums what came and answers every packet with the totals for its
+keys, in the same order. In a larger corpus the packets of ``FAN`` buckets for one range are merged into one, which is sent
+on into ``FAN`` ranges of that range, and so on; answers come back the same way. So a bucket sends and gets as many packets
+at every size of the corpus, a frequent key costs one entry a packet, and no table is sent to all tasks.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -83,16 +87,35 @@ def _distinct(keys: np.ndarray, fold: np.ndarray, deleted: int, test: int) -> tu
     return keys[order][firsts], np.add.reduceat((f != test).astype(np.int64), firsts), np.add.reduceat((f == deleted).astype(np.int64), firsts)
 
 
-REQUESTS = "part int, bucket int, kind int, keys binary, counts binary, deleted binary"
-REPLIES = "bucket int, part int, kind int, counts binary, deleted binary, types long, total long, types_kept long, total_kept long"
+#: Ranges into which packets are sent at each level, as a power of two.
+FAN_BITS = 7
+REQUESTS = "part long, bucket long, kind int, keys binary, counts binary, deleted binary"
+REPLIES = "bucket long, part long, kind int, counts binary, deleted binary, types long, total long, types_kept long, total_kept long"
 
 
-def _cut(keys: np.ndarray, parts: int) -> np.ndarray:
-    """Where each part's keys begin in sorted keys: parts are equal ranges of the key space."""
-    edges = np.array([(k << 64) // parts for k in range(parts)], np.uint64)
+def _cut(keys: np.ndarray, level: int, parent: int, bits: int) -> np.ndarray:
+    """Where each of the ranges of a level that follow from its parent begins in sorted keys of the parent."""
+    edges = np.array([(parent << bits | k) << (64 - bits * level) for k in range(1 << bits)], np.uint64)
     return np.append(np.searchsorted(keys, edges), len(keys))
 
 
+def _fields(schema: str) -> list[str]:
+    return [x.split()[0] for x in schema.split(", ")]
+
+
+def _packets(level: int, parent: int, bits: int, bucket: int, kind: int, keys: np.ndarray, counts: np.ndarray, gone: np.ndarray) -> Iterator[tuple]:
+    cut = _cut(keys, level, parent, bits)
+    for k in range(1 << bits):
+        own = slice(cut[k], cut[k + 1])
+        if cut[k] < cut[k + 1]:
+            yield parent << bits | k, bucket, kind, pack_keys(keys[own]), _squeeze(counts[own].astype("<i8")), _squeeze(gone[own].astype("<i8"))
+
+
+def _requests(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], _fields(REQUESTS))
+
+
 def _by_bucket(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Table]:
     """All rows of one bucket (or part) at a time, from rows sorted by it."""
     held: list[pa.RecordBatch] = []
@@ -110,8 +133,8 @@ def _by_bucket(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Ta
         yield pa.Table.from_batches(held)
 
 
-def requests(rows: DataFrame, parts: int, deleted: int, test: int) -> DataFrame:
-    """One row for each bucket, part and kind (0: tokens, 1: pairs) from rows(bucket, fold, text) sorted by bucket."""
+def requests(rows: DataFrame, deleted: int, test: int, bits: int = FAN_BITS) -> DataFrame:
+    """One packet for each bucket, range and kind (0: tokens, 1: pairs) from rows(bucket, fold, text) sorted by bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = SpanHash(5)
@@ -123,24 +146,75 @@ def requests(rows: DataFrame, parts: int, deleted: int, test: int) -> DataFrame:
                     x.append(y)
             bucket = table.column("bucket")[0].as_py()
             fold = np.concatenate(found[2])
-            out = []
             for kind in (0, 1):
-                keys, counts, gone = _distinct(np.concatenate(found[kind]), fold, deleted, test)
-                cut = _cut(keys, parts)
-                for part in range(parts):
-                    own = slice(cut[part], cut[part + 1])
-                    if cut[part] < cut[part + 1]:
-                        out.append((part, bucket, kind, pack_keys(keys[own]), _squeeze(counts[own].astype("<i4")), _squeeze(gone[own].astype("<i4"))))
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()))], [x.split()[0] for x in REQUESTS.split(", ")])
+                yield _requests(list(_packets(1, 0, bits, bucket, kind, *_distinct(np.concatenate(found[kind]), fold, deleted, test))))
 
     return rows.mapInArrow(run, REQUESTS)
 
 
+def _merged(packets: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """The sorted distinct keys of some packets, the sums of their counts, and where each packet's keys are among them."""
+    lists = [unpack_keys(x) for x in packets.column("keys").to_pylist()]
+    keys = np.unique(np.concatenate(lists))
+    counts, gone = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+    places = [np.searchsorted(keys, k) for k in lists]
+    for at, c, g in zip(places, packets.column("counts").to_pylist(), packets.column("deleted").to_pylist()):
+        counts[at] += _unsqueeze(c, "<i8")
+        gone[at] += _unsqueeze(g, "<i8")
+    return keys, counts, gone, places
+
+
+def _node(part: Column, bucket: Column, bits: int) -> Column:
+    """A range, and the group of buckets whose packets for it are merged, in one number."""
+    return F.shiftleft(part, 32).bitwiseOR(F.shiftright(bucket, bits))
+
+
+def merge(asked: DataFrame, level: int, bits: int) -> DataFrame:
+    """The packets of the next level: those for one range from 2^bits buckets, merged and sent on into its ranges."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _by_bucket(batches, "node"):
+            node, of_kind = table.column("node")[0].as_py(), table.column("kind").to_numpy()
+            for kind in (0, 1):
+                own = table.filter(pa.array(of_kind == kind))
+                if own.num_rows:
+                    keys, counts, gone, _ = _merged(own)
+                    yield _requests(list(_packets(level + 1, node >> 32, bits, node & 0xFFFFFFFF, kind, keys, counts, gone)))
+
+    dealt = asked.withColumn("node", _node(F.col("part"), F.col("bucket"), bits))
+    return dealt.repartition("node").sortWithinPartitions("node", "kind").mapInArrow(run, REQUESTS)
+
+
+def expand(asked: DataFrame, answers: DataFrame, bits: int) -> DataFrame:
+    """The answers to a level's packets from those to the merged packets of the next."""
+    names, kinds = _fields(REPLIES), [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), *[pa.int64()] * 4]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _by_bucket(batches, "node"):
+            of_kind, is_asked = table.column("kind").to_numpy(), table.column("keys").is_valid().to_numpy()
+            for kind in (0, 1):
+                own, got = (table.filter(pa.array((of_kind == kind) & w)) for w in (is_asked, ~is_asked))
+                if not own.num_rows:
+                    continue
+                got = got.sort_by("part")
+                totals = [np.concatenate([_unsqueeze(x, "<i8") for x in got.column(c).to_pylist()]) for c in ("counts", "deleted")]
+                lists = [unpack_keys(x) for x in own.column("keys").to_pylist()]
+                keys = np.unique(np.concatenate(lists))
+                for bucket, part, k in zip(own.column("bucket").to_pylist(), own.column("part").to_pylist(), lists):
+                    at = np.searchsorted(keys, k)
+                    row = (bucket, part, kind, *(_squeeze(t[at]) for t in totals), None, None, None, None)
+                    yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, kinds)], names)
+
+    node = F.shiftleft(F.shiftright("part", bits), 32).bitwiseOR(F.col("bucket"))
+    down = answers.select(node.alias("node"), "part", "bucket", "kind", F.lit(None).cast("binary").alias("keys"), "counts", "deleted")
+    up = asked.select(_node(F.col("part"), F.col("bucket"), bits).alias("node"), "part", "bucket", "kind", "keys", "counts", "deleted")
+    return up.unionByName(down).repartition("node").sortWithinPartitions("node", "kind").mapInArrow(run, REPLIES)
+
+
 def replies(asked: DataFrame) -> DataFrame:
-    """The totals for every request, in its order, from requests sorted by (part, kind); and for each part one row of
-    bucket -1 with the number of training tokens and types, with and without the deleted fold."""
-    names = [x.split()[0] for x in REPLIES.split(", ")]
-    kinds = [pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+    """The totals for every packet, in its order, of the last level's ranges; and for each range one row of bucket -1 with
+    the number of training tokens and types, with and without the deleted fold."""
+    names, kinds = _fields(REPLIES), [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), *[pa.int64()] * 4]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _by_bucket(batches, "part"):
@@ -150,20 +224,29 @@ def replies(asked: DataFrame) -> DataFrame:
                 own = table.filter(pa.array(of_kind == kind))
                 if not own.num_rows:
                     continue
-                lists = [unpack_keys(x) for x in own.column("keys").to_pylist()]
-                keys = np.unique(np.concatenate(lists))
-                counts, gone = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
-                places = [np.searchsorted(keys, k) for k in lists]
-                for at, c, g in zip(places, own.column("counts").to_pylist(), own.column("deleted").to_pylist()):
-                    counts[at] += _unsqueeze(c, "<i4")
-                    gone[at] += _unsqueeze(g, "<i4")
+                keys, counts, gone, places = _merged(own)
                 if kind == 0:
-                    kept = counts - gone
-                    yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip((-1, part, 0, None, None, int((counts > 0).sum()), int(counts.sum()), int((kept > 0).sum()), int(kept.sum())), kinds)], names)
-                rows = [(b, part, kind, _squeeze(counts[at].astype("<i8")), _squeeze(gone[at].astype("<i8")), None, None, None, None) for b, at in zip(own.column("bucket").to_pylist(), places)]
+                    left = counts - gone
+                    yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip((-1, part, 0, None, None, int((counts > 0).sum()), int(counts.sum()), int((left > 0).sum()), int(left.sum())), kinds)], names)
+                rows = [(b, part, kind, _squeeze(counts[at]), _squeeze(gone[at]), None, None, None, None) for b, at in zip(own.column("bucket").to_pylist(), places)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
-    return asked.mapInArrow(run, REPLIES)
+    return asked.repartition("part").sortWithinPartitions("part", "kind").mapInArrow(run, REPLIES)
+
+
+def totals(asked: DataFrame, levels: int, bits: int = FAN_BITS) -> tuple[DataFrame, DataFrame]:
+    """The answers to the packets of the first level, and the rows of bucket -1."""
+    packets = [asked]
+    for level in range(1, levels):
+        packets[-1] = materialize(packets[-1], "lm-packets")
+        packets.append(merge(packets[-1], level, bits))
+    answers = materialize(replies(packets[-1]), "lm-totals")
+    release(asked.sparkSession)
+    sums, answers = answers.where("bucket = -1"), answers.where("bucket >= 0")
+    for own in reversed(packets[:-1]):
+        answers = materialize(expand(own, answers, bits), "lm-totals")
+        release(asked.sparkSession)
+    return answers, sums
 
 
 class Bucket:
@@ -273,30 +356,29 @@ def scores(rows: DataFrame, weights: np.ndarray, types: int, total: int) -> Data
     return rows.mapInArrow(run, SCORES)
 
 
-def score_texts(docs: DataFrame, fold: Column | None = None, test: int = 0, deleted: int = 9, bucket_bytes: int = 4 << 20, part_bytes: int = 16 << 20) -> DataFrame:
+def score_texts(docs: DataFrame, fold: Column | None = None, test: int = 0, deleted: int = 9, bucket_bytes: int = 4 << 20, part_bytes: int = 16 << 20, fan_bits: int = FAN_BITS) -> DataFrame:
     """(doc_id, fold, n_tokens, n_known, train_tokens, base_score, score) for every row of docs(doc_id, text).
 
     ``fold`` deals documents to folds (default: crc32 of the id as text, modulo 10; a null id is in the test fold). The
     test fold is scored and never counted. Null texts are empty: one end token. Repeated rows count as often as they are
-    there.
+    there. An empty table gives no rows.
     """
     spark = docs.sparkSession
     fold = fold if fold is not None else crc32_text("doc_id") % 10
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(fold, F.lit(test)).cast("int").alias("fold"), "text")
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
     n_buckets, parts = max(1, math.ceil(size / bucket_bytes)), max(1, math.ceil(size / part_bytes))
+    levels = next(n for n in itertools.count(1) if 1 << fan_bits * n >= parts)
     # the deleted fold has buckets of its own, which EM reads alone; the others follow
     n_deleted = math.ceil(n_buckets / 10)
     spread = F.xxhash64("doc_id", "text")
     bucket = F.when(F.col("fold") == deleted, F.pmod(spread, F.lit(n_deleted))).otherwise(n_deleted + F.pmod(spread, F.lit(n_buckets)))
-    rows = rows.withColumn("bucket", bucket.cast("int"))
-    asked = requests(rows.repartition("bucket").sortWithinPartitions("bucket"), parts, deleted, test)
-    answers = materialize(replies(asked.repartition("part").sortWithinPartitions("part", "kind")), "lm-totals")
-    release(spark)
-    own = answers.where("bucket = -1").agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("types", "total", "types_kept", "total_kept"))).first()
+    rows = rows.withColumn("bucket", bucket.cast("long"))
+    answers, sums = totals(requests(rows.repartition("bucket").sortWithinPartitions("bucket"), deleted, test, fan_bits), levels, fan_bits)
+    own = sums.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("types", "total", "types_kept", "total_kept"))).first()
 
     def both(texts: DataFrame, buckets: Column) -> DataFrame:
-        sent = answers.where("bucket >= 0").where(buckets).select("bucket", "part", "kind", "counts", "deleted")
+        sent = answers.where(buckets).select("bucket", "part", "kind", "counts", "deleted")
         mixed = texts.unionByName(sent, allowMissingColumns=True)
         return mixed.repartition("bucket").sortWithinPartitions("bucket")
 
