@@ -1,12 +1,11 @@
 """Media columns: animated GIF images as a binary column, and features of the frames that are decoded from it.
 
 The decoder reads any GIF87a or GIF89a image: LZW code streams with growing codes, deferred clears and sub-blocks, global
-and local palettes, interlacing, frame offsets, transparency and the four ways of disposal, frame delays. Codes between two
-clear codes have widths that depend on their number alone, so they are cut out of the bits all at once; a run that has
-literals only needs no string table, any other is expanded through one.
+and local palettes, interlacing, frame offsets, transparency and the four ways of disposal, frame delays. The widths of the
+codes between two clear codes depend on their number alone, so the codes of many streams are cut out of their bits at once;
+each run of codes is then expanded through its string table.
 
-The encoder stores samples without loss as palette numbers, in frames of 24 x 24. It writes literals and clears its table
-before codes grow to ten bits, which keeps both ways fast; ``compress`` builds strings instead, for smaller files.
+The encoder stores samples without loss as palette numbers, in frames of 24 x 24, each an LZW stream with a string table.
 """
 
 from __future__ import annotations
@@ -16,111 +15,154 @@ import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_bytes, text_slices
+from .common import materialize, text_bytes, text_slices
 
 SIDE = 24
 FRAME = SIDE * SIDE
 PAD = 255
-#: Literals between two clear codes: the table then stays under 512 entries and codes at 9 bits.
-RUN = 254
 CLEAR, STOP = 256, 257
 #: Hundredths of a second that a frame stays.
 DELAY = 10
 GRAY = bytes(x for v in range(256) for x in (v, v, v))
 
 
-def _literal_places(n: int) -> np.ndarray:
-    """Where the literals of a frame stand among its codes: each run follows a clear code."""
-    at = np.arange(n)
-    return at + at // RUN + 1
-
-
 def _sub_blocks(data: bytes) -> bytes:
     return b"".join(bytes([len(c)]) + c for c in (data[i : i + 255] for i in range(0, len(data), 255))) + b"\0"
 
 
-def literal_codes(samples: np.ndarray) -> np.ndarray:
-    """LZW data (rows of bytes) of equally long rows of samples, as literals."""
-    n = samples.shape[1]
-    places = _literal_places(n)
-    total = int(places[-1]) + 2 if n else 2
-    codes = np.full((len(samples), total), CLEAR, np.uint16)
-    codes[:, places] = samples
-    codes[:, -1] = STOP
-    codes = np.pad(codes, ((0, 0), (0, -total % 8)))
-    words = codes.reshape(len(samples), -1, 8).astype(np.uint64)
-    low = (words << (np.arange(8, dtype=np.uint64) * np.uint64(9))).sum(-1, dtype=np.uint64)  # 72 bits: 64 here
-    high = (words[..., 7] >> np.uint64(1)).astype(np.uint8)  # and the last eight
-    out = np.concatenate([low[..., None].view(np.uint8).reshape(*low.shape, 8), high[..., None]], -1).reshape(len(samples), -1)
-    return out[:, : (9 * total + 7) // 8]
-
-
-def string_codes(samples: bytes) -> bytes:
-    """LZW data of samples, with a string table that is cleared when it is full."""
-    table: dict[bytes, int] = {}
-    bits, held, width = 0, 0, 9
-    out = bytearray()
-
-    def put(code: int) -> None:
-        nonlocal bits, held
-        held |= code << bits
-        bits += width
-        while bits >= 8:
-            out.append(held & 255)
-            held >>= 8
-            bits -= 8
-
-    put(CLEAR)
-    size, word = 258, b""
-    for b in samples:
-        longer = word + bytes([b])
-        if len(longer) == 1 or longer in table:
+def _widths(least: int, n: int) -> np.ndarray:
+    """Bits of the first n codes after a clear code: the k-th code (from 0) is read when the table has as many entries
+    as the clear code, the stop code and one for each code after the first give it."""
+    entries = (1 << least) + 2 + np.maximum(np.arange(n) - 1, 0)
+    return np.clip(np.ceil(np.log2(entries + 0.5)), least + 1, 12).astype(np.int64)
+
+
+_WIDTHS = _widths(8, 4096)
+
+
+def lzw_codes(samples: bytes) -> list[int]:
+    """The codes of samples, clear and stop codes among them, with a string table that is cleared when it is full."""
+    if not samples:
+        return [CLEAR, STOP]
+    out, table, size = [CLEAR], {}, STOP + 1 << 8
+    get, put = table.get, out.append
+    word = samples[0] << 8  # codes are kept eight bits up, where a sample makes a string's key of them
+    for b in memoryview(samples)[1:]:
+        key = word | b
+        longer = get(key)
+        if longer:
             word = longer
             continue
-        put(table[word] if len(word) > 1 else word[0])
-        if size < 4096:
-            table[longer] = size
-            size += 1
-            if size > 1 << width and width < 12:
-                width += 1
+        put(word >> 8)
+        if size < 4096 << 8:
+            table[key] = size
+            size += 256
         else:
             put(CLEAR)
-            table, size, width = {}, 258, 9
-        word = bytes([b])
-    if word:
-        put(table[word] if len(word) > 1 else word[0])
-        size += 1
-        if size > 1 << width and width < 12 and size <= 4096:
-            width += 1
-    put(STOP)
-    if bits:
-        out.append(held & 255)
-    return bytes(out)
+            table.clear()
+            size = STOP + 1 << 8
+        word = b << 8
+    return [*out, word >> 8, STOP]
+
+
+def pack_codes(streams: list[list[int]]) -> list[bytes]:
+    """The bytes of code streams, each from a byte of its own."""
+    codes = np.concatenate([np.array(s, np.int64) for s in streams])
+    lengths = np.array([len(s) for s in streams])
+    first = np.cumsum(lengths) - lengths
+    # a code's number after the last clear code gives its width; a stream's first code is a clear code
+    at = np.arange(len(codes))
+    clears = np.where(codes == CLEAR, at, -1)
+    clears[first] = first
+    last = np.maximum.accumulate(np.append(-1, clears[:-1]))
+    last[first] = first - 1
+    width = _WIDTHS[np.minimum(at - last - 1, 4095)]
+    ends = np.cumsum(width)
+    begin = ends - width
+    bits = np.add.reduceat(width, first)
+    size = (bits + 7) >> 3
+    base = np.cumsum(size) - size
+    place = begin - np.repeat(begin[first], lengths) + 8 * np.repeat(base, lengths)
+    value, byte = codes << (place & 7), place >> 3
+    out = np.zeros(int(size.sum()) + 2)
+    for k in range(3):  # the bits of different codes never meet, so bytes add up
+        out += np.bincount(byte + k, value >> 8 * k & 255, len(out))
+    data = out.astype(np.uint8).tobytes()
+    return [data[a : a + n] for a, n in zip(base.tolist(), size.tolist())]
+
+
+#: Frames whose string tables are built side by side, and places in the table of each: 4 MB in all, which caches hold.
+ABREAST, PLACES = 256, 2048
+
+
+def frame_codes(samples: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """LZW codes of each row of samples (no longer than a string table has room for), as columns of codes, and the number of
+    each row's codes. The rows take their steps together. A row's strings are kept by a hash of their code and sample; one
+    that meets another's place replaces it, so that a string is sometimes not found again, which costs a code and no more.
+    """
+    rows, n = samples.shape
+    codes, counts = np.zeros((n + 2, rows), np.uint32), np.zeros(rows, np.int64)
+    if not rows:
+        return codes, counts
+    mix, down = np.uint32(0x9E3779B1), np.uint32(32 - PLACES.bit_length() + 1)
+    keys, found = np.empty(min(rows, ABREAST) * PLACES, np.uint32), np.empty(min(rows, ABREAST) * PLACES, np.uint32)
+    for first in range(0, rows, ABREAST):
+        own = np.ascontiguousarray(samples[first : first + ABREAST].T).astype(np.uint32)
+        m = own.shape[1]
+        keys[:] = 0
+        row = np.arange(m)
+        base = row * PLACES
+        out = np.zeros((n + 2) * m, np.uint32)  # a code is written where the next one goes, and stays when that moves on
+        at, number = m + row, np.full(m, STOP + 1, np.uint32)  # the first code learns the first free number
+        out[:m] = CLEAR
+        word = own[0]
+        for sample in own[1:]:
+            key = (word << np.uint32(8)) + sample + np.uint32(1)
+            place = (key * mix >> down) + base
+            new = keys.take(place) != key
+            longer = found.take(place)
+            out[at] = word
+            keys[place] = key
+            found[place] = np.where(new, number, longer)
+            at += new * m
+            number += new
+            word = np.where(new, sample, longer)
+        out[at] = word
+        out[at + m] = STOP
+        codes[:, first : first + m] = out.reshape(n + 2, m)
+        counts[first : first + m] = at // m + 2
+    return codes, counts
+
+
+def pack_frames(codes: np.ndarray, counts: np.ndarray) -> list[bytes]:
+    """The bytes of code streams that are columns of codes, with one clear code at their beginning: the k-th codes of all
+    streams stand at the same bits."""
+    width = np.concatenate([[9], _WIDTHS[: len(codes) - 1]])
+    begin = np.cumsum(width) - width
+    out = np.zeros((int(begin[-1] + 12 >> 3) + 3, codes.shape[1]), np.uint8)
+    for k in range(int(counts.max(initial=0))):
+        value, at = codes[k].astype(np.uint32) << np.uint32(begin[k] & 7), int(begin[k] >> 3)
+        for part in range(3):
+            out[at + part] |= (value >> np.uint32(8 * part)).astype(np.uint8)
+    sizes = (begin[counts - 1] + width[counts - 1] + 7) >> 3
+    data = np.ascontiguousarray(out.T)
+    return [d[:n].tobytes() for d, n in zip(data, sizes.tolist())]
 
 
 _HEAD = b"GIF89a" + struct.pack("<HHBBB", SIDE, SIDE, 0xF7, 0, 0) + GRAY + b"\x21\xff\x0bNETSCAPE2.0\x03\x01\0\0\0"
 _FRAME_HEAD = b"\x21\xf9\x04\x04" + struct.pack("<H", DELAY) + b"\0\0" + b"\x2c" + struct.pack("<HHHHB", 0, 0, SIDE, SIDE, 0) + b"\x08"
 
 
-def frame_blocks(samples: np.ndarray, compress: bool = False) -> list[bytes]:
+def frame_blocks(samples: np.ndarray) -> list[bytes]:
     """The image blocks of rows of FRAME samples."""
-    if compress:
-        return [_FRAME_HEAD + _sub_blocks(string_codes(s.tobytes())) for s in samples]
-    data = literal_codes(samples)
-    n = data.shape[1]
-    parts = [np.frombuffer(_FRAME_HEAD, np.uint8)[None].repeat(len(data), 0)]
-    for at in range(0, n, 255):
-        size = min(255, n - at)
-        parts += [np.full((len(data), 1), size, np.uint8), data[:, at : at + size]]
-    parts.append(np.zeros((len(data), 1), np.uint8))
-    whole = np.concatenate(parts, 1)
-    return [row.tobytes() for row in whole] if len(whole) else []
+    return [_FRAME_HEAD + _sub_blocks(d) for d in pack_frames(*frame_codes(samples))]
 
 
 def pad(data: bytes) -> bytes:
@@ -128,9 +170,9 @@ def pad(data: bytes) -> bytes:
     return data + bytes([PAD]) * (FRAME - len(data) % FRAME if len(data) % FRAME or not data else 0)
 
 
-def encode_gif(payload: bytes, compress: bool = False) -> bytes:
+def encode_gif(payload: bytes) -> bytes:
     """An animation whose frames, one after another, hold the payload: a positive multiple of FRAME bytes."""
-    return _HEAD + b"".join(frame_blocks(np.frombuffer(payload, np.uint8).reshape(-1, FRAME), compress)) + b"\x3b"
+    return _HEAD + b"".join(frame_blocks(np.frombuffer(payload, np.uint8).reshape(-1, FRAME))) + b"\x3b"
 
 
 @dataclass
@@ -161,7 +203,14 @@ def _blocks(data: bytes, at: int) -> tuple[bytes, int]:
 
 
 def parse_gif(data: bytes) -> tuple[int, int, list[Image]]:
-    """Screen width and height, and the frames in order."""
+    """Screen width and height, and the frames in order; ValueError if the file is broken or ends too early."""
+    try:
+        return _parse(data)
+    except (struct.error, IndexError) as e:
+        raise ValueError("the file ends too early") from e
+
+
+def _parse(data: bytes) -> tuple[int, int, list[Image]]:
     if data[:6] not in (b"GIF87a", b"GIF89a"):
         raise ValueError("not a GIF")
     width, height, flags = struct.unpack_from("<HHB", data, 6)
@@ -201,139 +250,163 @@ def parse_gif(data: bytes) -> tuple[int, int, list[Image]]:
     raise ValueError("the file has no end")
 
 
-def _widths(least: int, n: int) -> np.ndarray:
-    """Bits of the first n codes after a clear code: the k-th code (from 0) is read when the table has as many entries
-    as the clear code, the stop code and one for each code after the first give it."""
-    entries = (1 << least) + 2 + np.maximum(np.arange(n) - 1, 0)
-    return np.clip(np.ceil(np.log2(entries + 0.5)), least + 1, 12).astype(np.int64)
+#: Codes that are first looked for after a clear code, and bits of streams that are cut at once.
+SPAN, CUT = 640, 1 << 22
+
+
+def code_runs(streams: list[bytes], least: int) -> list[list[np.ndarray]]:
+    """The codes of each LZW stream with ``least`` bits a literal, in runs between clear codes, without the special codes. A
+    stream ends at its stop code, or where its bits end."""
+    clear = 1 << least
+    sizes = np.array([len(d) for d in streams], np.int64)
+    data = np.frombuffer(b"".join(streams) + b"\0\0\0", np.uint8)
+    base = 8 * (np.cumsum(sizes) - sizes)
+    at, stop = base.copy(), base + 8 * sizes
+    head = (data[at >> 3].astype(np.int64) | data[(at >> 3) + 1].astype(np.int64) << 8) & (1 << least + 1) - 1
+    at[(head == clear) & (sizes > 1)] += least + 1  # nearly every stream begins with a clear code
+    out: list[list[np.ndarray]] = [[] for _ in streams]
+    todo, span = np.arange(len(streams)), SPAN
+    while len(todo):
+        widths = _widths(least, span)
+        ends = np.cumsum(widths)
+        longer, again = [], []
+        step = max(1, CUT // (12 * span))
+        for part in (todo[i : i + step] for i in range(0, len(todo), step)):
+            place = at[part, None] + (ends - widths)
+            there = place + widths <= stop[part, None]
+            byte = np.minimum(place >> 3, len(data) - 3)
+            value = data[byte].astype(np.int32) | data[byte + 1].astype(np.int32) << 8 | data[byte + 2].astype(np.int32) << 16
+            codes = (value >> (place & 7).astype(np.int32)) & ((1 << widths) - 1).astype(np.int32)
+            special = ((codes == clear) | (codes == clear + 1)) & there
+            first = np.where(special.any(1), special.argmax(1), -1)
+            known = there.sum(1)
+            for row, (stream, k, n) in enumerate(zip(part.tolist(), first.tolist(), known.tolist())):
+                if k < 0 and n == span:  # a longer run
+                    longer.append(stream)
+                    continue
+                if k or n == 0:
+                    out[stream].append(codes[row, : k if k >= 0 else n].copy())
+                if k >= 0 and codes[row, k] == clear:
+                    at[stream] += int(ends[k])
+                    again.append(stream)
+        todo = np.array(again + longer, np.int64)
+        span = 4 * span if longer else SPAN
+    return out
 
 
-def lzw_decode(data: bytes, least: int, count: int) -> np.ndarray:
-    """Up to ``count`` palette numbers of an LZW code stream with ``least`` bits a literal."""
+def lzw_decode(streams: list[bytes], least: int, counts: list[int]) -> list[np.ndarray]:
+    """Up to ``counts`` palette numbers of each LZW stream."""
     clear = 1 << least
-    bits = np.unpackbits(np.frombuffer(data, np.uint8), bitorder="little")
-    powers = 1 << np.arange(12)
-    out, done, at = [], 0, 0
-    span = 512
-    while at + least + 1 <= len(bits) and done < count:
-        # the codes up to the next clear or stop code, in growing guesses of their number
-        while True:
-            widths = _widths(least, span)
-            ends = at + np.cumsum(widths)
-            k = int(np.searchsorted(ends, len(bits), "right"))
-            ends, w = ends[:k], widths[:k]
-            place = (ends - w)[:, None] + np.arange(12)
-            codes = (bits[np.minimum(place, len(bits) - 1)] * (np.arange(12) < w[:, None]) * powers).sum(1)
-            special = np.flatnonzero((codes == clear) | (codes == clear + 1))
-            if len(special) or k < span or span > 1 << 22:
-                break
-            span *= 4
-        stop = int(special[0]) if len(special) else len(codes)
-        own = codes[:stop]
-        if len(own):
-            part = own.astype(np.uint8) if (own < clear).all() else np.frombuffer(_expand(own.tolist(), clear), np.uint8)
-            out.append(part)
-            done += len(part)
-        if not len(special) or codes[stop] == clear + 1:
-            break
-        at = int(ends[stop])
-        span = 512
-    return np.concatenate(out)[:count] if out else np.zeros(0, np.uint8)
-
-
-def _expand(codes: list[int], clear: int) -> bytes:
-    table = [bytes([i]) for i in range(clear)] + [b"", b""]
+    words = [bytes([i]) for i in range(clear)] + [b"", b""]
+    return [np.frombuffer(b"".join(_expand(run.tolist(), words) for run in runs if len(run)), np.uint8)[:n] for runs, n in zip(code_runs(streams, least), counts)]
+
+
+def _expand(codes: list[int], words: list[bytes]) -> bytes:
+    table = words.copy()
+    if codes[0] >= len(table):
+        raise ValueError("a code is beyond the table")
     last = table[codes[0]]
     out = [last]
-    for code in codes[1:]:
-        if code < len(table):
+    put, learn = out.append, table.append
+    learns = 4096 - len(table)  # codes that still add a string
+    for code in codes[1 : learns + 1]:
+        try:
             word = table[code]
-        elif code == len(table):
+        except IndexError:  # the string that this code itself completes
+            if code != len(table):
+                raise ValueError("a code is beyond the table") from None
             word = last + last[:1]
-        else:
-            raise ValueError("a code is beyond the table")
-        out.append(word)
-        if len(table) < 4096:
-            table.append(last + word[:1])
+        put(word)
+        learn(last + word[:1])
         last = word
+    for code in codes[learns + 1 :]:
+        if code >= len(table):
+            raise ValueError("a code is beyond the table")
+        put(table[code])
     return b"".join(out)
 
 
-def _decode_literal_frames(images: list[Image]) -> np.ndarray | None:
-    """The samples of frames whose streams all have this encoder's layout of clears and literals; None if any has not."""
-    size = (9 * (int(_literal_places(FRAME)[-1]) + 2) + 7) // 8
-    if any(len(i.data) != size or i.least != 8 or i.width * i.height != FRAME for i in images):
-        return None
-    data = np.frombuffer(b"".join(i.data for i in images), np.uint8).reshape(len(images), size)
-    data = np.pad(data, ((0, 0), (0, -size % 9 + 9)))
-    groups = data[:, : data.shape[1] // 9 * 9].reshape(len(images), -1, 9)
-    low = np.ascontiguousarray(groups[..., :8]).view("<u8")[..., 0]
-    codes = np.empty((*low.shape, 8), np.uint16)
-    for k in range(7):
-        codes[..., k] = low >> np.uint64(9 * k) & np.uint64(511)
-    codes[..., 7] = (low >> np.uint64(63)).astype(np.uint16) | groups[..., 8].astype(np.uint16) << 1
-    codes = codes.reshape(len(images), -1)
-    places = _literal_places(FRAME)
-    total = int(places[-1]) + 2
-    clears = np.setdiff1d(np.arange(total - 1), places)
-    samples = codes[:, places]
-    if (codes[:, clears] != CLEAR).any() or (codes[:, total - 1] != STOP).any() or (samples > 255).any():
-        return None
-    return samples.astype(np.uint8)
-
-
 def frame_samples(images: list[Image]) -> list[np.ndarray]:
     """Palette numbers of each frame, in rows from the top."""
-    if images and (fast := _decode_literal_frames(images)) is not None and not any(i.interlaced for i in images):
-        return [s.reshape(i.height, i.width) for s, i in zip(fast, images)]
-    out = []
-    for i in images:
-        samples = lzw_decode(i.data, i.least, i.width * i.height)
-        if len(samples) < i.width * i.height:
-            raise ValueError("a frame has too few samples")
-        samples = samples.reshape(i.height, i.width)
-        if i.interlaced:
-            order = np.concatenate([np.arange(a, i.height, s) for a, s in ((0, 8), (4, 8), (2, 4), (1, 2))])
-            rows = np.empty_like(samples)
-            rows[order] = samples
-            samples = rows
-        out.append(samples)
+    out: list[np.ndarray | None] = [None] * len(images)
+    for least in {i.least for i in images}:
+        own = [k for k, i in enumerate(images) if i.least == least]
+        found = lzw_decode([images[k].data for k in own], least, [images[k].width * images[k].height for k in own])
+        for k, samples in zip(own, found):
+            i = images[k]
+            if len(samples) < i.width * i.height:
+                raise ValueError("a frame has too few samples")
+            samples = samples.reshape(i.height, i.width)
+            if i.interlaced:
+                order = np.concatenate([np.arange(a, i.height, s) for a, s in ((0, 8), (4, 8), (2, 4), (1, 2))])
+                rows = np.empty_like(samples)
+                rows[order] = samples
+                samples = rows
+            out[k] = samples
     return out
 
 
-def render(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """The animation as RGBA screens (frames x height x width x 4) and the delay of each in hundredths of a second."""
-    width, height, images = parse_gif(data)
+def screens(width: int, height: int, images: list[Image], samples: list[np.ndarray]) -> Iterator[np.ndarray]:
+    """What is shown at each frame, as RGBA pixels."""
     screen = np.zeros((height, width, 4), np.uint8)
-    shown, delays = [], []
-    for image, samples in zip(images, frame_samples(images)):
-        before = screen.copy()
+    for image, own in zip(images, samples):
+        before = screen.copy() if image.disposal == 3 else None
         area = screen[image.top : image.top + image.height, image.left : image.left + image.width]
-        samples = samples[: area.shape[0], : area.shape[1]]
-        seen = samples != image.transparent
-        area[seen, :3] = image.palette[np.minimum(samples, len(image.palette) - 1)][seen]
+        own = own[: area.shape[0], : area.shape[1]]
+        seen = own != image.transparent
+        area[seen, :3] = image.palette[np.minimum(own, len(image.palette) - 1)][seen]
         area[seen, 3] = 255
-        shown.append(screen.copy())
-        delays.append(image.delay)
+        yield screen.copy()
         if image.disposal == 2:
             area[:] = 0
-        elif image.disposal == 3:
+        elif before is not None:
             screen = before
-    return np.array(shown).reshape(-1, height, width, 4), np.array(delays, np.int64)
 
 
-def histogram(samples: np.ndarray, palette: np.ndarray) -> np.ndarray:
-    """Pixels by brightness in 8 equal steps, after the palette (weights 77, 150, 29 of 256)."""
-    luma = (palette.astype(np.int64) @ np.array([77, 150, 29])) >> 8
-    return np.bincount(luma[samples.ravel()] >> 5, minlength=8)
+def render(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The animation as RGBA screens (frames x height x width x 4) and the delay of each in hundredths of a second."""
+    width, height, images = parse_gif(data)
+    shown = list(screens(width, height, images, frame_samples(images)))
+    return np.array(shown, np.uint8).reshape(-1, height, width, 4), np.array([i.delay for i in images], np.int64)
+
+
+BINS = 8
+
+
+@lru_cache(64)
+def _bins(colours_of: bytes) -> np.ndarray:
+    """For each of 256 palette numbers, ones in the bins of its red, green and blue."""
+    palette = np.frombuffer(colours_of, np.uint8).reshape(-1, 3)
+    colours = palette[np.minimum(np.arange(256), len(palette) - 1)]
+    out = np.zeros((256, 3 * BINS), np.int64)
+    out[np.arange(256)[:, None], (colours >> 5) + BINS * np.arange(3)] = 1
+    return out
+
+
+def histograms(width: int, height: int, images: list[Image], samples: list[np.ndarray]) -> np.ndarray:
+    """Of what is shown at each frame: the pixels by red, green and blue, in 8 equal steps each. Pixels that nothing was
+    drawn on do not count."""
+    if images and all(not (i.left or i.top) and i.width >= width and i.height >= height and i.transparent < 0 and i.palette is images[0].palette for i in images):
+        # every frame covers the screen, so that none shows through
+        shown = np.stack([s[:height, :width].ravel() for s in samples]).astype(np.int64)
+        counts = np.bincount((shown + 256 * np.arange(len(shown))[:, None]).ravel(), minlength=256 * len(shown))
+        return counts.reshape(-1, 256) @ _bins(images[0].palette.tobytes())
+    out = [np.bincount(((s[..., :3] >> 5) + BINS * np.arange(3))[s[..., 3] > 0].ravel(), minlength=3 * BINS) for s in screens(width, height, images, samples)]
+    return np.array(out, np.int64).reshape(-1, 3 * BINS)
 
 
 MEDIA = "doc_id long, n_bytes long, media binary"
 FEATURES = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, n_frames int, duration long, histogram array<long>"
+FRAMES = "doc_id long, frame int, starts long, delay int, width int, height int, red array<long>, green array<long>, blue array<long>"
 
 
-def store(docs: DataFrame, compress: bool = False) -> DataFrame:
-    """(doc_id, n_bytes, media): every whole text of docs(doc_id, text) as an animation. A null text is an empty one."""
+def _names(schema: str) -> list[str]:
+    return [x.split()[0] for x in schema.split(", ")]
+
+
+def store(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_bytes, media): every whole text of docs(doc_id, text) as an animation. A null text is an empty one, which
+    has one frame of padding. Ids may be null or repeated; an empty table gives no rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
@@ -343,32 +416,83 @@ def store(docs: DataFrame, compress: bool = False) -> DataFrame:
             ends = np.concatenate([[0], np.cumsum(frames)])
             payload = np.full(int(ends[-1]) * FRAME, PAD, np.uint8)
             payload[np.repeat(ends[:-1] * FRAME - offsets[:-1], sizes) + np.arange(len(buf))] = buf
-            blocks = frame_blocks(payload.reshape(-1, FRAME), compress)
+            blocks = frame_blocks(payload.reshape(-1, FRAME))
             media = [b"".join((_HEAD, *blocks[a:b], b"\x3b")) for a, b in zip(ends.tolist(), ends[1:].tolist())]
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(sizes), pa.array(media, pa.binary())], ["doc_id", "n_bytes", "media"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(sizes), pa.array(media, pa.binary())], _names(MEDIA))
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, MEDIA)
 
 
-def features(media: DataFrame) -> DataFrame:
-    """What the decoded frames of media(doc_id, n_bytes, media) show; equal images give equal values."""
+Animation = tuple[int, int, list[Image], list[np.ndarray]]
+
+
+def read_all(media: list[bytes | None]) -> list[Animation | None]:
+    """Screen width and height, frames and samples of every image; None for a null or broken one. The streams of all images
+    are decoded together; where one is broken, each image by itself."""
+    parsed: list[tuple[int, int, list[Image]] | None] = []
+    for data in media:
+        try:
+            parsed.append(parse_gif(data or b""))
+        except ValueError:
+            parsed.append(None)
+    try:
+        samples = iter(frame_samples([i for p in parsed if p for i in p[2]]))
+        return [p and (*p, [next(samples) for _ in p[2]]) for p in parsed]
+    except ValueError:
+        out: list[Animation | None] = []
+        for p in parsed:
+            try:
+                out.append(p and (*p, frame_samples(p[2])))
+            except ValueError:
+                out.append(None)
+        return out
+
+
+def frames(media: DataFrame) -> DataFrame:
+    """One row for each frame of media(doc_id, media): its number, when it starts and how long it stays (hundredths of a
+    second), the screen's size, and the colour histograms of what it shows. A null or broken image has no frames."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "media"):
             rows = []
-            for doc_id, n_bytes, data in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                _, _, images = parse_gif(data)
-                samples = frame_samples(images)
+            for doc_id, found in zip(batch.column(0).to_pylist(), read_all(batch.column(1).to_pylist())):
+                if found is None:
+                    continue
+                starts = 0
+                for n, (image, own) in enumerate(zip(found[2], histograms(*found).tolist())):
+                    rows.append((doc_id, n, starts, image.delay, *found[:2], own[:BINS], own[BINS : 2 * BINS], own[2 * BINS :]))
+                    starts += image.delay
+            kinds = [pa.int64(), pa.int32(), pa.int64(), *[pa.int32()] * 3, *[pa.list_(pa.int64())] * 3]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], _names(FRAMES))
+
+    return media.select(F.col("doc_id").cast("long"), "media").mapInArrow(run, FRAMES)
+
+
+def features(media: DataFrame) -> DataFrame:
+    """What the decoded frames of media(doc_id, n_bytes, media) hold (palette numbers) and show (colours over all frames);
+    equal images give equal values. Of a null or broken image all but doc_id, n_bytes and what describes its bytes is null."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches, "media"):
+            rows, stored_media = [], batch.column(2).to_pylist()
+            for doc_id, n_bytes, data, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), stored_media, read_all(stored_media)):
+                stored = (None, None) if data is None else (len(data), hashlib.sha256(data).hexdigest())
+                if found is None:
+                    rows.append((doc_id, n_bytes, None, None, None, *stored, None, None, None, None))
+                    continue
+                _, _, images, samples = found
                 payload = b"".join(s.tobytes() for s in samples)
-                counts = sum((histogram(s, i.palette) for s, i in zip(samples, images)), np.zeros(8, np.int64)) if any(i.palette is not images[0].palette for i in images) else histogram(np.frombuffer(payload, np.uint8), images[0].palette)
+                counts = histograms(*found).sum(0).tolist()
                 duration = sum(i.delay for i in images)
-                feature = f"frames={len(images)};delay={duration};hist=" + ",".join(map(str, counts.tolist()))
-                rows.append((doc_id, n_bytes, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(data), hashlib.sha256(data).hexdigest(), feature, len(images), duration, counts.tolist()))
+                feature = f"frames={len(images)};delay={duration};hist=" + ",".join(map(str, counts))
+                rows.append((doc_id, n_bytes, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), *stored, feature, len(images), duration, counts))
             kinds = [pa.int64()] * 3 + [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int64(), pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], [x.split()[0] for x in FEATURES.split(", ")])
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], _names(FEATURES))
 
-    return media.mapInArrow(run, FEATURES)
+    return media.select("doc_id", "n_bytes", "media").mapInArrow(run, FEATURES)
 
 
 def media_features(docs: DataFrame) -> DataFrame:
-    return features(store(docs))
+    """``features`` of every row of docs(doc_id, text): the texts are stored as images in the shared folder and read back.
+    A null text is an empty one; ids may be null or repeated; an empty table gives no rows."""
+    return features(materialize(store(docs), "media"))
