@@ -5,8 +5,9 @@ of a window (a byte is one-hot, so a filter is a table of 256 weights for each o
 a softmax layer over those gives the window's language probabilities. A text's probabilities are the mean over its
 windows, weighted by their bytes. Whole texts are read.
 
-Training takes ``per_language`` texts of each language at most (600) and ``crops`` windows of each (6), of random place
-and length, so that short texts are known too.
+Training takes ``per_language`` ids of each language at most (600), one text an id, and ``crops`` windows of each (6), of
+random place and length, so that short texts are known too: about a megabyte a language comes to the driver. Ids that have
+rows of several languages are left out.
 """
 
 from __future__ import annotations
@@ -196,7 +197,9 @@ def predict(docs: DataFrame, net: Network | None, chunk: int = 256) -> DataFrame
 
 
 def identify(docs: DataFrame, **training) -> DataFrame:
-    """(doc_id, held_out, lang_pred, score) of every row of docs(doc_id, text, lang); null ids are held out of training."""
+    """(doc_id, held_out, lang_pred, score) of every row of docs(doc_id, text, lang). Null ids are held out of training and
+    are not marked as held out; null and letterless texts are ``und``; repeated rows are rows of their own; an empty table
+    gives no rows."""
     net = train_on(docs.select("doc_id", "text", "lang"), **training)
     held = F.coalesce(crc32_text("doc_id") % 5 == 0, F.lit(False))
     return predict(docs, net).select("doc_id", held.alias("held_out"), "lang_pred", "score")
