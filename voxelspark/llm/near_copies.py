@@ -1,14 +1,16 @@
-"""Groups of texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more, without a missed pair.
+"""Groups of texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
-Of two sets that are this similar, each shares at least 4/5 of its own size with the other. So under any one order of all
-shingles the first ``n - ceil(4n/5) + 1`` shingles of both, their prefixes, have a shingle in common, and a cell for each
-prefix shingle brings every such pair together. The order puts frequent shingles last, by counts in hashed buckets:
-collisions there change only how many texts meet, not which pairs are found. Pairs that meet are filtered by a bound (two
-sets differ in at least as many shingles as their bitmaps of shingle parities do in bits) and then verified on whole sets.
+Texts of equal sets are one node. Candidate pairs come from two sides, and every one of them is verified on the two whole
+sets before it links:
 
-Texts of equal sets are one node. A cell of K nodes is not compared K times K: in each round the nodes of a cell are
-chained in another order, K - 1 pairs, and nodes that verified links join already meet no more. When few pairs of
-different components are left, or after ``ROUNDS`` rounds, all pairs that are left are verified.
+* the SimHash operator: fingerprints of the five-word shingles within four bits of each other, by its grid;
+* bands of minima: sets as similar as 0.8 have fingerprints some ten bits apart on average, beyond what a grid can reach,
+  so a node also has ``BANDS`` keys, each of the least shingles under ``DEEP`` random orders. Two sets of similarity J share
+  a key with probability 1 - (1 - J^4)^20: 0.99997 at 0.8, more above.
+
+A cell of K nodes is not compared K times K: in each round the nodes of a cell are put in another order and each meets the
+``LAGS`` before it, and nodes that verified links join already meet no more. When few pairs of different components are
+left, or after ``ROUNDS`` rounds, all pairs that are left are verified.
 """
 
 from __future__ import annotations
@@ -21,118 +23,95 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import group_starts, materialize, release, text_bytes, text_slices
+from .common import discard, group_starts, materialize, mix64, release, text_bytes, text_slices
 from .components import connected_components
-from .simhash import shingle_hashes
+from .simhash import n_blocks, near_links, shingle_hashes, simhash
 
-WIDTH, SEED = 5, 42
-#: Buckets of the shingle counts, and into how many rows a task's counts are cut.
-BUCKETS, PARTS = 1 << 20, 64
+WIDTH, SEED, RADIUS = 5, 42, 4
+BANDS, DEEP = 20, 4
+#: Bytes of text that are shingled at once: a shingle takes some hundred bytes while fingerprints are counted.
+SLICE = 1 << 18
 #: Words of 64 bits in a set's bitmap.
 MAP = 8
-ROUNDS = 5
+ROUNDS, LAGS = 2, 4
 #: All pairs that are left are verified once there are this many or fewer for each row of the cells.
 PAIRS_A_ROW = 4
+_RNG = np.random.default_rng(SEED)
+_FLIPS = _RNG.integers(0, 2**64, BANDS * DEEP, dtype=np.uint64)
+_FACTORS = _RNG.integers(0, 2**63, BANDS * DEEP, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def _sets(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def _distinct(h: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingles of every text and their document numbers, by document and hash."""
-    h, d = shingle_hashes(*text_bytes(array), WIDTH, SEED)
     order = np.lexsort((h, d))
     h, d = h[order], d[order]
     at = group_starts(d, h)
     return h[at], d[at]
 
 
-def _bucket(h: np.ndarray) -> np.ndarray:
-    return (h >> np.uint64(44)).astype(np.int64)
+def band_keys(h: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+    """BANDS keys of each set of shingles; sets follow each other and begin at ``firsts``."""
+    out = np.zeros((len(firsts), BANDS), np.uint64)
+    for band in range(BANDS):
+        key = np.full(len(firsts), band, np.uint64)
+        for k in range(band * DEEP, (band + 1) * DEEP):
+            least = np.minimum.reduceat(((h ^ _FLIPS[k]) * _FACTORS[k] >> np.uint64(32)).astype(np.uint32), firsts)
+            key = mix64(key * _FACTORS[0] ^ least)
+        out[:, band] = key
+    return out
 
 
-def _keys(h: np.ndarray, d: np.ndarray, n_docs: int) -> tuple[np.ndarray, np.ndarray]:
-    """Set key and set size of each document."""
-    edges = np.searchsorted(d, np.arange(n_docs + 1))
-    data = h.astype("<u8").tobytes()
-    keys = [xxhash.xxh64_intdigest(data[8 * a : 8 * b], SEED) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
-    return np.array(keys, np.uint64).view(np.int64), np.diff(edges)
+NODES = "row_key binary, doc_id long, node binary, n int, fp long, bands array<long>"
 
 
-def set_keys(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """(row_key, doc_id, set_key) for every row of docs(row_key, doc_id, text), and the counts of shingles by bucket."""
+def text_nodes(docs: DataFrame) -> DataFrame:
+    """(row_key, doc_id, node, n, fp, bands) for every row of docs(row_key, doc_id, text): the key of the set of its shingles
+    (128 bits), the set's size, the fingerprint, and the band keys; a text without words has none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["row_key", "doc_id", "set_key", "part", "counts"]
-        counts = np.zeros(BUCKETS, np.uint32)
-        for batch in text_slices(batches, limit=1 << 18):
-            h, d = _sets(batch.column(2))
-            np.add.at(counts, _bucket(h), 1)
+        for batch in text_slices(batches, limit=SLICE):
             n = batch.num_rows
-            keys, _ = _keys(h, d, n)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names)
-        if counts.any():
-            none = pa.nulls(PARTS, pa.int64())
-            cut = [c.astype("<u4").tobytes() for c in counts.reshape(PARTS, -1)]
-            yield pa.RecordBatch.from_arrays([none, none, none, pa.array(np.arange(PARTS, dtype=np.int32)), pa.array(cut, pa.binary())], names)
-
-    def add(group: pa.Table) -> pa.Table:
-        total = np.zeros(BUCKETS // PARTS, np.uint64)
-        for c in group.column("counts"):
-            total += np.frombuffer(c.as_py(), "<u4")
-        total = np.minimum(total, 2**32 - 1).astype("<u4").tobytes()
-        return pa.table({"part": group.column("part").slice(0, 1), "counts": pa.array([total], pa.binary())})
-
-    docs = docs.select(F.col("row_key").cast("long"), F.col("doc_id").cast("long"), "text")
-    found = materialize(docs.mapInArrow(run, "row_key long, doc_id long, set_key long, part int, counts binary"), "set-keys")
-    counts = np.zeros((PARTS, BUCKETS // PARTS), np.uint32)
-    for r in found.where("part is not null").select("part", "counts").groupBy("part").applyInArrow(add, "part int, counts binary").collect():
-        counts[r["part"]] = np.frombuffer(r["counts"], "<u4")  # PARTS rows, 4 MB in all
-    return found.where("part is null").select("row_key", "doc_id", "set_key"), counts.ravel()
-
-
-def prefixes(docs: DataFrame, counts: np.ndarray) -> DataFrame:
-    """(token, node, n) for every prefix shingle of every text of docs(text); n is the size of the node's set. A task gives
-    equal sets once."""
-    sent = docs.sparkSession.sparkContext.broadcast(counts)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for batch in text_slices(batches, limit=1 << 18):
-            h, d = _sets(batch.column(0))
-            keys, n = _keys(h, d, batch.num_rows)
-            new = np.zeros(len(keys), bool)
-            for i, key in enumerate(keys.tolist()):
-                if key not in seen:
-                    seen.add(key)
-                    new[i] = True
-            h, d = h[new[d]], d[new[d]]
-            order = np.lexsort((h, sent.value[_bucket(h)], d))
-            h, d = h[order], d[order]
-            rank = np.arange(len(d)) - np.searchsorted(d, d)
-            first = rank < (n - (4 * n + 4) // 5 + 1)[d]
-            h, d = h[first], d[first]
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(keys[d]), pa.array(n[d].astype(np.int32))], ["token", "node", "n"])
-
-    return docs.select("text").mapInArrow(run, "token long, node long, n int")
-
-
-def shared_prefixes(found: DataFrame) -> DataFrame:
-    """The distinct rows of found(token, node, n) that have another of the same token and of a size that allows 0.8: if any
+            h, d = shingle_hashes(*text_bytes(batch.column(2)), WIDTH, SEED)
+            fp = simhash(h, d, n)
+            h, d = _distinct(h, d)
+            edges = np.searchsorted(d, np.arange(n + 1))
+            data = h.astype("<u8").tobytes()
+            nodes = [xxhash.xxh3_128_digest(data[8 * a : 8 * b]) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
+            firsts = edges[:-1][np.diff(edges) > 0]
+            bands = band_keys(h, firsts).view(np.int64) if len(firsts) else np.zeros((0, BANDS), np.int64)
+            sizes = np.where(np.diff(edges) > 0, BANDS, 0)
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(bands.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(nodes, pa.binary()), pa.array(np.diff(edges), pa.int32()), pa.array(fp.view(np.int64)), lists], [x.split()[0] for x in NODES.split(", ")])
+
+    return docs.select("row_key", F.col("doc_id").cast("long"), "text").mapInArrow(run, NODES)
+
+
+def shared_cells(nodes: DataFrame) -> DataFrame:
+    """(token, node, n) of the band keys of nodes(node, n, bands) that have another node of a size that allows 0.8: if any
     size does, the next smaller or the next larger one does."""
     w = Window.partitionBy("token").orderBy("n", "node")
+    cells = nodes.select(F.explode("bands").alias("token"), "node", "n")
+    near = cells.withColumns({"below": F.lag("n").over(w), "above": F.lead("n").over(w)})
+    return near.where("5 * below >= 4 * n or 5 * n >= 4 * above").select("token", "node", "n")
 
-    def fitting(rows: DataFrame) -> DataFrame:
-        near = rows.withColumns({"below": F.lag("n").over(w), "above": F.lead("n").over(w)})
-        return near.where("5 * below >= 4 * n or 5 * n >= 4 * above").select("token", "node", "n")
 
-    few = materialize(fitting(found), "prefixes")  # a row's own copy still counts here
-    return fitting(few.distinct())
+def fingerprint_pairs(nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes(node, n, fp) that the SimHash operator links: a fingerprint is stood for by its least node, to
+    which its other nodes are paired, and linked fingerprints' nodes are paired."""
+    ids = materialize(nodes.where("n > 0").groupBy("fp").agg(F.min("node").alias("first")), "near-fingerprints")
+    links = near_links(ids.select("fp"), RADIUS, n_blocks(ids.count(), RADIUS), 1 << 14).distinct()
+    a, b = (ids.select(F.col("fp").alias(k), F.col("first").alias(f"{k}_node")) for k in "ab")
+    apart = links.join(a, "a").join(b, "b").select(*_pair("a_node", "b_node"))
+    same = nodes.join(ids, "fp").where("node <> first").select(*_pair("node", "first"))
+    return apart.unionByName(same).distinct()
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
     """(node, n, tokens, m0, m1, ...) of docs(node, text): all distinct shingles, their number and their bitmap."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, limit=1 << 18):
-            h, d = _sets(batch.column(1))
+        for batch in text_slices(batches, limit=SLICE):
+            h, d = _distinct(*shingle_hashes(*text_bytes(batch.column(1)), WIDTH, SEED))
             edges = np.searchsorted(d, np.arange(batch.num_rows + 1)).astype(np.int32)
             maps = np.zeros((batch.num_rows, MAP), np.uint64)
             np.bitwise_xor.at(maps, (d, (h >> np.uint64(6)).astype(np.int64) % MAP), np.uint64(1) << (h & np.uint64(63)))
@@ -141,70 +120,76 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
             columns = [batch.column(0), pa.array(np.diff(edges)), tokens, *(pa.array(np.ascontiguousarray(m)) for m in maps.T)]
             yield pa.RecordBatch.from_arrays(columns, ["node", "n", "tokens", *(f"m{i}" for i in range(MAP))])
 
-    return docs.select("node", "text").mapInArrow(run, "node long, n int, tokens array<long>, " + ", ".join(f"m{i} long" for i in range(MAP)))
+    return docs.select("node", "text").mapInArrow(run, "node binary, n int, tokens array<long>, " + ", ".join(f"m{i} long" for i in range(MAP)))
 
 
 def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of pairs(a, b) whose sets have a Jaccard similarity of 0.8 or more."""
+    """Those of pairs(a, b) whose sets have a Jaccard similarity of 0.8 or more. Two sets differ in at least as many shingles
+    as their bitmaps of shingle parities do in bits; whole sets are sent only for the pairs that this leaves."""
     one, two = (sets.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), *[F.col(f"m{i}").alias(f"m{i}{k}") for i in range(MAP)]) for k in "ab")
     apart = sum((F.bit_count(F.col(f"m{i}a").bitwiseXOR(F.col(f"m{i}b"))) for i in range(MAP)), F.lit(0))
-    likely = materialize(pairs.join(one, "a").join(two, "b").where(9 * apart <= F.col("na") + F.col("nb")).select("a", "b"), "near-pairs")
-    one, two = (sets.select(F.col("node").alias(k), F.col("tokens").alias(f"{k}s")) for k in "ab")
+    likely = materialize(pairs.join(one, "a").join(two, "b").where("5 * least(na, nb) >= 4 * greatest(na, nb)").where(9 * apart <= F.col("na") + F.col("nb")).select("a", "b"), "near-pairs")
+    one, two = (sets.join(likely.select(F.col(k).alias("node")).distinct(), "node", "left_semi").select(F.col("node").alias(k), F.col("tokens").alias(f"{k}s")) for k in "ab")
     both = F.size(F.array_intersect("as", "bs")).cast("long")
-    return likely.join(one, "a").join(two, "b").where(9 * both >= 4 * (F.size("as") + F.size("bs")).cast("long")).select("a", "b")
+    out = materialize(likely.join(one, "a").join(two, "b").where(9 * both >= 4 * (F.size("as") + F.size("bs")).cast("long")).select("a", "b"), "near-links")
+    release(pairs.sparkSession)
+    discard(likely)
+    return out
 
 
 def _pair(a: str, b: str) -> tuple:
     return F.least(a, b).alias("a"), F.greatest(a, b).alias("b")
 
 
-def _links(cells: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links that join all nodes of every component of the graph of similar sets."""
+def _links(links: DataFrame, cells: DataFrame, sets: DataFrame) -> DataFrame:
+    """With the links that are known, links that join all nodes of every component of the graph of similar sets."""
     close = "5 * least(n, m) >= 4 * greatest(n, m)"
-    links, parts = None, None
     for k in range(ROUNDS + 1):
-        own = cells.withColumn("part", F.col("node"))
-        if parts is not None:
-            own = cells.join(parts, "node", "left").select("token", "node", "n", F.coalesce("component", "node").alias("part"))
-            own = materialize(own, "near-cells")
+        parts = connected_components(links)
+        own = cells.join(parts, "node", "left").select("token", "node", "n", F.coalesce("component", "node").alias("part"))
+        own = materialize(own, "near-cells")
         sizes = own.groupBy("token", "part").agg(F.count(F.lit(1)).alias("k")).groupBy("token").agg(F.sum("k").alias("s"), F.sum(F.col("k") * F.col("k")).alias("q"), F.count(F.lit(1)).alias("parts"))
         sizes = sizes.where("parts > 1")
         total = sizes.agg(F.sum("s").alias("rows"), (F.sum(F.col("s") * F.col("s") - F.col("q")) / 2).alias("pairs")).first()
         if not total["rows"]:
+            discard(own)
             break
-        own = own.join(sizes.select("token"), "token", "left_semi")
+        met = own.join(sizes.select("token"), "token", "left_semi")
         last = k == ROUNDS or total["pairs"] <= PAIRS_A_ROW * total["rows"]
         if last:
-            other = own.select("token", F.col("node").alias("node_2"), F.col("n").alias("m"), F.col("part").alias("part_2"))
-            pairs = own.join(other, "token").where("node < node_2 and part <> part_2").where(close).select(*_pair("node", "node_2"))
+            other = met.select("token", F.col("node").alias("node_2"), F.col("n").alias("m"), F.col("part").alias("part_2"))
+            pairs = met.join(other, "token").where("node < node_2 and part <> part_2").where(close).select(*_pair("node", "node_2"))
         else:
             w = Window.partitionBy("token").orderBy(*(["n", "node"] if k == 0 else [F.xxhash64("node", F.lit(k)), "node"]))
-            chain = own.select("node", "n", "part", *[F.lag(c).over(w).alias(x) for c, x in (("node", "node_2"), ("n", "m"), ("part", "part_2"))])
+            before = F.collect_list(F.struct(F.col("node").alias("node_2"), F.col("n").alias("m"), F.col("part").alias("part_2"))).over(w.rowsBetween(-LAGS, -1))
+            chain = met.select("node", "n", "part", before.alias("before")).select("node", "n", "part", F.explode("before").alias("x")).select("node", "n", "part", "x.*")
             pairs = chain.where("part <> part_2").where(close).select(*_pair("node", "node_2"))
-        new = materialize(similar(pairs.distinct(), sets), "near-links")
-        release(cells.sparkSession)
-        links = new if links is None else links.unionByName(new)
+        links = links.unionByName(similar(pairs.distinct(), sets))
+        discard(own)
         if last:
             break
-        parts = connected_components(links)
     return links
 
 
 def near_copies(docs: DataFrame) -> DataFrame:
-    """(row_key, doc_id, component) for every row of docs(row_key, doc_id, text), where row_key is not null.
+    """(row_key, doc_id, component) for every row of docs(row_key binary, doc_id, text), where row_key is not null.
 
     Rows are linked where the sets of their five-word shingles (one of the whole text, if it is shorter) are equal or have a
-    Jaccard similarity of 0.8 or more. Texts without words have equal sets.
+    Jaccard similarity of 0.8 or more. Null texts and texts without words have equal sets. Rows of one row_key are rows of
+    their own; ids may be null; an empty table gives no rows.
     """
-    rows, counts = set_keys(docs)
-    cells = materialize(shared_prefixes(prefixes(docs, counts)), "near-cells")
+    rows = materialize(text_nodes(docs), "near-rows")
+    nodes = rows.groupBy("node").agg(F.min(F.struct("row_key", "n", "fp", "bands")).alias("x")).select("node", "x.row_key", "x.n", "x.fp", "x.bands")
+    nodes = materialize(nodes, "near-nodes")
+    cells = materialize(shared_cells(nodes), "near-cells")
+    pairs = materialize(fingerprint_pairs(nodes), "near-pairs")
     release(docs.sparkSession)
-    chosen = rows.groupBy("set_key").agg(F.min("row_key").alias("row_key")).join(cells.select(F.col("node").alias("set_key")).distinct(), "set_key", "left_semi")
-    texts = docs.select("row_key", "text").join(chosen, "row_key").dropDuplicates(["row_key"]).select(F.col("set_key").alias("node"), "text")
+    ends = [pairs.select(F.col(k).alias("node")) for k in "ab"]
+    chosen = nodes.select("row_key", "node").join(cells.select("node").unionByName(ends[0]).unionByName(ends[1]).distinct(), "node", "left_semi")
+    texts = docs.select("row_key", "text").join(chosen, "row_key").dropDuplicates(["row_key"])
     sets = materialize(shingle_sets(texts), "near-sets")
     release(docs.sparkSession)
-    links = _links(cells, sets)
-    if links is None:
-        return rows.withColumnRenamed("set_key", "component")
-    parts = connected_components(links).withColumnRenamed("node", "set_key")
-    return rows.join(parts, "set_key", "left").select("row_key", "doc_id", F.coalesce("component", "set_key").alias("component"))
+    links = materialize(_links(similar(pairs, sets), cells, sets), "near-links")
+    discard(nodes, cells, pairs, sets)
+    parts = connected_components(links)
+    return rows.select("row_key", "doc_id", "node").join(parts, "node", "left").select("row_key", "doc_id", F.coalesce("component", "node").alias("component"))

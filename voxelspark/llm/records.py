@@ -333,6 +333,8 @@ def public_tokenizer() -> str:
 
 
 def token_records(docs: DataFrame, tokenizer: str | Callable[[], str] = public_tokenizer, path: str | None = None) -> DataFrame:
-    """Write docs(doc_id, text) as records and read them back: (doc_id, start, n_tokens, ids_crc32) for every row."""
+    """Write docs(doc_id, text) as records and read them back: (doc_id, start, n_tokens, ids_crc32) for every row. A null text
+    is the end id alone; null ids come first; rows that share an id follow each other in the order of their texts' hashes;
+    an empty table gives no rows."""
     path = path or shared_path(docs.sparkSession, "records")
     return read_digests(write_records(docs, tokenizer, path), path)
