@@ -158,12 +158,17 @@ def test_records(docs, tmp_path):
 
 
 def test_encoder_on_odd_texts():
+    """Any mixture of scripts, white spaces and marks, with a cache that overflows, is encoded as the library does."""
+    import pyarrow as pa
+
     e = records.Encoder(records.public_tokenizer(), cache=20)
     rng = np.random.default_rng(0)
-    marks = list("ab Z9 .,'\n\t é漢🙂-_") + ["'s", "  ", "don't", "\x1c", " \n"]
-    for _ in range(1500):
-        text = "".join(rng.choice(marks, rng.integers(1, 30)))
-        assert np.frombuffer(e.encode(text), "<u2").tolist() == e.whole.encode(text, add_special_tokens=False).ids, repr(text)
+    marks = list("ab Z9 .,'\n\t é漢🙂-_") + ["'s", "  ", "don't", "\x1c", " \n", "\x85", "\xa0", "\u3000", "\u2003", "\u2028", "\u1680", "\u180e", "\u200b", "\x0b", ", ", "a."]
+    for n in range(1500):
+        texts = ["".join(rng.choice(marks, rng.integers(0, 30))) for _ in range(4)] + [None, ""] + ["a <|endoftext|> b"] * (n % 10 == 0)
+        ids, counts = e.encode(pa.array(texts))
+        for text, own in zip(texts, np.split(ids, np.cumsum(counts)[:-1])):
+            assert own.tolist() == e.whole.encode(text or "", add_special_tokens=False).ids, repr(text)
 
 
 def test_damaged_records_are_refused():
@@ -236,26 +241,83 @@ def test_media(docs):
     assert media.media_features(empty(docs).select("doc_id", "text")).count() == 0
 
 
-@pytest.mark.parametrize("kind", ["noise", "runs", "long"])
+@pytest.mark.parametrize("kind", ["noise", "runs", "long", "one"])
 def test_lzw(kind):
     rng = np.random.default_rng(2)
-    data = {"noise": rng.integers(0, 256, 9000), "runs": np.repeat(rng.integers(0, 4, 40), 300), "long": rng.integers(0, 3, 60_000)}[kind].astype(np.uint8)
-    assert (media.lzw_decode(media.string_codes(data.tobytes()), 8, len(data)) == data).all()
+    data = {"noise": rng.integers(0, 256, 9000), "runs": np.repeat(rng.integers(0, 4, 40), 300), "long": rng.integers(0, 3, 60_000), "one": np.array([7])}[kind].astype(np.uint8)
+    streams = media.pack_codes([media.lzw_codes(d) for d in (data.tobytes(), b"", data[:50].tobytes(), data.tobytes())])
+    out = media.lzw_decode(streams, 8, [len(data), 3, 50, len(data)])
+    assert (out[0] == data).all() and not len(out[1]) and (out[2] == data[:50]).all() and (out[3] == data).all()
     payload = media.pad(data.tobytes())
-    for compress in (False, True):
-        _, _, images = media.parse_gif(media.encode_gif(payload, compress))
-        assert b"".join(s.tobytes() for s in media.frame_samples(images)) == payload
+    _, _, images = media.parse_gif(media.encode_gif(payload))
+    assert b"".join(s.tobytes() for s in media.frame_samples(images)) == payload
+
+
+def plain_lzw(data, least):
+    """A decoder that reads one bit after another."""
+    bits = [b >> k & 1 for b in data for k in range(8)]
+    clear, out, at, table, last = 1 << least, [], 0, None, None
+    while True:
+        width = min(12, max(least + 1, (len(table) if table else clear + 2).bit_length())) if table else least + 1
+        if at + width > len(bits):
+            return bytes(out)
+        code = sum(b << k for k, b in enumerate(bits[at : at + width]))
+        at += width
+        if code == clear:
+            table, last = [bytes([i]) for i in range(clear)] + [b"", b""], None
+        elif code == clear + 1:
+            return bytes(out)
+        else:
+            if last is not None and len(table) < 4096:
+                table.append(last + (table[code] if code < len(table) else last)[:1])
+            last = table[code]
+            out += last
+
+
+def test_codes_are_read_as_a_bitwise_decoder_reads_them():
+    rng = np.random.default_rng(4)
+    for n in (1, 255, 256, 700, 5000):
+        data = rng.integers(0, 5, n).astype(np.uint8).tobytes()
+        [stream] = media.pack_codes([media.lzw_codes(data)])
+        assert plain_lzw(stream, 8) == data and media.lzw_decode([stream], 8, [n])[0].tobytes() == data
+
+
+def test_broken_images_have_defined_results(spark):
+    good = media.encode_gif(media.pad(b"some text"))
+    rows = [(1, 9, good), (2, 9, good[:8]), (3, 9, good[:-300]), (4, None, None), (5, 0, b"no image"), (None, 9, good)]
+    df = spark.createDataFrame([(i, n, None if m is None else bytearray(m)) for i, n, m in rows], "doc_id long, n_bytes long, media binary")
+    out = {r["doc_id"]: r for r in media.features(df).collect()}
+    assert out[1]["n_frames"] == out[None]["n_frames"] == 1 and sum(out[1]["histogram"]) == 3 * media.FRAME
+    assert all(out[i]["feature"] is None and out[i]["payload_sha256"] is None for i in (2, 3, 4, 5)) and out[2]["media_bytes"] == 8
+    assert {r["doc_id"] for r in media.frames(df).collect()} == {1, None}
+    for cut in (6, 8, 12, 20, 800, len(good) - 1):
+        with pytest.raises(ValueError):
+            media.parse_gif(good[:cut])
+
+
+def test_frames_are_timed_rows(spark):
+    payload = media.pad(prose(300, 5).encode())
+    df = spark.createDataFrame([(4, bytearray(media.encode_gif(payload)))], "doc_id long, media binary")
+    rows = sorted(media.frames(df).collect(), key=lambda r: r["frame"])
+    assert [r["starts"] for r in rows] == [media.DELAY * k for k in range(len(payload) // media.FRAME)]
+    for k, r in enumerate(rows):
+        own = np.bincount(np.frombuffer(payload, np.uint8)[k * media.FRAME : (k + 1) * media.FRAME] >> 5, minlength=8).tolist()
+        assert r["red"] == r["green"] == r["blue"] == own
+    assert len(media.encode_gif(payload)) - 800 < len(payload)  # prose gets smaller
 
 
 def test_disposal_and_transparency():
     palette = bytes([0, 0, 0, 255, 0, 0, 0, 255, 0, 0, 0, 255])
 
     def frame(left, samples, side, disposal):
-        code = media.string_codes(bytes(samples))
+        [code] = media.pack_codes([media.lzw_codes(bytes(samples))])
         return b"\x21\xf9\x04" + struct.pack("<BHB", disposal << 2 | 1, 7, 3) + b"\0\x2c" + struct.pack("<HHHHB", left, 0, side, 1, 0) + b"\x08" + media._sub_blocks(code)
 
     gif = b"GIF89a" + struct.pack("<HHBBB", 2, 1, 0x81, 0, 0) + palette + frame(0, [1, 2], 2, 1) + frame(0, [3, 1], 2, 3) + frame(1, [1], 1, 2) + b"\x3b"
     screens, delays = media.render(gif)
+    width, height, images = media.parse_gif(gif)
+    shown = media.histograms(width, height, images, media.frame_samples(images))
+    assert shown[:, [0, 7, 8, 15, 16, 23]].tolist() == [[1, 1, 1, 1, 2, 0], [0, 2, 2, 0, 2, 0], [0, 2, 2, 0, 2, 0]]
     assert screens[0, 0, :, :3].tolist() == [[255, 0, 0], [0, 255, 0]]
     assert screens[1, 0, :, :3].tolist() == [[255, 0, 0], [255, 0, 0]]
     assert screens[2, 0, :, :3].tolist() == [[255, 0, 0], [255, 0, 0]] and delays.tolist() == [7, 7, 7]
