@@ -10,8 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Edge lengths of a block by axis: some 4 million voxels, 32 MB as doubles.
-BLOCK = {"z": 16, "y": 512, "x": 512}
+#: Edge lengths of a block by axis: a million voxels, some 100 MB as rows in a task and 9 MB as doubles.
+BLOCK = {"z": 8, "y": 384, "x": 384}
 
 
 def over_blocks(
