@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import discard, materialize
 
 
 def _mark(links: DataFrame) -> tuple:
@@ -30,7 +30,8 @@ def connected_components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
         lows = large.groupBy("a").agg(F.min("b").alias("low"))
         joined = large.join(lows, "a")
         small = joined.select(F.col("a"), F.col("low").alias("b")).unionByName(joined.where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b")))
-        links = materialize(small.where("a > b").distinct(), "links")
+        old, links = links, materialize(small.where("a > b").distinct(), "links")
+        discard(old)
         after = _mark(links)
         if after == before:
             break
