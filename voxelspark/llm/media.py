@@ -294,36 +294,51 @@ def code_runs(streams: list[bytes], least: int) -> list[list[np.ndarray]]:
     return out
 
 
-def lzw_decode(streams: list[bytes], least: int, counts: list[int]) -> list[np.ndarray]:
-    """Up to ``counts`` palette numbers of each LZW stream."""
-    clear = 1 << least
-    words = [bytes([i]) for i in range(clear)] + [b"", b""]
-    return [np.frombuffer(b"".join(_expand(run.tolist(), words) for run in runs if len(run)), np.uint8)[:n] for runs, n in zip(code_runs(streams, least), counts)]
-
+def expand(runs: list[np.ndarray], clear: int) -> list[np.ndarray]:
+    """The samples of runs of codes that each follow a clear code.
 
-def _expand(codes: list[int], words: list[bytes]) -> bytes:
-    table = words.copy()
-    if codes[0] >= len(table):
+    The i-th string that a run learns is the one of its i-th code and one sample more, so it stands in the run's own
+    output, where that code's string does. So strings need not be made: lengths follow code by code, for all runs at once,
+    and every sample is then copied from the place that it points to, through as many places as it takes.
+    """
+    if not runs:
+        return []
+    counts = np.array([len(r) for r in runs])
+    there = np.arange(counts.max()) < counts[:, None]
+    codes = np.zeros(there.shape, np.int64)
+    codes[there] = np.concatenate(runs)
+    learned = np.where(codes > clear + 1, codes - clear - 2, -1)  # the number of the string that a code names
+    if (codes[:, :1] >= clear).any() or (learned >= np.minimum(np.arange(there.shape[1]), 4096 - clear - 2)).any():
         raise ValueError("a code is beyond the table")
-    last = table[codes[0]]
-    out = [last]
-    put, learn = out.append, table.append
-    learns = 4096 - len(table)  # codes that still add a string
-    for code in codes[1 : learns + 1]:
-        try:
-            word = table[code]
-        except IndexError:  # the string that this code itself completes
-            if code != len(table):
-                raise ValueError("a code is beyond the table") from None
-            word = last + last[:1]
-        put(word)
-        learn(last + word[:1])
-        last = word
-    for code in codes[learns + 1 :]:
-        if code >= len(table):
-            raise ValueError("a code is beyond the table")
-        put(table[code])
-    return b"".join(out)
+    steps, row = np.ascontiguousarray(learned.T), np.arange(len(runs))
+    size = np.ones(steps.shape, np.int64)
+    for k in range(1, len(steps)):
+        size[k] = np.where(steps[k] >= 0, size[np.maximum(steps[k], 0), row] + 1, 1)
+    size = size.T * there
+    ends = np.cumsum(size, 1)
+    total = ends[:, -1]
+    begin = ends - size + (np.cumsum(total) - total)[:, None]
+    source = np.take_along_axis(begin, np.maximum(learned, 0), 1)
+    shift = np.where(learned >= 0, source - begin, 0)[there]
+    length = size[there]
+    points = np.arange(int(total.sum())) + np.repeat(shift, length)
+    while True:
+        further = points[points]
+        if (further == points).all():
+            break
+        points = further
+    out = np.repeat(codes[there].astype(np.uint8), length)[points]
+    return np.split(out, np.cumsum(total)[:-1])
+
+
+def lzw_decode(streams: list[bytes], least: int, counts: list[int], together: int = 2048) -> list[np.ndarray]:
+    """Up to ``counts`` palette numbers of each LZW stream, ``together`` streams at a time."""
+    out, none = [], [np.zeros(0, np.uint8)]
+    for at in range(0, len(streams), together):
+        found = [[r for r in runs if len(r)] for runs in code_runs(streams[at : at + together], least)]
+        parts = iter(expand([r for runs in found for r in runs], 1 << least))
+        out += [np.concatenate([next(parts) for _ in runs] or none)[:n] for runs, n in zip(found, counts[at : at + together])]
+    return out
 
 
 def frame_samples(images: list[Image]) -> list[np.ndarray]:
