@@ -33,7 +33,9 @@ BANDS, DEEP = 20, 4
 SLICE = 1 << 18
 #: Words of 64 bits in a set's bitmap.
 MAP = 8
-ROUNDS, LAGS = 2, 4
+ROUNDS, LAGS = 3, 4
+#: Sets up to which their bitmaps, some 100 bytes each, are sent to all tasks.
+FEW_SETS = 200_000
 #: All pairs that are left are verified once there are this many or fewer for each row of the cells.
 PAIRS_A_ROW = 4
 _RNG = np.random.default_rng(SEED)
@@ -127,6 +129,8 @@ def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Those of pairs(a, b) whose sets have a Jaccard similarity of 0.8 or more. Two sets differ in at least as many shingles
     as their bitmaps of shingle parities do in bits; whole sets are sent only for the pairs that this leaves."""
     one, two = (sets.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), *[F.col(f"m{i}").alias(f"m{i}{k}") for i in range(MAP)]) for k in "ab")
+    if sets.count() <= FEW_SETS:
+        one, two = F.broadcast(one), F.broadcast(two)  # pairs then stay where they are
     apart = sum((F.bit_count(F.col(f"m{i}a").bitwiseXOR(F.col(f"m{i}b"))) for i in range(MAP)), F.lit(0))
     likely = materialize(pairs.join(one, "a").join(two, "b").where("5 * least(na, nb) >= 4 * greatest(na, nb)").where(9 * apart <= F.col("na") + F.col("nb")).select("a", "b"), "near-pairs")
     one, two = (sets.join(likely.select(F.col(k).alias("node")).distinct(), "node", "left_semi").select(F.col("node").alias(k), F.col("tokens").alias(f"{k}s")) for k in "ab")
