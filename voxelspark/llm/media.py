@@ -15,7 +15,6 @@ import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -388,7 +387,6 @@ def render(data: bytes) -> tuple[np.ndarray, np.ndarray]:
 BINS = 8
 
 
-@lru_cache(64)
 def _bins(colours_of: bytes) -> np.ndarray:
     """For each of 256 palette numbers, ones in the bins of its red, green and blue."""
     palette = np.frombuffer(colours_of, np.uint8).reshape(-1, 3)
