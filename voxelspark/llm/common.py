@@ -13,6 +13,7 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -183,9 +184,12 @@ class SpanHash:
     """64-bit polynomial hashes of any spans of a buffer, from one running sum.
 
     sum of value[byte] * base^-i is taken once; the hash of [s, e) is the difference times base^e, which depends on the
-    bytes of the span alone.
+    bytes of the span alone. Such sums modulo 2^64 are equal for some long strings of one pattern (Thue-Morse words) whatever
+    the base is, so spans of ``LONG`` bytes or more, which are few, are hashed by XXH64.
     """
 
+    LONG = 64
+
     def __init__(self, seed: int):
         rng = np.random.default_rng(seed)
         self.values = rng.integers(1, 2**63, 256, dtype=np.uint64) * U64(2) + U64(1)
@@ -201,11 +205,17 @@ class SpanHash:
             self.up, self.down = (np.multiply.accumulate(np.concatenate([[U64(1)], np.full(n - 1, b, np.uint64)])) for b in (self.base, self.inverse))
         self.sums = np.zeros(len(buf) + 1, np.uint64)
         np.cumsum(self.values[buf] * self.down[: len(buf)], out=self.sums[1:])
+        self.data = memoryview(np.ascontiguousarray(buf))
         return self
 
     def spans(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         raw = (self.sums[ends] - self.sums[starts]) * self.up[ends]
-        return mix64(raw ^ mix64((ends - starts).astype(np.uint64) + self.seed))
+        out = mix64(raw ^ mix64((ends - starts).astype(np.uint64) + self.seed))
+        long = np.flatnonzero(ends - starts >= self.LONG)
+        if len(long):
+            seed, data = int(self.seed), self.data
+            out[long] = [xxhash.xxh64_intdigest(data[a:b], seed) for a, b in zip(starts[long].tolist(), ends[long].tolist())]
+        return out
 
 
 def popcount(x: np.ndarray) -> np.ndarray:

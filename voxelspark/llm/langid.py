@@ -6,7 +6,8 @@ a softmax layer over those gives the window's language probabilities. A text's p
 windows, weighted by their bytes. Whole texts are read.
 
 Training takes ``per_language`` ids of each language at most (600), one text an id, and ``crops`` windows of each (6), of
-random place and length, so that short texts are known too: about a megabyte a language comes to the driver. Ids that have
+random place and length, so that short texts are known too: about a megabyte a language comes to the driver, however long
+the texts are. Ids that have
 rows of several languages are left out.
 """
 
@@ -27,7 +28,12 @@ from .sampling import labelled_sample
 WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 8
-_LETTER = re.compile(r"[^\W\d_]")
+#: Letters and, as the class of words goes, number signs such as fractions, which are told apart by ``has_letter``.
+_MAYBE_LETTER = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str | None) -> bool:
+    return any(m.group().isalpha() for m in _MAYBE_LETTER.finditer(text or ""))
 
 
 @dataclass
@@ -138,7 +144,7 @@ def crop_windows(sample: DataFrame, crops: int, seed: int) -> DataFrame:
             labels, out = [], []
             for doc_id, label, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "label", "text"))):
                 data = (text or "").encode()
-                if not _LETTER.search(text or ""):
+                if not has_letter(text):
                     continue
                 rng = np.random.default_rng([seed, doc_id & 0xFFFFFFFFFFFFFFFF])
                 for k in range(crops):
@@ -170,7 +176,7 @@ def predict(docs: DataFrame, net: Network | None, chunk: int = 256) -> DataFrame
         pool = net.fast() if net else None
         for batch in text_slices(batches):
             buf, offsets = text_bytes(batch.column(1))
-            letters = np.array([bool(t and _LETTER.search(t)) for t in batch.column(1).to_pylist()])
+            letters = np.array([has_letter(t) for t in batch.column(1).to_pylist()])
             n = len(letters)
             best, score = np.full(n, "und", object), letters.__invert__().astype(float)
             if pool is not None and letters.any():

@@ -72,4 +72,32 @@ v AS (SELECT *, coalesce(sum(tokens) OVER (PARTITION BY source, block, epoch ORD
 SELECT doc_id, source, tokens, epoch, block, CAST(place AS INT) AS place, if(bb > 0, round((epoch * bt + before) / CAST(bb AS DOUBLE), 9), 0) AS mix_key, weight, exponent FROM v WHERE epoch < whole OR 2 * before + tokens <= 2 * rest
 """
 
-SQL: dict[str, str] = {"op1_mixing": MIXING, "op6_decontamination": DECONTAMINATION, "op10_secrets": SECRETS}
+SEARCH = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+s AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(len(w)) AS BIGINT) AS terms FROM d WHERE len(w) > 0),
+t AS (SELECT r, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT r, unnest(w) AS term FROM d) GROUP BY 1, 2),
+m AS (SELECT r, doc_id, 10 + (90 * CAST(len(w) AS BIGINT) * docs) // terms AS m FROM d, s WHERE len(w) > 0),
+i AS (SELECT row_number() OVER () AS i, item_id, text FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+q AS (SELECT DISTINCT i, unnest({_WORDS}) AS term FROM i),
+f AS (SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * docs + 2) / (2.0::DOUBLE * count(*) + 1))) AS BIGINT) AS weight FROM t, s WHERE term IN (SELECT term FROM q) GROUP BY term, docs),
+x AS (SELECT i, r, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score FROM q JOIN f USING (term) JOIN t USING (term) JOIN m USING (r) GROUP BY 1, 2),
+o AS (SELECT i, r, m.doc_id, score, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, m.doc_id NULLS LAST) AS INT) AS rank FROM x JOIN m USING (r) WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM o JOIN i USING (i) WHERE rank <= 10
+"""
+
+COLLOCATIONS = """
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM d),
+g AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: w[i:i + k - 1])) AS p FROM w, (SELECT unnest(range(1, 5)) AS k)),
+f AS (SELECT lang, k, p, CAST(count(*) AS BIGINT) AS a FROM g GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY 1),
+c AS (SELECT * FROM f WHERE k > 1 AND a >= 30),
+cut AS (SELECT c.*, x.a AS l, y.a AS r, s, CAST((2000000::HUGEINT * c.a) // (x.a + y.a) AS BIGINT) AS score FROM c, (SELECT unnest(range(1, 4)) AS s), f x, f y
+  WHERE s < c.k AND x.lang = c.lang AND x.p = c.p[1:s] AND y.lang = c.lang AND y.p = c.p[s + 1:c.k]),
+low AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, s) = 1),
+inside AS (SELECT lang, c.p[i:j] AS p, max(a) AS most FROM c, (SELECT unnest(range(1, 5)) AS i), (SELECT unnest(range(2, 5)) AS j) WHERE i < j AND j <= k AND j - i + 1 < k GROUP BY 1, 2),
+o AS (SELECT low.lang, array_to_string(low.p, ' ') AS phrase, a, l, r, score FROM low LEFT JOIN inside USING (lang, p) WHERE most IS NULL OR 100 * most::HUGEINT < 80 * a::HUGEINT)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM o JOIN n USING (lang) QUALIFY rank <= 2000
+"""
+
+SQL: dict[str, str] = {"op1_mixing": MIXING, "op6_decontamination": DECONTAMINATION, "op10_secrets": SECRETS, "op11_search": SEARCH, "op12_collocations": COLLOCATIONS}

@@ -10,8 +10,8 @@ from .common import materialize
 #: Up to this many labels, their counts are sent to all tasks; beyond it, rows meet them by a salted join.
 FEW_LABELS = 1000
 SALTS = 64
-#: Longer texts train nothing, so that a sample is bounded in bytes too. They are scored like all others.
-TEXT_BYTES = 1 << 16
+#: Stretches that stand for a text that is too long to be sent whole.
+STRETCHES = 16
 
 
 def labelled_ids(rows: DataFrame, per_label: int, seed: int) -> DataFrame:
@@ -37,15 +37,24 @@ def labelled_ids(rows: DataFrame, per_label: int, seed: int) -> DataFrame:
     return once.withColumn("r", rank).where(F.col("r") <= per_label).select("doc_id", "label")
 
 
-def texts_of(docs: DataFrame, chosen: DataFrame, text_bytes: int = TEXT_BYTES) -> DataFrame:
+def stretches(text: str, text_bytes: int) -> Column:
+    """The text in column ``text``, or, where it has over ``text_bytes`` bytes, lines of ``STRETCHES`` equal stretches of at most
+    that many bytes in all, spread evenly from its start to its end."""
+    width = max(1, text_bytes // (4 * STRETCHES) - 1)  # characters of up to four bytes, and a line's end
+    step = (F.length(text) - width) / F.lit(STRETCHES - 1)
+    parts = F.transform(F.sequence(F.lit(0), F.lit(STRETCHES - 1)), lambda i: F.substring(F.col(text), F.greatest(F.lit(0), F.floor(i * step)).cast("int") + 1, F.lit(width)))
+    return F.when(F.octet_length(text) <= text_bytes, F.col(text)).otherwise(F.array_join(parts, "\n"))
+
+
+def texts_of(docs: DataFrame, chosen: DataFrame, text_bytes: int | None = None) -> DataFrame:
     """(doc_id, label, text) of the ids of chosen(doc_id, label), labels x per_label rows at most, which are sent to the tasks
-    that read docs(doc_id, text). One row an id: of several texts the least. Texts over ``text_bytes`` are left out."""
-    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    found = found.where(F.coalesce(F.octet_length("text"), F.lit(0)) <= text_bytes)
-    return found.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    that read docs(doc_id, text). One row an id: of several texts the least. With ``text_bytes`` longer texts come as
+    stretches of their whole length."""
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    return found if text_bytes is None else found.select("doc_id", "label", stretches("text", text_bytes).alias("text"))
 
 
-def labelled_sample(docs: DataFrame, label: Column, keep: Column, per_label: int, seed: int, text_bytes: int = TEXT_BYTES) -> DataFrame:
+def labelled_sample(docs: DataFrame, label: Column, keep: Column, per_label: int, seed: int, text_bytes: int | None = None) -> DataFrame:
     """(doc_id, label, text) of up to ``per_label`` ids of each label, among rows of docs where ``keep`` holds. The choice
     reads ids and labels alone."""
     chosen = labelled_ids(docs.where(keep).select("doc_id", label.alias("label")), per_label, seed)

@@ -18,8 +18,8 @@ logistic layer learned from labelled texts turns them into a probability.
 Insult words are given for a few languages as seeds; the rest of the lexicon, whole words and stems, is learned from the
 labelled texts: a stem is an insult if it stands in many different surroundings in toxic texts and in next to none in
 others. Surroundings and not texts are counted, so that copies of one toxic text don't make its rare words insults.
-Training reads ``per_label`` ids of each label at most (1500), those with the least hashes, one text an id, and of these
-the texts of up to 64 KB (200 MB in all at most).
+Training reads ``per_label`` ids of each label at most (1500), those with the least hashes, one text an id, and of a text
+over ``text_bytes`` (64 KB) sixteen stretches of its whole length (200 MB in all at most).
 """
 
 from __future__ import annotations
@@ -298,12 +298,12 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(x @ self.weights[:-1] + self.weights[-1], -30, 30))))
 
 
-def train_on(docs: DataFrame, labels: DataFrame, per_label: int = 1500, seed: int = 4) -> Model:
-    """A model from docs(doc_id, text) and labels(doc_id, toxic), of rows where crc32(id) mod 5 is not 0. Ids whose labels
-    disagree are left out. Without labelled texts the seeds alone score."""
+def train_on(docs: DataFrame, labels: DataFrame, per_label: int = 1500, seed: int = 4, text_bytes: int = 1 << 16) -> Model:
+    """A model from docs(doc_id, text) and labels(doc_id, toxic), of rows where crc32(id) mod 5 is not 0: ``per_label`` ids of
+    each label at most, and ``text_bytes`` of each text. Ids whose labels disagree are left out. Without labelled texts the seeds alone score."""
     keep = crc32_text("doc_id") % 5 != 0
     chosen = labelled_ids(labels.where(keep & F.col("toxic").isin(0, 1)).select("doc_id", F.col("toxic").alias("label")), per_label, seed)
-    rows = texts_of(docs, chosen).toArrow().sort_by("doc_id")
+    rows = texts_of(docs, chosen, text_bytes).toArrow().sort_by("doc_id")
     texts, toxic = [t or "" for t in rows.column("text").to_pylist()], np.array(rows.column("label").to_pylist(), np.int64)
     if len(set(toxic.tolist())) < 2:
         return Model(Lexicon({w: 1.0 for w in SEEDS[INSULT].split()}), np.array([1.5, 0.5, 1.5, 0.5, 0.5, 0.0, -4.0]))
