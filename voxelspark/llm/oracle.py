@@ -92,10 +92,11 @@ g AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i:
 f AS (SELECT lang, k, p, CAST(count(*) AS BIGINT) AS a FROM g GROUP BY ALL),
 n AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY 1),
 c AS (SELECT * FROM f WHERE k > 1 AND a >= 30),
-cut AS (SELECT c.*, x.a AS l, y.a AS r, s, CAST((2000000::HUGEINT * c.a) // (x.a + y.a) AS BIGINT) AS score FROM c, (SELECT unnest(range(1, 4)) AS s), f x, f y
-  WHERE s < c.k AND x.lang = c.lang AND x.p = c.p[1:s] AND y.lang = c.lang AND y.p = c.p[s + 1:c.k]),
+parts AS (SELECT lang, k, p, a, p[1:s] AS head, p[s + 1:k] AS tail, s FROM (SELECT c.*, unnest(range(1, k)) AS s FROM c)),
+e AS (SELECT * FROM f WHERE a >= 30),
+cut AS (SELECT h.lang, h.k, h.p, h.a, s, x.a AS l, y.a AS r, CAST((2000000::HUGEINT * h.a) // (x.a + y.a) AS BIGINT) AS score FROM parts h JOIN e x ON x.lang = h.lang AND x.p = h.head JOIN e y ON y.lang = h.lang AND y.p = h.tail),
 low AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, s) = 1),
-inside AS (SELECT lang, c.p[i:j] AS p, max(a) AS most FROM c, (SELECT unnest(range(1, 5)) AS i), (SELECT unnest(range(2, 5)) AS j) WHERE i < j AND j <= k AND j - i + 1 < k GROUP BY 1, 2),
+inside AS (SELECT lang, p[i:j] AS p, max(a) AS most FROM (SELECT *, unnest(range(i + 1, k + 1)) AS j FROM (SELECT *, unnest(range(1, k)) AS i FROM c)) WHERE j - i + 1 < k GROUP BY lang, p[i:j]),
 o AS (SELECT low.lang, array_to_string(low.p, ' ') AS phrase, a, l, r, score FROM low LEFT JOIN inside USING (lang, p) WHERE most IS NULL OR 100 * most::HUGEINT < 80 * a::HUGEINT)
 SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM o JOIN n USING (lang) QUALIFY rank <= 2000
 """
