@@ -24,12 +24,12 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SpanHash, discard, group_starts, lower_ascii, materialize, ranges, release, text_bytes, text_slices, word_spans
+from .common import SpanHash, discard, group_starts, hash_words, lower_ascii, materialize, ranges, release, text_bytes, text_slices, word_spans
 
 MIN_COUNT, MAX_WORDS, TOP = 30, 4, 2000
 #: A candidate goes if a longer one that holds it has this share of its occurrences, in percent.
 COVERED = 80
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 #: Pairs of 64-bit words that are ANDed at once.
 AND_AT_ONCE = 1 << 21
 #: Rows that one task adds up.
@@ -95,7 +95,7 @@ def build_shards(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
                 continue
             langs = batch.column(1).dictionary_encode()
             lang = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)[d]
-            h = hasher.load(low).spans(starts, ends)
+            h = hash_words(hasher, low, starts, ends)
             order = np.lexsort((h, lang))
             firsts = group_starts(lang[order], h[order])
             sizes = np.diff(np.append(firsts, len(order)))

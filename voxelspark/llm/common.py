@@ -218,6 +218,22 @@ class SpanHash:
         return out
 
 
+def hash_words(hasher: SpanHash, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, limit: int = SLICE_BYTES) -> np.ndarray:
+    """Hashes of ascending spans that don't overlap, some ``limit`` bytes of the buffer at a time."""
+    out = np.empty(len(starts), np.uint64)
+    a = 0
+    while a < len(starts):
+        low = int(starts[a])
+        b = max(a + 1, int(np.searchsorted(ends, low + limit, "right")))
+        high = int(ends[b - 1])
+        if high - low > limit:  # one long span, of which no sums are needed
+            out[a] = xxhash.xxh64_intdigest(memoryview(np.ascontiguousarray(buf[low:high])), int(hasher.seed))
+        else:
+            out[a:b] = hasher.load(buf[low:high]).spans(starts[a:b] - low, ends[a:b] - low)
+        a = b
+    return out
+
+
 def popcount(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x)
 

@@ -26,12 +26,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ALNUM_OR_HIGH, SpanHash, discard, filesystem, group_starts, id_array, kept, lower_ascii, materialize, ranges, shared_path, text_bytes, text_slices, word_spans
+from .common import ALNUM_OR_HIGH, SpanHash, discard, filesystem, group_starts, hash_words, kept, lower_ascii, materialize, ranges, shared_path, text_bytes, text_slices, word_spans
 
 TOP = 10
 #: Impacts are below a million: that many parts of it a byte tells apart.
 STEP = -(-1_000_000 // 255)
-BLOCK_BYTES, BLOCK_DOCS = 8 << 20, 1 << 13
+BLOCK_BYTES, BLOCK_DOCS = 4 << 20, 1 << 13
 CHUNK_BYTES = 1 << 18
 #: Query-document sums that are held at once.
 CELLS = 1 << 21
@@ -58,7 +58,7 @@ def _terms(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes and row numbers of all terms of texts."""
     low = lower_ascii((found := text_bytes(array))[0])
     starts, ends, docs = word_spans(low, found[1], ALNUM_OR_HIGH)
-    return SpanHash(_SEED).load(low).spans(starts, ends), docs
+    return hash_words(SpanHash(_SEED), low, starts, ends), docs
 
 
 def count_terms(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
