@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SpanHash, discard, group_starts, hash_words, lower_ascii, materialize, ranges, release, text_bytes, text_slices, word_spans
+from .common import SpanHash, discard, group_starts, hash_words, lower_ascii, materialize, mix64, ranges, release, text_bytes, text_slices, word_spans
 
 MIN_COUNT, MAX_WORDS, TOP = 30, 4, 2000
 #: A candidate goes if a longer one that holds it has this share of its occurrences, in percent.
@@ -119,16 +119,20 @@ def build_shards(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
 
 
 class Shard:
-    """A shard's bitmaps of frequent words, by 64-bit word number, to grow phrases from."""
+    """A shard's bitmaps of frequent words, by 64-bit word number, to grow phrases from. ``pairs`` are the numbers of the words
+    that frequent pairs begin and end with, where these are known: others need no bitmap at the first or a later place."""
 
-    def __init__(self, data: bytes, local: np.ndarray, ids: np.ndarray):
+    def __init__(self, data: bytes, local: np.ndarray, ids: np.ndarray, pairs: tuple[np.ndarray, np.ndarray] | None = None):
         words, numbers, bits = unpack(data)
         place = np.full(int(max(words.max(initial=-1), local.max(initial=-1))) + 1, -1)
         place[local] = np.arange(len(local))
         kept = place[words] >= 0
         order = np.argsort(numbers[kept], kind="stable")
-        self.ids, self.word, self.number, self.bits = ids, place[words[kept]][order], numbers[kept][order], bits[kept][order]
-        self.at = np.searchsorted(self.number, np.arange(int(self.number.max(initial=-1)) + 3))
+        self.ids, word, number, bits = ids, place[words[kept]][order], numbers[kept][order], bits[kept][order]
+        heads, tails = (np.isin(ids, x)[word] for x in pairs) if pairs else (np.ones(len(word), bool),) * 2
+        self.head = word[heads], number[heads], bits[heads]
+        self.word, self.number, self.bits = word[tails], number[tails], bits[tails]
+        self.at = np.searchsorted(self.number, np.arange(int(number.max(initial=-1)) + 3))
 
     def extend(self, phrase: np.ndarray, number: np.ndarray, bits: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
         """Shift and AND: (phrase, word, number, bits) of what is not zero. A 64-bit word's highest bit goes to the next one."""
@@ -173,7 +177,7 @@ class Shard:
                     ok = np.flatnonzero(codes[at] == code)
                     deeper(depth + 1, order[at[ok]], n[ok], x[ok])
 
-        deeper(0, self.word, self.number, self.bits)
+        deeper(0, *self.head)
         code, count = _add(*(np.concatenate(x) for x in zip(*found))) if found else (np.zeros(0, np.int64),) * 2
         return before[code // max(len(self.ids), 1)], self.ids[code % max(len(self.ids), 1)], count
 
@@ -186,47 +190,109 @@ def _add(code: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return code[at], np.add.reduceat(count[order], at) if len(at) else count[:0]
 
 
-_COUNTS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("shard", pa.int64()), ("n", pa.int32())])
+def _packets(group: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """Rows by group: each group and its rows' columns as one packet of whole numbers."""
+    order = np.argsort(group, kind="stable")
+    rows = np.stack([c[order] for c in columns]).astype("<i8")
+    at = group_starts(group[order])
+    ends = np.append(at[1:], len(order))
+    return group[order][at], [np.ascontiguousarray(rows[:, x:y]).tobytes() for x, y in zip(at.tolist(), ends.tolist())]
 
 
-def longer_phrases(shards: DataFrame, alive: DataFrame, depth: int) -> DataFrame:
-    """(a, b, shard, n): how often each phrase of ``depth`` words occurs in each shard, of those that grow from the frequent
-    ones of alive(shard, k, a, b, id), k words long; with k = 1, a is the word's place in the shard."""
+def _unpacked(packets: list[bytes], columns: int) -> list[np.ndarray]:
+    parts = [np.frombuffer(p, "<i8").reshape(columns, -1) for p in packets]
+    return list(np.concatenate(parts, axis=1)) if parts else [np.zeros(0, np.int64)] * columns
+
+
+def longer_phrases(shards: DataFrame, alive: DataFrame, depth: int, n_tasks: int) -> DataFrame:
+    """(bucket, shard, packet): how often each phrase of ``depth`` words occurs in each shard, of those that grow from the
+    frequent ones of alive(shard, k, packet), k words long. Packets hold (a, b, count), by four buckets a task of the phrases'
+    hashes: one a phrase at worst."""
+    schema = pa.schema([("bucket", pa.int32()), ("shard", pa.int64()), ("packet", pa.binary())])
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
-            return _COUNTS.empty_table()
-        k, a, b, ids = (right.column(c).to_numpy() for c in ("k", "a", "b", "id"))
-        own = Shard(left.column("maps")[0].as_py(), a[k == 1], ids[k == 1])
-        a, b, n = own.grow([(a[k == i], b[k == i], ids[k == i]) for i in range(2, depth)])
-        shard = np.full(len(a), left.column("shard")[0].as_py())
-        return pa.table([a, b, shard, pa.array(n, pa.int32())], schema=_COUNTS)
+            return schema.empty_table()
+        of = right.column("k").to_numpy()
+        packets = right.column("packet").to_pylist()
+        known = [_unpacked([p for p, k in zip(packets, of.tolist()) if k == own], 3) for own in range(1, depth)]
+        local, _, ids = known[0]
+        own = Shard(left.column("maps")[0].as_py(), local, ids, (known[1][0], known[1][1]) if depth > 2 else None)
+        a, b, n = own.grow([tuple(x) for x in known[1:]])
+        bucket = (mix64(mix64(a.astype(np.uint64)) ^ b.astype(np.uint64)) % U64(4 * n_tasks)).astype(np.int32)
+        buckets, made = _packets(bucket, a, b, n)
+        shard = np.full(len(buckets), left.column("shard")[0].as_py())
+        return pa.table([pa.array(buckets), pa.array(shard), pa.array(made, pa.binary())], schema=schema)
+
+    return shards.select("shard", "maps").groupBy("shard").cogroup(alive.select("shard", "k", "packet").groupBy("shard")).applyInArrow(run, "bucket int, shard long, packet binary")
+
+
+#: What a task that adds counts gives: rows (shard, k, packet) that tell a shard of its frequent words (place, 0, id) or phrases
+#: (a, b, id), and rows (id, a, b, lang, word, f), one for each frequent word or phrase; for words, sums by language (lang, f).
+_FOUND = "shard long, k int, packet binary, id long, a long, b long, lang string, word string, f long"
+_FOUND_KINDS = {"shard": pa.int64(), "k": pa.int32(), "packet": pa.binary(), "id": pa.int64(), "a": pa.int64(), "b": pa.int64(), "lang": pa.string(), "word": pa.string(), "f": pa.int64()}
+
+
+def _found(**columns: object) -> pa.RecordBatch:
+    n = len(next(iter(columns.values())))
+    return pa.RecordBatch.from_arrays([pa.nulls(n, t) if columns.get(c) is None else pa.array(columns[c], t) if not isinstance(columns[c], pa.Array) else columns[c] for c, t in _FOUND_KINDS.items()], list(_FOUND_KINDS))
+
 
-    return shards.select("shard", "maps").groupBy("shard").cogroup(alive.groupBy("shard")).applyInArrow(run, "a long, b long, shard long, n int")
+def _told(depth: int, number: np.ndarray, n: np.ndarray, shard: np.ndarray, a: np.ndarray, b: np.ndarray, min_count: int) -> tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]:
+    """Packets to the shards that hold what occurs often enough: ``number`` says which rows are equal. With them, which numbers
+    are frequent, their ids and their counts."""
+    sums = np.bincount(number, n, int(number.max(initial=-1)) + 1).astype(np.int64)  # below 2^53
+    enough = np.flatnonzero(sums >= min_count)
+    ids = np.full(len(sums), -1)
+    ids[enough] = (TaskContext.get().partitionId() << 33) + np.arange(len(enough))
+    own = np.flatnonzero(ids[number] >= 0)
+    shards, packets = _packets(shard[own], a[own], b[own], ids[number[own]])
+    return _found(shard=shards, k=np.full(len(shards), depth), packet=packets), enough, ids[enough], sums[enough]
+
+
+def frequent_words(shards: DataFrame, min_count: int, n_tasks: int) -> DataFrame:
+    """The words of shards(shard, words) that occur ``min_count`` times or more in their language; see ``_FOUND``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = [b for b in batches if b.num_rows]
+        if not got:
+            return
+        rows = pa.Table.from_batches(got).combine_chunks()
+        lang, word = (rows.column(c).combine_chunks().dictionary_encode() for c in ("lang", "word"))
+        code = lang.indices.to_numpy().astype(np.int64) * len(word.dictionary) + word.indices.to_numpy()
+        codes, number = np.unique(code, return_inverse=True)
+        shard, place, n = (rows.column(c).to_numpy() for c in ("shard", "place", "n"))
+        told, enough, ids, f = _told(1, number, n, shard, place.astype(np.int64), np.zeros(len(place), np.int64), min_count)
+        yield told
+        of = codes[enough]
+        yield _found(id=ids, lang=lang.dictionary.take(pa.array(of // len(word.dictionary))), word=word.dictionary.take(pa.array(of % len(word.dictionary))), f=f)
+        totals = np.bincount(lang.indices.to_numpy(), n, len(lang.dictionary)).astype(np.int64)
+        yield _found(lang=lang.dictionary, f=totals)
+
+    words = shards.select("shard", F.posexplode("words").alias("place", "w")).select("w.lang", "w.word", "shard", "place", "w.n")
+    return words.repartition(n_tasks, "lang", "word").mapInArrow(run, _FOUND)
 
 
 def frequent(counts: DataFrame, depth: int, min_count: int, n_tasks: int) -> DataFrame:
-    """(shard, k, a, b, id, f) of the rows of counts(a, b, shard, n) whose phrase occurs ``min_count`` times or more in all: its
-    number and its frequency. Tasks get phrases by hash, about ``TASK_ROWS`` rows each."""
-    schema = pa.schema([("shard", pa.int64()), ("k", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("id", pa.int64()), ("f", pa.int64())])
+    """The phrases of counts(bucket, shard, packet) that occur ``min_count`` times or more in all; see ``_FOUND``. Tasks get
+    phrases by hash, about ``TASK_ROWS`` counts each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = [b for b in batches if b.num_rows]
         if not got:
             return
-        a, b, shard, n = (np.concatenate([x.column(i).to_numpy() for x in got]) for i in range(4))
-        del got
+        packets = [p for b in got for p in b.column(1).to_pylist()]
+        shard = np.repeat(np.concatenate([b.column(0).to_numpy() for b in got]), [len(p) // 24 for p in packets])
+        a, b, n = _unpacked(packets, 3)
         order = np.lexsort((b, a))
-        a, b, shard, n = a[order], b[order], shard[order], n[order].astype(np.int64)
+        a, b, n, shard = a[order], b[order], n[order], shard[order]
         at = group_starts(a, b)
-        sums = np.add.reduceat(n, at)
-        enough = np.repeat(sums >= min_count, np.diff(np.append(at, len(a))))
-        ids = (TaskContext.get().partitionId() << 33) + np.repeat(np.arange(len(at)), np.diff(np.append(at, len(a))))
-        f = np.repeat(sums, np.diff(np.append(at, len(a))))
-        columns = [shard[enough], np.full(int(enough.sum()), depth, np.int32), a[enough], b[enough], ids[enough], f[enough]]
-        yield from pa.table(columns, schema=schema).to_batches(max_chunksize=1 << 16)
+        number = np.repeat(np.arange(len(at)), np.diff(np.append(at, len(a))))
+        told, enough, ids, f = _told(depth, number, n, shard, a, b, min_count)
+        yield told
+        yield _found(id=ids, a=a[at[enough]], b=b[at[enough]], f=f)
 
-    return counts.repartition(n_tasks, "a", "b").mapInArrow(run, "shard long, k int, a long, b long, id long, f long")
+    return counts.repartition(n_tasks, "bucket").select("shard", "packet").mapInArrow(run, _FOUND)
 
 
 # ---------------------------------------------------------------------------------------------- scores
@@ -265,31 +331,29 @@ def collocations(docs: DataFrame, min_count: int = MIN_COUNT, top: int = TOP, sh
     """
     spark = docs.sparkSession
     shards = materialize(build_shards(docs.select("text", "lang"), shard_bytes), "shards")
-    words = shards.select("shard", F.posexplode("words").alias("a", "w")).select("shard", "a", "w.lang", "w.word", F.col("w.n").cast("long").alias("n"))
-    sums = materialize(words.groupBy("lang", "word").agg(F.sum("n").alias("f")), "words")
-    totals = materialize(sums.groupBy("lang").agg(F.sum("f").alias("n")), "totals")
-    phrases = materialize(sums.where(F.col("f") >= min_count).select("lang", "word", "f", F.monotonically_increasing_id().alias("id")), "frequent-words")
-    kept = words.join(phrases, ["lang", "word"]).select("shard", F.lit(1).alias("k"), F.col("a").cast("long").alias("a"), F.lit(0).cast("long").alias("b"), "id", "f")
-    alive = [materialize(kept, "alive-1")]
-    named = [materialize(phrases.select("id", "lang", F.col("word").alias("phrase"), F.lit(1).alias("k"), F.col("f").alias("a")), "phrases-1")]
-    size = totals.agg(F.sum("n")).first()[0] or 0
+    sizes = shards.select(F.size("words").cast("long").alias("words"), F.aggregate("words", F.lit(0).cast("long"), lambda t, w: t + w["n"]).alias("n")).agg(F.sum("words"), F.sum("n")).first()
+    tasks = lambda rows: max(8, -(-(rows or 0) // TASK_ROWS))
+    found = [materialize(frequent_words(shards, min_count, tasks(sizes[0])), "words")]
+    totals = materialize(found[0].where("id is null and shard is null").groupBy("lang").agg(F.sum("f").alias("n")), "totals")
+    words = found[0].where("id is not null").select("id", "lang", "word", "f")
+    named = [materialize(words.select("id", "lang", F.col("word").alias("phrase"), F.lit(1).alias("k"), F.col("f").alias("a")), "phrases-1")]
     for depth in range(2, MAX_WORDS + 1):
-        known = alive[0]
-        for more in alive[1:]:
-            known = known.unionByName(more)
-        counts = longer_phrases(shards, known.select("shard", "k", "a", "b", "id"), depth)
-        alive.append(materialize(frequent(counts, depth, min_count, max(8, -(-size // TASK_ROWS))), f"alive-{depth}"))
-        distinct = alive[-1].groupBy("id", "a", "b").agg(F.first("f").alias("f"))
+        alive = found[0].where("shard is not null")
+        for more in found[1:]:
+            alive = alive.unionByName(more.where("shard is not null"))
+        counts = longer_phrases(shards, alive, depth, tasks(sizes[1]))
+        found.append(materialize(frequent(counts, depth, min_count, tasks(sizes[1])), f"found-{depth}"))
         first, last = named[-1].select(F.col("id").alias("a"), "lang", "phrase"), named[0].select(F.col("id").alias("b"), F.col("phrase").alias("word"))
-        named.append(materialize(distinct.join(first, "a").join(last, "b").select("id", "lang", F.concat_ws(" ", "phrase", "word").alias("phrase"), F.lit(depth).alias("k"), F.col("f").alias("a")), f"phrases-{depth}"))
+        own = found[-1].where("id is not null").select("id", "a", "b", "f").join(first, "a").join(last, "b")
+        named.append(materialize(own.select("id", "lang", F.concat_ws(" ", "phrase", "word").alias("phrase"), F.lit(depth).alias("k"), F.col("f").alias("a")), f"phrases-{depth}"))
         release(spark)
     every = named[0]
     for more in named[1:]:
         every = every.unionByName(more)
-    found = scored(every.select("lang", "phrase", "k", "a"))
-    discard(shards, sums, *alive)
+    best = scored(every.select("lang", "phrase", "k", "a"))
+    discard(shards, *found)
     order = [F.desc("score"), F.desc("a"), "phrase"]
-    salted = found.withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(64)))
+    salted = best.withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(64)))
     some = salted.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order))).where(F.col("rank") <= top)
     best = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
     return best.join(F.broadcast(totals), "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
