@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from voxelspark.functions import metadata as M
-from voxelspark.operators import deconvolve, deskew, fusion, pixel, reduce, registration, stencil
+from voxelspark.operators import arrays, deconvolve, deskew, fusion, pixel, reduce, registration, stencil
 from voxelspark.sources import codecs, tiff, zarr
 
 AXES = ["t", "p", "c", "z", "y", "x"]
@@ -355,7 +355,7 @@ def test_positions_are_refined(spark):
     parts = [scene[:, :80, :100], scene[:, 6:86, 74:174]]
     both = frame(spark, parts[0]).unionByName(frame(spark, parts[1], 1))
     tiles = spark.createDataFrame([(0, 0, 0.0, 0.0, 0.0), (0, 1, 0.0, 0.0, 70.0)], "t int, p int, stage_z double, stage_y double, stage_x double")
-    got = {r["p"]: (r["stage_y"], r["stage_x"]) for r in registration.refine_positions(both, tiles, 1.0, {"z": 6, "y": 80, "x": 100}, (1, 2, 2), 5, 0.0).collect()}
+    got = {r["p"]: (r["stage_y"], r["stage_x"]) for r in registration.refine_positions(arrays.of_voxels(both), tiles, 1.0, {"z": 6, "y": 80, "x": 100}, (1, 2, 2), 5, 0.0).collect()}
     assert got[1][0] - got[0][0] == pytest.approx(6, abs=1) and got[1][1] - got[0][1] == pytest.approx(74, abs=1)
 
 

@@ -49,10 +49,13 @@ def divergence(p: np.ndarray, q: np.ndarray, floor: float = 1e-4) -> float:
 
 
 def rlgc(image: np.ndarray, psf: np.ndarray, safe: bool = True, limit: float = 0.1, max_delta: float = 0.01, start: float = 1.0, seed: int = 42, rounds: int | None = None) -> np.ndarray:
-    """The image is padded to sizes that are products of 2 and 3 by reflection. Each round splits the photons in two at random; where both halves ask for changes of the same sense the estimate is
-    updated. It stops when a divergence to a half rises (safe: either, else both), when few pixels are updated, or when the
-    change is small. The ratios are those of half the blurred estimate and are summed, so the gain is 2. With ``rounds``, that many without a stop is an
-    error."""
+    """The image is padded to sizes that are products of 2 and 3 by reflection. Each round splits the photons in two at random;
+    where both halves ask for changes of the same sense the estimate is updated.
+
+    It stops when a divergence to a half rises (safe: either, else both) or falls under 0.0001: the last round made it worse
+    or was not needed, so the estimate before it is returned. It also stops, with the new estimate, when few pixels were
+    updated, or when the largest rise of a pixel, as a share of the largest value, is small. The ratios are those of half the
+    blurred estimate and are summed, so the gain is 2. With ``rounds``, that many without a stop is an error."""
     rng = np.random.default_rng(seed)
     image = np.maximum(np.rint(image), 0).astype(np.int64)
     shape = tuple(map(smooth_size, image.shape))
@@ -60,7 +63,7 @@ def rlgc(image: np.ndarray, psf: np.ndarray, safe: bool = True, limit: float = 0
     wide = np.pad(image, [(b, s - n - b) for b, s, n in zip(before, shape, image.shape)], "reflect")
     h = otf(psf, shape)
     ht = h.conj()
-    recon = np.full(shape, start, float)
+    recon = before_it = np.full(shape, start, float)
     last = [math.inf, math.inf]
     for n in itertools.count():
         if n == rounds:
@@ -69,15 +72,16 @@ def rlgc(image: np.ndarray, psf: np.ndarray, safe: bool = True, limit: float = 0
         two = wide - one
         blurred = np.maximum(convolve(recon, h), 0)
         gaps = [divergence(blurred, one), divergence(blurred, two)]
-        worse = [g > b or g < 1e-4 for g, b in zip(gaps, last)]
-        if any(worse) if safe else all(worse):
+        rises = [g > b for g, b in zip(gaps, last)]
+        if (any(rises) if safe else all(rises)) or min(gaps) < 1e-4:
+            recon = before_it
             break
-        last = gaps
+        last, before_it = gaps, recon
         half = 0.5 * (blurred + 1e-12)
         ratios = [convolve(s / half, ht) for s in (one, two)]
         consensus = convolve(convolve((ratios[0] - 1) * (ratios[1] - 1), h), ht)
         new = np.where(consensus < 0, recon, np.maximum(0, recon * (ratios[0] + ratios[1])))
-        moved = np.abs(new - recon).max() / max(recon.max(), 1e-12)
+        moved = (new - recon).max() / max(new.max(), 1e-12)
         updated = (consensus >= 0).mean()
         recon = new
         if updated < limit or moved < max_delta or moved < 5 / max(wide.max(), 1):
@@ -90,6 +94,14 @@ def slab_planes(height: int) -> int:
     return 512 if height <= 256 else 256 if height <= 512 else 128
 
 
+def slab_weights(low: int, high: int, s: int, slab: int, count: int, overlap: int) -> np.ndarray:
+    """Weights of the planes [low, high) of slab ``s`` of ``count``: cosine ramps over the overlaps with its neighbours."""
+    z = np.arange(low, high)
+    up = np.ones(len(z)) if s == 0 else np.clip((z - s * slab + overlap + 0.5) / (2 * overlap), 1e-6, 1)
+    down = np.ones(len(z)) if s == count - 1 else np.clip(((s + 1) * slab + overlap - z - 0.5) / (2 * overlap), 1e-6, 1)
+    return 0.5 * (1 - np.cos(np.pi * np.minimum(up, down)))
+
+
 def deconvolve(voxels: DataFrame, psf: np.ndarray, shape: tuple[int, int, int], slab: int | None = None, overlap: int = 32, safe: bool = True, seed: int = 42) -> DataFrame:
     """Slabs along z with ``overlap`` planes of their neighbours on both sides, each deconvolved in a task of its own, then
     blended with cosine ramps over the overlaps. An image of one slab starts from its median, one of several from the mean
@@ -115,10 +127,7 @@ def deconvolve(voxels: DataFrame, psf: np.ndarray, shape: tuple[int, int, int],
         at = tuple(group[k].to_numpy() - low[k] for k in "zyx")
         image[at] = group.v.to_numpy()
         out = rlgc(image, psf, safe, start=float(np.median(image) if count == 1 else group["mean"].iloc[0]), seed=seed)
-        z = np.arange(shape[0]) + low["z"]
-        up = np.ones(shape[0]) if s == 0 else np.clip((z - s * slab + overlap + 0.5) / (2 * overlap), 1e-6, 1)
-        down = np.ones(shape[0]) if s == count - 1 else np.clip(((s + 1) * slab + overlap - z - 0.5) / (2 * overlap), 1e-6, 1)
-        w = 0.5 * (1 - np.cos(np.pi * np.minimum(up, down)))
+        w = slab_weights(low["z"], low["z"] + shape[0], s, slab, count, overlap)
         grid = np.indices(shape).reshape(3, -1)
         keys = {k: int(group[k].iloc[0]) for k in "tpc"}
         return pd.DataFrame({**keys, **{k: (grid[i] + low[k]).astype(np.int32) for i, k in enumerate("zyx")}, "v": out.ravel(), "w": w[grid[0]]})

@@ -89,16 +89,33 @@ def taps(g: Geometry, z: np.ndarray, y: np.ndarray) -> Taps:
     return Taps(*(x[ok] for x in (z, y, pb, ja, jb, va, vb)))
 
 
+def slanted_rows(image: np.ndarray, low: int, g: Geometry, oz: int, y: np.ndarray, there: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows (oz, y) of the result, and which of them read a row that is there. ``image`` has the rows of the planes from ``low``
+    on, one plane after another. A row is a fixed-order sum of its four taps, clipped as the accumulation clips, divided by
+    the factor and truncated."""
+    depth = g.out[0] * g.factor if g.shape()[0] >= g.factor else g.shape()[0]
+    total, some = np.zeros((len(y), image.shape[1])), np.zeros(len(y), bool)
+    for z in range(oz * g.factor, min((oz + 1) * g.factor, depth)):
+        t = taps(g, np.full(len(y), z), y)
+        before = (t.plane - low) * g.rows
+        rows_of = before + g.rows + t.ja + 1, before + g.rows + t.ja, before + t.jb + 1, before + t.jb
+        weights = t.va - t.ja, 1 - t.va + t.ja, t.vb - t.jb, 1 - t.vb + t.jb
+        four = [image[r] * w[:, None] for r, w in zip(rows_of, weights)]
+        value = (((four[0] + four[1]) + four[2]) + four[3]) / g.step
+        own = np.searchsorted(y, t.y)
+        total[own] = np.minimum(65534.0, total[own] + np.clip(value, 0.0, 65534.0))
+        some[own] |= there[rows_of[0]] | there[rows_of[1]] | there[rows_of[2]] | there[rows_of[3]]
+    return np.floor(total / float(g.factor)), some
+
+
 def deskew_lines(rows: DataFrame, g: Geometry, reverse: bool = False, block: int = 32) -> DataFrame:
     """Deskewed lines of lines(t, p, c, z, y, line); ``reverse`` counts the result's z from its other end.
 
-    An output row is a fixed-order sum of its four taps, clipped as the accumulation clips, divided by the factor and
-    truncated. Its taps are in two neighbouring planes, so the result is dealt to blocks of ``block`` planes by the plane of
+    The taps of an output row (see ``slanted_rows``) are in two neighbouring planes, so the result is dealt to blocks of ``block`` planes by the plane of
     its first z, and a plane goes to its block and, near a border, to the next: one shuffle. A line that is not in the table
     is 0; a row of the result is there where any line that it reads is.
     """
     nz, ny = g.out
-    depth = nz * g.factor if g.shape()[0] >= g.factor else g.shape()[0]
     reach = math.ceil((g.factor - 1) / g.tan / g.step)  # planes between the first and the last z of a row
     n_blocks = -(-g.planes // block)
     first = F.greatest(F.lit(0), F.floor((F.col("z") - 1) / block)).cast("int")
@@ -123,20 +140,10 @@ def deskew_lines(rows: DataFrame, g: Geometry, reverse: bool = False, block: int
             y = y[own_block == number]
             if not len(y):
                 continue
-            total, some = np.zeros((len(y), g.columns)), np.zeros(len(y), bool)
-            for z in range(oz * g.factor, min((oz + 1) * g.factor, depth)):
-                t = taps(g, np.full(len(y), z), y)
-                before = (t.plane - low) * g.rows
-                rows_of = before + g.rows + t.ja + 1, before + g.rows + t.ja, before + t.jb + 1, before + t.jb
-                weights = t.va - t.ja, 1 - t.va + t.ja, t.vb - t.jb, 1 - t.vb + t.jb
-                four = [image[r] * w[:, None] for r, w in zip(rows_of, weights)]
-                value = (((four[0] + four[1]) + four[2]) + four[3]) / g.step
-                own = np.searchsorted(y, t.y)
-                total[own] = np.minimum(65534.0, total[own] + np.clip(value, 0.0, 65534.0))
-                some[own] |= there[rows_of[0]] | there[rows_of[1]] | there[rows_of[2]] | there[rows_of[3]]
+            total, some = slanted_rows(image, low, g, oz, y, there)
             zs.append(np.full(int(some.sum()), nz - 1 - oz if reverse else oz, np.int32))
             ys.append(y[some].astype(np.int32))
-            out.append(np.floor(total[some] / float(g.factor)).astype(np.int32))
+            out.append(total[some].astype(np.int32))
         z, y = (np.concatenate([*x, np.zeros(0, np.int32)]) for x in (zs, ys))
         flat = np.concatenate([x.ravel() for x in out] + [np.zeros(0, np.int32)])
         line = pa.ListArray.from_arrays(pa.array(np.arange(len(z) + 1, dtype=np.int32) * g.columns), pa.array(flat))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Mapping
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +14,14 @@ from pyspark.sql import functions as F
 CLOSE = 1e-9
 
 
+#: A voxel's size: one number for all axes, or one for each of z, y and x.
+Voxel = float | Mapping[str, float]
+
+
+def voxel_size(voxel: Voxel, axis: str) -> float:
+    return float(voxel[axis] if isinstance(voxel, Mapping) else voxel)
+
+
 def feather_profile(length: int, blend: int) -> list[float]:
     """Linear ramps at both ends; the end ramp is written last. A blend as long as the axis makes a tent."""
     if length <= 2 or blend <= 0:
@@ -39,27 +48,24 @@ def slab_feather(length: int, feather: int) -> list[float]:
     return [ramp[i] if i < n else ramp[2 * n - length + i] if i >= length - n else 1.0 for i in range(length)]
 
 
-def _profile(values: list[float], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), index.cast("int") + 1)
-
-
-def extent(tiles: DataFrame, pixel: float, lengths: dict[str, int], multiple: dict[str, int], up: bool) -> DataFrame:
+def extent(tiles: DataFrame, voxel: Voxel, lengths: dict[str, int], multiple: dict[str, int], up: bool) -> DataFrame:
     """Origin and padded size of the fused space by axis; ``up`` rounds sizes up, else they are truncated."""
     aggs = [f(f"stage_{a}").alias(f"{n}_{a}") for a in lengths for n, f in (("lo", F.min), ("hi", F.max))]
     row = tiles.agg(*aggs)
     out = [F.col(f"lo_{a}").alias(f"origin_{a}") for a in lengths]
     for a, n in lengths.items():
-        size = (F.col(f"hi_{a}") + F.lit(n * pixel) - F.col(f"lo_{a}")) / F.lit(pixel)
+        step = voxel_size(voxel, a)
+        size = (F.col(f"hi_{a}") + F.lit(n * step) - F.col(f"lo_{a}")) / F.lit(step)
         size = (F.ceil(size) if up else F.floor(size)).cast("int")
         out.append((size + F.pmod(-size, F.lit(multiple[a]))).alias(f"size_{a}"))
     return row.select(*out)
 
 
-def tile_offsets(tiles: DataFrame, pixel: float, axes: tuple[str, ...], half_even: bool) -> DataFrame:
+def tile_offsets(tiles: DataFrame, voxel: Voxel, axes: tuple[str, ...], half_even: bool) -> DataFrame:
     """(t, p, o_axis...): voxel offsets from the smallest position; rounded half to even, or truncated. The minimum is a
     one-row aggregate that joins back, so no task holds all tiles."""
     lows = tiles.agg(*[F.min(f"stage_{a}").alias(f"lo_{a}") for a in axes])
-    shift = {a: (F.col(f"stage_{a}") - F.col(f"lo_{a}")) / F.lit(pixel) for a in axes}
+    shift = {a: (F.col(f"stage_{a}") - F.col(f"lo_{a}")) / F.lit(voxel_size(voxel, a)) for a in axes}
     return tiles.crossJoin(F.broadcast(lows)).select("t", "p", *[(F.bround(s) if half_even else F.floor(s)).cast("int").alias(f"o_{a}") for a, s in shift.items()])
 
 
@@ -67,7 +73,7 @@ def tile_offsets(tiles: DataFrame, pixel: float, axes: tuple[str, ...], half_eve
 FUSED = 512
 
 
-def fuse_2d(rows: DataFrame, tiles: DataFrame, pixel: float, height: int, width: int, mode: str = "fold") -> DataFrame:
+def fuse_2d(rows: DataFrame, tiles: DataFrame, pixel: Voxel, height: int, width: int, mode: str = "fold") -> DataFrame:
     """Fused image (t, c, y, x, v) of tile lines(t, p, c, y, line) of height x width.
 
     fold: tiles in order of p, f <- trunc(clip((f + v w) / (1 + w))), from 0. weighted_mean: sum(w v) / sum(w). Rows of a
@@ -115,22 +121,22 @@ def fuse_2d(rows: DataFrame, tiles: DataFrame, pixel: float, height: int, width:
     return pieces.groupBy("t", "c", "by", "bx").applyInArrow(run, "t int, c int, y int, x int, v int")
 
 
-def fuse_3d(voxels: DataFrame, tiles: DataFrame, pixel: float, shape: tuple[int, int, int], blend: tuple[int, int, int]) -> DataFrame:
-    """Weighted mean of all tiles over each voxel, truncated; 0 where no weight is. One shuffle with partial sums."""
-    offsets = tile_offsets(tiles, pixel, ("z", "y", "x"), half_even=True)
-    weight = None
-    for axis, n, b in zip("zyx", shape, blend):
-        own = _profile(feather_profile(n, b), F.col(axis))
-        weight = own if weight is None else weight * own
-    placed = voxels.join(offsets, ["t", "p"]).withColumn("w", weight)
-    keys = [(F.col(a) + F.col(f"o_{a}")).alias(a) for a in "zyx"]
-    sums = placed.groupBy("t", "c", *keys).agg(F.sum(F.col("w") * F.col("v")).alias("s"), F.sum("w").alias("n"))
-    return sums.select("t", "c", "z", "y", "x", F.when(F.col("n") > 0, F.floor(F.col("s") / F.col("n") + CLOSE)).otherwise(0).cast("int").alias("v"))
+def fuse_3d(voxels: DataFrame, tiles: DataFrame, voxel: Voxel, shape: tuple[int, int, int], blend: tuple[int, int, int]) -> DataFrame:
+    """Weighted mean (t, c, z, y, x, v) of all tiles over each voxel that one covers, truncated; 0 where no weight is. Voxels go to
+    blocks, and these to the shards of the result (``arrays.fused_blocks``)."""
+    from . import arrays
+
+    profiles = [np.array(feather_profile(n, b)) for n, b in zip(shape, blend)]
+    return arrays.fused_blocks(arrays.of_voxels(voxels), tiles, voxel, shape, profiles, edges=SHARD, emit="voxels")
+
+
+#: Edges (z, y, x) of the blocks in which voxel tables are fused.
+SHARD = (4, 512, 512)
 
 
-def shard_overlap(tiles: DataFrame, pixel: float, depth: int, step: int) -> DataFrame:
+def shard_overlap(tiles: DataFrame, voxel: Voxel, depth: int, step: int, half_even: bool = True) -> DataFrame:
     """(t, p, shard, z0, z1): the z range of each tile in each shard of ``step`` planes that it reaches, by dealing a tile
     to its shards and not by comparing all of them."""
-    o = tile_offsets(tiles, pixel, ("z",), half_even=True)
+    o = tile_offsets(tiles, voxel, ("z",), half_even)
     dealt = o.select("t", "p", "o_z", F.explode(F.sequence(F.floor(F.col("o_z") / step), F.floor((F.col("o_z") + depth - 1) / step))).alias("shard"))
     return dealt.select("t", "p", F.col("shard").cast("int").alias("shard"), F.greatest(F.col("shard") * step, F.col("o_z")).cast("int").alias("z0"), F.least((F.col("shard") + 1) * step, F.col("o_z") + depth).cast("int").alias("z1"))

@@ -6,18 +6,22 @@ import itertools
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import arrays
+from .fusion import Voxel, voxel_size
 
-def overlap_pairs(tiles: DataFrame, pixel: float, shape: dict[str, int]) -> DataFrame:
+
+def overlap_pairs(tiles: DataFrame, voxel: Voxel, shape: dict[str, int]) -> DataFrame:
     """(t, i, j) with the voxel bounds of the overlap in both tiles, for i < j of one time point.
 
     Tiles are dealt to grid cells of a tile's size and meet the tiles of neighbouring cells by an equi-join; the exact
     bounds decide. So the work follows the number of neighbours and not of all pairs.
     """
     axes = list(shape)
-    cell = [F.floor(F.col(f"stage_{a}") / F.lit(n * pixel)).alias(f"g_{a}") for a, n in shape.items()]
+    cell = [F.floor(F.col(f"stage_{a}") / F.lit(n * voxel_size(voxel, a))).alias(f"g_{a}") for a, n in shape.items()]
     placed = tiles.select("t", "p", *[f"stage_{a}" for a in axes], *cell)
     near = placed
     for a in axes:
@@ -27,40 +31,36 @@ def overlap_pairs(tiles: DataFrame, pixel: float, shape: dict[str, int]) -> Data
     met = left.join(right, ["t", *[f"g_{a}" for a in axes]]).where("i < j")
     out = ["t", "i", "j"]
     for a, n in shape.items():
-        off = F.bround((F.col(f"j_{a}") - F.col(f"i_{a}")) / F.lit(pixel)).cast("int")
+        off = F.bround((F.col(f"j_{a}") - F.col(f"i_{a}")) / F.lit(voxel_size(voxel, a))).cast("int")
         met = met.withColumn(f"off_{a}", off).where((F.col(f"off_{a}") < n) & (F.col(f"off_{a}") > -n))
         out += [F.greatest(F.lit(0), F.col(f"off_{a}")).alias(f"i_{a}0"), F.least(F.lit(n), F.col(f"off_{a}") + n).alias(f"i_{a}1"), F.greatest(F.lit(0), -F.col(f"off_{a}")).alias(f"j_{a}0"), F.least(F.lit(n), n - F.col(f"off_{a}")).alias(f"j_{a}1")]
     return met.select(*out)
 
 
-def _sides(voxels: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The voxels of both tiles in each pair's overlap, in the overlap's own coordinates: one of a and b is null."""
-    def side(tile: str, value: str, other: str) -> DataFrame:
-        own = voxels.select("t", F.col("p").alias(tile), *[F.col(a).alias(f"s_{a}") for a in "zyx"], F.col("v").alias(value)).join(pairs, ["t", tile])
-        for a in "zyx":
-            own = own.where((F.col(f"s_{a}") >= F.col(f"{tile}_{a}0")) & (F.col(f"s_{a}") < F.col(f"{tile}_{a}1")))
-        size = [(F.col(f"i_{a}1") - F.col(f"i_{a}0")).alias(f"n_{a}") for a in "zyx"]
-        return own.select("t", "i", "j", *size, *[(F.col(f"s_{a}") - F.col(f"{tile}_{a}0")).alias(a) for a in "zyx"], value, F.lit(None).cast(own.schema[value].dataType).alias(other))
-    return side("i", "a", "b").unionByName(side("j", "b", "a"))
+def _patch_rows(found: DataFrame, kind: str, factors: bool) -> DataFrame:
+    """Patches as rows (t, i, j, [f_z, f_y, f_x,] z, y, x, a, b), none where both are 0."""
+    names = ["t", "i", "j", *(["f_z", "f_y", "f_x"] if factors else []), "z", "y", "x"]
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        a, b, f = arrays.patch_arrays(table)
+        at = np.nonzero((a != 0) | (b != 0))
+        values = (x[at] if kind == "double" else np.rint(x[at]).astype(np.int32) for x in (a, b))
+        same = [pa.array(np.full(len(at[0]), k, np.int32)) for k in [*(k.as_py() for k in key), *(f if factors else [])]]
+        return pa.table([*same, *(pa.array(x.astype(np.int32)) for x in at), *(pa.array(v) for v in values)], names=[*names, "a", "b"])
+
+    return found.groupBy("t", "i", "j").applyInArrow(run, ", ".join(f"{n} int" for n in names) + f", a {kind}, b {kind}")
 
 
 def overlap_patches(voxels: DataFrame, pairs: DataFrame) -> DataFrame:
     """(t, i, j, z, y, x, a, b): both tiles' voxels over each pair's overlap, in the overlap's own coordinates, 0 where only
-    the other tile has one. Only voxels inside an overlap are shuffled, once."""
-    best = [F.coalesce(F.max(c), F.lit(0)).alias(c) for c in "ab"]
-    return _sides(voxels, pairs).groupBy("t", "i", "j", "z", "y", "x").agg(*best)
+    the other tile has one and no row where neither has. Tiles go to the pairs as blocks, cut to the overlap."""
+    return _patch_rows(arrays.patches(arrays.of_voxels(voxels), pairs, (1, 1, 1)), voxels.schema["v"].dataType.simpleString(), False)
 
 
 def reduced_patches(voxels: DataFrame, pairs: DataFrame, factors: tuple[int, int, int] = (3, 5, 5)) -> DataFrame:
     """The overlaps' voxels as means over blocks of ``factors`` (z, y, x), with the factors that were used, f_z, f_y and f_x:
-    none is larger than the overlap. A ragged edge counts as filled with 0. Sums are taken where the voxels are read, so
-    what is shuffled is a block's two sums a task."""
-    used = [F.greatest(F.lit(1), F.least(F.lit(f), F.col(f"n_{a}"))).alias(f"f_{a}") for a, f in zip("zyx", factors)]
-    rows = _sides(voxels, pairs).select("*", *used)
-    cells = [F.floor(F.col(a) / F.col(f"f_{a}")).cast("int").alias(a) for a in "zyx"]
-    volume = (F.col("f_z") * F.col("f_y") * F.col("f_x")).cast("double")
-    sums = rows.groupBy("t", "i", "j", "f_z", "f_y", "f_x", *cells).agg(F.sum("a").alias("sa"), F.sum("b").alias("sb"))
-    return sums.select("t", "i", "j", "f_z", "f_y", "f_x", "z", "y", "x", *[(F.coalesce(f"s{c}", F.lit(0)) / volume).alias(c) for c in "ab"])
+    none is larger than the overlap. A ragged edge counts as filled with 0."""
+    return _patch_rows(arrays.patches(arrays.of_voxels(voxels), pairs, factors), "double", True)
 
 
 def gate_edges(edges: DataFrame, score: float = 0.7, limits: tuple[int, int, int] = (20, 50, 100)) -> DataFrame:
@@ -241,30 +241,26 @@ def linear_shift(image: np.ndarray, shift: np.ndarray) -> np.ndarray:
 
 
 def register_pairs(patches: DataFrame, win: int = 7, score: float = 0.0, limits: tuple[int, int, int] = (20, 50, 100)) -> DataFrame:
-    """(t, i, j, dz, dy, dx, score) of patches(t, i, j, f_z, f_y, f_x, z, y, x, a, b), see ``reduced_patches``: histogram match,
-    phase correlation, shift, SSIM. Shifts are in voxels before the reduction, rounded half to even; links whose score or
-    shifts are beyond their gates are left out. A patch is one task's, so it is reduced first."""
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        shape = tuple(int(group[k].max()) + 1 for k in "zyx")
-        a, b = np.zeros(shape), np.zeros(shape)
-        at = group.z.to_numpy(), group.y.to_numpy(), group.x.to_numpy()
-        a[at], b[at] = group.a.to_numpy(), group.b.to_numpy()
+    """(t, i, j, dz, dy, dx, score) of the pairs of patches (see ``arrays.patches``): histogram match, phase correlation, shift,
+    SSIM. Shifts are in voxels before the reduction, rounded half to even; links whose score or shifts are beyond their gates
+    are left out. A patch is one task's, so it is reduced first."""
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        a, b, factors = arrays.patch_arrays(table)
         moved = match_histogram(b, a)
         shift = phase_shift(a, moved)
         found = max(1e-6, window_ssim(a, linear_shift(moved, shift), win))
-        row = [int(group[k].iloc[0]) for k in ("t", "i", "j")]
-        factors = np.array([int(group[f"f_{k}"].iloc[0]) for k in "zyx"])
-        return pd.DataFrame([[*row, *np.rint(shift * factors).astype(int), found]], columns=["t", "i", "j", "dz", "dy", "dx", "score"])
-    found = patches.groupBy("t", "i", "j").applyInPandas(run, "t int, i int, j int, dz int, dy int, dx int, score double")
+        whole = np.rint(shift * np.array(factors)).astype(np.int32)
+        return pa.table([*([k.as_py()] for k in key), *([int(x)] for x in whole), [found]], schema=pa.schema([(c, pa.int32()) for c in ("t", "i", "j", "dz", "dy", "dx")] + [("score", pa.float64())]))
+    found = patches.groupBy("t", "i", "j").applyInArrow(run, "t int, i int, j int, dz int, dy int, dx int, score double")
     return gate_edges(found, score, limits).withColumn("score", F.round("score", 3))
 
 
-def refine_positions(voxels: DataFrame, tiles: DataFrame, pixel: float, shape: dict[str, int], factors: tuple[int, int, int] = (3, 5, 5), win: int = 7, score: float = 0.7, method: str = "TWO_ROUND_ITERATIVE", channel: int = 0) -> DataFrame:
-    """tiles(t, p, stage_z, stage_y, stage_x) moved to where their overlaps fit best: pairs, patches of one channel, shifts
-    between them, the offsets that fit these, and the positions with the offsets."""
+def refine_positions(blocks: DataFrame, tiles: DataFrame, voxel: Voxel, shape: dict[str, int], factors: tuple[int, int, int] = (3, 5, 5), win: int = 7, score: float = 0.7, method: str = "TWO_ROUND_ITERATIVE", channel: int = 0) -> DataFrame:
+    """tiles(t, p, stage_z, stage_y, stage_x) of ``blocks`` moved to where their overlaps fit best: pairs, patches of one channel,
+    shifts between them, the offsets that fit these, and the positions with the offsets."""
     if shape["z"] == 1:
         factors = (1, *factors[1:])
-    pairs = overlap_pairs(tiles, pixel, shape)
-    patches = reduced_patches(voxels.where(F.col("c") == channel), pairs, factors)
+    pairs = overlap_pairs(tiles, voxel, shape)
+    patches = arrays.patches(blocks.where(F.element_at("origin", 3) == channel), pairs, factors)
     edges = register_pairs(patches, win, score)
-    return apply_offsets(tiles, solve_offsets(edges, tiles, method), (pixel, pixel, pixel))
+    return apply_offsets(tiles, solve_offsets(edges, tiles, method), tuple(voxel_size(voxel, a) for a in "zyx"))

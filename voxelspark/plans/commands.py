@@ -11,17 +11,17 @@ from __future__ import annotations
 import argparse
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import metadata as M
+from ..operators import arrays as A
 from ..operators import deconvolve as D
 from ..operators import deskew as S
 from ..operators import fusion as U
-from ..operators import pixel as P
-from ..operators import reduce as R
 from ..operators import registration as G
-from ..sources import zarr
+from ..sources import files, zarr
 
 
 @dataclass(frozen=True)
@@ -66,13 +66,41 @@ def acquisition(path: str) -> Acquisition:
     return Acquisition(mode, step, excess, number("pixel_size_um"), number("angle_deg") if step else 0.0, number("offset"), number("e_to_ADU"), channels, positions)
 
 
-def tiles_of(spark: SparkSession, acq: Acquisition, times: range) -> DataFrame:
-    """(t, p, stage_z, stage_y, stage_x) with the axes flipped as the camera sees them."""
-    rows = [(t, p, *at) for t in times for p, at in sorted(acq.positions.items())]
+def tiles_of(spark: SparkSession, acq: Acquisition, times: range, positions: range | None = None) -> DataFrame:
+    """(t, p, stage_z, stage_y, stage_x) with the axes flipped as the camera sees them; times and positions count from 0."""
+    kept = [(p - positions.start if positions else p, at) for p, at in sorted(acq.positions.items()) if positions is None or p in positions]
+    rows = [(t, p, *at) for t in range(len(times)) for p, at in kept]
     tiles = spark.createDataFrame(rows, "t int, p int, stage_z double, stage_y double, stage_x double")
     return M.flip_positions(tiles, {"stage_x": False, "stage_y": True, "stage_z": True})
 
 
+#: Bytes of a flat-field that is sent to all tasks: 4 channels of 2,304 x 2,304 doubles have 170 MB.
+FLAT_BYTES = 1 << 29
+
+
+def flat_array(flat: DataFrame, channels: int, height: int, width: int) -> np.ndarray:
+    """The flat-field (c, y, x, ff) as an array, 1 where it has no row. ValueError where a camera's frames are so large that tasks
+    should not get it whole."""
+    if 8 * channels * height * width > FLAT_BYTES:
+        raise ValueError(f"a flat-field of {channels} x {height} x {width} is too large to be sent to all tasks")
+    out = np.ones((channels, height, width))
+    inside = flat.where((F.col("c") < channels) & (F.col("y") < height) & (F.col("x") < width)).select("c", "y", "x", F.col("ff").cast("double")).toArrow()
+    c, y, x, ff = (column.to_numpy() for column in inside.columns)
+    out[c, y, x] = ff
+    return out
+
+
+def flat_of(spark: SparkSession, path: str, acq: Acquisition, axes: str) -> DataFrame:
+    """The flat-field that is kept beside the acquisition (a TIFF, or Parquet from an earlier run), else one that is estimated
+    from its first time point and kept there."""
+    shape = dict(zip(axes, zarr.layout(path).shape))
+    stem = path.rstrip("/").removesuffix(".zarr").removesuffix(".ome")
+    kept = f"{stem}_flatfield.ome.tif"
+    voxels = lambda: zarr.read(spark, path, axes, {"t": (0, 1)})
+    make = lambda: D.flat_field(voxels(), acq.offset, acq.gain, (shape.get("z", 1), shape["y"], shape["x"]), shape["p"])
+    return D.cached_flat_field(spark, kept if files.exists(kept) else f"{stem}_flatfield.parquet", make)
+
+
 def out_path(path: str, kind: str) -> str:
     stem = path.rstrip("/").removesuffix(".zarr").removesuffix(".ome")
     return f"{stem}_{kind}.zarr"
@@ -93,6 +121,7 @@ def process(
     max_projection: bool = True,
     deconvolve: bool = False,
     flat: DataFrame | None = None,
+    flat_field: bool = False,
     crop_after_deskew: bool = False,
     times: tuple[int, int] | None = None,
     positions: tuple[int, int] | None = None,
@@ -101,48 +130,56 @@ def process(
     factor: int = 2,
 ) -> dict[str, str]:
     """Correct, deconvolve if asked to, deskew and project the acquisition at ``path``; returns the paths of the stores that
-    are written beside it, by kind. A projection is corrected (and deconvolved) only."""
+    are written beside it, by kind. A projection is corrected (and deconvolved) only.
+
+    What moves from store to store is blocks (``operators.arrays``). ``flat`` is a flat-field (c, y, x, ff); with ``flat_field``
+    the one that is kept beside the acquisition is used, or estimated and kept. Each channel has a PSF of its own. Of a range
+    of ``times`` or ``positions`` the result holds just these, counted from 0.
+    """
     acq = acquisition(path)
-    shape = zarr.layout(path).shape
-    flat_kind = len(shape) == 5
-    axes = "tpcyx" if flat_kind else "tpczyx"
-    where = {a: r for a, r in (("t", times), ("p", positions)) if r}
-    voxels = P.camera_correct(zarr.read(spark, path, axes, where), acq.offset, acq.gain, flat)
-    n_t, n_p = times[1] if times else shape[0], positions[1] if positions else shape[1]
-    tiles = tiles_of(spark, acq, range(n_t))
+    axes = "tpcyx" if len(zarr.layout(path).shape) == 5 else "tpczyx"
+    where = {a: tuple(r) for a, r in (("t", times), ("p", positions)) if r}
+    blocks, (all_t, all_p, n_c, depth, height, width) = A.read(spark, path, axes, where)
+    spans = {"t": range(*where.get("t", (0, all_t))), "p": range(*where.get("p", (0, all_p)))}
+    for a in where:
+        blocks = A.crop(blocks, a, spans[a].start, spans[a].stop)
+    n_t, n_p = len(spans["t"]), len(spans["p"])
+    if flat is None and flat_field:
+        flat = flat_of(spark, path, acq, axes)
+    blocks = A.correct(blocks, acq.offset, acq.gain, None if flat is None else flat_array(flat, n_c, height, width))
+    tiles = tiles_of(spark, acq, spans["t"], spans["p"])
     named = "decon_" if deconvolve else ""
-    height, width = shape[-2:]
-    if flat_kind or not acq.step:
+    if "z" not in axes or not acq.step:
         if deconvolve:
-            psf = D.projection_psf(_wavelength(acq, 0), 1.35, 1.4, acq.pixel, 31)
-            voxels = D.deconvolve(voxels, psf[None], (1, height, width))
+            psfs = {c: D.projection_psf(_wavelength(acq, c), 1.35, 1.4, acq.pixel, 31)[None] for c in range(n_c)}
+            blocks = A.to_16_bits(A.deconvolve(blocks, (n_t, n_p, n_c, 1, height, width), psfs))
         out = out_path(path, f"{named}projection")
-        zarr.write(voxels, out, zarr.acquisition_layout((n_t, n_p, shape[2], 1, height, width)))
+        A.write(blocks, out, zarr.acquisition_layout((n_t, n_p, n_c, 1, height, width)))
         _describe(out, acq, tiles, {})
         return {"projection": out}
     skip = acq.excess if excess is None else excess
-    planes = shape[3] - skip - flyback
+    planes = depth - skip - flyback
     if "stage" in acq.mode:
-        voxels = P.flip(voxels, "z", shape[3])
-    voxels = P.crop(voxels, "z", skip, skip + planes)
+        blocks = A.flip(blocks, "z", depth)
+    blocks = A.crop(blocks, "z", skip, skip + planes)
+    scanned = (n_t, n_p, n_c, planes, height, width)
     if deconvolve:
-        psf = D.skewed_psf(_wavelength(acq, 0), 1.35, 1.4, acq.pixel, acq.step, acq.theta, (31, 31, 31))
-        voxels = D.deconvolve(voxels, psf, (planes, height, width))
+        psfs = {c: D.skewed_psf(_wavelength(acq, c), 1.35, 1.4, acq.pixel, acq.step, acq.theta, (31, 31, 31)) for c in range(n_c)}
+        blocks = A.deconvolve(blocks, scanned, psfs)
     g = S.Geometry(planes, height, width, acq.theta, acq.step, acq.pixel, factor)
     nz, ny = g.out
     _, padded, columns, pad, cut = g.shape(crop_after_deskew)
-    rows = S.deskew_lines(S.lines(voxels, width), g)
+    whole = A.deskew(blocks, scanned, g)
     if crop_after_deskew:
-        rows = P.crop(rows, "y", cut, ny - cut)
-    whole = S.voxels_of(rows)
+        whole = A.crop(whole, "y", cut, ny - cut)
     out = {"deskewed": out_path(path, f"{named}deskewed")}
-    zarr.write(whole, out["deskewed"], zarr.acquisition_layout((n_t, n_p, shape[2], nz, padded, columns)))
+    A.write(whole, out["deskewed"], zarr.acquisition_layout((n_t, n_p, n_c, nz, padded, columns)))
     more = {"deskewed_pad_y": pad, "deskewed_pad_x": columns - width, "deskewed_voxel_size_um": [factor * acq.pixel, acq.pixel, acq.pixel]}
     _describe(out["deskewed"], acq, tiles, more)
     if max_projection:
         out["projection"] = out_path(path, f"{named}max_z_deskewed")
-        written = zarr.read(spark, out["deskewed"])
-        zarr.write(R.max_project(written).withColumn("z", F.lit(0)), out["projection"], zarr.acquisition_layout((n_t, n_p, shape[2], 1, padded, columns)))
+        written, shape = A.read(spark, out["deskewed"])
+        A.write(A.project(written, shape), out["projection"], zarr.acquisition_layout((n_t, n_p, n_c, 1, padded, columns)))
         _describe(out["projection"], acq, tiles, more)
     return out
 
@@ -167,27 +204,33 @@ def fuse(spark: SparkSession, path: str, register: bool = True, channel: int = 0
         root, stem = path.rstrip("/").rsplit("/", 1)
         path = zarr.find_store(root, stem.removesuffix(".zarr").removesuffix(".ome"))
         attributes = zarr.read_attributes(path)
-    n_t, _, n_c, nz, ny, nx = zarr.layout(path).shape
-    pixel, step = float(attributes["pixel_size_um"]), attributes.get("deskewed_voxel_size_um", [0, 0, 0])[0]
-    voxels, tiles = zarr.read(spark, path), stored_tiles(spark, path)
+    blocks, (n_t, _, n_c, nz, ny, nx) = A.read(spark, path)
+    tiles = stored_tiles(spark, path)
+    pixel = float(attributes["pixel_size_um"])
+    voxel = dict(zip("zyx", map(float, attributes.get("deskewed_voxel_size_um", [pixel] * 3))))
     shape = {"z": nz, "y": ny, "x": nx}
+    if nz == 1:
+        tiles = tiles.withColumn("stage_z", F.lit(0.0))
     if register:
-        tiles = G.refine_positions(voxels, tiles, pixel, shape, score=score, channel=channel)
+        tiles = G.refine_positions(blocks, tiles, voxel, shape, score=score, channel=channel)
     tiles = tiles.cache()
+    channels = spark.range(n_c).select(F.col("id").cast("int").alias("c"))
     out = out_path(path, "fused")
     if nz == 1:
-        size = U.extent(tiles, pixel, {"y": ny, "x": nx}, {"y": 8, "x": 8}, up=False).first()
-        fused = U.fuse_2d(S.lines(voxels, nx).drop("z"), tiles, pixel, ny, nx).withColumns({"p": F.lit(0), "z": F.lit(0)})
-        zarr.write(fused, out, zarr.fused_2d_layout((n_t, 1, n_c, 1, size["size_y"], size["size_x"])))
+        size = U.extent(tiles, voxel, {"y": ny, "x": nx}, {"y": 8, "x": 8}, up=False).first()
+        profiles = [np.ones(1), np.array(U.cosine_mask(ny)), np.array(U.cosine_mask(nx))]
+        fused = A.fused_blocks(blocks, tiles, voxel, (1, ny, nx), profiles, "fold", False, (1, U.FUSED, U.FUSED), channels)
+        A.write(fused, out, zarr.fused_2d_layout((n_t, 1, n_c, 1, size["size_y"], size["size_x"])))
         M.merge_attributes(out, {"origin": [size["origin_y"], size["origin_x"]], "pixel_size_um": pixel})
     else:
-        size = U.extent(tiles, pixel, shape, shape, up=True).first()
-        fused = U.fuse_3d(voxels, tiles, pixel, (nz, ny, nx), blend)
+        size = U.extent(tiles, voxel, shape, shape, up=True).first()
+        profiles = [np.array(U.feather_profile(n, b)) for n, b in zip((nz, ny, nx), blend)]
+        fused = A.fused_blocks(blocks, tiles, voxel, (nz, ny, nx), profiles, channels=channels)
         whole = (n_t, n_c, size["size_z"], size["size_y"], size["size_x"])
         origin = {a: size[f"origin_{a}"] for a in "zyx"}
         used = [f for f in factors if f <= max(whole[2:])]
-        group = M.multiscale_json(out.rsplit("/", 1)[-1], list("tczyx"), {"z": step or pixel, "y": pixel, "x": pixel}, origin, used, attributes.get("channels", []))
-        zarr.write_levels(fused, out, whole, group, used)
+        group = M.multiscale_json(out.rsplit("/", 1)[-1], list("tczyx"), voxel, origin, used, attributes.get("channels", []))
+        A.write_levels(fused, out, whole, group, used)
     tiles.unpersist()
     return out
 
@@ -197,7 +240,7 @@ def main(argv: list[str] | None = None) -> None:
     kinds = parser.add_subparsers(dest="command", required=True)
     one = kinds.add_parser("process")
     one.add_argument("path")
-    for name in ("max-projection", "deconvolve", "crop-after-deskew"):
+    for name in ("max-projection", "deconvolve", "crop-after-deskew", "flat-field"):
         one.add_argument(f"--{name}", action="store_true")
     for name in ("times", "positions"):
         one.add_argument(f"--{name}", type=int, nargs=2)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import metadata as M
+from ..operators import arrays
 from ..operators import deconvolve as D
 from ..operators import deskew as S
 from ..operators import fusion as U
@@ -116,7 +117,7 @@ def _pairs(spark: SparkSession, d: str) -> DataFrame:
 def _registered(spark: SparkSession, d: str) -> DataFrame:
     tiles = A.tiles(spark, d)
     pairs = G.overlap_pairs(tiles, A.PIXEL, SIZES)
-    return G.register_pairs(G.reduced_patches(A.stack(spark, d), pairs, (1, 1, 2)))
+    return G.register_pairs(arrays.patches(arrays.of_voxels(A.stack(spark, d)), pairs, (1, 1, 2)))
 
 
 def _positions(spark: SparkSession, d: str) -> int:

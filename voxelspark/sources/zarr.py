@@ -231,29 +231,42 @@ def write(frame: DataFrame, path: str, m: Layout, axes: str = "tpczyx", attribut
     for a, n in zip(axes, m.shape):
         inside = inside.where((F.col(a) >= 0) & (F.col(a) < n))
     units = [F.floor(F.col(a) / u).cast("int").alias(f"u_{a}") for a, u in zip(axes, m.unit)]
-    ratio = [c // u for c, u in zip(m.chunk, m.unit)]
-    schema = "file string, place int, data binary"
 
     def pack(group: pd.DataFrame) -> pd.DataFrame:
-        at = [int(group[f"u_{a}"].iloc[0]) for a in axes]
+        at = tuple(int(group[f"u_{a}"].iloc[0]) for a in axes)
         block = np.zeros(m.unit, m.dtype)
         block[tuple(group[a].to_numpy() - k * u for a, k, u in zip(axes, at, m.unit))] = group.v.to_numpy().astype(m.dtype)
         if not block.any():
             return pd.DataFrame({"file": [], "place": [], "data": []}).astype({"file": str, "place": np.int32})
-        file = m.path(tuple(k // r for k, r in zip(at, ratio)))
-        place = int(np.ravel_multi_index([k % r for k, r in zip(at, ratio)], ratio))
-        data = encode(block.tobytes(), m.codec, block.itemsize, level)
-        if m.inner is None:
-            files.write_bytes(f"{path}/{file}", data)
-            data = b""
+        file, place, data = packed(path, m, at, block, level)
         return pd.DataFrame({"file": [file], "place": [place], "data": [data]})
 
-    packed = inside.select("*", *units).groupBy(*[f"u_{a}" for a in axes]).applyInPandas(pack, schema)
+    return join_units(inside.select("*", *units).groupBy(*[f"u_{a}" for a in axes]).applyInPandas(pack, PACKED), path, m)
+
+
+PACKED = "file string, place int, data binary"
+
+
+def packed(path: str, m: Layout, at: tuple[int, ...], block: np.ndarray, level: int) -> tuple[str, int, bytes]:
+    """The file of the encoded unit at place ``at``, its place in that file, and its bytes; none where they are written already
+    because a file is one unit."""
+    ratio = [c // u for c, u in zip(m.chunk, m.unit)]
+    file = m.path(tuple(k // r for k, r in zip(at, ratio)))
+    data = encode(np.ascontiguousarray(block).tobytes(), m.codec, block.itemsize, level)
+    if m.inner is None:
+        files.write_bytes(f"{path}/{file}", data)
+        data = b""
+    return file, int(np.ravel_multi_index([k % r for k, r in zip(at, ratio)], ratio)), data
+
+
+def join_units(units: DataFrame, path: str, m: Layout) -> int:
+    """Put the packed units (file, place, data) of each shard together and write it; the number of files."""
     if m.inner is None:
-        return packed.count()
+        return units.count()
+    count = math.prod(c // u for c, u in zip(m.chunk, m.unit))
 
     def join(group: pd.DataFrame) -> pd.DataFrame:
-        index, body, size = np.full((math.prod(ratio), 2), EMPTY, np.uint64), [], 0
+        index, body, size = np.full((count, 2), EMPTY, np.uint64), [], 0
         for place, data in sorted(zip(group.place, group.data)):
             index[place] = size, len(data)
             body.append(data)
@@ -262,7 +275,7 @@ def write(frame: DataFrame, path: str, m: Layout, axes: str = "tpczyx", attribut
         files.write_bytes(f"{path}/{group.file.iloc[0]}", b"".join([*body, tail, crc32c(tail).to_bytes(4, "little")]))
         return pd.DataFrame({"file": [group.file.iloc[0]]})
 
-    return packed.groupBy("file").applyInPandas(join, "file string").count()
+    return units.groupBy("file").applyInPandas(join, "file string").count()
 
 
 def write_levels(frame: DataFrame, path: str, shape: tuple[int, ...], group: dict, factors: list[int], mode: str = "stride", axes: str = "tczyx", level_of=fused_3d_layout) -> None:
