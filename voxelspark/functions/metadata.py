@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import math
+from collections.abc import Sequence
 from typing import Any
 
 import pandas as pd
@@ -116,14 +117,14 @@ def export_name(tile: Column, channel: Column, name: Column, stamp: str, x: Colu
     return F.format_string(f"Scan_Iter_%04d_0000_CamA_ch%d_CAM1_stack000_%s_{stamp}_%03dx_%03dy_%03dz_%04dt.zarr", tile, channel, name, x, y, z, t)
 
 
-def pyramid_transforms(base: dict[str, float], origin: dict[str, float], factors: list[int]) -> list[dict]:
-    """Scale and translation of each level: translations move by half the voxel of the level before."""
-    out = [{"level": 0, **{f"scale_{a}": s for a, s in base.items()}, **{f"shift_{a}": float(origin[a]) for a in base}}]
+def pyramid_transforms(base: dict[str, float | Column], origin: dict[str, float | Column], factors: list[int]) -> list[dict]:
+    """Scale and translation of each level, of numbers or of columns: translations move by half the voxel of the level before."""
+    out = [{"level": 0, **{f"scale_{a}": s for a, s in base.items()}, **{f"shift_{a}": origin[a] * 1.0 for a in base}}]
     done = 1
     for n, f in enumerate(factors, 1):
         last = out[-1]
         ratio = f / done
-        out.append({"level": n, **{f"scale_{a}": s * f for a, s in base.items()}, **{f"shift_{a}": last[f"shift_{a}"] + 0.5 * (ratio - 1) * last[f"scale_{a}"] for a in base}})
+        out.append({"level": n, **{f"scale_{a}": s * f for a, s in base.items()}, **{f"shift_{a}": last[f"shift_{a}"] + last[f"scale_{a}"] * (0.5 * (ratio - 1)) for a in base}})
         done = f
     return out
 
@@ -155,14 +156,14 @@ _MULTISCALES = (
 )
 
 
-def multiscale_levels(docs: DataFrame, text: str = "json") -> DataFrame:
-    """(level, path, axis, scale, shift): every level and axis that the group documents in ``text`` list, of version 0.5
+def multiscale_levels(docs: DataFrame, text: str = "json", keep: Sequence[str] = ()) -> DataFrame:
+    """(*keep, level, path, axis, scale, shift): every level and axis that the group documents in ``text`` list, of version 0.5
     (under attributes.ome) or 0.4. Transforms apply in their order: a scale after a translation scales that too. A
     document without multiscales gives no rows."""
     doc = F.from_json(text, f"multiscales {_MULTISCALES}, attributes struct<ome: struct<multiscales: {_MULTISCALES}>>")
-    scales = docs.select(F.explode(F.coalesce(doc["attributes"]["ome"]["multiscales"], doc["multiscales"])).alias("m"))
-    levels = scales.select("m.axes", F.posexplode("m.datasets").alias("level", "d"))
-    axes = levels.select("level", "d.path", "d.coordinateTransformations", F.posexplode("axes").alias("n", "a"))
+    scales = docs.select(*keep, F.explode(F.coalesce(doc["attributes"]["ome"]["multiscales"], doc["multiscales"])).alias("m"))
+    levels = scales.select(*keep, "m.axes", F.posexplode("m.datasets").alias("level", "d"))
+    axes = levels.select(*keep, "level", "d.path", "d.coordinateTransformations", F.posexplode("axes").alias("n", "a"))
     at = F.col("n") + 1
 
     def step(done: Column, one: Column) -> Column:
@@ -171,7 +172,7 @@ def multiscale_levels(docs: DataFrame, text: str = "json") -> DataFrame:
         return F.struct((done["scale"] * by).alias("scale"), (done["shift"] * by + move).alias("shift"))
 
     found = F.aggregate(F.coalesce("coordinateTransformations", F.array()), F.struct(F.lit(1.0).alias("scale"), F.lit(0.0).alias("shift")), step)
-    return axes.select("level", "path", F.col("a.name").alias("axis"), found.alias("f")).select("level", "path", "axis", "f.scale", "f.shift")
+    return axes.select(*keep, "level", "path", F.col("a.name").alias("axis"), found.alias("f")).select(*keep, "level", "path", "axis", "f.scale", "f.shift")
 
 
 def scan_geometry(stage_angle: Column, stage_step: Column) -> tuple[Column, Column]:

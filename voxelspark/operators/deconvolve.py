@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .pixel import camera_correct
@@ -28,6 +28,13 @@ def smooth_size(n: int) -> int:
     return best
 
 
+def smooth_sizes(n: Column, most: int) -> Column:
+    """``smooth_size`` of a column of numbers up to ``most``."""
+    top = smooth_size(most)
+    sizes = sorted({2**a * 3**b for a in range(top.bit_length()) for b in range(top.bit_length()) if 2**a * 3**b <= top})
+    return F.array_min(F.filter(F.array(*map(F.lit, sizes)), lambda s: s >= n))
+
+
 def otf(psf: np.ndarray, shape: tuple[int, ...]) -> np.ndarray:
     """Half spectrum of a unit-sum PSF that is centred on the origin of ``shape``; what is beyond the shape is cut."""
     cut = [max(0, n - s) for n, s in zip(psf.shape, shape)]

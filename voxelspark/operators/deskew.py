@@ -53,6 +53,16 @@ class Geometry:
         return max(1, nz // self.factor), ny - pad
 
 
+def deskewed_shape(planes: Column, rows: Column, columns: Column, theta: float = 30.0, distance: float = 0.4, pixel: float = 0.115, crop: bool = False, multiple: int = 4) -> dict[str, Column]:
+    """``Geometry.shape`` of columns of stack sizes: nz, ny and nx, padded, the pad of y and its crop."""
+    r = math.radians(theta)
+    cut = F.ceil(rows * F.lit(math.cos(r))) if crop else F.lit(0)
+    ny = F.ceil(planes * F.lit(distance / pixel) + rows * F.lit(math.cos(r))) - 2 * cut
+    pad = F.pmod(-ny, F.lit(multiple))
+    out = {"nz": F.ceil(rows * F.lit(math.sin(r))), "ny": ny + pad, "nx": columns + F.pmod(-columns, F.lit(multiple)), "pad": pad, "crop": cut}
+    return {k: v.cast("int") for k, v in out.items()}
+
+
 def lines(voxels: DataFrame, columns: int) -> DataFrame:
     """Rows of pixels as arrays over x = 0 .. columns - 1, which deskewing leaves as it is: one row where there were as many
     as pixels. A pixel that is not in the table is 0."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .queries import EDGES, FILTERS, LASERS, OFFSETS, PORTS
+from .queries import FILTERS, LASERS, PORTS
 
 D = "CAST({} AS DOUBLE)".format
 PX, OFF, GAIN = D(0.115), D(100.0), D(0.24)
@@ -15,11 +15,18 @@ COR = f"cor AS (SELECT t,p,r1.c,z,r1.y,r1.x, CAST(floor(greatest({D(0)}, least({
 ALL = "t,p,c,z,y,x"
 
 
-def _e(text: str) -> str:
-    """The queries' VALUES, with doubles as DuckDB writes them."""
-    import re
+#: Tiles' offsets and the edges between tiles that overlap: exact (w_) and rounded, every seventh 30 planes off.
+OFFSETS = f"o AS (SELECT 0 t, p, (s%7)/{D(2)} dz, CAST(s%11-m AS DOUBLE) dy, (p%5)*{D(1.5)} dx FROM (SELECT CAST(floor(vec_id/125) AS INT) p, CAST(sum(label) AS BIGINT) s, max(label) m FROM embeddings GROUP BY 1))"
+EDGES = f"e AS (SELECT t, i, j, CAST(round_even(w_z,0) AS INT)+CASE WHEN (i*3+j)%7=5 THEN 30 ELSE 0 END dz, CAST(round_even(w_y,0) AS INT) dy, CAST(round_even(w_x,0) AS INT) dx, CASE WHEN (i+j)%5=0 THEN {D(0.6)} ELSE {D(0.7)}+(i%4)*{D(0.0625)} END score FROM (SELECT prs.t, i, j, b.dz-a.dz w_z, b.dy-a.dy w_y, b.dx-a.dx w_x FROM prs JOIN o a ON a.t=prs.t AND a.p=i JOIN o b ON b.t=prs.t AND b.p=j))"
 
-    return re.sub(r"(-?\d+\.\d+)D", lambda m: D(m[1]), text)
+
+def _names(kinds: tuple[str, ...]) -> str:
+    """(event_id, name): the name of one of ``kinds`` for each event."""
+    cases = " ".join(f"WHEN {k} THEN replace('{text}', '{{v}}', CAST(CAST(floor(value)+300 AS INT) AS VARCHAR))" for k, text in enumerate(kinds))
+    return f"(SELECT event_id, CASE event_id%{len(kinds)} {cases} END name FROM events)"
+
+
+WHOLE, SIZES = "(SELECT DISTINCT CAST(floor(value) AS INT) n FROM events)", "(SELECT DISTINCT p_size n FROM part)"
 
 
 #: Sine, cosine and tangent of 30 degrees, and the scan step in pixels.
@@ -86,15 +93,17 @@ def _boxed(column: str) -> str:
     return out
 
 
-def _profile(expression: str, length: int) -> str:
-    return f"SELECT CAST(i AS INT) i, round({expression}, 9) w FROM range({length}) r(i)"
+def _profile(**expressions: str) -> str:
+    """A weight for each place of the stack's axes, by an expression of i."""
+    parts = [f"SELECT '{a}' axis, i, round({e}, 9) w FROM (SELECT DISTINCT {a} i FROM r1)" for a, e in expressions.items()]
+    return f"WITH {R1} " + " UNION ALL ".join(parts)
 
 
 PAIR = "nxt AS (SELECT t, p, coalesce(lead(p) OVER (PARTITION BY t ORDER BY p), first_value(p) OVER (PARTITION BY t ORDER BY p)) q FROM r4), pair AS (SELECT a.p, a.z, a.y, a.x, a.v a, b.v b FROM r1 a JOIN nxt ON nxt.t=a.t AND nxt.p=a.p JOIN r1 b ON b.p=nxt.q AND a.z=b.z AND a.y=b.y AND a.x=b.x)"
 _OV = " AND ".join(f"abs(round_even((b.stage_{a}-a.stage_{a})/{PX},0)) < {n}" for a, n in (("z", 5), ("y", 25), ("x", 64)))
 _BOUNDS = ", ".join(f"greatest(0,o{a}) i_{a}0, least({n},o{a}+{n}) i_{a}1, greatest(0,-o{a}) j_{a}0, least({n},{n}-o{a}) j_{a}1" for a, n in (("z", 5), ("y", 25), ("x", 64)))
 PAIRS = f"prs AS (SELECT t,i,j,{_BOUNDS} FROM (SELECT a.t, a.p i, b.p j, " + ", ".join(f"CAST(round_even((b.stage_{a}-a.stage_{a})/{PX},0) AS INT) o{a}" for a in "zyx") + f" FROM r4 a JOIN r4 b ON a.t=b.t AND a.p<b.p WHERE {_OV}))"
-RES = f"res AS (SELECT e.t, e.i, e.j, sqrt((pow(b.dz-a.dz-e.dz,2)+pow(b.dy-a.dy-e.dy,2))+pow(b.dx-a.dx-e.dx,2)) residual FROM {_e(EDGES)} JOIN {_e(OFFSETS.replace('AS o(', 'AS a('))} ON a.t=e.t AND a.p=e.i JOIN {_e(OFFSETS.replace('AS o(', 'AS b('))} ON b.t=e.t AND b.p=e.j)"
+RES = f"{R4}, {PAIRS}, {OFFSETS}, {EDGES}, res AS (SELECT e.t, e.i, e.j, sqrt((pow(b.dz-a.dz-e.dz,2)+pow(b.dy-a.dy-e.dy,2))+pow(b.dx-a.dx-e.dx,2)) residual FROM e JOIN o a ON a.t=e.t AND a.p=e.i JOIN o b ON b.t=e.t AND b.p=e.j)"
 _BALL = "(SELECT dy, dx, 2-sqrt(CAST(4-dy*dy-dx*dx AS DOUBLE)) h FROM range(-2,3) a(dy), range(-2,3) b(dx) WHERE dy*dy+dx*dx <= 4)"
 BALL = f"bg AS (SELECT t,p,c,z,CAST(y-dy AS INT) y,CAST(x-dx AS INT) x,min(v+h) v FROM r1, {_BALL} k WHERE y-dy BETWEEN 0 AND 24 AND x-dx BETWEEN 0 AND 63 GROUP BY 1,2,3,4,5,6)"
 
@@ -129,13 +138,13 @@ SQL: dict[str, str] = {
     "scan_crop": f"WITH {R1} SELECT t,p,c,z-1 z,y,x,v FROM r1 WHERE z BETWEEN 1 AND 3",
     "y_crop": f"WITH {R1} SELECT t,p,c,z,y-3 y,x,v FROM r1 WHERE y BETWEEN 3 AND 21",
     "fov_crop": f"WITH {R1} SELECT * FROM r1 WHERE x BETWEEN 8 AND 39 AND p < 3",
-    "pad_shape": "SELECT CAST(n AS INT) n, CAST((4-n%4)%4 AS INT) pad FROM range(64) r(n)",
+    "pad_shape": f"SELECT n, CAST((4-n%4)%4 AS INT) pad FROM {WHOLE}",
     "axis_normalise": f"WITH {R1} SELECT p t,0 p,CAST(floor(x/32) AS INT) c,z,y,x%32 x,v FROM r1",
     "time_slice": f"WITH {R3} SELECT * FROM r3 WHERE t >= 5 AND t < 12",
     "pos_slice": f"WITH {R1} SELECT * FROM r1 WHERE p >= 1 AND p < 3",
     "region_read": f"WITH {R1} SELECT * FROM r1 WHERE z IN (1,2) AND y BETWEEN 3 AND 8 AND x BETWEEN 10 AND 19",
-    "port_gain_lookup": f"SELECT name, CASE WHEN contains(name,'Dynamic Range') THEN {D(0.23)} WHEN contains(name,'Speed') THEN {D(0.85)} WHEN contains(name,'Sensitivity') THEN {D(0.25)} WHEN contains(name,'Sub-Electron') THEN {D(0.015)} END gain FROM (VALUES {PORTS}) v(name)",
-    "emission_parse": rf"SELECT name, CAST(regexp_extract(name, '(\d+(?:\.\d+)?)\s*em', 1) AS DOUBLE)/1000 em FROM (VALUES {FILTERS}) v(name) WHERE regexp_extract(name, '(\d+(?:\.\d+)?)\s*em', 1) <> ''",
+    "port_gain_lookup": f"SELECT event_id, name, CASE WHEN contains(name,'Dynamic Range') THEN {D(0.23)} WHEN contains(name,'Speed') THEN {D(0.85)} WHEN contains(name,'Sensitivity') THEN {D(0.25)} WHEN contains(name,'Sub-Electron') THEN {D(0.015)} END gain FROM {_names(PORTS)}",
+    "emission_parse": rf"SELECT event_id, name, CAST(regexp_extract(name, '(\d+(?:\.\d+)?)\s*em', 1) AS DOUBLE)/1000 em FROM {_names(FILTERS)} WHERE regexp_extract(name, '(\d+(?:\.\d+)?)\s*em', 1) <> ''",
     "json_key_lookup": "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) k FROM events",
     "max_z": f"WITH {R1} SELECT t,p,c,y,x,max(v) v FROM r1 GROUP BY ALL",
     "correct_max_z": f"WITH {R2} SELECT t,p,c,y,x,CAST(floor(greatest({D(0)},least({D(65535)},(max(v)-{OFF})*{GAIN}))) AS INT) v FROM r2 GROUP BY t,p,c,y,x",
@@ -146,26 +155,27 @@ SQL: dict[str, str] = {
     "block_reduce": f"WITH {R1} SELECT * FROM {_block('r1', 3, 5, 5, False)}",
     "pyramid_stride": f"WITH {R1} SELECT t,p,c,CAST(floor(z/f) AS INT) z,CAST(floor(y/f) AS INT) y,CAST(floor(x/f) AS INT) x,v,level FROM r1, (VALUES (1,2),(2,4),(3,8)) l(level,f) WHERE z%f=0 AND y%f=0 AND x%f=0",
     "pyramid_block_mean": _pyramid_mean(),
-    "pyramid_transforms": f"SELECT level, {PX}*f scale_y, {PX}*f scale_x, sh shift_y, sh shift_x FROM (SELECT level, f, (f-1)*{PX}/2 sh FROM (VALUES (0,1),(1,2),(2,4),(3,8)) l(level,f))",
+    "pyramid_transforms": f"WITH {R4} SELECT p, level, round({PX}*(1+p%3)*f,9) scale_y, round({PX}*(1+p%3)*f,9) scale_x, round(stage_y+(f-1)*{PX}*(1+p%3)/2,9) shift_y, round(stage_x+(f-1)*{PX}*(1+p%3)/2,9) shift_x FROM r4, (VALUES (0,1),(1,2),(2,4),(3,8)) l(level,f)",
     "stage_positions": "SELECT user_id, arg_min(value, event_id) AS value, arg_min(event_type, event_id) event_type FROM events GROUP BY user_id",
     "channels_ordered": "SELECT event_type, CAST(row_number() OVER (ORDER BY m)-1 AS INT) place FROM (SELECT event_type, min(event_id) m FROM events WHERE event_type <> '' GROUP BY 1)",
     "tile_grid_overlap": f"WITH {R4}, s AS (SELECT 'z' axis, 5 n, round(stage_z,5) pos, min(p) p FROM r4 GROUP BY ALL UNION ALL SELECT 'y', 25, round(stage_y,5), min(p) FROM r4 GROUP BY ALL UNION ALL SELECT 'x', 64, round(stage_x,5), min(p) FROM r4 GROUP BY ALL), k AS (SELECT axis, n, count(*) steps, list(pos ORDER BY p) l FROM s GROUP BY 1,2) SELECT axis, steps, CASE WHEN steps > 1 THEN round(sign(l[2]-l[1])*(n*{PX}-abs(l[2]-l[1])),2) ELSE 0 END overlap FROM k",
-    "deskew_shape": "SELECT CAST(n AS INT) n, CAST(h AS INT) h, CAST(nz AS INT) nz, CAST(ny+(4-ny%4)%4 AS INT) ny, 64 nx, CAST((4-ny%4)%4 AS INT) pad, CAST(crop AS INT) crop FROM (SELECT n, h, ceil(h*sin(radians(30))-1e-9) nz, CAST(ceil(n*0.4/0.115+h*cos(radians(30))) AS INT) ny, ceil(h*cos(radians(30))) crop FROM (VALUES (5,25),(40,25),(100,64)) v(n,h))",
+    "deskew_shape": f"WITH {R4} SELECT n, h, CAST(nz AS INT) nz, CAST(ny+(4-ny%4)%4 AS INT) ny, 64 nx, CAST((4-ny%4)%4 AS INT) pad, CAST(crop AS INT) crop FROM (SELECT n, h, ceil(h*{SIN}) nz, CAST(ceil(n*{STEP}+h*{COS}) AS INT) ny, ceil(h*{COS}) crop FROM {SIZES}, (SELECT p*8+25 h FROM r4))",
     "deskew": f"WITH {R1}, {_deskew('r1')} SELECT * FROM dsk",
     "deskew_max_z": f"WITH {R1}, {_deskew('r1')} SELECT t,p,c,y,x,max(v) v FROM dsk GROUP BY ALL",
     "fused_extent_2d": f"WITH {R4}, e AS (SELECT min(stage_y) origin_y, min(stage_x) origin_x, CAST(floor((max(stage_y)+{D(repr(25 * 0.115))}-min(stage_y))/{PX}) AS INT) sy, CAST(floor((max(stage_x)+{D(repr(64 * 0.115))}-min(stage_x))/{PX}) AS INT) sx FROM r4) SELECT origin_y, origin_x, sy+(8-sy%8)%8 size_y, sx+(8-sx%8)%8 size_x FROM e",
-    "blend_mask_2d": _profile(_cosine("i", 64), 64),
+    "blend_mask_2d": _profile(y=_cosine("i", 25), x=_cosine("i", 64)),
     "fuse_2d": _fuse(),
-    "feather_profile": _profile(_feather("i", 25, 4), 25),
+    "feather_profile": _profile(z=_feather("i", 5, 2), y=_feather("i", 25, 4), x=_feather("i", 64, 8)),
     "fused_extent_3d": f"WITH {R4}, e AS (SELECT min(stage_z) origin_z, min(stage_y) origin_y, min(stage_x) origin_x, " + ", ".join(f"CAST(ceil((max(stage_{a})+{D(repr(n * 0.115))}-min(stage_{a}))/{PX}) AS INT) s{a}" for a, n in (("z", 5), ("y", 25), ("x", 64))) + " FROM r4) SELECT origin_z, origin_y, origin_x, sz+(5-sz%5)%5 size_z, sy+(25-sy%25)%25 size_y, sx+(64-sx%64)%64 size_x FROM e",
     "shard_overlap": f"WITH {R4}, o AS (SELECT t,p,CAST(round_even((p*3*{PX}-(SELECT min(p)*3*{PX} FROM r4))/{PX},0) AS INT) oz FROM r4) SELECT t,p,CAST(s AS INT) shard, greatest(CAST(s AS INT)*4,oz) z0, least((CAST(s AS INT)+1)*4,oz+5) z1 FROM o, range(1000) r(s) WHERE greatest(s*4,oz) < least((s+1)*4,oz+5)",
     "fuse_3d": f"WITH {R1}, {R4}, lo AS (SELECT min(stage_z) lz, min(stage_y) ly, min(stage_x) lx FROM r4), pl AS (SELECT r1.t, c, z+CAST(round_even((stage_z-lz)/{PX},0) AS INT) z, y+CAST(round_even((stage_y-ly)/{PX},0) AS INT) y, x+CAST(round_even((stage_x-lx)/{PX},0) AS INT) x, v, ({_feather("z", 5, 2)}*{_feather("y", 25, 4)})*{_feather("x", 64, 8)} w FROM r1 JOIN r4 USING (t,p), lo) SELECT t,c,z,y,x, CASE WHEN sum(w)>0 THEN CAST(floor(sum(w*v)/sum(w)+{D("1e-9")}) AS INT) ELSE 0 END v FROM pl GROUP BY t,c,z,y,x",
     "overlap_pairs": f"WITH {R4}, {PAIRS} SELECT * FROM prs",
     "overlap_patches": f"WITH {R1}, {R4}, {PAIRS} SELECT prs.t,i,j,a.z-i_z0 z,a.y-i_y0 y,a.x-i_x0 x,a.v a,b.v b FROM prs JOIN r1 a ON a.t=prs.t AND a.p=i AND a.z>=i_z0 AND a.z<i_z1 AND a.y>=i_y0 AND a.y<i_y1 AND a.x>=i_x0 AND a.x<i_x1 JOIN r1 b ON b.t=prs.t AND b.p=j AND b.z-j_z0=a.z-i_z0 AND b.y-j_y0=a.y-i_y0 AND b.x-j_x0=a.x-i_x0",
-    "edge_gates": f"SELECT * FROM {_e(EDGES)} WHERE score >= 0.7 AND abs(dz)<=20 AND abs(dy)<=50 AND abs(dx)<=100",
+    "edge_gates": f"WITH {R4}, {PAIRS}, {OFFSETS}, {EDGES} SELECT * FROM e WHERE score >= 0.7 AND abs(dz)<=20 AND abs(dy)<=50 AND abs(dx)<=100",
     "edge_residuals": f"WITH {RES} SELECT t,i,j,round(residual,9) residual FROM res",
     "outlier_gate": f"WITH {RES} SELECT t,i,j,round(residual,9) residual FROM res WHERE residual > (SELECT greatest(1.5, 0.5*median(residual)) FROM res)",
-    "apply_offsets": f"WITH {R4} SELECT r4.t,r4.p,round(stage_z+coalesce(dz,0)*{D(0.4)},9) stage_z, round(stage_y+coalesce(dy,0)*{PX},9) stage_y, round(stage_x+coalesce(dx,0)*{PX},9) stage_x FROM r4 LEFT JOIN {_e(OFFSETS)} ON o.t=r4.t AND o.p=r4.p",
+    "solve_offsets": f"WITH {OFFSETS} SELECT t, p, round(dz-f.z,6) dz, round(dy-f.y,6) dy, round(dx-f.x,6) dx FROM o, (SELECT dz z, dy y, dx x FROM o WHERE p=0) f",
+    "apply_offsets": f"WITH {R4}, {OFFSETS} SELECT r4.t,r4.p,round(stage_z+coalesce(dz,0)*{D(0.4)},9) stage_z, round(stage_y+coalesce(dy,0)*{PX},9) stage_y, round(stage_x+coalesce(dx,0)*{PX},9) stage_x FROM r4 LEFT JOIN o USING (t, p)",
     "hot_pixels": _hot(),
     "rolling_ball_r2": f"WITH {R1}, {BALL} SELECT {ALL}, round(v,6) v FROM bg",
     "subtract_background": f"WITH {R1}, {BALL} SELECT r1.t,r1.p,r1.c,r1.z,r1.y,r1.x, CAST(greatest(0,least(65535,r1.v-floor(bg.v))) AS INT) v FROM r1 JOIN bg USING (t,p,c,z,y,x)",
@@ -174,11 +184,11 @@ SQL: dict[str, str] = {
     "shift_linear": _shift(),
     "kl_divergence": f"WITH {R1}, {R4}, {PAIR}, n AS (SELECT pair.p tile, a+{D(1e-4)} p, b+{D(1e-4)} q FROM pair), s AS (SELECT tile, sum(p) sp, sum(q) sq FROM n GROUP BY tile) SELECT 0 t, tile p, 0 c, round(sum(p/sp*(ln(p/sp)-ln(q/sq))),9) kl FROM n JOIN s USING (tile) GROUP BY tile",
     "consensus_update": f"WITH {R1} SELECT p,z,y,x, CASE WHEN (x+y+z)%3-1 < 0 THEN CAST(v AS DOUBLE) ELSE greatest({D(0)}, v*(((x*7+y)%5)*{D(0.5)})) END recon FROM r1",
-    "reflect_index": "SELECT CAST(i AS INT) i, CAST(CASE WHEN m < 9 THEN m ELSE 16-m END AS INT) AS \"at\" FROM (SELECT i, ((i%16)+16)%16 m FROM range(-20, 21) r(i))",
-    "fft_size": "SELECT CAST(n AS INT) n, CAST(min(s) AS INT) size FROM range(1,200) r(n), (SELECT CAST(pow(2,a)*pow(3,b) AS INT) s FROM range(10) x(a), range(7) y(b)) WHERE s >= n GROUP BY n",
-    "chunk_cover": "SELECT CAST(n AS INT) n, k, CAST(greatest(0,least(s,n-k)) AS INT) start, CAST(least(n, greatest(0,least(s,n-k))+k) AS INT) stop FROM (SELECT n, k, unnest(range(0, n, k)) s FROM range(1,40) r(n), (VALUES (3),(5)) c(k))",
-    "slab_feather": _profile(f"CASE WHEN i < 8 THEN 0.5*(1-cos(pi()*i/{D(15)})) WHEN i >= 32 THEN 0.5*(1-cos(pi()*(i-24)/{D(15)})) ELSE {D(1)} END", 40),
-    "index_to_physical": f"SELECT CAST(i AS INT) i, i*{D(0.23)}+{D(5.75)} um FROM range(64) r(i)",
+    "reflect_index": f"SELECT i, CAST(CASE WHEN m < 9 THEN m ELSE 16-m END AS INT) AS \"at\" FROM (SELECT n-20 i, (((n-20)%16)+16)%16 m FROM {WHOLE})",
+    "fft_size": f"SELECT n, CAST(min(s) AS INT) size FROM {WHOLE}, (SELECT CAST(pow(2,a)*pow(3,b) AS INT) s FROM range(10) x(a), range(7) y(b)) WHERE n > 0 AND s >= n GROUP BY n",
+    "chunk_cover": f"SELECT n, k, CAST(greatest(0,least(s,n-k)) AS INT) start, CAST(least(n, greatest(0,least(s,n-k))+k) AS INT) stop FROM (SELECT n, k, unnest(range(0, n, k)) s FROM {WHOLE}, (VALUES (3),(5)) c(k) WHERE n > 0)",
+    "slab_feather": _profile(x=f"CASE WHEN i < 8 THEN 0.5*(1-cos(pi()*i/{D(15)})) WHEN i >= 56 THEN 0.5*(1-cos(pi()*(i-48)/{D(15)})) ELSE {D(1)} END", y=f"CASE WHEN i < 12 THEN 0.5*(1-cos(pi()*i/{D(23)})) WHEN i >= 13 THEN 0.5*(1-cos(pi()*(i-1)/{D(23)})) ELSE {D(1)} END"),
+    "index_to_physical": f"SELECT n i, n*{D(0.23)}+{D(5.75)} um FROM {WHOLE}",
     "layer_placement": f"WITH {R4} SELECT t,p,{D(0.23)} scale_z,{PX} scale_y,{PX} scale_x,stage_z,stage_y,stage_x FROM r4",
     "export_names": f"WITH {R4} SELECT p, printf('Scan_Iter_%04d_0000_CamA_ch0_CAM1_stack000_488nm_0000000000msec_%03dx_%03dy_000z_0000t.zarr', p, p%2, p//2) AS name FROM r4",
     "skewed_coords": f"WITH {R1} SELECT t,p,c,z,y,x,round(z*{D(0.4)}+y*{PX}*{COS},9) AS \"lateral\", round(y*{PX}*{SIN},9) axial FROM r1",
@@ -186,9 +196,9 @@ SQL: dict[str, str] = {
     "read_tile": f"WITH {R1} SELECT * FROM r1 WHERE p = 2 AND z IN (1,2) AND y BETWEEN 3 AND 8 AND x BETWEEN 10 AND 19",
     "skip_missing": f"WITH {R4} SELECT t,p,CAST(c AS INT) c,stage_z,stage_y,stage_x FROM r4, range(2) k(c) WHERE p % 3 <> 1",
     "first_frames": "SELECT user_id p, arg_min(value, event_id) stage_x FROM events WHERE event_id % 7 <> 0 AND event_id % 3 = 0 AND value IS NOT NULL AND user_id IS NOT NULL GROUP BY 1",
-    "wavelengths": f"SELECT name, CASE WHEN name IN ('405nm', '488 nm') THEN CAST(left(name, 3) AS DOUBLE)/1000 END um FROM (VALUES {LASERS}) v(name)",
+    "wavelengths": f"SELECT event_id, name, CASE WHEN event_id%5 < 2 THEN CAST(left(name, 3) AS DOUBLE)/1000 END um FROM {_names(LASERS)}",
     "fused_placement": f"WITH {R4} SELECT " + ", ".join(f"(min(stage_{a})+max(stage_{a})+{D(repr(n * 0.115))})/2 centre_{a}" for a, n in (("z", 5), ("y", 25), ("x", 64))) + " FROM r4",
-    "channel_order": "SELECT CAST(place AS INT) place, event_type channel FROM (SELECT event_type, row_number() OVER (ORDER BY min(event_id))-1 place FROM events WHERE event_type <> '' GROUP BY 1) WHERE place < 3",
+    "channel_order": "SELECT CAST(row_number() OVER (ORDER BY min(event_id))-1 AS INT) place, event_type channel FROM events WHERE event_type <> '' GROUP BY event_type",
     "batch_means": f"WITH {R2} SELECT p,c,0 batch,y,x,round(sum(CAST(floor(greatest({D(0)},least({D(65535)},(v-{OFF})*{GAIN}))) AS INT))/{D(7)},6) v FROM r2 GROUP BY p,c,y,x",
     "flatfield_estimate": f"WITH {R1}, m AS (SELECT 0 t, 0 p, c, 0 z, y, x, avg(CAST(floor(greatest({D(0)},least({D(65535)},(v-{OFF})*{GAIN}))) AS INT)) v FROM r1 GROUP BY c,y,x), b AS (SELECT * FROM {_box(_box('m', 'y', 25, 2), 'x', 64, 2)}) SELECT c,y,x,round(v/(SELECT avg(v) FROM b),6) ff FROM b",
     "reduced_patches": f"WITH {R1}, {R4}, {PAIRS}, f AS (SELECT *, greatest(1,least(3,i_z1-i_z0)) f_z, greatest(1,least(5,i_y1-i_y0)) f_y, greatest(1,least(5,i_x1-i_x0)) f_x FROM prs) SELECT f.t,i,j,f_z,f_y,f_x,CAST(floor((a.z-i_z0)/f_z) AS INT) z,CAST(floor((a.y-i_y0)/f_y) AS INT) y,CAST(floor((a.x-i_x0)/f_x) AS INT) x,sum(a.v)/CAST(any_value(f_z*f_y*f_x) AS DOUBLE) a,sum(b.v)/CAST(any_value(f_z*f_y*f_x) AS DOUBLE) b FROM f JOIN r1 a ON a.t=f.t AND a.p=i AND a.z>=i_z0 AND a.z<i_z1 AND a.y>=i_y0 AND a.y<i_y1 AND a.x>=i_x0 AND a.x<i_x1 JOIN r1 b ON b.t=f.t AND b.p=j AND b.z-j_z0=a.z-i_z0 AND b.y-j_y0=a.y-i_y0 AND b.x-j_x0=a.x-i_x0 GROUP BY 1,2,3,4,5,6,7,8,9",
@@ -197,13 +207,13 @@ SQL: dict[str, str] = {
     "deskew_sparse": f"WITH {R2}, {_deskew('r2', 7, 50, 24, 68)} SELECT * FROM dsk WHERE v <> 0",
     "deskew_reversed": f"WITH {R1}, {_deskew('r1')} SELECT t,p,c,5-z z,y,x,v FROM dsk",
     "fuse_2d_mean": f"WITH {R1}, {R4}, mz AS (SELECT t,p,c,y,x,max(v) v FROM r1 GROUP BY ALL), lo AS (SELECT min(stage_y) ly, min(stage_x) lx FROM r4), pl AS (SELECT mz.t,mz.c, mz.y + CAST(floor((r4.stage_y-ly)/{PX}) AS INT) y, mz.x + CAST(floor((r4.stage_x-lx)/{PX}) AS INT) x, v, {_cosine('mz.y', 25)}*{_cosine('mz.x', 64)} w FROM mz JOIN r4 USING (t,p), lo) SELECT t,c,y,x, CASE WHEN sum(w)>0 THEN CAST(floor(sum(v*w)/sum(w)+{D('1e-9')}) AS INT) ELSE 0 END v FROM pl GROUP BY t,c,y,x",
-    "multiscale_read": f"SELECT CAST(level AS INT) \"level\", 'scale'||level||'/image' path, axis, round(base*CASE WHEN base=1 THEN 1 ELSE f END,9) \"scale\", round(o+(f-1)*base/2*h,9) \"shift\" FROM (VALUES (0,1),(1,2),(2,4),(3,8)) l(level,f), (VALUES ('t',{D(1.0)},{D(0.0)},0),('c',{D(1.0)},{D(0.0)},0),('z',{D(0.4)},{D(1.0)},1),('y',{PX},{D(3.0)},1),('x',{PX},{D(-2.0)},1)) a(axis,base,o,h)",
-    "multiscale_read_v04": f"SELECT CAST(level AS INT) \"level\", CAST(level AS VARCHAR) path, axis, round(base*CASE WHEN h=0 THEN 1 ELSE pow(2,level) END,9) \"scale\", round(o+(pow(2,level)-1)*base/2*h,9) \"shift\" FROM range(4) l(level), (VALUES ('t',{D(1.0)},{D(0.0)},0),('c',{D(1.0)},{D(0.0)},0),('y',{PX},{D(3.0)},1),('x',{PX},{D(-2.0)},1)) a(axis,base,o,h)",
-    "asi_geometry": f"SELECT CAST(a AS INT) angle, round({D(90.0)}-a,9) tilt, round({D(1.5)}/tan(radians(a)),9) step FROM range(20,70) r(a)",
-    "optical_resolution": f"SELECT CAST(n*10+400 AS INT) nm, round((n*10+400)*({D('1.6163399561827614')}/pi()/{D(1.35)}),9) xy, round((n*10+400)*({D(2.355)}*sqrt({D(6.0)})/pi()*{D(1.4)}/{D(1.35)}/{D(1.35)}),9) z FROM range(30) r(n)",
-    "skewed_roi": f"SELECT CAST(n AS INT) n, CAST(p0+(p0%2=0)::INT AS INT) planes, CAST(r+(r%2=0)::INT AS INT) n_rows, CAST(c+(c%2=0)::INT AS INT) n_columns FROM (SELECT n, r, c, CAST(floor(ceil((r+1)*{D(0.5)}*{PX}*cos(radians(30))+n*{D(0.53)}+{D(1.03)})/{D(0.4)}) AS INT) p0 FROM (SELECT n, CAST(ceil((n*{D(0.37)}+{D(1.01)})/{PX}/sin(radians(30))) AS INT) r, CAST(ceil((n*{D(0.29)}+{D(2.07)})/{PX}) AS INT) c FROM range(40) g(n)))",
-    "tile_index_split": "SELECT CAST(i AS INT) idx, CAST(i//4 AS INT) t, CAST(i%4 AS INT) p FROM range(24) r(i)",
-    "edges_json_roundtrip": f"SELECT * FROM {_e(EDGES)}",
+    "multiscale_read": f"WITH {R4} SELECT p, CAST(level AS INT) \"level\", 'scale'||level||'/image' path, axis, round(base*CASE WHEN base=1 THEN 1 ELSE f END,9) \"scale\", round(o+(f-1)*base/2*h+CASE axis WHEN 'y' THEN stage_y WHEN 'x' THEN stage_x ELSE 0 END,9) \"shift\" FROM r4, (VALUES (0,1),(1,2),(2,4),(3,8)) l(level,f), (VALUES ('t',{D(1.0)},{D(0.0)},0),('c',{D(1.0)},{D(0.0)},0),('z',{D(0.4)},{D(1.0)},1),('y',{PX},{D(3.0)},1),('x',{PX},{D(-2.0)},1)) a(axis,base,o,h)",
+    "multiscale_read_v04": f"WITH {R4} SELECT p, CAST(level AS INT) \"level\", CAST(level AS VARCHAR) path, axis, round(base*CASE WHEN h=0 THEN 1 ELSE pow(2,level) END,9) \"scale\", round(o+(pow(2,level)-1)*base/2*h+CASE axis WHEN 'y' THEN stage_y WHEN 'x' THEN stage_x ELSE 0 END,9) \"shift\" FROM r4, range(4) l(level), (VALUES ('t',{D(1.0)},{D(0.0)},0),('c',{D(1.0)},{D(0.0)},0),('y',{PX},{D(3.0)},1),('x',{PX},{D(-2.0)},1)) a(axis,base,o,h)",
+    "asi_geometry": f"SELECT n+20 angle, round({D(90.0)}-(n+20),9) tilt, round({D(1.5)}/tan(radians(n+20)),9) step FROM {SIZES}",
+    "optical_resolution": f"SELECT n*10+400 nm, round((n*10+400)*({D('1.6163399561827614')}/pi()/{D(1.35)}),9) xy, round((n*10+400)*({D(2.355)}*sqrt({D(6.0)})/pi()*{D(1.4)}/{D(1.35)}/{D(1.35)}),9) z FROM {SIZES}",
+    "skewed_roi": f"SELECT CAST(n AS INT) n, CAST(p0+(p0%2=0)::INT AS INT) planes, CAST(r+(r%2=0)::INT AS INT) n_rows, CAST(c+(c%2=0)::INT AS INT) n_columns FROM (SELECT n, r, c, CAST(floor(ceil((r+1)*{D(0.5)}*{PX}*cos(radians(30))+n*{D(0.53)}+{D(1.03)})/{D(0.4)}) AS INT) p0 FROM (SELECT n, CAST(ceil((n*{D(0.37)}+{D(1.01)})/{PX}/sin(radians(30))) AS INT) r, CAST(ceil((n*{D(0.29)}+{D(2.07)})/{PX}) AS INT) c FROM {SIZES}))",
+    "tile_index_split": f"WITH {R4} SELECT p idx, CAST(p//4 AS INT) t, CAST(p%4 AS INT) p FROM r4",
+    "edges_json_roundtrip": f"WITH {R4}, {PAIRS}, {OFFSETS}, {EDGES} SELECT * FROM e",
     "per_index_metadata": f"WITH {R4} SELECT t,p,0 c,round(stage_z,6) stage_z,round(stage_y,6) stage_y,round(stage_x,6) stage_x,'488nm' channel FROM r4",
     "chunk_roundtrip": f"WITH {R1} SELECT * FROM r1",
     "rasterise_lineitem": f"WITH {R2} SELECT * FROM r2",

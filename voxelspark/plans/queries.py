@@ -24,16 +24,47 @@ from ..sources import zarr
 Q = Callable[[SparkSession, str], DataFrame]
 GEOMETRY = S.Geometry(*A.SHAPE)
 SIZES = dict(zip("zyx", A.SHAPE))
-#: Edges (t, i, j, dz, dy, dx, score) of a small graph with one bad link, and offsets that fit the others.
-EDGES = "(VALUES (0, 0, 1, 1, 2, 3, 0.9D), (0, 1, 2, 0, 1, 0, 0.8D), (0, 0, 2, 1, 3, 3, 0.95D), (0, 2, 3, 2, -1, 4, 0.75D), (0, 1, 3, 30, 0, 4, 0.85D), (0, 0, 3, 3, 2, 7, 0.6D)) AS e(t, i, j, dz, dy, dx, score)"
-OFFSETS = "(VALUES (0, 0, 0.0D, 0.0D, 0.0D), (0, 1, 1.0D, 2.0D, 3.0D), (0, 2, 1.0D, 3.0D, 3.5D), (0, 3, 3.0D, 2.0D, 7.0D)) AS o(t, p, dz, dy, dx)"
 BLEND = (2, 4, 8)
 #: Sizes of the sparse raster.
 SPARSE = {"z": 7, "y": 50, "x": 64}
 
 
-def _edges(spark: SparkSession) -> DataFrame:
-    return spark.sql(f"SELECT * FROM {EDGES}")
+def _offsets(spark: SparkSession, d: str) -> DataFrame:
+    """Offsets (t, p, dz, dy, dx) of every tile, from its vectors' numbers and labels."""
+    e = A.read(spark, d, "embeddings").groupBy(F.floor(F.col("vec_id") / 125).cast("int").alias("p")).agg(F.sum("label").alias("s"), F.max("label").alias("m"))
+    return e.select(F.lit(0).alias("t"), "p", (F.col("s") % 7 / 2.0).alias("dz"), (F.col("s") % 11 - F.col("m")).cast("double").alias("dy"), (F.col("p") % 5 * 1.5).alias("dx"))
+
+
+def _edges(spark: SparkSession, d: str, planted: bool = False) -> DataFrame:
+    """An edge (t, i, j, dz, dy, dx, score) for each pair of tiles that overlap: the difference of their offsets, rounded, which
+    every seventh edge departs from by 30 planes, and a score below 0.7 for every fifth. ``planted``: the exact differences."""
+    o = _offsets(spark, d)
+    a, b = (o.select("t", F.col("p").alias(n), *[F.col(f"d{x}").alias(f"{n}_{x}") for x in "zyx"]) for n in "ij")
+    both = _pairs(spark, d).select("t", "i", "j").join(a, ["t", "i"]).join(b, ["t", "j"])
+    gap = {x: F.col(f"j_{x}") - F.col(f"i_{x}") for x in "zyx"}
+    score = F.when((F.col("i") + F.col("j")) % 5 == 0, 0.6).otherwise(0.7 + F.col("i") % 4 * 0.0625)
+    if planted:
+        return both.select("t", "i", "j", *[gap[x].alias(f"d{x}") for x in "zyx"], score.alias("score"))
+    bad = F.when((F.col("i") * 3 + F.col("j")) % 7 == 5, 30).otherwise(0)
+    return both.select("t", "i", "j", *[(F.bround(gap[x]) + (bad if x == "z" else 0)).cast("int").alias(f"d{x}") for x in "zyx"], score.alias("score"))
+
+
+def _sizes(spark: SparkSession, d: str, name: str) -> DataFrame:
+    """The distinct sizes of parts."""
+    return A.read(spark, d, "part").select(F.col("p_size").alias(name)).distinct()
+
+
+def _whole(spark: SparkSession, d: str, name: str) -> DataFrame:
+    """The distinct whole parts of events' values."""
+    return A.read(spark, d, "events").select(F.floor("value").cast("int").alias(name)).distinct()
+
+
+def _names(spark: SparkSession, d: str, *kinds: str) -> DataFrame:
+    """(event_id, name): a name of one of ``kinds`` for each event, by its number; {v} is the whole part of its value."""
+    name = F.lit(None)
+    for k, text in enumerate(kinds):
+        name = F.when(F.col("event_id") % len(kinds) == k, F.replace(F.lit(text), F.lit("{v}"), (F.floor("value") + 300).cast("string"))).otherwise(name)
+    return A.read(spark, d, "events").select("event_id", name.alias("name"))
 
 
 def _tile_pairs(spark: SparkSession, d: str) -> DataFrame:
@@ -55,36 +86,56 @@ def flagship(spark: SparkSession, d: str) -> DataFrame:
     return U.fuse_2d(rows, A.tiles(spark, d), A.PIXEL, GEOMETRY.out[1], A.SHAPE[2])
 
 
-def _range(spark: SparkSession, n: int, name: str = "i") -> DataFrame:
-    return spark.range(n).select(F.col("id").cast("int").alias(name))
-
+def _levels(spark: SparkSession, d: str) -> DataFrame:
+    """The pyramid of every tile, whose voxels differ in size by its number."""
+    base = F.lit(A.PIXEL) * (1 + F.col("p") % 3)
+    rows = M.pyramid_transforms({"y": base, "x": base}, {"y": F.col("stage_y"), "x": F.col("stage_x")}, [2, 4, 8])
+    each = F.array(*[F.struct(*[(v if not isinstance(v, int) else F.lit(v)).alias(k) for k, v in r.items()]) for r in rows])
+    return A.tiles(spark, d).select("p", F.explode(each).alias("r")).select("p", "r.level", *[F.round(f"r.{k}_{a}", 9).alias(f"{k}_{a}") for k in ("scale", "shift") for a in "yx"])
 
-def _levels(spark: SparkSession) -> DataFrame:
-    rows = M.pyramid_transforms({"y": A.PIXEL, "x": A.PIXEL}, {"y": 0.0, "x": 0.0}, [2, 4, 8])
-    return spark.createDataFrame([tuple(r.values()) for r in rows], "level int, scale_y double, scale_x double, shift_y double, shift_x double")
 
-
-def _multiscale(spark: SparkSession, legacy: bool) -> DataFrame:
-    """Group documents, written and read back."""
+def _multiscale(spark: SparkSession, d: str, legacy: bool) -> DataFrame:
+    """Group documents, one for each tile, written and read back; a tile's place is a transform of its own after those of the
+    levels."""
     if legacy:
         axes = [{"name": a} for a in "tcyx"]
         doc = M.multiscale_json_v04(axes, A.PIXEL, (3.0, -2.0), [], 4)
+        scales, place = doc["multiscales"], [0.0, 0.0, "@y", "@x"]
     else:
         doc = M.multiscale_json("r", list("tczyx"), {"z": A.STEP, "y": A.PIXEL, "x": A.PIXEL}, {"z": 1.0, "y": 3.0, "x": -2.0}, [2, 4, 8], ["488nm"])
-    found = M.multiscale_levels(spark.createDataFrame([(json.dumps(doc),)], "json string"))
-    return found.select("level", "path", "axis", *[F.round(c, 9).alias(c) for c in ("scale", "shift")])
-
-
-def _profile(spark: SparkSession, values: list[float]) -> DataFrame:
-    n = len(values)
-    return _range(spark, n).select("i", F.round(F.element_at(F.array(*[F.lit(float(v)) for v in values]), F.col("i") + 1), 9).alias("w"))
+        scales, place = doc["attributes"]["ome"]["multiscales"], [0.0, 0.0, 0.0, "@y", "@x"]
+    for level in scales[0]["datasets"]:
+        level["coordinateTransformations"].append({"type": "translation", "translation": place})
+    text = F.lit(json.dumps(doc))
+    for a in "yx":
+        text = F.replace(text, F.lit(f'"@{a}"'), F.col(f"stage_{a}").cast("string"))
+    found = M.multiscale_levels(A.tiles(spark, d).select("p", text.alias("json")), keep=["p"])
+    return found.select("p", "level", "path", "axis", *[F.round(c, 9).alias(c) for c in ("scale", "shift")])
+
+
+def _profile(spark: SparkSession, d: str, values: dict[str, list[float]]) -> DataFrame:
+    """A weight for each place of the stack's axes."""
+    out = None
+    for axis, weights in values.items():
+        own = A.stack(spark, d).select(F.col(axis).cast("int").alias("i")).distinct()
+        own = own.select(F.lit(axis).alias("axis"), "i", F.round(F.element_at(F.array(*[F.lit(float(v)) for v in weights]), F.col("i") + 1), 9).alias("w"))
+        out = own if out is None else out.unionByName(own)
+    return out
 
 
 def _chunk_cover(spark: SparkSession, d: str) -> DataFrame:
-    n = _range(spark, 40, "n").where("n > 0").withColumn("k", F.explode(F.array(F.lit(3), F.lit(5))))
+    n = _whole(spark, d, "n").where("n > 0").withColumn("k", F.explode(F.array(F.lit(3), F.lit(5))))
     return n.select("n", "k", F.explode(P.chunk_cover(F.col("n"), F.col("k"))).alias("s")).select("n", "k", "s.start", "s.stop")
 
 
+def _deskew_shape(spark: SparkSession, d: str) -> DataFrame:
+    """The shapes of stacks of as many planes as parts have sizes, and of as many rows as tiles have vectors, by their number."""
+    n = _sizes(spark, d, "n").crossJoin(F.broadcast(A.tiles(spark, d).select((F.col("p") * 8 + 25).alias("h"))))
+    sizes = S.deskewed_shape(F.col("n"), F.col("h"), F.lit(64))
+    crop = S.deskewed_shape(F.col("n"), F.col("h"), F.lit(64), crop=True)["crop"]
+    return n.select("n", "h", *[sizes[k].alias(k) for k in ("nz", "ny", "nx", "pad")], crop.alias("crop"))
+
+
 def _noise(spark: SparkSession) -> DataFrame:
     h, w = A.SHAPE[1:]
     return spark.range(h * w).select(F.floor(F.col("id") / w).cast("int").alias("y"), (F.col("id") % w).cast("int").alias("x")).withColumn("noise", ((F.col("y") * 31 + F.col("x") * 17) % 20 * 20).cast("double"))
@@ -120,6 +171,11 @@ def _registered(spark: SparkSession, d: str) -> DataFrame:
     return G.register_pairs(arrays.patches(arrays.of_voxels(A.stack(spark, d)), pairs, (1, 1, 2)))
 
 
+def _solved(spark: SparkSession, d: str) -> DataFrame:
+    found = G.solve_offsets(G.gate_edges(_edges(spark, d, planted=True), 0.0), A.tiles(spark, d))
+    return found.select("t", "p", *[F.round(F.col(f"d{a}") + 0.0, 6).alias(f"d{a}") for a in "zyx"])
+
+
 def _positions(spark: SparkSession, d: str) -> int:
     return A.tiles(spark, d).agg(F.max("p").alias("n")).first()["n"] + 1
 
@@ -163,13 +219,9 @@ def _kernel_chunks(spark: SparkSession, d: str) -> DataFrame:
     return zarr.voxels(zarr.chunk_table(s, (1, 1, 1, 2, 16, 32)), "tpczyx", (1, n, 1, *A.SHAPE))
 
 
-def _vals(text: str) -> Callable[[SparkSession], DataFrame]:
-    return lambda spark: spark.sql(f"SELECT * FROM (VALUES {text}) AS v(name)")
-
-
-LASERS = "('405nm'), ('488 nm'), ('561nm mm'), ('none'), ('')"
-PORTS = "('1 - Dynamic Range'), ('2 - Speed'), ('3 - Sensitivity'), ('4 - Sub-Electron'), ('none')"
-FILTERS = "('525/50 em'), ('700.5 em'), ('none'), ('405 ex 450/40 em'), ('')"
+LASERS = ("{v}nm", "{v} nm", "{v}nm mm", "none", "")
+PORTS = ("{v} - Dynamic Range", "{v} - Speed", "{v} - Sensitivity", "{v} - Sub-Electron", "none {v}")
+FILTERS = ("{v}/50 em", "{v}.5 em", "none", "405 ex {v}/40 em", "")
 
 QUERIES: dict[str, Q] = {
     "camera_correct": _corrected,
@@ -180,20 +232,20 @@ QUERIES: dict[str, Q] = {
     "scan_crop": lambda s, d: P.crop(A.stack(s, d), "z", 1, 4),
     "y_crop": lambda s, d: P.crop(A.stack(s, d), "y", 3, 22),
     "fov_crop": lambda s, d: P.between(A.stack(s, d), x=(8, 40), p=(0, 3)),
-    "pad_shape": lambda s, d: _range(s, 64, "n").select("n", P.pad_to_multiple(F.col("n")).cast("int").alias("pad")),
+    "pad_shape": lambda s, d: _whole(s, d, "n").select("n", P.pad_to_multiple(F.col("n")).cast("int").alias("pad")),
     "axis_normalise": lambda s, d: P.normalise_axes(A.stack(s, d).select(F.floor(F.col("x") / 32).cast("int").alias("c"), F.col("p").alias("t"), "z", "y", (F.col("x") % 32).cast("int").alias("x"), "v"), "tzcyx"),
     "time_slice": lambda s, d: P.between(A.timelapse(s, d), t=(5, 12)),
     "pos_slice": lambda s, d: P.between(A.stack(s, d), p=(1, 3)),
     "region_read": lambda s, d: P.between(A.stack(s, d), z=(1, 3), y=(3, 9), x=(10, 20)),
-    "port_gain_lookup": lambda s, d: _vals(PORTS)(s).select("name", M.port_gain(F.col("name")).alias("gain")),
-    "emission_parse": lambda s, d: _vals(FILTERS)(s).select("name", M.emission_um(F.col("name")).alias("em")).where("em is not null"),
+    "port_gain_lookup": lambda s, d: _names(s, d, *PORTS).select("event_id", "name", M.port_gain(F.col("name")).alias("gain")),
+    "emission_parse": lambda s, d: _names(s, d, *FILTERS).select("event_id", "name", M.emission_um(F.col("name")).alias("em")).where("em is not null"),
     "json_key_lookup": lambda s, d: A.read(s, d, "events").select("event_id", M.json_find(F.col("props"), "k").cast("long").alias("k")),
     "read_tile": lambda s, d: P.read_tile(A.stack(s, d), 2, 4, z=(1, 3), y=(3, 9), x=(10, 20)),
     "skip_missing": lambda s, d: M.with_positions(_frames(s, d), A.tiles(s, d).where("p % 3 <> 1")),
     "first_frames": lambda s, d: M.first_time_positions(A.read(s, d, "events").select((F.col("event_id") % 3).cast("int").alias("t"), F.col("user_id").alias("p"), "event_id", F.when(F.col("event_id") % 7 != 0, F.col("value")).alias("stage_x")), ["stage_x"]),
-    "wavelengths": lambda s, d: _vals(LASERS)(s).select("name", M.wavelength_um(F.col("name")).alias("um")),
+    "wavelengths": lambda s, d: _names(s, d, *LASERS).select("event_id", "name", M.wavelength_um(F.col("name")).alias("um")),
     "fused_placement": lambda s, d: M.fused_placement(A.tiles(s, d), A.PIXEL, SIZES),
-    "channel_order": lambda s, d: M.ordered_distinct(A.read(s, d, "events"), "event_type", "event_id").select("place", F.col("event_type").alias("channel")).where("place < 3"),
+    "channel_order": lambda s, d: M.ordered_distinct(A.read(s, d, "events"), "event_type", "event_id").select("place", F.col("event_type").alias("channel")),
     "batch_means": lambda s, d: D.batch_means(A.histogram(s, d), A.OFFSET, A.GAIN, 7, batches=1).withColumn("v", F.round("v", 6)),
     "reduced_patches": lambda s, d: G.reduced_patches(A.stack(s, d), _pairs(s, d), (3, 5, 5)),
     "box_filter_sparse": lambda s, d: N.box_filter(A.histogram(s, d), 1, SPARSE).withColumn("v", F.round("v", 6)).where("v <> 0"),
@@ -209,27 +261,27 @@ QUERIES: dict[str, Q] = {
     "block_reduce": lambda s, d: R.block_reduce(A.stack(s, d), {"z": 3, "y": 5, "x": 5}),
     "pyramid_stride": lambda s, d: R.pyramid(A.stack(s, d), [2, 4, 8]),
     "pyramid_block_mean": lambda s, d: R.pyramid(A.stack(s, d), [2, 4, 8], mode="block_mean"),
-    "pyramid_transforms": lambda s, d: _levels(s),
+    "pyramid_transforms": _levels,
     "stage_positions": lambda s, d: M.first_positions(A.read(s, d, "events"), "user_id", "event_id", ["value", "event_type"]),
     "channels_ordered": lambda s, d: M.ordered_distinct(A.read(s, d, "events"), "event_type", "event_id"),
     "tile_grid_overlap": _grid_overlap,
-    "deskew_shape": lambda s, d: s.createDataFrame([(n, h, *S.Geometry(n, h, 64).shape()[:4], S.Geometry(n, h, 64).shape(True)[4]) for n, h in ((5, 25), (40, 25), (100, 64))], "n int, h int, nz int, ny int, nx int, pad int, crop int"),
+    "deskew_shape": _deskew_shape,
     "deskew": lambda s, d: S.deskew(A.stack(s, d), GEOMETRY),
     "deskew_max_z": lambda s, d: S.voxels_of(S.max_lines(S.deskew_lines(S.lines(A.stack(s, d), GEOMETRY.columns), GEOMETRY))),
     "fused_extent_2d": lambda s, d: U.extent(A.tiles(s, d), A.PIXEL, {"y": 25, "x": 64}, {"y": 8, "x": 8}, up=False),
-    "blend_mask_2d": lambda s, d: _profile(s, U.cosine_mask(64)),
+    "blend_mask_2d": lambda s, d: _profile(s, d, {"y": U.cosine_mask(25), "x": U.cosine_mask(64)}),
     "fuse_2d": flagship,
-    "feather_profile": lambda s, d: _profile(s, U.feather_profile(25, 4)),
+    "feather_profile": lambda s, d: _profile(s, d, {a: U.feather_profile(n, b) for a, n, b in zip("zyx", A.SHAPE, BLEND)}),
     "fused_extent_3d": lambda s, d: U.extent(A.tiles(s, d), A.PIXEL, SIZES, SIZES, up=True),
     "shard_overlap": lambda s, d: U.shard_overlap(A.tiles(s, d).withColumn("stage_z", F.col("p") * 3 * A.PIXEL), A.PIXEL, 5, 4),
     "fuse_3d": lambda s, d: U.fuse_3d(A.stack(s, d), A.tiles(s, d), A.PIXEL, A.SHAPE, BLEND),
     "overlap_pairs": lambda s, d: G.overlap_pairs(A.tiles(s, d), A.PIXEL, SIZES),
     "overlap_patches": lambda s, d: G.overlap_patches(A.stack(s, d), G.overlap_pairs(A.tiles(s, d), A.PIXEL, SIZES)),
-    "edge_gates": lambda s, d: G.gate_edges(_edges(s)),
-    "edge_residuals": lambda s, d: G.residuals(_edges(s), s.sql(f"SELECT * FROM {OFFSETS}")).withColumn("residual", F.round("residual", 9)),
-    "outlier_gate": lambda s, d: G.outliers(G.residuals(_edges(s), s.sql(f"SELECT * FROM {OFFSETS}"))).withColumn("residual", F.round("residual", 9)),
-    "solve_offsets": lambda s, d: G.solve_offsets(G.gate_edges(_edges(s)), A.tiles(s, d).where("p < 4")),
-    "apply_offsets": lambda s, d: G.apply_offsets(A.tiles(s, d), s.sql(f"SELECT * FROM {OFFSETS}"), (A.STEP, A.PIXEL, A.PIXEL)).select("t", "p", *[F.round(f"stage_{a}", 9).alias(f"stage_{a}") for a in "zyx"]),
+    "edge_gates": lambda s, d: G.gate_edges(_edges(s, d)),
+    "edge_residuals": lambda s, d: G.residuals(_edges(s, d), _offsets(s, d)).withColumn("residual", F.round("residual", 9)),
+    "outlier_gate": lambda s, d: G.outliers(G.residuals(_edges(s, d), _offsets(s, d))).withColumn("residual", F.round("residual", 9)),
+    "solve_offsets": _solved,
+    "apply_offsets": lambda s, d: G.apply_offsets(A.tiles(s, d), _offsets(s, d), (A.STEP, A.PIXEL, A.PIXEL)).select("t", "p", *[F.round(f"stage_{a}", 9).alias(f"stage_{a}") for a in "zyx"]),
     "hot_pixels": lambda s, d: N.replace_hot_pixels(A.stack(s, d), _noise(s), *A.SHAPE[1:], threshold=375.0),
     "rolling_ball_r2": lambda s, d: N.rolling_ball(A.stack(s, d), 2, *A.SHAPE[1:]).withColumn("v", F.round("v", 6)),
     "subtract_background": lambda s, d: P.subtract_background(A.stack(s, d), N.rolling_ball(A.stack(s, d), 2, *A.SHAPE[1:]).withColumn("v", F.floor("v"))),
@@ -238,22 +290,22 @@ QUERIES: dict[str, Q] = {
     "shift_linear": lambda s, d: N.shift_linear(A.stack(s, d), 1.25, -2.5, *A.SHAPE[1:]),
     "kl_divergence": lambda s, d: R.kl_divergence(_tile_pairs(s, d), "a", "b", keys=("t", "p", "c")).withColumn("kl", F.round("kl", 9)),
     "consensus_update": _consensus,
-    "reflect_index": lambda s, d: _range(s, 41).select((F.col("i") - 20).alias("i")).select("i", P.reflect_index(F.col("i"), 9).cast("int").alias("at")),
-    "fft_size": lambda s, d: s.createDataFrame([(n, D.smooth_size(n)) for n in range(1, 200)], "n int, size int"),
+    "reflect_index": lambda s, d: _whole(s, d, "i").select((F.col("i") - 20).alias("i")).select("i", P.reflect_index(F.col("i"), 9).cast("int").alias("at")),
+    "fft_size": lambda s, d: _whole(s, d, "n").where("n > 0").select("n", D.smooth_sizes(F.col("n"), 512).alias("size")),
     "chunk_cover": _chunk_cover,
-    "slab_feather": lambda s, d: _profile(s, U.slab_feather(40, 8)),
-    "index_to_physical": lambda s, d: _range(s, 64).select("i", M.index_to_physical(F.col("i"), [("scale", 0.23), ("translation", 5.75)]).alias("um")),
+    "slab_feather": lambda s, d: _profile(s, d, {"x": U.slab_feather(64, 8), "y": U.slab_feather(25, 32)}),
+    "index_to_physical": lambda s, d: _whole(s, d, "i").select("i", M.index_to_physical(F.col("i"), [("scale", 0.23), ("translation", 5.75)]).alias("um")),
     "layer_placement": lambda s, d: M.layer_placement(A.tiles(s, d), A.PIXEL),
     "export_names": lambda s, d: A.tiles(s, d).select("p", M.export_name(F.col("p"), F.lit(0), F.lit("488nm"), "0000000000msec", (F.col("p") % 2).cast("int"), F.floor(F.col("p") / 2).cast("int"), F.lit(0), F.col("t")).alias("name")),
     "skewed_coords": lambda s, d: A.stack(s, d).select("t", "p", "c", "z", "y", "x", *[F.round(M.skewed_coords(F.col("z"), F.col("y"), GEOMETRY.theta, A.PIXEL, A.STEP, k), 9).alias(k) for k in ("lateral", "axial")]),
     "lab2cam": lambda s, d: A.stack(s, d).select("t", "p", "c", "z", "y", "x", *[F.round(e, 9).alias(n) for n, e in zip(("xp", "yp", "stage"), S.lab_to_camera(F.col("x").cast("double"), F.col("y"), F.col("z"), A.TILT))]),
-    "multiscale_read": lambda s, d: _multiscale(s, False),
-    "multiscale_read_v04": lambda s, d: _multiscale(s, True),
-    "asi_geometry": lambda s, d: _range(s, 50, "angle").select((F.col("angle") + 20).alias("angle")).select("angle", *[F.round(v, 9).alias(n) for n, v in zip(("tilt", "step"), M.scan_geometry(F.col("angle"), F.lit(1.5)))]),
-    "optical_resolution": lambda s, d: _range(s, 30, "n").select((F.col("n") * 10 + 400).alias("nm")).select("nm", *[F.round(F.col("nm") * F.lit(r), 9).alias(n) for n, r in zip(("xy", "z"), D.resolution(1.0, 1.35, 1.4))]),
-    "skewed_roi": lambda s, d: _range(s, 40, "n").select("n", *[v.alias(n) for n, v in zip(("planes", "n_rows", "n_columns"), M.skewed_size(F.col("n") * 0.37 + 1.01, F.col("n") * 0.53 + 1.03, F.col("n") * 0.29 + 2.07, math.radians(30), A.PIXEL, A.STEP))]),
-    "tile_index_split": lambda s, d: _range(s, 24, "idx").select("idx", *[c.alias(n) for n, c in zip("tp", P.split_index(F.col("idx"), 4))]),
-    "edges_json_roundtrip": lambda s, d: M.edges_from_json(M.edges_to_json(_edges(s))),
+    "multiscale_read": lambda s, d: _multiscale(s, d, False),
+    "multiscale_read_v04": lambda s, d: _multiscale(s, d, True),
+    "asi_geometry": lambda s, d: _sizes(s, d, "angle").select((F.col("angle") + 20).alias("angle")).select("angle", *[F.round(v, 9).alias(n) for n, v in zip(("tilt", "step"), M.scan_geometry(F.col("angle"), F.lit(1.5)))]),
+    "optical_resolution": lambda s, d: _sizes(s, d, "n").select((F.col("n") * 10 + 400).alias("nm")).select("nm", *[F.round(F.col("nm") * F.lit(r), 9).alias(n) for n, r in zip(("xy", "z"), D.resolution(1.0, 1.35, 1.4))]),
+    "skewed_roi": lambda s, d: _sizes(s, d, "n").select("n", *[v.alias(n) for n, v in zip(("planes", "n_rows", "n_columns"), M.skewed_size(F.col("n") * 0.37 + 1.01, F.col("n") * 0.53 + 1.03, F.col("n") * 0.29 + 2.07, math.radians(30), A.PIXEL, A.STEP))]),
+    "tile_index_split": lambda s, d: A.tiles(s, d).select(F.col("p").alias("idx")).select("idx", *[c.alias(n) for n, c in zip("tp", P.split_index(F.col("idx"), 4))]),
+    "edges_json_roundtrip": lambda s, d: M.edges_from_json(M.edges_to_json(_edges(s, d))),
     "per_index_metadata": _per_index,
     "hist_match": _matched,
     "phase_corr": _shifts,
