@@ -9,8 +9,9 @@ sets before it links:
   a key with probability 1 - (1 - J^4)^20: 0.99997 at 0.8, more above.
 
 A cell of K nodes is not compared K times K: in each round the nodes of a cell are put in another order and each meets the
-``LAGS`` before it, and nodes that verified links join already meet no more. When few pairs of different components are
-left, or after ``ROUNDS`` rounds, all pairs that are left are verified.
+``LAGS`` before it, and nodes that verified links join already meet no more. What is left after ``ROUNDS`` rounds, or sooner
+where that is little, is compared inside the cells by sizes and bitmaps: rows of a cell lie side by side in a task, and only
+pairs that may reach 0.8 leave it, to be verified. A cell of more than ``BLOCK`` nodes is dealt out as pairs of blocks.
 """
 
 from __future__ import annotations
@@ -36,8 +37,10 @@ MAP = 8
 ROUNDS, LAGS = 3, 4
 #: Sets up to which their bitmaps, some 100 bytes each, are sent to all tasks.
 FEW_SETS = 200_000
-#: All pairs that are left are verified once there are this many or fewer for each row of the cells.
+#: The cells are gone through once there are this many pairs of nodes or fewer for each row of them.
 PAIRS_A_ROW = 4
+#: Nodes of a cell that are compared in one task.
+BLOCK = 1 << 10
 _RNG = np.random.default_rng(SEED)
 _FLIPS = _RNG.integers(0, 2**64, BANDS * DEEP, dtype=np.uint64)
 _FACTORS = _RNG.integers(0, 2**63, BANDS * DEEP, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -145,6 +148,45 @@ def _pair(a: str, b: str) -> tuple:
     return F.least(a, b).alias("a"), F.greatest(a, b).alias("b")
 
 
+def likely_pairs(met: DataFrame, sizes: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b) of nodes of one cell of met(token, node, n, part), with different parts, that may be as similar as 0.8 by their sizes
+    and bitmaps. sizes(token, s) has the cells' sizes."""
+    maps = [f"m{i}" for i in range(MAP)]
+    held = met.join(sizes.select("token", "s"), "token").join(sets.select("node", *maps), "node")
+    own = F.pmod(F.xxhash64("node"), F.ceil(F.col("s") / BLOCK)).cast("int")
+    dealt = held.select("token", "node", "part", "n", *maps, own.alias("own"), F.explode(F.sequence(F.lit(0), (F.ceil(F.col("s") / BLOCK) - 1).cast("int"))).alias("other"))
+    cell = F.xxhash64("token", F.least("own", "other"), F.greatest("own", "other"))
+    rows = dealt.select(cell.alias("cell"), (F.col("own") == F.col("other")).alias("same"), "own", "node", "part", "n", *maps)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = [b for b in batches if b.num_rows]
+        if not got:
+            return
+        whole = pa.Table.from_batches(got).combine_chunks()
+        cell, own, n = (whole.column(c).to_numpy() for c in ("cell", "own", "n"))
+        same = whole.column("same").to_numpy(zero_copy_only=False)
+        node, part = (text_bytes(whole.column(c).combine_chunks())[0].reshape(-1, 16).copy().view(np.uint64) for c in ("node", "part"))
+        bits = np.stack([whole.column(m).to_numpy().view(np.uint64) for m in maps], axis=1)
+        ends = np.append(group_starts(cell)[1:], len(cell))
+        left = np.repeat(ends, np.diff(np.concatenate([[0], ends]))) - np.arange(len(cell))  # rows of the cell from here on
+        at = np.flatnonzero(left > 1)
+        lag = 1
+        while len(at):
+            for own_ in np.array_split(at, -(-len(at) // (1 << 16))):
+                to = own_ + lag
+                ok = (same[own_] | (own[own_] != own[to])) & (part[own_] != part[to]).any(1) & (5 * np.minimum(n[own_], n[to]) >= 4 * np.maximum(n[own_], n[to]))
+                a, b = own_[ok], to[ok]
+                apart = np.bitwise_count(bits[a] ^ bits[b]).sum(1, dtype=np.int64)
+                ok = 9 * apart <= n[a].astype(np.int64) + n[b]
+                if ok.any():
+                    yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in node[k[ok]]], pa.binary()) for k in (a, b)], ["a", "b"])
+            lag += 1
+            at = at[left[at] > lag]
+
+    found = rows.repartition("cell").sortWithinPartitions("cell").mapInArrow(run, "a binary, b binary")
+    return found.select(*_pair("a", "b"))
+
+
 def _links(links: DataFrame, cells: DataFrame, sets: DataFrame) -> DataFrame:
     """With the links that are known, links that join all nodes of every component of the graph of similar sets."""
     close = "5 * least(n, m) >= 4 * greatest(n, m)"
@@ -161,8 +203,7 @@ def _links(links: DataFrame, cells: DataFrame, sets: DataFrame) -> DataFrame:
         met = own.join(sizes.select("token"), "token", "left_semi")
         last = k == ROUNDS or total["pairs"] <= PAIRS_A_ROW * total["rows"]
         if last:
-            other = met.select("token", F.col("node").alias("node_2"), F.col("n").alias("m"), F.col("part").alias("part_2"))
-            pairs = met.join(other, "token").where("node < node_2 and part <> part_2").where(close).select(*_pair("node", "node_2"))
+            pairs = likely_pairs(met, sizes, sets)
         else:
             w = Window.partitionBy("token").orderBy(*(["n", "node"] if k == 0 else [F.xxhash64("node", F.lit(k)), "node"]))
             before = F.collect_list(F.struct(F.col("node").alias("node_2"), F.col("n").alias("m"), F.col("part").alias("part_2"))).over(w.rowsBetween(-LAGS, -1))
