@@ -31,9 +31,9 @@ MIN_COUNT, MAX_WORDS, TOP = 30, 4, 2000
 COVERED = 80
 SHARD_BYTES = 4 << 20
 #: Pairs of 64-bit words that are ANDed at once.
-AND_AT_ONCE = 1 << 21
+AND_AT_ONCE = 1 << 20
 #: Rows that one task adds up.
-TASK_ROWS = 1 << 20
+TASK_ROWS = 1 << 19
 
 _SPLIT = np.zeros(256, bool)
 _SPLIT[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
