@@ -51,3 +51,10 @@ def children(uri: str) -> list[str]:
     """Names of what is in a folder."""
     system, path = place(uri)
     return sorted(i.base_name for i in system.get_file_info(fs.FileSelector(path)))
+
+
+def remove_folder(uri: str) -> None:
+    """A folder with what is in it, if it is there."""
+    system, path = place(uri)
+    if system.get_file_info(path).type == fs.FileType.Directory:
+        system.delete_dir(path)

@@ -70,7 +70,7 @@ def layout(path: str) -> Layout:
     return Layout(tuple(m["shape"]), tuple(m["chunks"]), m["dtype"], (m.get("compressor") or {}).get("id", ""), _fill(m.get("fill_value")), m.get("dimension_separator", "."), 2)
 
 
-def _stored(path: str, m: Layout, at: tuple[int, ...], wanted: list[tuple[int, int]] | None) -> Iterator[tuple[tuple[int, ...], np.ndarray | None]]:
+def stored(path: str, m: Layout, at: tuple[int, ...], wanted: list[tuple[int, int]] | None) -> Iterator[tuple[tuple[int, ...], np.ndarray | None]]:
     """(origin, block) of the encoded units of one file that meet the wanted ranges; None where nothing is stored."""
     system, root = files.place(f"{path}/{m.path(at)}")
     origin = tuple(a * c for a, c in zip(at, m.chunk))
@@ -121,7 +121,7 @@ def read_chunks(spark: SparkSession, path: str, where: dict[int, tuple[int, int]
         for batch in batches:
             for n in batch.column(0).to_pylist():
                 at = tuple(int(i) + s.start for i, s in zip(np.unravel_index(n, sizes), spans))
-                for origin, block in _stored(path, m, at, wanted):
+                for origin, block in stored(path, m, at, wanted):
                     if block is None and (dense or m.fill):
                         block = np.full(m.unit, m.fill).astype(m.dtype)
                     if block is not None:
@@ -259,6 +259,17 @@ def packed(path: str, m: Layout, at: tuple[int, ...], block: np.ndarray, level:
     return file, int(np.ravel_multi_index([k % r for k, r in zip(at, ratio)], ratio)), data
 
 
+def write_shard(file: str, units: list[tuple[int, bytes]], count: int) -> None:
+    """A shard of ``count`` places from packed units (place, data), with its index at the end."""
+    index, body, size = np.full((count, 2), EMPTY, np.uint64), [], 0
+    for place, data in sorted(units):
+        index[place] = size, len(data)
+        body.append(data)
+        size += len(data)
+    tail = index.astype("<u8").tobytes()
+    files.write_bytes(file, b"".join([*body, tail, crc32c(tail).to_bytes(4, "little")]))
+
+
 def join_units(units: DataFrame, path: str, m: Layout) -> int:
     """Put the packed units (file, place, data) of each shard together and write it; the number of files."""
     if m.inner is None:
@@ -266,13 +277,7 @@ def join_units(units: DataFrame, path: str, m: Layout) -> int:
     count = math.prod(c // u for c, u in zip(m.chunk, m.unit))
 
     def join(group: pd.DataFrame) -> pd.DataFrame:
-        index, body, size = np.full((count, 2), EMPTY, np.uint64), [], 0
-        for place, data in sorted(zip(group.place, group.data)):
-            index[place] = size, len(data)
-            body.append(data)
-            size += len(data)
-        tail = index.astype("<u8").tobytes()
-        files.write_bytes(f"{path}/{group.file.iloc[0]}", b"".join([*body, tail, crc32c(tail).to_bytes(4, "little")]))
+        write_shard(f"{path}/{group.file.iloc[0]}", list(zip(group.place, group.data)), count)
         return pd.DataFrame({"file": [group.file.iloc[0]]})
 
     return units.groupBy("file").applyInPandas(join, "file string").count()
