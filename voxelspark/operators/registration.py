@@ -255,12 +255,45 @@ def register_pairs(patches: DataFrame, win: int = 7, score: float = 0.0, limits:
     return gate_edges(found, score, limits).withColumn("score", F.round("score", 3))
 
 
-def refine_positions(blocks: DataFrame, tiles: DataFrame, voxel: Voxel, shape: dict[str, int], factors: tuple[int, int, int] = (3, 5, 5), win: int = 7, score: float = 0.7, method: str = "TWO_ROUND_ITERATIVE", channel: int = 0) -> DataFrame:
+def tile_digests(blocks: DataFrame) -> DataFrame:
+    """(t, p, digest): what a tile's blocks hold, whatever the order in which they come."""
+    one = F.sha2(F.concat(F.to_json("origin").cast("binary"), F.to_json("shape").cast("binary"), F.encode("dtype", "utf-8"), "data"), 256)
+    own = blocks.select(F.element_at("origin", 1).alias("t"), F.element_at("origin", 2).alias("p"), one.alias("one"))
+    return own.groupBy("t", "p").agg(F.sha2(F.array_join(F.array_sort(F.collect_list("one")), ","), 256).alias("digest"))
+
+
+def stored_edges(blocks: DataFrame, pairs: DataFrame, store: str, factors: tuple[int, int, int] = (3, 5, 5), win: int = 7) -> DataFrame:
+    """(t, i, j, dz, dy, dx, score) of all pairs, from a table of edges at ``store`` that is keyed by what they are found from: both
+    tiles' contents, the bounds of the overlap, and the parameters. Only pairs whose key is not there are registered, and
+    appended; so a second run registers nothing, and a new or changed tile its own edges. Links are stored ungated."""
+    spark = blocks.sparkSession
+    digests = tile_digests(blocks)
+    a, b = (digests.select("t", F.col("p").alias(n), F.col("digest").alias(f"of_{n}")) for n in "ij")
+    bounds = [c for c in pairs.columns if c not in ("t", "i", "j")]
+    key = F.sha2(F.concat_ws("|", "of_i", "of_j", *bounds, F.lit(f"{factors} {win}")), 256)
+    keyed = pairs.join(a, ["t", "i"], "left").join(b, ["t", "j"], "left").withColumn("key", key).drop("of_i", "of_j")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(store)
+    there = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+    kinds = "key string, dz int, dy int, dx int, score double"
+    known = (spark.read.parquet(store) if there else spark.createDataFrame([], kinds)).dropDuplicates(["key"])
+    new = keyed.join(known, "key", "left_anti")
+    found = register_pairs(arrays.patches(blocks, new.drop("key"), factors), win, 0.0, (1 << 30,) * 3)
+    # tiles of equal contents in equal places share a key
+    found.join(new.select("t", "i", "j", "key"), ["t", "i", "j"]).select("key", "dz", "dy", "dx", "score").dropDuplicates(["key"]).write.mode("append").parquet(store)
+    every = spark.read.schema(kinds).parquet(store).dropDuplicates(["key"])
+    return keyed.select("t", "i", "j", "key").join(every, "key").select("t", "i", "j", "dz", "dy", "dx", "score")
+
+
+def refine_positions(blocks: DataFrame, tiles: DataFrame, voxel: Voxel, shape: dict[str, int], factors: tuple[int, int, int] = (3, 5, 5), win: int = 7, score: float = 0.7, method: str = "TWO_ROUND_ITERATIVE", channel: int = 0, store: str | None = None) -> DataFrame:
     """tiles(t, p, stage_z, stage_y, stage_x) of ``blocks`` moved to where their overlaps fit best: pairs, patches of one channel,
-    shifts between them, the offsets that fit these, and the positions with the offsets."""
+    shifts between them, the offsets that fit these, and the positions with the offsets. With ``store`` edges that were found
+    before are taken from there (see ``stored_edges``)."""
     if shape["z"] == 1:
         factors = (1, *factors[1:])
     pairs = overlap_pairs(tiles, voxel, shape)
-    patches = arrays.patches(blocks.where(F.element_at("origin", 3) == channel), pairs, factors)
-    edges = register_pairs(patches, win, score)
+    own = blocks.where(F.element_at("origin", 3) == channel)
+    if store:
+        edges = gate_edges(stored_edges(own, pairs, store, factors, win), score)
+    else:
+        edges = register_pairs(arrays.patches(own, pairs, factors), win, score)
     return apply_offsets(tiles, solve_offsets(edges, tiles, method), tuple(voxel_size(voxel, a) for a in "zyx"))

@@ -9,6 +9,9 @@ Paths may be URIs of any file system that pyarrow reads.
 from __future__ import annotations
 
 import argparse
+import json
+import math
+import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,7 +24,7 @@ from ..operators import deconvolve as D
 from ..operators import deskew as S
 from ..operators import fusion as U
 from ..operators import registration as G
-from ..sources import files, zarr
+from ..sources import files, tiff, zarr
 
 
 @dataclass(frozen=True)
@@ -66,6 +69,36 @@ def acquisition(path: str) -> Acquisition:
     return Acquisition(mode, step, excess, number("pixel_size_um"), number("angle_deg") if step else 0.0, number("offset"), number("e_to_ADU"), channels, positions)
 
 
+def acquisition_of_tiff(path: str) -> Acquisition:
+    """Of the TIFF stack of a stage-tilted instrument: camera values from the first page's metadata, geometry and channels from
+    the summary in it. The stage moves at an angle to the coverslip, see ``metadata.scan_geometry``."""
+    doc = tiff.instrument(files.read_bytes(path))
+    offset, gain = tiff.camera(doc)
+    summary = M.find_key(doc, "Summary") or doc
+    settings = M.find_key(summary, "SPIMAcqSettings") or {}
+    settings = json.loads(settings) if isinstance(settings, str) else settings
+    tilt = float(summary["StageScanAnglePathA"])
+    step = float(summary["z-step_um"]) / math.tan(math.radians(tilt))
+    micrometres = lambda key: float(str(summary[key]).strip(" \u00b5m"))
+    channels = []
+    for channel in settings.get("channels", []):
+        if found := re.search(r"(\d+(?:\.\d+)?)\s*em", channel.get("config_", "")):
+            channels.append(f"{float(found[1]):g}nm")
+    mode = "stage" if settings.get("isStageScanning") else "mirror"
+    return Acquisition(mode, step, 0, float(summary["PixelSize_um"]), 90.0 - tilt, offset, gain, channels, {0: (0.0, micrometres("Position_Y"), micrometres("Position_X"))})
+
+
+def read_tiff(spark: SparkSession, path: str, axes: str, where: dict[str, tuple[int, int]]) -> tuple[DataFrame, tuple[int, ...]]:
+    """The blocks of a TIFF stack within ``where``, and its shape."""
+    index = tiff.page_index(spark, path, axes)
+    high = index.agg(*[F.max(F.element_at("at", k)).alias(f"n{k}") for k in range(1, 5)], F.max("height").alias("h"), F.max("width").alias("w")).first()
+    blocks = tiff.read_blocks(spark, path, axes)
+    for a, (lo, hi) in where.items():
+        own = F.element_at("origin", A.AXES.index(a) + 1)
+        blocks = blocks.where((own >= lo) & (own < hi))
+    return blocks, (*(high[f"n{k}"] + 1 for k in range(1, 5)), high["h"], high["w"])
+
+
 def tiles_of(spark: SparkSession, acq: Acquisition, times: range, positions: range | None = None) -> DataFrame:
     """(t, p, stage_z, stage_y, stage_x) with the axes flipped as the camera sees them; times and positions count from 0."""
     kept = [(p - positions.start if positions else p, at) for p, at in sorted(acq.positions.items()) if positions is None or p in positions]
@@ -93,17 +126,24 @@ def flat_array(flat: DataFrame, channels: int, height: int, width: int) -> np.nd
 def flat_of(spark: SparkSession, path: str, acq: Acquisition, axes: str) -> DataFrame:
     """The flat-field that is kept beside the acquisition (a TIFF, or Parquet from an earlier run), else one that is estimated
     from its first time point and kept there."""
-    shape = dict(zip(axes, zarr.layout(path).shape))
-    stem = path.rstrip("/").removesuffix(".zarr").removesuffix(".ome")
-    kept = f"{stem}_flatfield.ome.tif"
-    voxels = lambda: zarr.read(spark, path, axes, {"t": (0, 1)})
-    make = lambda: D.flat_field(voxels(), acq.offset, acq.gain, (shape.get("z", 1), shape["y"], shape["x"]), shape["p"])
-    return D.cached_flat_field(spark, kept if files.exists(kept) else f"{stem}_flatfield.parquet", make)
+    kept = f"{_stem(path)}_flatfield.ome.tif"
+
+    def make() -> DataFrame:
+        if path.lower().endswith((".tif", ".tiff")):
+            blocks, shape = read_tiff(spark, path, axes, {"t": (0, 1)})
+        else:
+            blocks, shape = A.read(spark, path, axes, {"t": (0, 1)})
+        return D.flat_field(A.voxels(blocks, shape), acq.offset, acq.gain, shape[3:], shape[1])
+
+    return D.cached_flat_field(spark, kept if files.exists(kept) else f"{_stem(path)}_flatfield.parquet", make)
 
 
 def out_path(path: str, kind: str) -> str:
-    stem = path.rstrip("/").removesuffix(".zarr").removesuffix(".ome")
-    return f"{stem}_{kind}.zarr"
+    return f"{_stem(path)}_{kind}.zarr"
+
+
+def _stem(path: str) -> str:
+    return re.sub(r"(\.ome)?\.(zarr|tiff?)/?$", "", path.rstrip("/"), flags=re.IGNORECASE)
 
 
 def _describe(path: str, acq: Acquisition, tiles: DataFrame, more: dict) -> None:
@@ -128,18 +168,25 @@ def process(
     excess: int | None = None,
     flyback: int = 0,
     factor: int = 2,
+    axes: str = "",
 ) -> dict[str, str]:
     """Correct, deconvolve if asked to, deskew and project the acquisition at ``path``; returns the paths of the stores that
     are written beside it, by kind. A projection is corrected (and deconvolved) only.
 
     What moves from store to store is blocks (``operators.arrays``). ``flat`` is a flat-field (c, y, x, ff); with ``flat_field``
     the one that is kept beside the acquisition is used, or estimated and kept. Each channel has a PSF of its own. Of a range
-    of ``times`` or ``positions`` the result holds just these, counted from 0.
+    of ``times`` or ``positions`` the result holds just these, counted from 0. A TIFF stack has its pages' ``axes``, such as
+    "tzcyx".
     """
-    acq = acquisition(path)
-    axes = "tpcyx" if len(zarr.layout(path).shape) == 5 else "tpczyx"
     where = {a: tuple(r) for a, r in (("t", times), ("p", positions)) if r}
-    blocks, (all_t, all_p, n_c, depth, height, width) = A.read(spark, path, axes, where)
+    if path.lower().endswith((".tif", ".tiff")):
+        acq = acquisition_of_tiff(path)
+        axes = axes.lower() or "tzcyx"
+        blocks, (all_t, all_p, n_c, depth, height, width) = read_tiff(spark, path, axes, where)
+    else:
+        acq = acquisition(path)
+        axes = axes or ("tpcyx" if len(zarr.layout(path).shape) == 5 else "tpczyx")
+        blocks, (all_t, all_p, n_c, depth, height, width) = A.read(spark, path, axes, where)
     spans = {"t": range(*where.get("t", (0, all_t))), "p": range(*where.get("p", (0, all_p)))}
     for a in where:
         blocks = A.crop(blocks, a, spans[a].start, spans[a].stop)
@@ -198,7 +245,8 @@ def stored_tiles(spark: SparkSession, path: str) -> DataFrame:
 
 def fuse(spark: SparkSession, path: str, register: bool = True, channel: int = 0, blend: tuple[int, int, int] = (10, 600, 600), factors: tuple[int, ...] = (2, 4, 8, 16, 32), score: float = 0.7) -> str:
     """Register and fuse the processed store at ``path``, or the one beside the acquisition at ``path``: a stack to a
-    multiscale group of (t, c, z, y, x), a projection to one array (t, 1, c, 1, y, x). Returns the path of the result."""
+    multiscale group of (t, c, z, y, x), a projection to one array (t, 1, c, 1, y, x). Edges between tiles are kept beside the
+    store, and found anew only for tiles that changed. Returns the path of the result."""
     attributes = zarr.read_attributes(path)
     if "per_index_metadata" not in attributes:
         root, stem = path.rstrip("/").rsplit("/", 1)
@@ -212,7 +260,7 @@ def fuse(spark: SparkSession, path: str, register: bool = True, channel: int = 0
     if nz == 1:
         tiles = tiles.withColumn("stage_z", F.lit(0.0))
     if register:
-        tiles = G.refine_positions(blocks, tiles, voxel, shape, score=score, channel=channel)
+        tiles = G.refine_positions(blocks, tiles, voxel, shape, score=score, channel=channel, store=out_path(path, "edges").removesuffix(".zarr") + ".parquet")
     tiles = tiles.cache()
     channels = spark.range(n_c).select(F.col("id").cast("int").alias("c"))
     out = out_path(path, "fused")
@@ -244,6 +292,7 @@ def main(argv: list[str] | None = None) -> None:
         one.add_argument(f"--{name}", action="store_true")
     for name in ("times", "positions"):
         one.add_argument(f"--{name}", type=int, nargs=2)
+    one.add_argument("--axes", default="")
     one.add_argument("--excess", type=int)
     one.add_argument("--flyback", type=int, default=0)
     two = kinds.add_parser("fuse")
