@@ -160,11 +160,14 @@ def scan_history(spark: SparkSession, versions: DataFrame, path: str, rules: tup
     return findings_by_path(record(spark, versions, f"{path}/history"), ledger, rules).select("path", "version", "blob", "findings")
 
 
-def scan_documents(docs: DataFrame, rules: tuple[Rule, ...] = RULES, ledger_path: str | None = None) -> DataFrame:
-    """(doc_id, findings) for every row of docs(doc_id, text), through the ledger at ``ledger_path`` or a new one. A null
-    text is the empty blob and has no findings; repeated rows and null ids are rows of their own; an empty table gives no
+def scan_documents(docs: DataFrame, rules: tuple[Rule, ...] = RULES, path: str | None = None) -> DataFrame:
+    """(doc_id, findings) for every row of docs(doc_id, text): its text is a version of the path that its id names, and what it
+    holds comes from the history and the ledger at ``path``, or new ones (see ``scan_history``). A null text is the empty
+    blob and has no findings; a null id is a path like others; repeated rows are rows of their own; an empty table gives no
     rows."""
     spark = docs.sparkSession
-    ledger = update(spark, docs.select("text"), ledger_path or shared_path(spark, "secret-ledger"), rules)
-    paths = docs.select("doc_id", blob_id(F.col("text")).alias("blob"))
-    return findings_by_path(paths, ledger, rules).select("doc_id", "findings")
+    rows = docs.select("doc_id", F.col("doc_id").cast("string").alias("path"), blob_id(F.col("text")).alias("blob"))
+    versions = docs.select(F.col("doc_id").cast("string").alias("path"), blob_id(F.col("text")).alias("version"), "text")
+    history = scan_history(spark, versions, path or shared_path(spark, "secret-history"), rules)
+    history = history.select(F.col("path").alias("of"), F.col("version").alias("blob"), "findings")
+    return rows.join(history, (rows["blob"] == history["blob"]) & rows["path"].eqNullSafe(history["of"])).select("doc_id", "findings")
