@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, materialize
+from .common import discard, materialize, release
 
 
 def _mark(links: DataFrame) -> tuple:
@@ -13,12 +13,13 @@ def _mark(links: DataFrame) -> tuple:
     return row["n"], row["s"]
 
 
-def connected_components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(links: DataFrame, max_rounds: int = 60, tidy: bool = False) -> DataFrame:
     """(node, component) for every node of links(a, b); the component is its smallest node.
 
     Each round is two group-by-minimum passes and a join back; links shrink towards stars around the smallest node, in a
     number of rounds that grows with the logarithm of the longest chain. Every round is written to the shared folder, so
-    the plan stays short. Nodes of no link are not listed. Self links and null ends are ignored.
+    the plan stays short; ``tidy`` lets Spark drop a round's shuffle files after it. Nodes of no link are not listed. Self links
+    and null ends are ignored.
     """
     links = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct()
     links = materialize(links, "links")
@@ -33,6 +34,8 @@ def connected_components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
         old, links = links, materialize(small.where("a > b").distinct(), "links")
         discard(old)
         after = _mark(links)
+        if tidy:
+            release(links.sparkSession)
         if after == before:
             break
         before = after
