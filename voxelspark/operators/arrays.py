@@ -309,24 +309,29 @@ def deconvolve(blocks: DataFrame, shape: Place, psfs: dict[int, np.ndarray], sla
 # ---------------------------------------------------------------------------------------------- fusion
 
 
+def _cells(tiles: DataFrame, voxel: U.Voxel, shape: tuple[int, int, int], edges: tuple[int, int, int], half_even: bool) -> DataFrame:
+    """(t, p, o_z, o_y, o_x, sz, sy, sx): the blocks of the fused image that each tile reaches."""
+    shards = U.shard_overlap(tiles, voxel, shape[0], edges[0], half_even, ("y", "x"))
+    cells = lambda o, n, e: F.explode(F.sequence(F.floor(F.col(o) / e).cast("int"), F.floor((F.col(o) + n - 1) / e).cast("int")))
+    return shards.select("t", "p", "o_z", "o_y", "o_x", F.col("shard").alias("sz"), cells("o_y", shape[1], edges[1]).alias("sy")).withColumn("sx", cells("o_x", shape[2], edges[2]))
+
+
 def fused_blocks(
-    blocks: DataFrame, tiles: DataFrame, voxel: U.Voxel, shape: tuple[int, int, int], profiles: list[np.ndarray], mode: str = "weighted_mean", half_even: bool = True, edges: tuple[int, int, int] = FUSED, channels: DataFrame | None = None, emit: str = "blocks"
+    blocks: DataFrame, tiles: DataFrame, voxel: U.Voxel, shape: tuple[int, int, int], profiles: list[np.ndarray], mode: str = "weighted_mean", half_even: bool = True, edges: tuple[int, int, int] = FUSED, channels: DataFrame | None = None
 ) -> DataFrame:
     """Tiles of ``shape`` (z, y, x) fused in blocks of the whole image, at p = 0: each tile is dealt to the shards of planes that it
     reaches (``fusion.shard_overlap``), its blocks are cut there, and a task holds one block of the image with the tiles that
     lie over it and adds value times weight and weight as arrays.
 
     mode weighted_mean: sum(w v) / sum(w), 0 where no weight is; fold: tiles in order of p, f <- trunc(clip((f + v w) / (1 + w))).
-    What a tile has no block for is 0 and weighs. ``emit`` "voxels" gives rows (t, c, z, y, x, v) of what tiles cover.
+    What a tile has no block for is 0 and weighs.
     """
     ez, ey, ex = edges
-    place = U.tile_offsets(tiles, voxel, ("z", "y", "x"), half_even)
-    cells = lambda o, n, e: F.sequence(F.floor(F.col(o) / e).cast("int"), F.floor((F.col(o) + n - 1) / e).cast("int"))
-    shards = U.shard_overlap(tiles, voxel, shape[0], ez, half_even).join(place, ["t", "p"])
+    shards = U.shard_overlap(tiles, voxel, shape[0], ez, half_even, ("y", "x"))
     own = blocks.select(F.element_at("origin", 1).alias("t"), F.element_at("origin", 2).alias("p"), F.element_at("origin", 3).alias("c"), "origin", "shape", "dtype", "data")
     seen = (channels if channels is not None else own.select("c").distinct()).select("c")
     keys = ["t", "c", "sz", "sy", "sx"]
-    met = shards.select("t", "p", "o_z", "o_y", "o_x", F.col("shard").alias("sz"), F.explode(cells("o_y", shape[1], ey)).alias("sy")).withColumn("sx", F.explode(cells("o_x", shape[2], ex)))
+    met = _cells(tiles, voxel, shape, edges, half_even)
     nothing = [F.lit(None).cast(t).alias(n) for n, t in (("origin", "array<int>"), ("shape", "array<int>"), ("dtype", "string"), ("data", "binary"))]
     marks = met.crossJoin(F.broadcast(seen)).select(*keys, "p", "o_z", "o_y", "o_x", *nothing)  # channels: a few numbers
     first, last = F.element_at("origin", 4), F.element_at("origin", 4) + F.element_at("shape", 4)
@@ -359,31 +364,72 @@ def fused_blocks(
         if given.num_rows:
             for p, one in zip(given.column("p").to_pylist(), of_batch(*(given.column(n).combine_chunks() for n in ("origin", "shape", "dtype", "data")))):
                 pieces.setdefault(p, []).append(one)
-        value, weight, there = np.zeros(edges), np.zeros(edges), np.zeros(edges, bool)
-        for p in sorted(tile):
-            lo = [max(o, a) for o, a in zip(tile[p], low)]
-            hi = [min(o + n, a + e) for o, n, a, e in zip(tile[p], shape, low, edges)]
-            if any(a >= b for a, b in zip(lo, hi)):
-                continue
-            here = tuple(slice(a - x, b - x) for a, b, x in zip(lo, hi, low))
-            wz, wy, wx = (w[a - o : b - o] for w, a, b, o in zip(profiles, lo, hi, tile[p]))
-            w = wz[:, None, None] * wy[None, :, None] * wx
-            v = assemble(pieces.get(p, []), tuple(lo), tuple(hi), float)
-            there[here] = True
-            if mode == "fold":
-                value[here] = np.floor(np.clip((value[here] + v * w) / (1 + w), 0.0, float(TOP)))
-            else:
-                value[here] += v * w
-                weight[here] += w
-        if mode != "fold":
-            value = np.floor(np.divide(value, weight, out=np.zeros_like(value), where=weight > 0) + U.CLOSE)
-        if emit == "blocks":
-            return pa.table(_columns([((t, 0, c, *low), value.astype(np.uint16)[None, None, None])]), names=["origin", "shape", "dtype", "data"])
-        at = np.nonzero(there)
-        same = [pa.array(np.full(len(at[0]), k, np.int32)) for k in (t, c)]
-        return pa.table([*same, *(pa.array((i + a).astype(np.int32)) for i, a in zip(at, low)), pa.array(value[at].astype(np.int32))], names=["t", "c", "z", "y", "x", "v"])
-
-    return dealt.groupBy(*keys).applyInArrow(run, SCHEMA if emit == "blocks" else "t int, c int, z int, y int, x int, v int")
+        value, there = fuse_cell(low, edges, tile, shape, profiles, mode, lambda p, lo, hi: assemble(pieces.get(p, []), lo, hi, float))
+        return pa.table(_columns([((t, 0, c, *low), value.astype(np.uint16)[None, None, None])]), names=["origin", "shape", "dtype", "data"])
+
+    return dealt.groupBy(*keys).applyInArrow(run, SCHEMA)
+
+
+def fused_voxels(voxels: DataFrame, tiles: DataFrame, voxel: U.Voxel, shape: tuple[int, int, int], profiles: list[np.ndarray], edges: tuple[int, int, int]) -> DataFrame:
+    """``fused_blocks`` of a voxel table, as voxels (t, c, z, y, x, v) of what tiles cover: voxels go straight to the blocks of the
+    result, one shuffle of them, and meet the tiles that lie over these."""
+    place = U.tile_offsets(tiles, voxel, ("z", "y", "x"), True)
+    keys, names = ["t", "c", "sz", "sy", "sx"], ["z", "y", "x"]
+    met = _cells(tiles, voxel, shape, edges, True).crossJoin(F.broadcast(voxels.select("c").distinct()))  # channels: a few numbers
+    inside = voxels.join(place, ["t", "p"])
+    for a, n in zip(names, shape):
+        inside = inside.where((F.col(a) >= 0) & (F.col(a) < n))
+    cells = [F.floor((F.col(a) + F.col(f"o_{a}")) / e).cast("int").alias(f"s{a}") for a, e in zip(names, edges)]
+    dealt = inside.select("t", "c", *cells, "p", "o_z", "o_y", "o_x", *names, F.col("v").cast("double").alias("v"))
+    nothing = [F.lit(None).cast(k).alias(n) for n, k in (*((a, "int") for a in names), ("v", "double"))]
+    dealt = dealt.unionByName(met.select(*keys, "p", "o_z", "o_y", "o_x", *nothing))
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        t, c, *cell = (k.as_py() for k in key)
+        low = tuple(k * e for k, e in zip(cell, edges))
+        marks, own = table.filter(table.column("v").is_null()), table.filter(table.column("v").is_valid())
+        tile = {p: o for p, *o in zip(*(marks.column(n).to_pylist() for n in ("p", "o_z", "o_y", "o_x")))}
+        of, v = own.column("p").to_numpy(), own.column("v").to_numpy()
+        at = [own.column(n).to_numpy() + own.column(f"o_{n}").to_numpy() for n in names]
+        order = np.argsort(of, kind="stable")
+        ends = np.searchsorted(of[order], sorted(tile), "right")
+        rows = {p: order[np.searchsorted(of[order], p, "left") : end] for p, end in zip(sorted(tile), ends)}
+
+        def values(p: int, lo: Place, hi: Place) -> np.ndarray:
+            out = np.zeros([y - x for x, y in zip(lo, hi)])
+            out[tuple(a[rows[p]] - x for a, x in zip(at, lo))] = v[rows[p]]
+            return out
+
+        value, there = fuse_cell(low, edges, tile, shape, profiles, "weighted_mean", values)
+        z, y, x = np.nonzero(there)
+        same = [pa.array(np.full(len(z), k, np.int32)) for k in (t, c)]
+        return pa.table([*same, *(pa.array((i + a).astype(np.int32)) for i, a in zip((z, y, x), low)), pa.array(value[z, y, x].astype(np.int32))], names=["t", "c", *names, "v"])
+
+    return dealt.groupBy(*keys).applyInArrow(run, "t int, c int, z int, y int, x int, v int")
+
+
+def fuse_cell(low: Place, edges: Place, tile: dict[int, Place], shape: Place, profiles: list[np.ndarray], mode: str, values: Callable[[int, Place, Place], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """One block of a fused image from ``low`` on, and where tiles cover it. ``tile`` has the tiles' origins, ``values`` gives a tile's
+    values over a box of the image."""
+    value, weight, there = np.zeros(edges), np.zeros(edges), np.zeros(edges, bool)
+    for p in sorted(tile):
+        lo = [max(o, a) for o, a in zip(tile[p], low)]
+        hi = [min(o + n, a + e) for o, n, a, e in zip(tile[p], shape, low, edges)]
+        if any(a >= b for a, b in zip(lo, hi)):
+            continue
+        here = tuple(slice(a - x, b - x) for a, b, x in zip(lo, hi, low))
+        wz, wy, wx = (w[a - o : b - o] for w, a, b, o in zip(profiles, lo, hi, tile[p]))
+        w = wz[:, None, None] * wy[None, :, None] * wx
+        v = values(p, tuple(lo), tuple(hi))
+        there[here] = True
+        if mode == "fold":
+            value[here] = np.floor(np.clip((value[here] + v * w) / (1 + w), 0.0, float(TOP)))
+        else:
+            value[here] += v * w
+            weight[here] += w
+    if mode != "fold":
+        value = np.floor(np.divide(value, weight, out=np.zeros_like(value), where=weight > 0) + U.CLOSE)
+    return value, there
 
 
 # ---------------------------------------------------------------------------------------------- overlaps of tiles

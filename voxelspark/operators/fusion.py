@@ -122,21 +122,22 @@ def fuse_2d(rows: DataFrame, tiles: DataFrame, pixel: Voxel, height: int, width:
 
 
 def fuse_3d(voxels: DataFrame, tiles: DataFrame, voxel: Voxel, shape: tuple[int, int, int], blend: tuple[int, int, int]) -> DataFrame:
-    """Weighted mean (t, c, z, y, x, v) of all tiles over each voxel that one covers, truncated; 0 where no weight is. Voxels go to
-    blocks, and these to the shards of the result (``arrays.fused_blocks``)."""
+    """Weighted mean (t, c, z, y, x, v) of all tiles over each voxel that one covers, truncated; 0 where no weight is. Voxels go
+    to blocks of the result by shards of planes (``arrays.fused_voxels``)."""
     from . import arrays
 
     profiles = [np.array(feather_profile(n, b)) for n, b in zip(shape, blend)]
-    return arrays.fused_blocks(arrays.of_voxels(voxels), tiles, voxel, shape, profiles, edges=SHARD, emit="voxels")
+    return arrays.fused_voxels(voxels, tiles, voxel, shape, profiles, SHARD)
 
 
 #: Edges (z, y, x) of the blocks in which voxel tables are fused.
 SHARD = (4, 512, 512)
 
 
-def shard_overlap(tiles: DataFrame, voxel: Voxel, depth: int, step: int, half_even: bool = True) -> DataFrame:
+def shard_overlap(tiles: DataFrame, voxel: Voxel, depth: int, step: int, half_even: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
     """(t, p, shard, z0, z1): the z range of each tile in each shard of ``step`` planes that it reaches, by dealing a tile
-    to its shards and not by comparing all of them."""
-    o = tile_offsets(tiles, voxel, ("z",), half_even)
-    dealt = o.select("t", "p", "o_z", F.explode(F.sequence(F.floor(F.col("o_z") / step), F.floor((F.col("o_z") + depth - 1) / step))).alias("shard"))
-    return dealt.select("t", "p", F.col("shard").cast("int").alias("shard"), F.greatest(F.col("shard") * step, F.col("o_z")).cast("int").alias("z0"), F.least((F.col("shard") + 1) * step, F.col("o_z") + depth).cast("int").alias("z1"))
+    to its shards and not by comparing all of them; and the offsets o_z and those of the axes ``keep`` where asked for."""
+    o = tile_offsets(tiles, voxel, ("z", *keep), half_even)
+    dealt = o.select("*", F.explode(F.sequence(F.floor(F.col("o_z") / step), F.floor((F.col("o_z") + depth - 1) / step))).alias("shard"))
+    own = ["o_z", *(f"o_{a}" for a in keep)] if keep else []
+    return dealt.select("t", "p", F.col("shard").cast("int").alias("shard"), F.greatest(F.col("shard") * step, F.col("o_z")).cast("int").alias("z0"), F.least((F.col("shard") + 1) * step, F.col("o_z") + depth).cast("int").alias("z1"), *own)

@@ -37,30 +37,45 @@ def overlap_pairs(tiles: DataFrame, voxel: Voxel, shape: dict[str, int]) -> Data
     return met.select(*out)
 
 
-def _patch_rows(found: DataFrame, kind: str, factors: bool) -> DataFrame:
-    """Patches as rows (t, i, j, [f_z, f_y, f_x,] z, y, x, a, b), none where both are 0."""
-    names = ["t", "i", "j", *(["f_z", "f_y", "f_x"] if factors else []), "z", "y", "x"]
+def _patch_rows(found: DataFrame) -> DataFrame:
+    """Patches as rows (t, i, j, f_z, f_y, f_x, z, y, x, a, b), none where both are 0."""
+    names = ["t", "i", "j", "f_z", "f_y", "f_x", "z", "y", "x"]
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         a, b, f = arrays.patch_arrays(table)
         at = np.nonzero((a != 0) | (b != 0))
-        values = (x[at] if kind == "double" else np.rint(x[at]).astype(np.int32) for x in (a, b))
-        same = [pa.array(np.full(len(at[0]), k, np.int32)) for k in [*(k.as_py() for k in key), *(f if factors else [])]]
-        return pa.table([*same, *(pa.array(x.astype(np.int32)) for x in at), *(pa.array(v) for v in values)], names=[*names, "a", "b"])
+        same = [pa.array(np.full(len(at[0]), k, np.int32)) for k in [*(k.as_py() for k in key), *f]]
+        return pa.table([*same, *(pa.array(x.astype(np.int32)) for x in at), *(pa.array(x[at]) for x in (a, b))], names=[*names, "a", "b"])
 
-    return found.groupBy("t", "i", "j").applyInArrow(run, ", ".join(f"{n} int" for n in names) + f", a {kind}, b {kind}")
+    return found.groupBy("t", "i", "j").applyInArrow(run, ", ".join(f"{n} int" for n in names) + ", a double, b double")
 
 
 def overlap_patches(voxels: DataFrame, pairs: DataFrame) -> DataFrame:
     """(t, i, j, z, y, x, a, b): both tiles' voxels over each pair's overlap, in the overlap's own coordinates, 0 where only
-    the other tile has one and no row where neither has. Tiles go to the pairs as blocks, cut to the overlap."""
-    return _patch_rows(arrays.patches(arrays.of_voxels(voxels), pairs, (1, 1, 1)), voxels.schema["v"].dataType.simpleString(), False)
+    the other tile has one and no row where neither has. Voxels inside an overlap go to its pair, once, and meet in arrays."""
+    sides = [pairs.select("t", F.col(tile).alias("p"), "i", "j", F.lit(k).alias("side"), *[F.col(f"{tile}_{a}0").alias(f"s_{a}") for a in "zyx"], *[(F.col(f"i_{a}1") - F.col(f"i_{a}0")).alias(f"n_{a}") for a in "zyx"]) for k, tile in enumerate("ij")]
+    met = voxels.select("t", "p", "z", "y", "x", "v").join(sides[0].unionByName(sides[1]), ["t", "p"])
+    for a in "zyx":
+        met = met.withColumn(a, F.col(a) - F.col(f"s_{a}")).where((F.col(a) >= 0) & (F.col(a) < F.col(f"n_{a}")))
+    kind = voxels.schema["v"].dataType.simpleString()
+    number = np.dtype("f8" if kind == "double" else "i4")
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        size = [table.column(f"n_{a}")[0].as_py() for a in "zyx"]
+        both = np.zeros((2, *size), number)
+        both[tuple(table.column(c).to_numpy() for c in ("side", "z", "y", "x"))] = table.column("v").to_numpy()
+        at = np.nonzero((both != 0).any(0))
+        same = [pa.array(np.full(len(at[0]), k.as_py(), np.int32)) for k in key]
+        return pa.table([*same, *(pa.array(x.astype(np.int32)) for x in at), *(pa.array(x[at]) for x in both)], names=["t", "i", "j", "z", "y", "x", "a", "b"])
+
+    rows = met.select("t", "i", "j", "side", "n_z", "n_y", "n_x", "z", "y", "x", F.col("v"))
+    return rows.groupBy("t", "i", "j").applyInArrow(run, f"t int, i int, j int, z int, y int, x int, a {kind}, b {kind}")
 
 
 def reduced_patches(voxels: DataFrame, pairs: DataFrame, factors: tuple[int, int, int] = (3, 5, 5)) -> DataFrame:
     """The overlaps' voxels as means over blocks of ``factors`` (z, y, x), with the factors that were used, f_z, f_y and f_x:
     none is larger than the overlap. A ragged edge counts as filled with 0."""
-    return _patch_rows(arrays.patches(arrays.of_voxels(voxels), pairs, factors), "double", True)
+    return _patch_rows(arrays.patches(arrays.of_voxels(voxels), pairs, factors))
 
 
 def gate_edges(edges: DataFrame, score: float = 0.7, limits: tuple[int, int, int] = (20, 50, 100)) -> DataFrame:
