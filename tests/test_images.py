@@ -514,3 +514,13 @@ def test_overlaps_of_sparse_tiles(spark):
     means = {(r["z"], r["y"], r["x"]): (r["a"], r["b"]) for r in small}
     for k, at in ((0, np.s_[:, :5]), (1, np.s_[:, 5:])):
         assert means[0, k, 0] == pytest.approx((a[at].sum() / 105, b[at].sum() / 105))
+
+
+@pytest.mark.parametrize("dy,dx", [(1.25, -2.5), (-0.5, 0.0), (2.0, 3.75)])
+def test_shifts_of_sparse_planes(spark, dy, dx):
+    stack = np.random.default_rng(6).integers(1, 900, (2, 11, 13)) * (np.random.default_rng(7).random((2, 11, 13)) < 0.5)
+    rows = frame(spark, stack).where("v <> 0")
+    want = np.stack([registration.linear_shift(plane.astype(float), np.array([dy, dx])) for plane in stack])
+    for block in (None, {"y": 4, "x": 5}):
+        found = stencil.shift_linear(rows, dy, dx, 11, 13, block)
+        assert image(found, stack.shape) == pytest.approx(want) and found.count() < stack.size

@@ -22,6 +22,10 @@ def box_filter(voxels: DataFrame, radius: int, sizes: dict[str, int], block: dic
     return over_blocks(voxels, sizes, dict.fromkeys(sizes, radius), lambda image, at: box_mean(image, radius), _schema(voxels), block=block)
 
 
+#: Hot pixels of a camera frame that are sent to all tasks at most: 8 MB.
+HOT = 1 << 20
+
+
 def _medians(image: np.ndarray) -> np.ndarray:
     return np.median(np.lib.stride_tricks.sliding_window_view(image, (3, 3)), axis=(-2, -1))
 
@@ -33,8 +37,10 @@ def median_3x3(voxels: DataFrame, height: int, width: int, block: dict[str, int]
 
 def replace_hot_pixels(voxels: DataFrame, noise: DataFrame, height: int, width: int, threshold: float = 375.0, block: dict[str, int] | None = None) -> DataFrame:
     """The 3 x 3 median where the noise map (y, x, noise) is over the threshold; negatives become 0. The hot places are sent
-    to all tasks: they are some pixels of one camera frame."""
-    hot = noise.where(F.col("noise") > threshold).select("y", "x").toPandas()
+    to all tasks: they are some pixels of one camera frame. ValueError for more than ``HOT`` of them."""
+    hot = noise.where(F.col("noise") > threshold).select("y", "x").limit(HOT + 1).toPandas()
+    if len(hot) > HOT:
+        raise ValueError(f"more than {HOT} hot pixels are not sent to all tasks; raise the threshold")
     ys, xs = hot.y.to_numpy(), hot.x.to_numpy()
 
     def kernel(image: np.ndarray, at: dict[str, int]) -> np.ndarray:
@@ -89,19 +95,21 @@ def ssim(pairs: DataFrame, radius: int, sizes: dict[str, int], k1: float = 0.01,
     return sums.groupBy(*keys).agg((F.sum("total") / F.sum("n")).alias("ssim"))
 
 
-def _neighbours(voxels: DataFrame, offsets: list[tuple[int, int, float]], height: int, width: int) -> DataFrame:
-    """Each voxel sent to every (y, x) that sees it at one of the offsets, with the offset's term."""
-    table = F.array(*[F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx"), F.lit(float(c)).alias("term")) for dy, dx, c in offsets])
-    sent = voxels.withColumn("s", F.explode(table)).withColumn("oy", F.col("y") - F.col("s.dy")).withColumn("ox", F.col("x") - F.col("s.dx"))
-    return sent.where((F.col("oy") >= 0) & (F.col("oy") < height) & (F.col("ox") >= 0) & (F.col("ox") < width))
-
-
-def shift_linear(voxels: DataFrame, dy: float, dx: float, height: int, width: int) -> DataFrame:
-    """Each plane moved by (dy, dx) with bilinear interpolation; what comes from outside is 0."""
+def shift_linear(voxels: DataFrame, dy: float, dx: float, height: int, width: int, block: dict[str, int] | None = None) -> DataFrame:
+    """Each plane moved by (dy, dx) with bilinear interpolation; what comes from outside is 0. A voxel of the result is there where
+    one of the four that it is made of is."""
     fy, fx = math.floor(dy), math.floor(dx)
     ay, ax = dy - fy, dx - fx
-    four = [(-fy - i, -fx - j, (ay if i else 1 - ay) * (ax if j else 1 - ax)) for i in (0, 1) for j in (0, 1)]
-    sent = _neighbours(voxels, four, height, width)
-    parts = [F.coalesce(F.max(F.when((F.col("s.dy") == a) & (F.col("s.dx") == b), F.col("v") * F.lit(w))), F.lit(0.0)) for a, b, w in four]
-    total = ((parts[0] + parts[1]) + parts[2]) + parts[3]
-    return sent.groupBy("t", "p", "c", "z", F.col("oy").alias("y"), F.col("ox").alias("x")).agg(total.alias("v"))
+    four = [(fy + i, fx + j, (ay if i else 1 - ay) * (ax if j else 1 - ax)) for i in (0, 1) for j in (0, 1)]
+    reach = max(abs(fy), abs(fy + 1)), max(abs(fx), abs(fx + 1))
+
+    def kernel(image: np.ndarray, there: np.ndarray, at: dict[str, int]) -> pd.DataFrame:
+        rows, columns = (n - 2 * r for n, r in zip(image.shape, reach))
+        seen = lambda a, y, x: a[reach[0] - y : reach[0] - y + rows, reach[1] - x : reach[1] - x + columns]
+        parts = [seen(image, y, x) * w for y, x, w in four]
+        total = ((parts[0] + parts[1]) + parts[2]) + parts[3]
+        y, x = np.nonzero(sum(seen(there, y, x) for y, x, _ in four))
+        return pd.DataFrame({"y": (y + at["y"]).astype(np.int32), "x": (x + at["x"]).astype(np.int32), "v": total[y, x]})
+
+    marked = voxels.withColumn("there", F.lit(1.0))
+    return over_blocks(marked, {"y": height, "x": width}, {"y": reach[0], "x": reach[1]}, kernel, _schema(voxels), ("v", "there"), 0.0, block)

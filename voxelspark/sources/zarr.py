@@ -23,8 +23,8 @@ from . import files
 from .codecs import crc32c, decode, encode
 
 EMPTY = 2**64 - 1
-#: Most tasks of a read, and numbers of chunks that one of them is given at a time.
-TASKS = 1 << 17
+#: Decoded bytes of chunks that a task of a read is given.
+TASK_BYTES = 32 << 20
 
 
 @dataclass(frozen=True)
@@ -127,7 +127,8 @@ def read_chunks(spark: SparkSession, path: str, where: dict[int, tuple[int, int]
                     if block is not None:
                         yield pa.RecordBatch.from_arrays([pa.array([origin], pa.list_(pa.int32())), pa.array([block.shape], pa.list_(pa.int32())), pa.array([m.dtype]), pa.array([block.tobytes()], pa.binary())], ["origin", "shape", "dtype", "data"])
 
-    return spark.range(0, total, 1, max(1, min(total, TASKS))).mapInArrow(run, CHUNKS)
+    each = max(1, TASK_BYTES // (math.prod(m.chunk) * np.dtype(m.dtype).itemsize))
+    return spark.range(0, total, 1, max(1, -(-total // each))).mapInArrow(run, CHUNKS)
 
 
 def voxels(chunks: DataFrame, axes: str, shape: tuple[int, ...], kind: str = "int") -> DataFrame:
