@@ -58,19 +58,44 @@ def ball(radius: int) -> list[tuple[int, int, float]]:
     return [(dy, dx, radius - math.sqrt(radius**2 - dy**2 - dx**2)) for dy in range(-radius, radius + 1) for dx in range(-radius, radius + 1) if dy**2 + dx**2 <= radius**2]
 
 
+def under_ball(image: np.ndarray, radius: int) -> np.ndarray:
+    """The least of image + term over the places of ``ball``, for an image with a border of ``radius``.
+
+    Places are taken in squares whose edge is near the root of the radius, from the middle outwards. A square's least value
+    and least term bound all that it can give, so that one pass a square, O(radius) of them, tells the pixels that it may
+    lower; only for these its places are looked at. The result is that of all places.
+    """
+    rows, columns = image.shape[0] - 2 * radius, image.shape[1] - 2 * radius
+    edge = 1 << round(math.log2(max(1, radius)) / 2)
+    wide = np.pad(image, (0, edge), constant_values=np.inf)
+    low, reach = wide, 1
+    while reach < edge:
+        low = np.minimum(low[:-reach], low[reach:])
+        low = np.minimum(low[:, :-reach], low[:, reach:])
+        reach *= 2
+    squares: dict[tuple[int, int], list[tuple[int, int, float]]] = {}
+    for dy, dx, term in ball(radius):
+        squares.setdefault(((dy + radius) // edge, (dx + radius) // edge), []).append((dy, dx, term))
+    out = image[radius : radius + rows, radius : radius + columns].astype(float)
+    flat, best = wide.ravel(), out.ravel()
+    for (sy, sx), places in sorted(squares.items(), key=lambda item: min(term for _, _, term in item[1])):
+        bound = low[sy * edge : sy * edge + rows, sx * edge : sx * edge + columns] + min(term for _, _, term in places)
+        own = np.flatnonzero(bound.ravel() < best)
+        if 4 * len(own) > best.size:
+            for dy, dx, term in places:
+                np.minimum(out, image[radius + dy : radius + dy + rows, radius + dx : radius + dx + columns] + term, out=out)
+        elif len(own):
+            at = (own // columns + radius) * wide.shape[1] + own % columns + radius
+            steps = np.array([dy * wide.shape[1] + dx for dy, dx, _ in places])
+            found = (flat[at[:, None] + steps] + np.array([term for _, _, term in places])).min(1)
+            best[own] = np.minimum(best[own], found)
+    return out
+
+
 def rolling_ball(voxels: DataFrame, radius: int, height: int, width: int, block: dict[str, int] | None = None) -> DataFrame:
     """Background: the least neighbour under a ball, raised by how far the ball's surface is below its top. Beyond the image
     nothing is under the ball."""
-    offsets = ball(radius)
-
-    def kernel(image: np.ndarray, at: dict[str, int]) -> np.ndarray:
-        rows, columns = image.shape[0] - 2 * radius, image.shape[1] - 2 * radius
-        out = np.full((rows, columns), np.inf)
-        for dy, dx, term in offsets:
-            np.minimum(out, image[radius + dy : radius + dy + rows, radius + dx : radius + dx + columns] + term, out=out)
-        return out
-
-    return over_blocks(voxels, {"y": height, "x": width}, {"y": radius, "x": radius}, kernel, _schema(voxels), pad=np.inf, block=block)
+    return over_blocks(voxels, {"y": height, "x": width}, {"y": radius, "x": radius}, lambda image, at: under_ball(image, radius), _schema(voxels), pad=np.inf, block=block)
 
 
 def ssim(pairs: DataFrame, radius: int, sizes: dict[str, int], k1: float = 0.01, k2: float = 0.03, block: dict[str, int] | None = None) -> DataFrame:

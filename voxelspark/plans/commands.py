@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from ..functions import metadata as M
 from ..operators import arrays as A
 from ..operators import deconvolve as D
+from ..operators import illumination as I
 from ..operators import deskew as S
 from ..operators import fusion as U
 from ..operators import registration as G
@@ -133,7 +134,7 @@ def flat_of(spark: SparkSession, path: str, acq: Acquisition, axes: str) -> Data
             blocks, shape = read_tiff(spark, path, axes, {"t": (0, 1)})
         else:
             blocks, shape = A.read(spark, path, axes, {"t": (0, 1)})
-        return D.flat_field(A.voxels(blocks, shape), acq.offset, acq.gain, shape[3:], shape[1])
+        return I.fitted_flat_field(A.voxels(blocks, shape), acq.offset, acq.gain, shape[3:], shape[1])
 
     return D.cached_flat_field(spark, kept if files.exists(kept) else f"{_stem(path)}_flatfield.parquet", make)
 

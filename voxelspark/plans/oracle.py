@@ -104,8 +104,10 @@ _OV = " AND ".join(f"abs(round_even((b.stage_{a}-a.stage_{a})/{PX},0)) < {n}" fo
 _BOUNDS = ", ".join(f"greatest(0,o{a}) i_{a}0, least({n},o{a}+{n}) i_{a}1, greatest(0,-o{a}) j_{a}0, least({n},{n}-o{a}) j_{a}1" for a, n in (("z", 5), ("y", 25), ("x", 64)))
 PAIRS = f"prs AS (SELECT t,i,j,{_BOUNDS} FROM (SELECT a.t, a.p i, b.p j, " + ", ".join(f"CAST(round_even((b.stage_{a}-a.stage_{a})/{PX},0) AS INT) o{a}" for a in "zyx") + f" FROM r4 a JOIN r4 b ON a.t=b.t AND a.p<b.p WHERE {_OV}))"
 RES = f"{R4}, {PAIRS}, {OFFSETS}, {EDGES}, res AS (SELECT e.t, e.i, e.j, sqrt((pow(b.dz-a.dz-e.dz,2)+pow(b.dy-a.dy-e.dy,2))+pow(b.dx-a.dx-e.dx,2)) residual FROM e JOIN o a ON a.t=e.t AND a.p=e.i JOIN o b ON b.t=e.t AND b.p=e.j)"
-_BALL = "(SELECT dy, dx, 2-sqrt(CAST(4-dy*dy-dx*dx AS DOUBLE)) h FROM range(-2,3) a(dy), range(-2,3) b(dx) WHERE dy*dy+dx*dx <= 4)"
-BALL = f"bg AS (SELECT t,p,c,z,CAST(y-dy AS INT) y,CAST(x-dx AS INT) x,min(v+h) v FROM r1, {_BALL} k WHERE y-dy BETWEEN 0 AND 24 AND x-dx BETWEEN 0 AND 63 GROUP BY 1,2,3,4,5,6)"
+def _ball(r: int) -> str:
+    """bg(t,p,c,z,y,x,v): the least neighbour under a ball of radius r."""
+    places = f"(SELECT dy, dx, {r}-sqrt(CAST({r * r}-dy*dy-dx*dx AS DOUBLE)) h FROM range({-r},{r + 1}) a(dy), range({-r},{r + 1}) b(dx) WHERE dy*dy+dx*dx <= {r * r})"
+    return f"bg AS (SELECT t,p,c,z,CAST(y-dy AS INT) y,CAST(x-dx AS INT) x,min(v+h) v FROM r1, {places} k WHERE y-dy BETWEEN 0 AND 24 AND x-dx BETWEEN 0 AND 63 GROUP BY 1,2,3,4,5,6)"
 
 
 def _shift() -> str:
@@ -177,8 +179,9 @@ SQL: dict[str, str] = {
     "solve_offsets": f"WITH {OFFSETS} SELECT t, p, round(dz-f.z,6) dz, round(dy-f.y,6) dy, round(dx-f.x,6) dx FROM o, (SELECT dz z, dy y, dx x FROM o WHERE p=0) f",
     "apply_offsets": f"WITH {R4}, {OFFSETS} SELECT r4.t,r4.p,round(stage_z+coalesce(dz,0)*{D(0.4)},9) stage_z, round(stage_y+coalesce(dy,0)*{PX},9) stage_y, round(stage_x+coalesce(dx,0)*{PX},9) stage_x FROM r4 LEFT JOIN o USING (t, p)",
     "hot_pixels": _hot(),
-    "rolling_ball_r2": f"WITH {R1}, {BALL} SELECT {ALL}, round(v,6) v FROM bg",
-    "subtract_background": f"WITH {R1}, {BALL} SELECT r1.t,r1.p,r1.c,r1.z,r1.y,r1.x, CAST(greatest(0,least(65535,r1.v-floor(bg.v))) AS INT) v FROM r1 JOIN bg USING (t,p,c,z,y,x)",
+    "rolling_ball_r2": f"WITH {R1}, {_ball(2)} SELECT {ALL}, round(v,6) v FROM bg",
+    "rolling_ball_r25": f"WITH {R1}, {_ball(25)} SELECT {ALL}, round(v,6) v FROM bg",
+    "subtract_background": f"WITH {R1}, {_ball(2)} SELECT r1.t,r1.p,r1.c,r1.z,r1.y,r1.x, CAST(greatest(0,least(65535,r1.v-floor(bg.v))) AS INT) v FROM r1 JOIN bg USING (t,p,c,z,y,x)",
     "box_filter": f"WITH {R1} SELECT {ALL}, round(v,6) v FROM {_box(_box(_box('r1', 'z', 5), 'y', 25), 'x', 64)}",
     "ssim": f"WITH {R1}, {R4}, {PAIR}, rg AS (SELECT p, max(a)-min(a) r FROM pair GROUP BY p), m AS (SELECT a.p, a.v ma, b.v mb, aa.v maa, bb.v mbb, ab.v mab, r FROM {_boxed('a')} a JOIN {_boxed('b')} b USING (p,z,y,x) JOIN {_boxed('a*a')} aa USING (p,z,y,x) JOIN {_boxed('b*b')} bb USING (p,z,y,x) JOIN {_boxed('a*b')} ab USING (p,z,y,x) JOIN rg ON rg.p=a.p), u AS (SELECT p, ma, mb, 27/{D(26)}*(maa-ma*ma) va, 27/{D(26)}*(mbb-mb*mb) vb, 27/{D(26)}*(mab-ma*mb) vab, pow(0.01*r,2) c1, pow(0.03*r,2) c2 FROM m) SELECT 0 t, p, 0 c, round(avg(((2*ma*mb+c1)*(2*vab+c2))/((ma*ma+mb*mb+c1)*(va+vb+c2))),6) ssim FROM u GROUP BY p",
     "shift_linear": _shift(),

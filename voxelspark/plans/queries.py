@@ -14,6 +14,7 @@ from ..operators import arrays
 from ..operators import deconvolve as D
 from ..operators import deskew as S
 from ..operators import fusion as U
+from ..operators import illumination as I
 from ..operators import pixel as P
 from ..operators import reduce as R
 from ..operators import registration as G
@@ -312,6 +313,8 @@ QUERIES: dict[str, Q] = {
     "register_pairs": _registered,
     "rlgc": _rlgc,
     "flatfield_estimate": lambda s, d: D.flat_field(A.stack(s, d), A.OFFSET, A.GAIN, A.SHAPE, _positions(s, d)).withColumn("ff", F.round("ff", 6)),
+    "flatfield_fit": lambda s, d: I.fitted_flat_field(A.stack(s, d), A.OFFSET, A.GAIN, A.SHAPE, _positions(s, d)).withColumn("ff", F.round("ff", 6)),
+    "rolling_ball_r25": lambda s, d: N.rolling_ball(A.stack(s, d), 25, *A.SHAPE[1:]).withColumn("v", F.round("v", 6)),
     "chunk_roundtrip": _kernel_chunks,
     "rasterise_lineitem": A.histogram,
     "rasterise_events": A.timelapse,
