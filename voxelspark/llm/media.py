@@ -410,6 +410,7 @@ def histograms(width: int, height: int, images: list[Image], samples: list[np.nd
 
 MEDIA = "doc_id long, n_bytes long, media binary"
 FEATURES = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, n_frames int, duration long, histogram array<long>"
+TIMED = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, starts array<long>, delays array<int>, red array<array<int>>, green array<array<int>>, blue array<array<int>>"
 FRAMES = "doc_id long, frame int, starts long, delay int, width int, height int, red array<long>, green array<long>, blue array<long>"
 
 
@@ -481,31 +482,67 @@ def frames(media: DataFrame) -> DataFrame:
     return media.select(F.col("doc_id").cast("long"), "media").mapInArrow(run, FRAMES)
 
 
-def features(media: DataFrame) -> DataFrame:
-    """What the decoded frames of media(doc_id, n_bytes, media) hold (palette numbers) and show (colours over all frames);
-    equal images give equal values. Of a null or broken image all but doc_id, n_bytes and what describes its bytes is null."""
+def _lists(ends: np.ndarray, values: pa.Array, nulls: np.ndarray) -> pa.Array:
+    """Lists that end at ``ends`` of the values, null where ``nulls`` is set."""
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), values, mask=pa.array(nulls))
+
+
+def timed(media: DataFrame) -> DataFrame:
+    """The timed frames of media(doc_id, n_bytes, media), one row an image: when each frame starts and how long it stays
+    (hundredths of a second), and the colour histograms of what it shows; beside them what the palette numbers of all
+    frames give. Of a null or broken image all but doc_id, n_bytes and what describes its bytes is null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "media"):
-            rows, stored_media = [], batch.column(2).to_pylist()
-            for doc_id, n_bytes, data, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), stored_media, read_all(stored_media)):
+            stored_media = batch.column(2).to_pylist()
+            rows, delays, counts = [], [], []
+            for data, found in zip(stored_media, read_all(stored_media)):
                 stored = (None, None) if data is None else (len(data), hashlib.sha256(data).hexdigest())
                 if found is None:
-                    rows.append((doc_id, n_bytes, None, None, None, *stored, None, None, None, None))
+                    rows.append((None, None, None, *stored))
+                    delays.append([])
+                    counts.append(np.zeros((0, 3 * BINS), np.int64))
                     continue
-                _, _, images, samples = found
-                payload = b"".join(s.tobytes() for s in samples)
-                counts = histograms(*found).sum(0).tolist()
-                duration = sum(i.delay for i in images)
-                feature = f"frames={len(images)};delay={duration};hist=" + ",".join(map(str, counts))
-                rows.append((doc_id, n_bytes, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), *stored, feature, len(images), duration, counts))
-            kinds = [pa.int64()] * 3 + [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int64(), pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], _names(FEATURES))
+                payload = b"".join(s.tobytes() for s in found[3])
+                rows.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), *stored))
+                delays.append([i.delay for i in found[2]])
+                counts.append(histograms(*found))
+            kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string()]
+            described = [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)]
+            ends, broken = np.cumsum([len(d) for d in delays]), np.array([r[0] is None for r in rows])
+            stay = np.array([x for d in delays for x in d], np.int32)
+            starts = np.concatenate([np.cumsum([0, *d[:-1]]) for d in delays if d] or [[]]).astype(np.int64)
+            bins = np.concatenate(counts).astype(np.int32)
+            colours = [
+                _lists(ends, pa.ListArray.from_arrays(pa.array(np.arange(len(bins) + 1) * BINS, pa.int32()), pa.array(bins[:, i : i + BINS].ravel())), broken)
+                for i in (0, BINS, 2 * BINS)
+            ]
+            own = [_lists(ends, pa.array(starts), broken), _lists(ends, pa.array(stay), broken), *colours]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *described, *own], _names(TIMED))
+
+    return media.select(F.col("doc_id").cast("long"), F.col("n_bytes").cast("long"), "media").mapInArrow(run, TIMED)
+
+
+def described(timed_frames: DataFrame) -> DataFrame:
+    """The features (number of frames, duration, colours over all frames) of a table that ``timed`` gives; equal images give
+    equal values."""
+    none = F.array(*[F.lit(0).cast("long")] * BINS)
+    over = lambda c: F.aggregate(c, none, lambda total, frame: F.zip_with(total, frame, lambda a, b: a + b))
+    kept = [x for x in _names(TIMED) if x not in ("starts", "delays", "red", "green", "blue")]
+    n, duration = F.when(F.col("delays").isNotNull(), F.size("delays")), F.aggregate("delays", F.lit(0).cast("long"), lambda total, d: total + d)
+    rows = timed_frames.select(*kept, n.alias("n_frames"), duration.alias("duration"), F.concat(*[over(c) for c in ("red", "green", "blue")]).alias("histogram"))
+    text = [F.lit("frames="), F.col("n_frames").cast("string"), F.lit(";delay="), F.col("duration").cast("string"), F.lit(";hist=")]
+    feature = F.concat(*text, F.array_join(F.col("histogram").cast("array<string>"), ","))
+    return rows.withColumn("feature", feature).select(*_names(FEATURES))
 
-    return media.select("doc_id", "n_bytes", "media").mapInArrow(run, FEATURES)
+
+def features(media: DataFrame) -> DataFrame:
+    """What the decoded frames of media(doc_id, n_bytes, media) hold (palette numbers) and show (colours over all frames);
+    equal images give equal values. Of a null or broken image all but doc_id, n_bytes and what describes its bytes is null."""
+    return described(timed(media))
 
 
 def media_features(docs: DataFrame) -> DataFrame:
-    """``features`` of every row of docs(doc_id, text): the texts are stored as images in the shared folder and read back.
-    A null text is an empty one; ids may be null or repeated; an empty table gives no rows."""
-    return features(materialize(store(docs), "media"))
+    """``features`` of every row of docs(doc_id, text): the texts are stored as images in the shared folder and read back, and
+    so are their timed frames. A null text is an empty one; ids may be null or repeated; an empty table gives no rows."""
+    return described(materialize(timed(materialize(store(docs), "media")), "frames"))
