@@ -30,6 +30,10 @@ MIN_COUNT, MAX_WORDS, TOP = 30, 4, 2000
 #: A candidate goes if a longer one that holds it has this share of its occurrences, in percent.
 COVERED = 80
 SHARD_BYTES = 4 << 20
+#: A shard's words are dealt over rows of so many, some 300 KB each in the JVM.
+WORDS_A_ROW = 4096
+#: Bytes of text that are hashed at once.
+HASH_BYTES = 1 << 18
 #: Pairs of 64-bit words that are ANDed at once.
 AND_AT_ONCE = 1 << 20
 #: Rows that one task adds up.
@@ -74,15 +78,15 @@ def unpack(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def positions_of(starts: np.ndarray, docs: np.ndarray, low: np.ndarray) -> np.ndarray:
     """Positions of words, ascending, one empty one where a piece ends."""
-    pieces = np.cumsum(_SPLIT[low])
+    pieces = np.cumsum(_SPLIT[low], dtype=np.int32 if len(low) < 1 << 31 else np.int64)
     cut = np.zeros(len(starts), np.int64)
     cut[1:] = (docs[1:] != docs[:-1]) | (pieces[starts[1:]] != pieces[starts[:-1]])
     return np.arange(len(starts)) + np.cumsum(cut)
 
 
 def build_shards(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """(shard, words array<struct<lang, word, n>>, maps binary) of docs(text, lang): a shard's distinct words by language, how
-    often each occurs, and their bitmaps in that order."""
+    """(shard, place, words array<struct<lang, word, n>>, maps binary) of docs(text, lang): a shard's distinct words by language and
+    how often each occurs, ``WORDS_A_ROW`` a row from number ``place`` on, and in its first row their bitmaps in that order."""
     kind = pa.struct([("lang", pa.string()), ("word", pa.string()), ("n", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,24 +99,28 @@ def build_shards(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
                 continue
             langs = batch.column(1).dictionary_encode()
             lang = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)[d]
-            h = hash_words(hasher, low, starts, ends)
+            h = hash_words(hasher, low, starts, ends, HASH_BYTES)
             order = np.lexsort((h, lang))
             firsts = group_starts(lang[order], h[order])
             sizes = np.diff(np.append(firsts, len(order)))
             words = np.empty(len(h), np.int64)
             words[order] = np.repeat(np.arange(len(firsts)), sizes)
             one = order[firsts]
+            del h, order
             text = low[ranges(starts[one], ends[one] - starts[one])]
             cuts = np.concatenate([[0], np.cumsum(ends[one] - starts[one])])
             names = pa.LargeStringArray.from_buffers(len(one), pa.py_buffer(cuts.astype("<i8")), pa.py_buffer(text)).cast(pa.string())
             rows = pa.StructArray.from_arrays([langs.dictionary.take(pa.array(lang[one])), names, pa.array(sizes, pa.int32())], fields=list(kind))
             maps = pack(*bitmaps(words, positions_of(starts, d, low)), len(one))
-            lists = pa.ListArray.from_arrays(pa.array([0, len(one)], pa.int32()), rows)
-            yield pa.RecordBatch.from_arrays([pa.array([number]), lists, pa.array([maps], pa.binary())], ["shard", "words", "maps"])
+            for place in range(0, len(one), WORDS_A_ROW):
+                part = rows.slice(place, WORDS_A_ROW)
+                lists = pa.ListArray.from_arrays(pa.array([0, len(part)], pa.int32()), part)
+                own = pa.array([None if place else maps], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([place], pa.int32()), lists, own], ["shard", "place", "words", "maps"])
             number += 1
 
     docs = docs.select("text", F.coalesce("lang", F.lit("und")).alias("lang"))
-    return docs.mapInArrow(run, "shard long, words array<struct<lang:string,word:string,n:int>>, maps binary")
+    return docs.mapInArrow(run, "shard long, place int, words array<struct<lang:string,word:string,n:int>>, maps binary")
 
 
 # ---------------------------------------------------------------------------------------------- growing phrases
@@ -224,7 +232,7 @@ def longer_phrases(shards: DataFrame, alive: DataFrame, depth: int, n_tasks: int
         shard = np.full(len(buckets), left.column("shard")[0].as_py())
         return pa.table([pa.array(buckets), pa.array(shard), pa.array(made, pa.binary())], schema=schema)
 
-    return shards.select("shard", "maps").groupBy("shard").cogroup(alive.select("shard", "k", "packet").groupBy("shard")).applyInArrow(run, "bucket int, shard long, packet binary")
+    return shards.where("maps is not null").select("shard", "maps").groupBy("shard").cogroup(alive.select("shard", "k", "packet").groupBy("shard")).applyInArrow(run, "bucket int, shard long, packet binary")
 
 
 #: What a task that adds counts gives: rows (shard, k, packet) that tell a shard of its frequent words (place, 0, id) or phrases
@@ -269,7 +277,7 @@ def frequent_words(shards: DataFrame, min_count: int, n_tasks: int) -> DataFrame
         totals = np.bincount(lang.indices.to_numpy(), n, len(lang.dictionary)).astype(np.int64)
         yield _found(lang=lang.dictionary, f=totals)
 
-    words = shards.select("shard", F.posexplode("words").alias("place", "w")).select("w.lang", "w.word", "shard", "place", "w.n")
+    words = shards.select("shard", "place", F.posexplode("words").alias("more", "w")).select("w.lang", "w.word", "shard", (F.col("place") + F.col("more")).alias("place"), "w.n")
     return words.repartition(n_tasks, "lang", "word").mapInArrow(run, _FOUND)
 
 
