@@ -37,7 +37,7 @@ HASH_BYTES = 1 << 18
 #: Pairs of 64-bit words that are ANDed at once.
 AND_AT_ONCE = 1 << 20
 #: Rows that one task adds up.
-TASK_ROWS = 1 << 19
+TASK_ROWS = 1 << 20
 
 _SPLIT = np.zeros(256, bool)
 _SPLIT[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
