@@ -327,15 +327,42 @@ def stores_in(root: str) -> list[str]:
     return [f"{root}/{n}" for n in files.children(root) if n.endswith("zarr") and (files.exists(f"{root}/{n}/zarr.json") or files.exists(f"{root}/{n}/.zarray") or files.exists(f"{root}/{n}/.zattrs"))]
 
 
-def chunk_table(frame: DataFrame, chunk: tuple[int, ...] = (1, 1, 1, 8, 256, 256), axes: str = "tpczyx") -> DataFrame:
-    """Voxels as rows of packed chunks (origin, shape, dtype, data): the layout that array kernels read."""
+def full_boxes(there: np.ndarray) -> Iterator[tuple[slice, ...]]:
+    """Boxes without gaps that are all that is true in ``there``: one where it is true everywhere, else its like slices
+    along an axis are taken together and each of these parts is cut on along the next axis."""
+    todo = [(tuple(slice(0, n) for n in there.shape), 0)]
+    while todo:
+        box, axis = todo.pop()
+        own = there[box]
+        if own.all():
+            yield box
+        elif own.any():
+            rows = np.moveaxis(own, axis, 0).reshape(own.shape[axis], -1)
+            cuts = [0, *(np.flatnonzero((rows[1:] != rows[:-1]).any(1)) + 1).tolist(), len(rows)]
+            first = box[axis].start
+            todo += [((*box[:axis], slice(first + a, first + b), *box[axis + 1 :]), axis + 1) for a, b in zip(cuts, cuts[1:])]
+
+
+def chunk_table(frame: DataFrame, chunk: tuple[int, ...] = (1, 1, 1, 8, 256, 256), axes: str = "tpczyx", gaps: bool = False) -> DataFrame:
+    """Voxels as rows of packed chunks (origin, shape, dtype, data): the layout that array kernels read. A chunk is the box around
+    its voxels, 0 where there is none; with ``gaps`` it is as many boxes as hold its voxels and no other. Values beyond 16 bits
+    are kept in 32."""
     keys = [F.floor(F.col(a) / c).cast("int").alias(f"k_{a}") for a, c in zip(axes, chunk)]
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         low = [int(group[a].min()) for a in axes]
         size = [int(group[a].max()) - lo + 1 for a, lo in zip(axes, low)]
-        block = np.zeros(size, "<u2")
-        block[tuple(group[a].to_numpy() - lo for a, lo in zip(axes, low))] = group.v.to_numpy()
-        return pd.DataFrame({"origin": [low], "shape": [size], "dtype": ["<u2"], "data": [block.tobytes()]})
+        at, v = tuple(group[a].to_numpy() - lo for a, lo in zip(axes, low)), group.v.to_numpy()
+        kind = "<u2" if 0 <= v.min() and v.max() <= 65535 else "<i4"
+        block = np.zeros(size, kind)
+        block[at] = v
+        boxes = [tuple(slice(0, n) for n in size)]
+        if gaps:
+            there = np.zeros(size, bool)
+            there[at] = True
+            boxes = list(full_boxes(there))
+        parts = [block[box] for box in boxes]
+        origins = [[lo + b.start for lo, b in zip(low, box)] for box in boxes]
+        return pd.DataFrame({"origin": origins, "shape": [list(x.shape) for x in parts], "dtype": kind, "data": [x.tobytes() for x in parts]})
 
     return frame.select(*axes, "v", *keys).groupBy(*[f"k_{a}" for a in axes]).applyInPandas(run, CHUNKS)
