@@ -370,9 +370,9 @@ def fused_blocks(
     return dealt.groupBy(*keys).applyInArrow(run, SCHEMA)
 
 
-def fused_voxels(voxels: DataFrame, tiles: DataFrame, voxel: U.Voxel, shape: tuple[int, int, int], profiles: list[np.ndarray], edges: tuple[int, int, int]) -> DataFrame:
+def fused_voxels(voxels: DataFrame, tiles: DataFrame, voxel: U.Voxel, shape: tuple[int, int, int], profiles: list[np.ndarray], edges: tuple[int, int, int], gaps: bool = False) -> DataFrame:
     """``fused_blocks`` of a voxel table, as voxels (t, c, z, y, x, v) of what tiles cover: voxels go straight to the blocks of the
-    result, one shuffle of them, and meet the tiles that lie over these."""
+    result, one shuffle of them, and meet the tiles that lie over these. With ``gaps`` a tile covers only its voxels in the table."""
     place = U.tile_offsets(tiles, voxel, ("z", "y", "x"), True)
     keys, names = ["t", "c", "sz", "sy", "sx"], ["z", "y", "x"]
     met = _cells(tiles, voxel, shape, edges, True).crossJoin(F.broadcast(voxels.select("c").distinct()))  # channels: a few numbers
@@ -396,11 +396,11 @@ def fused_voxels(voxels: DataFrame, tiles: DataFrame, voxel: U.Voxel, shape: tup
         rows = {p: order[np.searchsorted(of[order], p, "left") : end] for p, end in zip(sorted(tile), ends)}
 
         def values(p: int, lo: Place, hi: Place) -> np.ndarray:
-            out = np.zeros([y - x for x, y in zip(lo, hi)])
+            out = np.full([y - x for x, y in zip(lo, hi)], np.nan if gaps else 0.0)
             out[tuple(a[rows[p]] - x for a, x in zip(at, lo))] = v[rows[p]]
             return out
 
-        value, there = fuse_cell(low, edges, tile, shape, profiles, "weighted_mean", values)
+        value, there = fuse_cell(low, edges, tile, shape, profiles, "weighted_mean", values, gaps)
         z, y, x = np.nonzero(there)
         same = [pa.array(np.full(len(z), k, np.int32)) for k in (t, c)]
         return pa.table([*same, *(pa.array((i + a).astype(np.int32)) for i, a in zip((z, y, x), low)), pa.array(value[z, y, x].astype(np.int32))], names=["t", "c", *names, "v"])
@@ -408,9 +408,9 @@ def fused_voxels(voxels: DataFrame, tiles: DataFrame, voxel: U.Voxel, shape: tup
     return dealt.groupBy(*keys).applyInArrow(run, "t int, c int, z int, y int, x int, v int")
 
 
-def fuse_cell(low: Place, edges: Place, tile: dict[int, Place], shape: Place, profiles: list[np.ndarray], mode: str, values: Callable[[int, Place, Place], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+def fuse_cell(low: Place, edges: Place, tile: dict[int, Place], shape: Place, profiles: list[np.ndarray], mode: str, values: Callable[[int, Place, Place], np.ndarray], gaps: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """One block of a fused image from ``low`` on, and where tiles cover it. ``tile`` has the tiles' origins, ``values`` gives a tile's
-    values over a box of the image."""
+    values over a box of the image; with ``gaps`` the tile does not cover what is NaN in them."""
     value, weight, there = np.zeros(edges), np.zeros(edges), np.zeros(edges, bool)
     for p in sorted(tile):
         lo = [max(o, a) for o, a in zip(tile[p], low)]
@@ -421,7 +421,12 @@ def fuse_cell(low: Place, edges: Place, tile: dict[int, Place], shape: Place, pr
         wz, wy, wx = (w[a - o : b - o] for w, a, b, o in zip(profiles, lo, hi, tile[p]))
         w = wz[:, None, None] * wy[None, :, None] * wx
         v = values(p, tuple(lo), tuple(hi))
-        there[here] = True
+        if gaps:
+            own = ~np.isnan(v)
+            w, v = w * own, np.where(own, v, 0.0)
+            there[here] |= own
+        else:
+            there[here] = True
         if mode == "fold":
             value[here] = np.floor(np.clip((value[here] + v * w) / (1 + w), 0.0, float(TOP)))
         else:

@@ -121,13 +121,14 @@ def fuse_2d(rows: DataFrame, tiles: DataFrame, pixel: Voxel, height: int, width:
     return pieces.groupBy("t", "c", "by", "bx").applyInArrow(run, "t int, c int, y int, x int, v int")
 
 
-def fuse_3d(voxels: DataFrame, tiles: DataFrame, voxel: Voxel, shape: tuple[int, int, int], blend: tuple[int, int, int]) -> DataFrame:
+def fuse_3d(voxels: DataFrame, tiles: DataFrame, voxel: Voxel, shape: tuple[int, int, int], blend: tuple[int, int, int], gaps: bool = False) -> DataFrame:
     """Weighted mean (t, c, z, y, x, v) of all tiles over each voxel that one covers, truncated; 0 where no weight is. Voxels go
-    to blocks of the result by shards of planes (``arrays.fused_voxels``)."""
+    to blocks of the result by shards of planes (``arrays.fused_voxels``). A tile covers its whole box, 0 where it has no voxel;
+    with ``gaps`` only its voxels."""
     from . import arrays
 
     profiles = [np.array(feather_profile(n, b)) for n, b in zip(shape, blend)]
-    return arrays.fused_voxels(voxels, tiles, voxel, shape, profiles, SHARD)
+    return arrays.fused_voxels(voxels, tiles, voxel, shape, profiles, SHARD, gaps)
 
 
 #: Edges (z, y, x) of the blocks in which voxel tables are fused.
