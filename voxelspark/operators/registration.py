@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -50,26 +51,41 @@ def _patch_rows(found: DataFrame) -> DataFrame:
     return found.groupBy("t", "i", "j").applyInArrow(run, ", ".join(f"{n} int" for n in names) + ", a double, b double")
 
 
-def overlap_patches(voxels: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(t, i, j, z, y, x, a, b): both tiles' voxels over each pair's overlap, in the overlap's own coordinates, 0 where only
-    the other tile has one and no row where neither has. Voxels inside an overlap go to its pair, once, and meet in arrays."""
+def _overlaps(voxels: DataFrame, pairs: DataFrame, kernel: Callable[[tuple[int, ...], pa.Table, np.ndarray, np.ndarray], pa.Table], schema: str) -> DataFrame:
+    """``kernel`` over the overlap of each pair, given as both tiles' voxels in arrays, 0 where there is none, and where there are
+    some; it gets the pair and its voxels too. Voxels inside an overlap go to its pair, once."""
     sides = [pairs.select("t", F.col(tile).alias("p"), "i", "j", F.lit(k).alias("side"), *[F.col(f"{tile}_{a}0").alias(f"s_{a}") for a in "zyx"], *[(F.col(f"i_{a}1") - F.col(f"i_{a}0")).alias(f"n_{a}") for a in "zyx"]) for k, tile in enumerate("ij")]
     met = voxels.select("t", "p", "z", "y", "x", "v").join(sides[0].unionByName(sides[1]), ["t", "p"])
     for a in "zyx":
         met = met.withColumn(a, F.col(a) - F.col(f"s_{a}")).where((F.col(a) >= 0) & (F.col(a) < F.col(f"n_{a}")))
-    kind = voxels.schema["v"].dataType.simpleString()
-    number = np.dtype("f8" if kind == "double" else "i4")
+    number = np.dtype("f8" if voxels.schema["v"].dataType.simpleString() == "double" else "i4")
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         size = [table.column(f"n_{a}")[0].as_py() for a in "zyx"]
-        both = np.zeros((2, *size), number)
-        both[tuple(table.column(c).to_numpy() for c in ("side", "z", "y", "x"))] = table.column("v").to_numpy()
-        at = np.nonzero((both != 0).any(0))
-        same = [pa.array(np.full(len(at[0]), k.as_py(), np.int32)) for k in key]
-        return pa.table([*same, *(pa.array(x.astype(np.int32)) for x in at), *(pa.array(x[at]) for x in both)], names=["t", "i", "j", "z", "y", "x", "a", "b"])
+        both, there = np.zeros((2, *size), number), np.zeros((2, *size), bool)
+        at = tuple(table.column(c).to_numpy() for c in ("side", "z", "y", "x"))
+        both[at], there[at] = table.column("v").to_numpy(), True
+        return kernel(tuple(k.as_py() for k in key), table, both, there)
 
     rows = met.select("t", "i", "j", "side", "n_z", "n_y", "n_x", "z", "y", "x", F.col("v"))
-    return rows.groupBy("t", "i", "j").applyInArrow(run, f"t int, i int, j int, z int, y int, x int, a {kind}, b {kind}")
+    return rows.groupBy("t", "i", "j").applyInArrow(run, schema)
+
+
+def _patch(same: list[int], names: list[str], own: np.ndarray, both: np.ndarray) -> pa.Table:
+    """Rows of the places where ``own`` is true."""
+    at = np.nonzero(own)
+    return pa.table([*(pa.array(np.full(len(at[0]), k, np.int32)) for k in same), *(pa.array(x.astype(np.int32)) for x in at), *(pa.array(x[at]) for x in both)], names=[*names, "z", "y", "x", "a", "b"])
+
+
+def overlap_patches(voxels: DataFrame, pairs: DataFrame, gaps: bool = False) -> DataFrame:
+    """(t, i, j, z, y, x, a, b): both tiles' voxels over each pair's overlap, in the overlap's own coordinates, 0 where only
+    the other tile has one and no row where neither has; with ``gaps`` rows only where both have one."""
+    kind = voxels.schema["v"].dataType.simpleString()
+
+    def rows(key: tuple[int, ...], _: pa.Table, both: np.ndarray, there: np.ndarray) -> pa.Table:
+        return _patch(list(key), ["t", "i", "j"], there.all(0) if gaps else (both != 0).any(0), both)
+
+    return _overlaps(voxels, pairs, rows, f"t int, i int, j int, z int, y int, x int, a {kind}, b {kind}")
 
 
 def reduced_patches(voxels: DataFrame, pairs: DataFrame, factors: tuple[int, int, int] = (3, 5, 5)) -> DataFrame:
