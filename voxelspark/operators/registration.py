@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Callable
 
 import numpy as np
@@ -88,9 +89,21 @@ def overlap_patches(voxels: DataFrame, pairs: DataFrame, gaps: bool = False) ->
     return _overlaps(voxels, pairs, rows, f"t int, i int, j int, z int, y int, x int, a {kind}, b {kind}")
 
 
-def reduced_patches(voxels: DataFrame, pairs: DataFrame, factors: tuple[int, int, int] = (3, 5, 5)) -> DataFrame:
+def reduced_patches(voxels: DataFrame, pairs: DataFrame, factors: tuple[int, int, int] = (3, 5, 5), gaps: bool = False) -> DataFrame:
     """The overlaps' voxels as means over blocks of ``factors`` (z, y, x), with the factors that were used, f_z, f_y and f_x:
-    none is larger than the overlap. A ragged edge counts as filled with 0."""
+    none is larger than the overlap. A ragged edge counts as filled with 0; with ``gaps`` so do places that not both tiles have a
+    voxel at, and blocks without a place that both have are left out."""
+
+    def means(key: tuple[int, ...], _: pa.Table, both: np.ndarray, there: np.ndarray) -> pa.Table:
+        own = there.all(0)
+        f = [max(1, min(k, n)) for k, n in zip(factors, own.shape)]
+        parts = [own.astype(float), *(np.where(own, x, 0).astype(float) for x in both)]
+        for axis, k in enumerate(f):
+            parts = [np.add.reduceat(x, np.arange(0, x.shape[axis], k), axis) for x in parts]
+        return _patch([*key, *f], ["t", "i", "j", "f_z", "f_y", "f_x"], parts[0] > 0, np.stack(parts[1:]) / math.prod(f))
+
+    if gaps:
+        return _overlaps(voxels, pairs, means, "t int, i int, j int, f_z int, f_y int, f_x int, z int, y int, x int, a double, b double")
     return _patch_rows(arrays.patches(arrays.of_voxels(voxels), pairs, factors))
 
 
