@@ -85,3 +85,20 @@ def test_few_pairs_leave_a_crowded_cell(spark):
         assert sizes.agg(F.max("s")).first()[0] > n / 2
         left[n] = near_copies.likely_pairs(met, sizes, sets).distinct().count()
     assert left[1200] < 20 * 1200 and left[1200] <= max(16 * left[300], 5000)
+
+
+def test_rounds_read_only_cells_that_are_open(spark, monkeypatch):
+    """Copies that the first rounds join are not read by later ones, whose cells are those of pages that do not link."""
+    texts = template(60, 4) + template(40, 24, 3)
+    read = []
+
+    def counted(table, name):
+        out = materialize(table, name)
+        if name == "near-cells":
+            read.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_copies, "PAIRS_A_ROW", 0)
+    monkeypatch.setattr(near_copies, "materialize", counted)
+    assert groups(near_copies.near_copies(of(spark, texts)).collect()) == brute(texts)
+    assert len(read) > 3 and 0 < read[-1] < read[1]

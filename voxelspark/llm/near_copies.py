@@ -189,20 +189,23 @@ def likely_pairs(met: DataFrame, sizes: DataFrame, sets: DataFrame) -> DataFrame
 
 
 def _links(links: DataFrame, cells: DataFrame, sets: DataFrame) -> DataFrame:
-    """With the links that are known, links that join all nodes of every component of the graph of similar sets."""
+    """With the links that are known, links that join all nodes of every component of the graph of similar sets. A cell whose
+    nodes are all in one part stays so, and no later round reads it."""
     close = "5 * least(n, m) >= 4 * greatest(n, m)"
+    held: list[DataFrame] = []
     for k in range(ROUNDS + 1):
         parts = connected_components(links, tidy=True)
         own = cells.join(parts, "node", "left").select("token", "node", "n", F.coalesce("component", "node").alias("part"))
-        own = materialize(own, "near-cells")
+        cell = Window.partitionBy("token")
+        own = own.withColumns({"low": F.min("part").over(cell), "high": F.max("part").over(cell)})
+        met = materialize(own.where("low <> high").select("token", "node", "n", "part"), "near-cells")
+        discard(*held)
         release(cells.sparkSession)
-        sizes = own.groupBy("token", "part").agg(F.count(F.lit(1)).alias("k")).groupBy("token").agg(F.sum("k").alias("s"), F.sum(F.col("k") * F.col("k")).alias("q"), F.count(F.lit(1)).alias("parts"))
-        sizes = sizes.where("parts > 1")
+        sizes = met.groupBy("token", "part").agg(F.count(F.lit(1)).alias("k")).groupBy("token").agg(F.sum("k").alias("s"), F.sum(F.col("k") * F.col("k")).alias("q"), F.count(F.lit(1)).alias("parts"))
         total = sizes.agg(F.sum("s").alias("rows"), (F.sum(F.col("s") * F.col("s") - F.col("q")) / 2).alias("pairs")).first()
         if not total["rows"]:
-            discard(own)
+            discard(met)
             break
-        met = own.join(sizes.select("token"), "token", "left_semi")
         last = k == ROUNDS or total["pairs"] <= PAIRS_A_ROW * total["rows"]
         if last:
             pairs = likely_pairs(met, sizes, sets)
@@ -212,9 +215,10 @@ def _links(links: DataFrame, cells: DataFrame, sets: DataFrame) -> DataFrame:
             chain = met.select("node", "n", "part", before.alias("before")).select("node", "n", "part", F.explode("before").alias("x")).select("node", "n", "part", "x.*")
             pairs = chain.where("part <> part_2").where(close).select(*_pair("node", "node_2"))
         links = links.unionByName(similar(pairs.distinct(), sets))
-        discard(own)
         if last:
+            discard(met)
             break
+        cells, held = met.select("token", "node", "n"), [met]
     return links
 
 
