@@ -141,6 +141,24 @@ def test_decontamination(spark, docs):
     assert decontaminate.contamination(docs.select("doc_id", "text"), items.limit(0)).count() == len(TEXTS)
 
 
+@pytest.mark.parametrize("size", [1 << 21, 1 << 23])
+def test_index_memory_a_byte_of_text(size):
+    """Words are hashed some of the text at a time, also where one text is longer than a block, to the hashes of each alone."""
+    import tracemalloc
+
+    hasher = decontaminate.SpanHash(decontaminate._SEED)
+    buf = np.frombuffer(((prose(50_000, 8) + " " + "Long" * 100_000 + " ") * (size // 400_000 + 1)).encode()[:size], np.uint8)
+    tracemalloc.start()
+    try:
+        h, d = decontaminate.word_hashes(buf, np.array([0, 0, 9, size]), hasher)
+        assert tracemalloc.get_traced_memory()[1] < 25 * size
+    finally:
+        tracemalloc.stop()
+    low_, offsets = decontaminate.lower_ascii(buf), np.array([0, 0, 9, size])
+    starts, ends, docs_ = decontaminate.word_spans(low_, offsets, decontaminate.ALNUM_OR_HIGH)
+    assert (h == decontaminate.SpanHash(decontaminate._SEED).load(low_).spans(starts, ends)).all() and (d == docs_).all()
+
+
 def test_records(docs, tmp_path):
     from tokenizers import Tokenizer
 

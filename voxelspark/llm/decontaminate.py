@@ -24,12 +24,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM_OR_HIGH, SLICE_BYTES, SpanHash, filesystem, group_starts, kept, lower_ascii, materialize, ranges, shared_path, text_bytes, text_slices, word_spans
+from .common import ALNUM_OR_HIGH, SLICE_BYTES, SpanHash, filesystem, group_starts, hash_words, kept, lower_ascii, materialize, ranges, shared_path, text_bytes, text_slices, word_spans
 
 WINDOW = 10
 _SEED = 6
 #: Positions between the words of two documents, so that no window and no slack reaches across.
 GAP = 1 << 10
+#: Bytes of text that are hashed at once.
+HASHED_BYTES = 1 << 18
 
 
 @dataclass
@@ -63,10 +65,11 @@ def _bases(words: np.ndarray) -> np.ndarray:
 
 
 def word_hashes(buf: np.ndarray, offsets: np.ndarray, hasher: SpanHash) -> tuple[np.ndarray, np.ndarray]:
-    """The lower-cased words' hashes and document numbers."""
+    """The lower-cased words' hashes and document numbers. The sums of 8 bytes for each byte, several times over, are made for
+    ``HASHED_BYTES`` of text at a time, however much there is."""
     low = lower_ascii(buf)
     starts, ends, docs = word_spans(low, offsets, ALNUM_OR_HIGH)
-    return hasher.load(low).spans(starts, ends), docs
+    return hash_words(hasher, low, starts, ends, HASHED_BYTES), docs
 
 
 def build_block(hashes: np.ndarray, docs: np.ndarray, n_docs: int) -> Block:
